@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The procedure is a batch job over a closed month: it has no watermark, event-time
+window, late-data or state handling, so nothing here is built (see README).
+"""
