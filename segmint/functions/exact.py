@@ -32,46 +32,44 @@ BASE_POINTS = PointsScale(low=105, span=9890)
 ELITE_POINTS = PointsScale(low=100, span=9895)
 
 
-def floor_div(a: Column, b: Column | int) -> Column:
-    """Exact ``floor(a / b)`` for longs with ``b > 0``: ``a - pmod(a, b)`` is a multiple of ``b``."""
-    b = F.lit(b) if isinstance(b, int) else b
-    a = a.cast("bigint")
-    b = b.cast("bigint")
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
-
-
-def ntile_from_rank(rn: Column, n: Column | int, buckets: int) -> Column:
-    """``ntile(buckets) over (order by v)`` for the row of rank ``rn`` (1-based) out of ``n``."""
-    n = (F.lit(n) if isinstance(n, int) else n).cast("bigint")
-    rn = rn.cast("bigint")
-    size = floor_div(n, buckets)  # rows in the smaller buckets
-    rem = n - size * buckets  # the first ``rem`` buckets hold one row more
-    big = rem * (size + 1)
-    return (
-        F.when(rn <= big, floor_div(rn - 1, size + 1) + 1)
-        .otherwise(rem + floor_div(rn - 1 - big, F.greatest(size, F.lit(1).cast("bigint"))) + 1)
-        .cast("int")
+def floor_div(a: str, b: int | str) -> Column:
+    """Exact ``floor(a / b)`` for a long column ``a`` and ``b > 0`` (``div`` truncates, so the
+    remainder is taken with ``pmod`` first)."""
+    return F.expr(f"(({a}) - pmod({a}, {b})) div ({b})")
+
+
+def ntile_from_rank(rn: str, n: str, buckets: int) -> Column:
+    """``ntile(buckets) over (order by v)`` of the row ranked ``rn`` (1-based) of ``n`` rows.
+
+    ``rn`` and ``n`` name long columns (both >= 1); the first ``n % buckets`` buckets hold
+    one row more, as ``ntile`` does.
+    """
+    size = f"({n} div {buckets})"
+    rem = f"({n} % {buckets})"
+    big = f"({rem} * ({size} + 1))"
+    return F.expr(
+        f"CAST(CASE WHEN {rn} <= {big} THEN ({rn} - 1) div ({size} + 1) + 1 "
+        f"ELSE {rem} + ({rn} - 1 - {big}) div greatest({size}, 1) + 1 END AS INT)"
     )
 
 
-def points_cents(rn: Column, n: Column | int, scale: PointsScale) -> Column:
+def points_cents(rn: str, n: str, scale: PointsScale) -> Column:
     """``lo + round_half_up(span * (rn-1) / (n-1))`` in integer cents; ``n = 1`` gives ``lo``.
 
     (The procedure divides by zero for a single-value band; returning the low end is a
     documented deviation.)
     """
-    n = (F.lit(n) if isinstance(n, int) else n).cast("bigint")
-    rn = rn.cast("bigint")
-    low = F.lit(scale.low).cast("bigint")
-    num = F.lit(2 * scale.span).cast("bigint") * (rn - 1) + (n - 1)
-    return F.when(n <= 1, low).otherwise(low + floor_div(num, F.lit(2).cast("bigint") * (n - 1)))
+    return F.expr(
+        f"CASE WHEN {n} <= 1 THEN CAST({scale.low} AS BIGINT) "
+        f"ELSE {scale.low} + (2 * {scale.span} * ({rn} - 1) + ({n} - 1)) div (2 * ({n} - 1)) END"
+    )
 
 
 def cents_to_points(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") / 100).cast(POINTS_TYPE)
 
 
-def points_from_rank(rn: Column, n: Column | int, scale: PointsScale) -> Column:
+def points_from_rank(rn: str, n: str, scale: PointsScale) -> Column:
     return cents_to_points(points_cents(rn, n, scale))
 
 

@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmint.functions.exact import BASE_POINTS, floor_div, ntile_from_rank, points_from_rank
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from segmint.plans.specs import MetricSpec
 
 BUCKET_BITS = 12  # 4,096 integers per bucket: bounds every ranking window
@@ -65,8 +64,13 @@ def metric_values(base: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     return value_histogram(unpivot_values(base, entries))
 
 
-def rank_values(hist: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Adds ``CustomersBefore`` and ``ValueRank`` to a histogram, with bounded windows only."""
+def rank_values(hist: DataFrame) -> DataFrame:
+    """Adds ``CustomersBefore`` and ``ValueRank`` to a histogram, with bounded windows only.
+
+    The offsets table (one row per bucket) joins back on ``(Metric, Bucket)``, the same
+    partitioning the in-bucket window needs; AQE broadcasts it when its measured size is
+    small, else it stays a sort-merge join on already co-partitioned sides.
+    """
     hb = hist.withColumn("Bucket", F.shiftright(F.col("Value"), BUCKET_BITS))
     per_bucket = hb.groupBy("Metric", "Bucket").agg(
         F.sum("Customers").alias("_bc"), F.count(F.lit(1)).alias("_bv")
@@ -78,7 +82,6 @@ def rank_values(hist: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -
         F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_cb"),
         F.coalesce(F.sum("_bv").over(before), F.lit(0)).alias("_vb"),
     )
-    offsets, _ = broadcast_if_small(offsets, broadcast_rows)
     inside = Window.partitionBy("Metric", "Bucket").orderBy("Value")
     return hb.join(offsets, ["Metric", "Bucket"]).select(
         "Metric",
@@ -92,85 +95,128 @@ def rank_values(hist: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -
     )
 
 
-def _map_lit(pairs: dict[str, int | None]) -> Column:
+def lit_map(pairs: dict, dtype: str) -> Column:
+    """A literal ``map<string, dtype>`` (typed even when empty)."""
     items: list[Column] = []
     for k, v in pairs.items():
-        items += [F.lit(k), F.lit(v).cast("bigint")]
-    return F.create_map(*items)
-
-
-def _interpolated(x_q: Column, x_next: Column, r: Column) -> Column:
-    return x_q * (100 - r) + F.coalesce(x_next, F.lit(0)) * r
+        items += [F.lit(k), F.lit(v).cast(dtype)]
+    return F.create_map(*items).cast(f"map<string,{dtype}>")
 
 
 def percentile_bounds(ranked: DataFrame, specs: Sequence[PercentileSpec]) -> DataFrame:
     """``(Metric, Customers, LowerBound, UpperBound)``: floor of the low and ceiling of the
     high continuous percentile, over customers. Metrics without values have no row."""
     totals = ranked.groupBy("Metric").agg(F.max(F.col("CustomersBefore") + F.col("Customers")).alias("N"))
-    p_lo = _map_lit({s.key: s.p_low for s in specs})[F.col("Metric")]
-    p_hi = _map_lit({s.key: s.p_high for s in specs})[F.col("Metric")]
-    h_lo, h_hi = p_lo * (F.col("N") - 1), p_hi * (F.col("N") - 1)
-    targets = totals.where(F.col("Metric").isin([s.key for s in specs])).select(
-        F.col("Metric").alias("_m"),
+    metric = F.col("Metric")
+    h = totals.where(metric.isin([s.key for s in specs])).select(
+        metric.alias("_m"),
         "N",
-        floor_div(h_lo, 100).alias("_qlo"),
-        (h_lo - 100 * floor_div(h_lo, 100)).alias("_rlo"),
-        floor_div(h_hi, 100).alias("_qhi"),
-        (h_hi - 100 * floor_div(h_hi, 100)).alias("_rhi"),
+        (lit_map({s.key: s.p_low for s in specs}, "bigint")[metric] * (F.col("N") - 1)).alias("_hlo"),
+        (lit_map({s.key: s.p_high for s in specs}, "bigint")[metric] * (F.col("N") - 1)).alias("_hhi"),
+    )
+    targets = h.select(
+        "_m", "N",
+        floor_div("_hlo", 100).alias("_qlo"), F.expr("pmod(_hlo, 100)").alias("_rlo"),
+        floor_div("_hhi", 100).alias("_qhi"), F.expr("pmod(_hhi, 100)").alias("_rhi"),
     )
-    # one row per graded metric: a proven bound on the broadcast side
-    lo_cb, hi_cb = F.col("CustomersBefore"), F.col("CustomersBefore") + F.col("Customers")
 
-    def holds(pos: Column) -> Column:
-        return (lo_cb <= pos) & (pos < hi_cb)
+    def holds(pos: str) -> Column:
+        return F.expr(f"CustomersBefore <= {pos} AND {pos} < CustomersBefore + Customers")
 
-    def at(pos: Column) -> Column:
+    def at(pos: str) -> Column:
         return F.max(F.when(holds(pos), F.col("Value")))
 
-    q_lo, q_hi = F.col("_qlo"), F.col("_qhi")
+    # one row per graded metric: a proven bound on the broadcast side
     hits = ranked.join(F.broadcast(targets), ranked["Metric"] == targets["_m"]).where(
-        holds(q_lo) | holds(q_lo + 1) | holds(q_hi) | holds(q_hi + 1)
+        holds("_qlo") | holds("_qlo + 1") | holds("_qhi") | holds("_qhi + 1")
     )
     x = hits.groupBy("Metric", "N", "_rlo", "_rhi", "_qlo").agg(
-        at(q_lo).alias("_xlo"), at(q_lo + 1).alias("_xlo1"), at(q_hi).alias("_xhi"), at(q_hi + 1).alias("_xhi1")
+        at("_qlo").alias("_xlo"), at("_qlo + 1").alias("_xlo1"), at("_qhi").alias("_xhi"), at("_qhi + 1").alias("_xhi1")
     )
-    num_lo = _interpolated(F.col("_xlo"), F.col("_xlo1"), F.col("_rlo"))
-    num_hi = _interpolated(F.col("_xhi"), F.col("_xhi1"), F.col("_rhi"))
-    return x.select(
+    nums = x.select(
+        "Metric", "N", "_qlo",
+        F.expr("_xlo * (100 - _rlo) + coalesce(_xlo1, 0) * _rlo").alias("_nlo"),
+        F.expr("-(_xhi * (100 - _rhi) + coalesce(_xhi1, 0) * _rhi)").alias("_nhi_neg"),
+    )
+    return nums.select(
         "Metric",
         F.col("N").alias("Customers"),
-        F.when(F.col("_qlo").isNotNull(), floor_div(num_lo, 100)).alias("LowerBound"),
-        (-floor_div(-num_hi, 100)).alias("UpperBound"),
+        F.when(F.col("_qlo").isNotNull(), floor_div("_nlo", 100)).alias("LowerBound"),
+        (-floor_div("_nhi_neg", 100)).alias("UpperBound"),
     )
 
 
-def collect_bounds(bounds: DataFrame) -> dict[str, Bounds]:
-    """The per-metric bounds (a handful of rows) for building the grading expressions."""
-    return {
-        r["Metric"]: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"])
-        for r in bounds.collect()
-    }
-
-
-def band_extents(ranked: DataFrame, cuts: dict[str, tuple[str, int | None, int | None]]) -> dict[str, Extent]:
-    """For each named cut ``(histogram key, low, high)``: the first rank and the number of
-    distinct values in ``[low, high]`` (a missing low: from the smallest value; a missing
-    high: the band is empty, as a NULL bound admits nothing)."""
-    conds = []
-    for name, (key, lo, hi) in cuts.items():
-        if hi is None:
-            continue
-        c = (F.col("Metric") == key) & (F.col("Value") <= hi)
-        if lo is not None:
-            c = c & (F.col("Value") >= lo)
-        conds.append(F.when(c, F.lit(name)))
-    out = {name: Extent(0, 0) for name in cuts}
-    if not conds:
-        return out
-    tagged = ranked.select(F.explode(F.array(*conds)).alias("_cut"), "ValueRank").where(F.col("_cut").isNotNull())
-    for r in tagged.groupBy("_cut").agg(F.min("ValueRank").alias("first"), F.count(F.lit(1)).alias("size")).collect():
-        out[r["_cut"]] = Extent(r["first"], r["size"])
-    return out
+@dataclass(frozen=True)
+class Cut:
+    """A band: the values of histogram key ``band_key`` up to the upper bound of
+    ``bound_metric`` (and from its lower bound when ``use_lower``)."""
+
+    band_key: str
+    bound_metric: str
+    use_lower: bool
+
+
+def summarize(ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut]) -> tuple[dict[str, Bounds], dict[str, Extent]]:
+    """One small job: every metric's bounds and every cut's first rank and size.
+
+    These few numbers become literals of the grading expressions (as a quantile
+    discretizer's splits do); no customer data reaches the driver.
+    """
+    spark = ranked.sparkSession
+    spec = spark.range(1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("cut"),
+                        F.lit(c.band_key).alias("band_key"),
+                        F.lit(c.bound_metric).alias("bound_metric"),
+                        F.lit(c.use_lower).alias("use_lower"),
+                    )
+                    for name, c in cuts.items()
+                ]
+            )
+        )
+    )
+    limits = spec.join(bounds, spec["bound_metric"] == bounds["Metric"]).select(
+        "cut",
+        "band_key",
+        F.when(F.col("use_lower"), F.col("LowerBound")).alias("_lo"),
+        F.col("UpperBound").alias("_hi"),
+        F.col("use_lower"),
+    )
+    inside = (F.col("Value") <= F.col("_hi")) & (
+        ~F.col("use_lower") | (F.col("_lo").isNotNull() & (F.col("Value") >= F.col("_lo")))
+    )
+    # at most one row per cut: a proven bound on the broadcast side
+    extents = (
+        ranked.join(F.broadcast(limits), ranked["Metric"] == limits["band_key"])
+        .where(inside)
+        .groupBy("cut")
+        .agg(F.min("ValueRank").alias("first"), F.count(F.lit(1)).alias("size"))
+    )
+    rows = (
+        bounds.select(
+            F.lit("bounds").alias("kind"), F.col("Metric").alias("name"), "Customers", "LowerBound", "UpperBound",
+            F.lit(None).cast("bigint").alias("first"), F.lit(None).cast("bigint").alias("size"),
+        )
+        .unionByName(
+            extents.select(
+                F.lit("extent").alias("kind"), F.col("cut").alias("name"), F.lit(None).cast("bigint").alias("Customers"),
+                F.lit(None).cast("bigint").alias("LowerBound"), F.lit(None).cast("bigint").alias("UpperBound"),
+                "first", "size",
+            )
+        )
+        .collect()
+    )
+    out_b = {r["name"]: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"]) for r in rows if r["kind"] == "bounds"}
+    out_e = {name: Extent(0, 0) for name in cuts}
+    out_e.update({r["name"]: Extent(r["first"], r["size"]) for r in rows if r["kind"] == "extent"})
+    return out_b, out_e
+
+
+def base_cuts(specs: Sequence[MetricSpec]) -> dict[str, Cut]:
+    return {m.name: Cut(m.name, m.name, True) for m in specs}
 
 
 def band_table(ranked: DataFrame, spec: MetricSpec, bounds: Bounds | None, extent: Extent) -> DataFrame:
@@ -185,13 +231,13 @@ def band_table(ranked: DataFrame, spec: MetricSpec, bounds: Bounds | None, exten
         rn = F.col("ValueRank") - extent.first + 1
         if spec.descending:
             rn = extent.size + 1 - rn
-    n = max(extent.size, 1)
-    return rows.select(
-        F.col("Metric"),
-        F.col("Value"),
-        points_from_rank(rn, n, BASE_POINTS).alias("Points"),
-        (ntile_from_rank(rn, n, 3) + 1).alias("Score"),
-        (ntile_from_rank(rn, n, 2) - 1).alias("Group"),
+    ranks = rows.select("Metric", "Value", rn.cast("bigint").alias("_rn"), F.lit(max(extent.size, 1)).cast("bigint").alias("_n"))
+    return ranks.select(
+        "Metric",
+        "Value",
+        points_from_rank("_rn", "_n", BASE_POINTS).alias("Points"),
+        (ntile_from_rank("_rn", "_n", 3) + 1).alias("Score"),
+        (ntile_from_rank("_rn", "_n", 2) - 1).alias("Group"),
     )
 
 
@@ -202,12 +248,3 @@ def bands_long(ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def base_cuts(specs: Sequence[MetricSpec], bounds: dict[str, Bounds]) -> dict[str, tuple[str, int | None, int | None]]:
-    cuts = {}
-    for m in specs:
-        b = bounds.get(m.name)
-        ok = b is not None and b.lower is not None
-        cuts[m.name] = (m.name, b.lower if ok else None, b.upper if ok else None)
-    return cuts

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from segmint.functions.exact import ELITE_POINTS, POINTS_TYPE, ntile_from_rank, points_from_rank
 from segmint.operators.bands import (
     Bounds,
+    Cut,
     Extent,
     PercentileSpec,
+    lit_map,
     percentile_bounds,
     unpivot_values,
     value_histogram,
@@ -53,16 +55,20 @@ def _upper(bounds: dict[str, Bounds], name: str | None) -> int | None:
     b = bounds.get(name) if name else None
     return b.upper if b else None
 
-def elite_cuts(specs: Sequence[EliteSpec], bounds: dict[str, Bounds]) -> dict[str, tuple[str, int | None, int | None]]:
-    """Named cuts for ``band_extents``: ``<name>:points`` and ``<name>:score``."""
+def elite_cuts(specs: Sequence[EliteSpec]) -> dict[str, Cut]:
+    """Named cuts for ``summarize``: ``<name>:points`` (own bound) and ``<name>:score``."""
     cuts = {}
     for e in specs:
-        own = _upper(bounds, e.name)
-        score = _upper(bounds, e.score_bound_of) if e.score_bound_of else own
-        cuts[f"{e.name}:points"] = (band_key(e), None, own)
-        cuts[f"{e.name}:score"] = (band_key(e), None, score)
+        cuts[f"{e.name}:points"] = Cut(band_key(e), e.name, False)
+        cuts[f"{e.name}:score"] = Cut(band_key(e), e.score_bound_of or e.name, False)
     return cuts
 
+
+def _cuts_of(e: EliteSpec, bounds: dict[str, Bounds]) -> tuple[int | None, int | None]:
+    own = _upper(bounds, e.name)
+    return own, (_upper(bounds, e.score_bound_of) if e.score_bound_of else own)
+
+
 def elite_band_table(
     ranked: DataFrame, e: EliteSpec, bounds: dict[str, Bounds], extents: dict[str, Extent]
 ) -> DataFrame:
@@ -77,21 +83,60 @@ def elite_band_table(
         rows = ranked.where(F.lit(False))
     else:
         rows = ranked.where((F.col("Metric") == band_key(e)) & (F.col("Value") <= max(cuts)))
-    rn = F.col("ValueRank") + 1  # bands start at the smallest value
-
     def within(cut: int | None) -> Column:
         return F.col("Value") <= cut if cut is not None else F.lit(False)
 
-    return rows.select(
+    ranks = rows.select(
+        "Value",
+        (F.col("ValueRank") + 1).alias("_rn"),  # bands start at the smallest value
+        F.lit(max(n_points, 1)).cast("bigint").alias("_np"),
+        F.lit(max(n_score, 1)).cast("bigint").alias("_ns"),
+    )
+    return ranks.select(
         F.lit(e.name).alias("Metric"),
         F.col("Value"),
-        F.when(within(score_cut), ntile_from_rank(rn, max(n_score, 1), 3)).alias("EliteScore"),
-        F.when(within(own), points_from_rank(rn, max(n_points, 1), ELITE_POINTS)).alias("ElitePoints"),
+        F.when(within(score_cut), ntile_from_rank("_rn", "_ns", 3)).alias("EliteScore"),
+        F.when(within(own), points_from_rank("_rn", "_np", ELITE_POINTS)).alias("ElitePoints"),
     )
 
 def elite_columns(e: EliteSpec) -> tuple[str, str]:
     return f"EliteSegmentScore_{e.name}", f"EliteSegmentPoints_{e.name}"
 
+def elite_lookup(
+    ranked: DataFrame, specs: Sequence[EliteSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
+) -> DataFrame:
+    """All elite bands in one table keyed by ``struct(metric index, value)`` (one broadcast)."""
+    live = {}
+    for i, e in enumerate(specs):
+        own, score = _cuts_of(e, bounds)
+        if own is not None or score is not None:
+            live[band_key(e)] = (i, own, score, extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size)
+    metric = F.col("Metric")
+    if not live:
+        rows = ranked.where(F.lit(False))
+    else:
+        top = lit_map({k: max(c for c in (v[1], v[2]) if c is not None) for k, v in live.items()}, "bigint")[metric]
+        rows = ranked.where(metric.isin(list(live)) & (F.col("Value") <= top))
+    own = lit_map({k: v[1] for k, v in live.items()}, "bigint")[metric]
+    score = lit_map({k: v[2] for k, v in live.items()}, "bigint")[metric]
+    n_points = F.greatest(lit_map({k: v[3] for k, v in live.items()}, "bigint")[metric], F.lit(1).cast("bigint"))
+    n_score = F.greatest(lit_map({k: v[4] for k, v in live.items()}, "bigint")[metric], F.lit(1).cast("bigint"))
+    ranks = rows.select(
+        F.struct(lit_map({k: v[0] for k, v in live.items()}, "int")[metric].alias("m"), F.col("Value").alias("v")).alias("_key"),
+        "Value",
+        (F.col("ValueRank") + 1).alias("_rn"),  # bands start at the smallest value
+        own.alias("_own"),
+        score.alias("_cut"),
+        n_points.alias("_np"),
+        n_score.alias("_ns"),
+    )
+    return ranks.select(
+        "_key",
+        F.when(F.col("Value") <= F.col("_cut"), ntile_from_rank("_rn", "_ns", 3)).alias("EliteScore"),
+        F.when(F.col("Value") <= F.col("_own"), points_from_rank("_rn", "_np", ELITE_POINTS)).alias("ElitePoints"),
+    )
+
+
 def assign_elite(
     graded: DataFrame,
     ranked: DataFrame,
@@ -101,20 +146,20 @@ def assign_elite(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Graded columns + ``EliteSegmentScore_*`` and ``EliteSegmentPoints_*``."""
+    lookup = elite_lookup(ranked, specs, bounds, extents)
+    total = sum(max(extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size) for e in specs)
+    lookup, _ = broadcast_if_small(lookup, broadcast_rows, rows=total)
     out = graded
     scores: list[Column] = []
     points: list[Column] = []
     for i, e in enumerate(specs):
-        band = elite_band_table(ranked, e, bounds, extents).select(
-            F.col("Value").alias(f"_ek{i}"), F.col("EliteScore").alias(f"_es{i}"), F.col("ElitePoints").alias(f"_ep{i}")
-        )
-        rows = max(extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size)
-        band, _ = broadcast_if_small(band, broadcast_rows, rows=rows)
+        lk = lookup.alias(f"_el{i}")
         v = F.col(e.join_value).cast("bigint")
-        out = out.join(band, v == F.col(f"_ek{i}"), "left")
+        key = F.struct(F.lit(i).alias("m"), v.alias("v"))
+        out = out.join(lk, key == F.col(f"_el{i}._key"), "left")
         gate = F.col(e.gate) == 5
         above = v > F.lit(_upper(bounds, e.name)).cast("bigint")
-        es, ep = F.col(f"_es{i}"), F.col(f"_ep{i}")
+        es, ep = F.col(f"_el{i}.EliteScore"), F.col(f"_el{i}.ElitePoints")
         score_c, points_c = elite_columns(e)
         scores.append(
             F.when(gate & es.isNull() & above, 4).when(gate & es.isNotNull(), es).otherwise(0).cast("int").alias(score_c)
@@ -126,4 +171,4 @@ def assign_elite(
             .cast(POINTS_TYPE)
             .alias(points_c)
         )
-    return out.select(*[F.col(c) for c in graded.columns], *scores, *points)
+    return out.select(*[graded[c] for c in graded.columns], *scores, *points)

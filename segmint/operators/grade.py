@@ -16,8 +16,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmint.functions.exact import POINTS_TYPE
-from segmint.operators.bands import Bounds, Extent, band_table
+from segmint.functions.exact import BASE_POINTS, POINTS_TYPE, ntile_from_rank, points_from_rank
+from segmint.operators.bands import Bounds, Extent, lit_map
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from segmint.plans.specs import MetricSpec
 
@@ -33,6 +33,46 @@ def _bound(v: int | None) -> Column:
 def _graded(band: Column, below: Column, above: Column, low, high) -> Column:
     return F.when(band.isNull() & below, low).when(band.isNull() & above, high).otherwise(band)
 
+def band_lookup(
+    ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
+) -> DataFrame:
+    """All metrics' bands in one table keyed by ``struct(metric index, value)`` - one scan of
+    the ranked values, and one broadcast that every metric's join reuses."""
+    live = {
+        m.name: i
+        for i, m in enumerate(specs)
+        if (b := bounds.get(m.name)) is not None and b.lower is not None and extents[m.name].size > 0
+    }
+    if not live:
+        rows = ranked.where(F.lit(False))
+    else:
+        metric = F.col("Metric")
+        lo = lit_map({n: bounds[n].lower for n in live}, "bigint")[metric]
+        hi = lit_map({n: bounds[n].upper for n in live}, "bigint")[metric]
+        rows = ranked.where(metric.isin(list(live)) & (F.col("Value") >= lo) & (F.col("Value") <= hi))
+    metric = F.col("Metric")
+    first = lit_map({n: extents[n].first for n in live}, "bigint")[metric]
+    size = lit_map({n: extents[n].size for n in live}, "bigint")[metric]
+    desc = metric.isin([m.name for m in specs if m.descending and m.name in live])
+    rn_asc = F.col("ValueRank") - first + 1
+    rn = F.when(desc, size + 1 - rn_asc).otherwise(rn_asc)
+    ranks = rows.select(
+        F.struct(lit_map(live, "int")[metric].alias("m"), F.col("Value").alias("v")).alias("_key"),
+        rn.cast("bigint").alias("_rn"),
+        size.cast("bigint").alias("_n"),
+    )
+    return ranks.select(
+        "_key",
+        (ntile_from_rank("_rn", "_n", 2) - 1).alias("Group"),
+        (ntile_from_rank("_rn", "_n", 3) + 1).alias("Score"),
+        points_from_rank("_rn", "_n", BASE_POINTS).alias("Points"),
+    )
+
+
+def lookup_key(index: int, value: Column) -> Column:
+    return F.struct(F.lit(index).alias("m"), value.cast("bigint").alias("v"))
+
+
 def assign_grades(
     base: DataFrame,
     ranked: DataFrame,
@@ -41,27 +81,21 @@ def assign_grades(
     extents: dict[str, Extent],
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> tuple[DataFrame, bool]:
-    """Base columns + 27 grade columns; also whether every band table was broadcast."""
+    """Base columns + 27 grade columns; also whether the band lookup was broadcast."""
+    lookup = band_lookup(ranked, specs, bounds, extents)
+    total = sum(extents[m.name].size for m in specs)
+    lookup, small = broadcast_if_small(lookup, broadcast_rows, rows=total)
     out = base
-    all_broadcast = True
     grades: list[Column] = []
     for i, m in enumerate(specs):
-        b = bounds.get(m.name)
-        band = band_table(ranked, m, b, extents[m.name]).select(
-            F.col("Value").alias(f"_k{i}"),
-            F.col("Group").alias(f"_g{i}"),
-            F.col("Score").alias(f"_s{i}"),
-            F.col("Points").alias(f"_p{i}"),
-        )
-        band, small = broadcast_if_small(band, broadcast_rows, rows=extents[m.name].size)
-        all_broadcast &= small
+        lk = lookup.alias(f"_lk{i}")
         v = F.col(m.value).cast("bigint")
-        out = out.join(band, v == F.col(f"_k{i}"), "left")
-
+        out = out.join(lk, lookup_key(i, v) == F.col(f"_lk{i}._key"), "left")
+        b = bounds.get(m.name)
         lo = _bound(b.lower if b else None)
         hi = _bound(b.upper if b else None)
         below, above = v < lo, v > hi
-        g, s, p = F.col(f"_g{i}"), F.col(f"_s{i}"), F.col(f"_p{i}")
+        g, s, p = (F.col(f"_lk{i}.{c}") for c in ("Group", "Score", "Points"))
         group_c, score_c, points_c = grade_columns(m)
         if m.descending:
             grades += [
@@ -75,7 +109,8 @@ def assign_grades(
                 _graded(s, below, above, 1, 5).cast("int").alias(score_c),
                 _graded(p, below, above, _points("1.00"), _points("100.00")).cast(POINTS_TYPE).alias(points_c),
             ]
-    return out.select(*[F.col(c) for c in base.columns], *grades), all_broadcast
+    return out.select(*[base[c] for c in base.columns], *grades), small
+
 
 def grade_column_order(specs: Sequence[MetricSpec]) -> list[str]:
     """Groups of all metrics, then scores, then points (the procedure's column order)."""

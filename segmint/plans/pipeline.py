@@ -4,12 +4,12 @@ Jobs of a run (everything else is lazy and fused by Catalyst):
 
 1. ``base``: scan + filter + broadcast rate join + two aggregations + users join, written
    once to the shared staging folder (every later step reads it).
-2. ``hist`` / ``ranked``: the metric histogram and its distributed ranks (small, staged).
-3. two tiny collects: the per-metric bounds and band extents (a few rows).
-4. ``graded``: base + broadcast band lookups (map-only); staged only if some band table
-   was too large to broadcast.
-5. elite histogram / ranks / bounds / extents, as 2-3 on the graded table.
-6. the result: graded + elite lookups, two rows per customer, written by the caller.
+2. ``ranked``: the metric histogram with its distributed ranks (small, staged).
+3. one tiny collect: the per-metric bounds and band extents (a few numbers).
+4. ``graded``: base + one broadcast band lookup probed once per metric (map-only); staged
+   only if the lookup was too large to broadcast.
+5. elite ranks and summary, as 2-3 over the graded table.
+6. the result: graded + the elite lookup, two rows per customer, written by the caller.
 """
 
 from __future__ import annotations
@@ -25,12 +25,11 @@ from segmint.operators.bands import (
     Bounds,
     Extent,
     PercentileSpec,
-    band_extents,
     base_cuts,
-    collect_bounds,
     metric_values,
     percentile_bounds,
     rank_values,
+    summarize,
 )
 from segmint.operators.base import lrfm_base, with_metric_values
 from segmint.operators.elite import assign_elite, elite_bounds, elite_cuts, elite_values
@@ -95,21 +94,17 @@ def segment_customers(
 
     base = stager.stage(base_stage(sources, users, rates, window, broadcast_rows), "base")
 
-    hist = stager.stage(metric_values(base, metric_specs), "hist")
-    ranked = stager.stage(rank_values(hist, broadcast_rows), "ranked")
+    ranked = stager.stage(rank_values(metric_values(base, metric_specs)), "ranked")
     bounds_frame = percentile_bounds(ranked, [PercentileSpec(m.name, m.p_low, m.p_high) for m in metric_specs])
-    bounds = collect_bounds(bounds_frame)
-    extents = band_extents(ranked, base_cuts(metric_specs, bounds))
+    bounds, extents = summarize(ranked, bounds_frame, base_cuts(metric_specs))
 
     graded, all_broadcast = assign_grades(base, ranked, metric_specs, bounds, extents, broadcast_rows)
     if not all_broadcast:
         graded = stager.stage(graded, "graded")
 
-    ehist = stager.stage(elite_values(graded, elite_specs), "elite_hist")
-    eranked = stager.stage(rank_values(ehist, broadcast_rows), "elite_ranked")
+    eranked = stager.stage(rank_values(elite_values(graded, elite_specs)), "elite_ranked")
     ebounds_frame = elite_bounds(eranked, elite_specs)
-    ebounds = collect_bounds(ebounds_frame)
-    eextents = band_extents(eranked, elite_cuts(elite_specs, ebounds))
+    ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs))
 
     scored = assign_elite(graded, eranked, elite_specs, ebounds, eextents, broadcast_rows)
     return SegmentationResult(
