@@ -49,17 +49,22 @@ def _points(rn: str, n: str, low: int, span: int) -> str:
     return f"CAST(CAST({cents} AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2))"
 
 
-def fixture_ctes(period: int) -> list[str]:
+def params_cte(period: int, base_day: str = BASE_DAY, first_tx_date: str = FIRST_TX_DATE) -> str:
+    """The run parameters: month start, previous month, period and window start (NULL if unsupported)."""
     start = {
-        0: f"DATE '{FIRST_TX_DATE}'",
+        0: f"DATE '{first_tx_date}'",
         **{p: f"CAST(b - INTERVAL {p} MONTH AS DATE)" for p in (1, 3, 6, 9, 12)},
     }
     start_sql = "CASE " + " ".join(f"WHEN {period} = {p} THEN {e}" for p, e in start.items()) + " END"
-    return [
-        f"""params AS (
+    return f"""params AS (
   SELECT b AS BaseDay, CAST(b - INTERVAL 1 MONTH AS DATE) AS YearMonth, CAST({period} AS INTEGER) AS Period,
          {start_sql} AS StartDate
-  FROM (SELECT CAST(date_trunc('month', DATE '{BASE_DAY}') AS DATE) AS b))""",
+  FROM (SELECT CAST(date_trunc('month', DATE '{base_day}') AS DATE) AS b))"""
+
+
+def fixture_input_ctes() -> list[str]:
+    """The driver tables mapped onto the inputs ``tx``, ``users`` and ``daily_rates``."""
+    return [
         """tx0 AS (
   SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 'archive' ELSE 'hot' END AS Source,
          o_orderkey AS Id, o_custkey AS CustomerKey, CAST(o_orderdate AS TIMESTAMP) AS CreateDate,
@@ -91,6 +96,12 @@ def fixture_ctes(period: int) -> list[str]:
   UNION ALL
   SELECT DISTINCT Date, CAST(((rate - 0.01) + (rate + 0.01)) * 0.5 AS DECIMAL(20,7)) AS Price_USDTRY, recip
   FROM rate_base WHERE Date >= DATE '{CUTOVER}')""",
+    ]
+
+
+def core_ctes() -> list[str]:
+    """From ``params``, ``tx``, ``users`` and ``daily_rates`` (with ``recip``) to ``base``."""
+    return [
         """win AS (
   SELECT t.* FROM tx t, params p WHERE t.CreateDate >= p.StartDate AND t.CreateDate < p.BaseDay)""",
         """conv AS (
@@ -145,6 +156,10 @@ def fixture_ctes(period: int) -> list[str]:
     ]
 
 
+def fixture_ctes(period: int) -> list[str]:
+    return [params_cte(period)] + fixture_input_ctes() + core_ctes()
+
+
 def band_ctes() -> list[str]:
     elig = "\n  UNION ALL\n  ".join(
         f"SELECT '{m}' AS Metric, CAST({v} AS BIGINT) AS Value FROM base WHERE {p} AND {v} IS NOT NULL"
