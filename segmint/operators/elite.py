@@ -27,7 +27,7 @@ from segmint.operators.bands import (
     unpivot_values,
     value_histogram,
 )
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
 from segmint.plans.specs import EliteSpec
 
 def _points(value: str) -> Column:
@@ -103,13 +103,17 @@ def elite_columns(e: EliteSpec) -> tuple[str, str]:
     return f"EliteSegmentScore_{e.name}", f"EliteSegmentPoints_{e.name}"
 
 def elite_lookup(
-    ranked: DataFrame, specs: Sequence[EliteSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
+    ranked: DataFrame,
+    specs: Sequence[EliteSpec],
+    bounds: dict[str, Bounds],
+    extents: dict[str, Extent],
+    only: set[str] | None = None,
 ) -> DataFrame:
-    """All elite bands in one table keyed by ``struct(metric index, value)`` (one broadcast)."""
+    """Elite bands in one table keyed by ``struct(metric index, value)`` (one broadcast)."""
     live = {}
     for i, e in enumerate(specs):
         own, score = _cuts_of(e, bounds)
-        if own is not None or score is not None:
+        if (own is not None or score is not None) and (only is None or e.name in only):
             live[band_key(e)] = (i, own, score, extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size)
     metric = F.col("Metric")
     if not live:
@@ -146,14 +150,15 @@ def assign_elite(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Graded columns + ``EliteSegmentScore_*`` and ``EliteSegmentPoints_*``."""
-    lookup = elite_lookup(ranked, specs, bounds, extents)
-    total = sum(max(extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size) for e in specs)
-    lookup, _ = broadcast_if_small(lookup, broadcast_rows, rows=total)
+    sizes = {e.name: max(extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size) for e in specs}
+    small, large = split_by_size(sizes, broadcast_rows)
+    shared = F.broadcast(elite_lookup(ranked, specs, bounds, extents, only=small))
+    own_lk = {name: elite_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
     out = graded
     scores: list[Column] = []
     points: list[Column] = []
     for i, e in enumerate(specs):
-        lk = lookup.alias(f"_el{i}")
+        lk = own_lk.get(e.name, shared).alias(f"_el{i}")
         v = F.col(e.join_value).cast("bigint")
         key = F.struct(F.lit(i).alias("m"), v.alias("v"))
         out = out.join(lk, key == F.col(f"_el{i}._key"), "left")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from segmint.functions.exact import BASE_POINTS, POINTS_TYPE, ntile_from_rank, points_from_rank
 from segmint.operators.bands import Bounds, Extent, lit_map
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
 from segmint.plans.specs import MetricSpec
 
 def _points(value: str) -> Column:
@@ -34,14 +34,21 @@ def _graded(band: Column, below: Column, above: Column, low, high) -> Column:
     return F.when(band.isNull() & below, low).when(band.isNull() & above, high).otherwise(band)
 
 def band_lookup(
-    ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
+    ranked: DataFrame,
+    specs: Sequence[MetricSpec],
+    bounds: dict[str, Bounds],
+    extents: dict[str, Extent],
+    only: set[str] | None = None,
 ) -> DataFrame:
-    """All metrics' bands in one table keyed by ``struct(metric index, value)`` - one scan of
-    the ranked values, and one broadcast that every metric's join reuses."""
+    """The bands of several metrics in one table keyed by ``struct(metric index, value)`` -
+    one scan of the ranked values, and one broadcast that every metric's join reuses."""
     live = {
         m.name: i
         for i, m in enumerate(specs)
-        if (b := bounds.get(m.name)) is not None and b.lower is not None and extents[m.name].size > 0
+        if (b := bounds.get(m.name)) is not None
+        and b.lower is not None
+        and extents[m.name].size > 0
+        and (only is None or m.name in only)
     }
     if not live:
         rows = ranked.where(F.lit(False))
@@ -81,14 +88,18 @@ def assign_grades(
     extents: dict[str, Extent],
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> tuple[DataFrame, bool]:
-    """Base columns + 27 grade columns; also whether the band lookup was broadcast."""
-    lookup = band_lookup(ranked, specs, bounds, extents)
-    total = sum(extents[m.name].size for m in specs)
-    lookup, small = broadcast_if_small(lookup, broadcast_rows, rows=total)
+    """Base columns + 27 grade columns; also whether every band was broadcast.
+
+    Bands go into one broadcast lookup, smallest first, up to ``broadcast_rows`` rows; a
+    band that does not fit gets its own sort-merge join (AQE splits hot values).
+    """
+    small, large = split_by_size({m.name: extents[m.name].size for m in specs}, broadcast_rows)
+    shared = F.broadcast(band_lookup(ranked, specs, bounds, extents, only=small))
+    own = {name: band_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
     out = base
     grades: list[Column] = []
     for i, m in enumerate(specs):
-        lk = lookup.alias(f"_lk{i}")
+        lk = own.get(m.name, shared).alias(f"_lk{i}")
         v = F.col(m.value).cast("bigint")
         out = out.join(lk, lookup_key(i, v) == F.col(f"_lk{i}._key"), "left")
         b = bounds.get(m.name)
@@ -109,7 +120,7 @@ def assign_grades(
                 _graded(s, below, above, 1, 5).cast("int").alias(score_c),
                 _graded(p, below, above, _points("1.00"), _points("100.00")).cast(POINTS_TYPE).alias(points_c),
             ]
-    return out.select(*[base[c] for c in base.columns], *grades), small
+    return out.select(*[base[c] for c in base.columns], *grades), not large
 
 
 def grade_column_order(specs: Sequence[MetricSpec]) -> list[str]:

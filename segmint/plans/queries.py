@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmint.operators.activity import converted_rows, customer_activity, daily_activity, merge_sources, source_rows, valid_tx
+from segmint.operators.activity import converted_rows, customer_activity, daily_activity, merge_sources, source_rows
 from segmint.operators.bands import bands_long
 from segmint.operators.base import BASE_COLUMNS, lrfm_base
 from segmint.operators.elite import elite_band_table, elite_columns

@@ -5,12 +5,8 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from handmade import Inputs, generate
-from segmint.operators.activity import converted_rows, daily_activity, merge_sources
-from segmint.operators.base import lrfm_base
 from segmint.operators.rates import daily_rates
 from segmint.operators.window import observation_window
 from segmint.plans.pipeline import base_stage, segment_customers
@@ -235,3 +231,12 @@ def test_write_segments_replaces_only_its_partition(spark, tmp_path):
     assert back.where("Period = 3").count() == r3.count()
     cols = [c for c in r0.columns if c not in ("YearMonth", "Period")]
     assert back.where("Period = 0").select(*cols).exceptAll(r0.select(*cols)).count() == 0
+
+
+def test_bands_too_large_to_broadcast_take_the_shuffle_path(spark):
+    """With a tiny broadcast limit every band joins by sort-merge; results are the same."""
+    sources, users, rates = generate(6).spark_frames(spark)
+    a = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).segments
+    b = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX, broadcast_rows=5).segments
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0
