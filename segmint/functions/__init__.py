@@ -5,7 +5,6 @@ from segmint.functions.exact import (
     ELITE_POINTS,
     PointsScale,
     cents_to_points,
-    digit_code,
     floor_div,
     ntile_from_rank,
     percentile_bound,
@@ -20,7 +19,6 @@ __all__ = [
     "ELITE_POINTS",
     "PointsScale",
     "cents_to_points",
-    "digit_code",
     "floor_div",
     "ntile_from_rank",
     "percentile_bound",

@@ -78,11 +78,6 @@ def ratio(num: Column, den: Column) -> Column:
     return F.coalesce(num.cast("double") / F.nullif(den, F.lit(0)).cast("double"), F.lit(0.0))
 
 
-def digit_code(*digits: Column) -> Column:
-    """Concatenate one-character grades; a NULL grade contributes nothing."""
-    return F.concat_ws("", *[d.cast("string") for d in digits])
-
-
 def percentile_positions(n: int, p: int) -> tuple[int, int]:
     """0-based position ``q`` and remainder ``r`` (in hundredths) of percentile ``p`` of ``n``."""
     h = p * (n - 1)

@@ -11,7 +11,6 @@ value above the bound -> 4 / 100.00; otherwise 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +29,6 @@ from segmint.operators.bands import (
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
 from segmint.plans.specs import EliteSpec
 
-def _points(value: str) -> Column:
-    return F.lit(Decimal(value)).cast(POINTS_TYPE)
-
 def band_key(e: EliteSpec) -> str:
     """Histogram key of the band values (shared with the bound when the columns agree)."""
     return e.name if e.band_value == e.bound_value else f"{e.name}/band"
@@ -155,25 +151,24 @@ def assign_elite(
     shared = F.broadcast(elite_lookup(ranked, specs, bounds, extents, only=small))
     own_lk = {name: elite_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
     out = graded
-    scores: list[Column] = []
-    points: list[Column] = []
+    scores: list[str] = []
+    points: list[str] = []
     for i, e in enumerate(specs):
         lk = own_lk.get(e.name, shared).alias(f"_el{i}")
         v = F.col(e.join_value).cast("bigint")
         key = F.struct(F.lit(i).alias("m"), v.alias("v"))
         out = out.join(lk, key == F.col(f"_el{i}._key"), "left")
-        gate = F.col(e.gate) == 5
-        above = v > F.lit(_upper(bounds, e.name)).cast("bigint")
-        es, ep = F.col(f"_el{i}.EliteScore"), F.col(f"_el{i}.ElitePoints")
+        bound = _upper(bounds, e.name)
+        gate = f"`{e.gate}` = 5"
+        above = f"CAST(`{e.join_value}` AS BIGINT) > " + ("CAST(NULL AS BIGINT)" if bound is None else f"CAST({bound} AS BIGINT)")
+        es, ep = f"`_el{i}`.`EliteScore`", f"`_el{i}`.`ElitePoints`"
         score_c, points_c = elite_columns(e)
         scores.append(
-            F.when(gate & es.isNull() & above, 4).when(gate & es.isNotNull(), es).otherwise(0).cast("int").alias(score_c)
+            f"CAST(CASE WHEN {gate} AND {es} IS NULL AND {above} THEN 4 WHEN {gate} AND {es} IS NOT NULL THEN {es} "
+            f"ELSE 0 END AS INT) AS `{score_c}`"
         )
         points.append(
-            F.when(gate & ep.isNull() & above, _points("100.00"))
-            .when(gate & ep.isNotNull(), ep)
-            .otherwise(_points("0.00"))
-            .cast(POINTS_TYPE)
-            .alias(points_c)
+            f"CAST(CASE WHEN {gate} AND {ep} IS NULL AND {above} THEN 100.00 WHEN {gate} AND {ep} IS NOT NULL THEN {ep} "
+            f"ELSE 0.00 END AS {POINTS_TYPE}) AS `{points_c}`"
         )
-    return out.select(*[graded[c] for c in graded.columns], *scores, *points)
+    return out.selectExpr(*[f"`{c}`" for c in graded.columns], *scores, *points)

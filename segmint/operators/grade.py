@@ -11,7 +11,6 @@ sort-merge join and AQE splits partitions of hot values.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,17 +20,21 @@ from segmint.operators.bands import Bounds, Extent, lit_map
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
 from segmint.plans.specs import MetricSpec
 
-def _points(value: str) -> Column:
-    return F.lit(Decimal(value)).cast(POINTS_TYPE)
-
 def grade_columns(spec: MetricSpec) -> tuple[str, str, str]:
     return f"{spec.name}Group", f"{spec.name}Score", f"{spec.name}Points"
 
-def _bound(v: int | None) -> Column:
-    return F.lit(v).cast("bigint")
 
-def _graded(band: Column, below: Column, above: Column, low, high) -> Column:
-    return F.when(band.isNull() & below, low).when(band.isNull() & above, high).otherwise(band)
+def _sql_int(v: int | None) -> str:
+    return "CAST(NULL AS BIGINT)" if v is None else f"CAST({v} AS BIGINT)"
+
+
+def _graded(band: str, value: str, lo: str, hi: str, low: str, high: str, dtype: str) -> str:
+    """SQL CASE: the band's grade, else the low / high end below / above the bounds."""
+    return (
+        f"CAST(CASE WHEN {band} IS NULL AND {value} < {lo} THEN {low} "
+        f"WHEN {band} IS NULL AND {value} > {hi} THEN {high} ELSE {band} END AS {dtype})"
+    )
+
 
 def band_lookup(
     ranked: DataFrame,
@@ -97,30 +100,18 @@ def assign_grades(
     shared = F.broadcast(band_lookup(ranked, specs, bounds, extents, only=small))
     own = {name: band_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
     out = base
-    grades: list[Column] = []
+    grades: list[str] = []
     for i, m in enumerate(specs):
         lk = own.get(m.name, shared).alias(f"_lk{i}")
         v = F.col(m.value).cast("bigint")
         out = out.join(lk, lookup_key(i, v) == F.col(f"_lk{i}._key"), "left")
         b = bounds.get(m.name)
-        lo = _bound(b.lower if b else None)
-        hi = _bound(b.upper if b else None)
-        below, above = v < lo, v > hi
-        g, s, p = (F.col(f"_lk{i}.{c}") for c in ("Group", "Score", "Points"))
-        group_c, score_c, points_c = grade_columns(m)
-        if m.descending:
-            grades += [
-                _graded(g, below, above, 1, 0).cast("int").alias(group_c),
-                _graded(s, below, above, 5, 1).cast("int").alias(score_c),
-                _graded(p, below, above, _points("100.00"), _points("1.00")).cast(POINTS_TYPE).alias(points_c),
-            ]
-        else:
-            grades += [
-                _graded(g, below, above, 0, 1).cast("int").alias(group_c),
-                _graded(s, below, above, 1, 5).cast("int").alias(score_c),
-                _graded(p, below, above, _points("1.00"), _points("100.00")).cast(POINTS_TYPE).alias(points_c),
-            ]
-    return out.select(*[base[c] for c in base.columns], *grades), not large
+        lo, hi = _sql_int(b.lower if b else None), _sql_int(b.upper if b else None)
+        value = f"CAST(`{m.value}` AS BIGINT)"
+        ends = ((1, 0), (5, 1), ("100.00", "1.00")) if m.descending else ((0, 1), (1, 5), ("1.00", "100.00"))
+        for (low, high), col, name, dtype in zip(ends, ("Group", "Score", "Points"), grade_columns(m), ("INT", "INT", POINTS_TYPE)):
+            grades.append(f"{_graded(f'`_lk{i}`.`{col}`', value, lo, hi, str(low), str(high), dtype)} AS `{name}`")
+    return out.selectExpr(*[f"`{c}`" for c in base.columns], *grades), not large
 
 
 def grade_column_order(specs: Sequence[MetricSpec]) -> list[str]:

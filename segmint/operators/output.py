@@ -8,10 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from segmint.functions.exact import digit_code
 from segmint.plans.specs import CURRENCY_METRICS
 
 SHARED_HEAD = (
@@ -82,65 +80,70 @@ RESULT_COLUMNS = (
 )
 
 
-def segment_codes(currency: int) -> dict[str, Column]:
-    """The code columns of one currency; a NULL grade contributes no digit."""
+def _code(*columns: str) -> str:
+    """SQL: concatenate one-character grades; a NULL grade contributes nothing."""
+    return "concat_ws('', " + ", ".join(f"CAST({c} AS STRING)" for c in columns) + ")"
+
+
+def segment_codes(currency: int) -> dict[str, str]:
+    """The code columns of one currency, as SQL expressions over the graded columns."""
     m = CURRENCY_METRICS[currency]
-    g = lambda name: F.col(f"{name}Group")
-    s = lambda name: F.col(f"{name}Score")
     mon, tic, vol = m["Monetary"], m["AvgTicketSize"], m["AvgTxVolumePerDay"]
+    lg, rg, fg = "LengthGroup", "RecencyGroup", "FrequencyGroup"
+    rs, fs = "RecencyScore", "FrequencyScore"
     return {
-        "LR": digit_code(g("Length"), g("Recency")),
-        "FM": digit_code(g("Frequency"), g(mon)),
-        "LRFM": digit_code(g("Length"), g("Recency"), g("Frequency"), g(mon)),
-        "FM_ByTicketSize": digit_code(g("Frequency"), g(tic)),
-        "LRFM_ByTicketSize": digit_code(g("Length"), g("Recency"), g("Frequency"), g(tic)),
-        "FM_ByVolumePerDay": digit_code(g("Frequency"), g(vol)),
-        "LRFM_ByVolumePerDay": digit_code(g("Length"), g("Recency"), g("Frequency"), g(vol)),
-        "RFM_Score": digit_code(s("Recency"), s("Frequency"), s(mon)),
-        "RFM_Score_ByTicketSize": digit_code(s("Recency"), s("Frequency"), s(tic)),
-        "RFM_Score_ByVolumePerDay": digit_code(s("Recency"), s("Frequency"), s(vol)),
+        "LR": _code(lg, rg),
+        "FM": _code(fg, f"{mon}Group"),
+        "LRFM": _code(lg, rg, fg, f"{mon}Group"),
+        "FM_ByTicketSize": _code(fg, f"{tic}Group"),
+        "LRFM_ByTicketSize": _code(lg, rg, fg, f"{tic}Group"),
+        "FM_ByVolumePerDay": _code(fg, f"{vol}Group"),
+        "LRFM_ByVolumePerDay": _code(lg, rg, fg, f"{vol}Group"),
+        "RFM_Score": _code(rs, fs, f"{mon}Score"),
+        "RFM_Score_ByTicketSize": _code(rs, fs, f"{tic}Score"),
+        "RFM_Score_ByVolumePerDay": _code(rs, fs, f"{vol}Score"),
     }
 
 
-def currency_columns(currency: int) -> dict[str, Column]:
-    """All result columns of one currency, by result name."""
+def currency_columns(currency: int) -> dict[str, str]:
+    """All result columns of one currency (SQL expressions), by result name."""
     m = CURRENCY_METRICS[currency]
     mon, tic, vol = m["Monetary"], m["AvgTicketSize"], m["AvgTxVolumePerDay"]
-    cols: dict[str, Column] = {c: F.col(c) for c in SHARED_HEAD}
-    cols["Currency"] = F.lit(currency)
-    cols.update({c: F.col(c) for c in CUSTOMER_COLUMNS})
+    cols: dict[str, str] = {c: c for c in SHARED_HEAD}
+    cols["Currency"] = f"CAST({currency} AS INT)"
+    cols.update({c: c for c in CUSTOMER_COLUMNS})
     cols.update(
         {
-            "Monetary": F.col(mon),
-            "AvgTicketSize": F.col(tic),
-            "AvgTxVolumePerDay": F.col(vol),
-            "AvgTxCountPerDay": F.col("AvgTxCountPerDay"),
-            "DistinctTxDayCount": F.col("DistinctTxDayCount"),
-            "TxRangeOfDaysFrequency": F.col("TxRangeOfDaysFrequency"),
-            "L": F.col("LengthGroup"),
-            "R": F.col("RecencyGroup"),
-            "F": F.col("FrequencyGroup"),
-            "M": F.col(f"{mon}Group"),
-            "TicketSize": F.col(f"{tic}Group"),
-            "VolumePerDay": F.col(f"{vol}Group"),
-            "LengthScore": F.col("LengthScore"),
-            "RecencyScore": F.col("RecencyScore"),
-            "FrequencyScore": F.col("FrequencyScore"),
-            "MonetaryScore": F.col(f"{mon}Score"),
-            "AvgTicketSizeScore": F.col(f"{tic}Score"),
-            "AvgTxVolumePerDayScore": F.col(f"{vol}Score"),
-            "LengthPoints": F.col("LengthPoints"),
-            "RecencyPoints": F.col("RecencyPoints"),
-            "FrequencyPoints": F.col("FrequencyPoints"),
-            "MonetaryPoints": F.col(f"{mon}Points"),
-            "AvgTicketSizePoints": F.col(f"{tic}Points"),
-            "AvgTxVolumePerDayPoints": F.col(f"{vol}Points"),
-            "ESByMonetary": F.col(f"EliteSegmentScore_{mon}"),
-            "ESByAvgTicketSize": F.col(f"EliteSegmentScore_{tic}"),
-            "ESByAvgTxVolumePerDay": F.col(f"EliteSegmentScore_{vol}"),
-            "ESPointsByMonetary": F.col(f"EliteSegmentPoints_{mon}"),
-            "ESPointsByAvgTicketSize": F.col(f"EliteSegmentPoints_{tic}"),
-            "ESPointsByAvgTxVolumePerDay": F.col(f"EliteSegmentPoints_{vol}"),
+            "Monetary": mon,
+            "AvgTicketSize": tic,
+            "AvgTxVolumePerDay": vol,
+            "AvgTxCountPerDay": "AvgTxCountPerDay",
+            "DistinctTxDayCount": "DistinctTxDayCount",
+            "TxRangeOfDaysFrequency": "TxRangeOfDaysFrequency",
+            "L": "LengthGroup",
+            "R": "RecencyGroup",
+            "F": "FrequencyGroup",
+            "M": f"{mon}Group",
+            "TicketSize": f"{tic}Group",
+            "VolumePerDay": f"{vol}Group",
+            "LengthScore": "LengthScore",
+            "RecencyScore": "RecencyScore",
+            "FrequencyScore": "FrequencyScore",
+            "MonetaryScore": f"{mon}Score",
+            "AvgTicketSizeScore": f"{tic}Score",
+            "AvgTxVolumePerDayScore": f"{vol}Score",
+            "LengthPoints": "LengthPoints",
+            "RecencyPoints": "RecencyPoints",
+            "FrequencyPoints": "FrequencyPoints",
+            "MonetaryPoints": f"{mon}Points",
+            "AvgTicketSizePoints": f"{tic}Points",
+            "AvgTxVolumePerDayPoints": f"{vol}Points",
+            "ESByMonetary": f"EliteSegmentScore_{mon}",
+            "ESByAvgTicketSize": f"EliteSegmentScore_{tic}",
+            "ESByAvgTxVolumePerDay": f"EliteSegmentScore_{vol}",
+            "ESPointsByMonetary": f"EliteSegmentPoints_{mon}",
+            "ESPointsByAvgTicketSize": f"EliteSegmentPoints_{tic}",
+            "ESPointsByAvgTxVolumePerDay": f"EliteSegmentPoints_{vol}",
         }
     )
     cols.update(segment_codes(currency))
@@ -152,8 +155,8 @@ def currency_rows(scored: DataFrame, columns: Sequence[str] = RESULT_COLUMNS, cu
     structs = []
     for cur in currencies:
         cols = currency_columns(cur)
-        structs.append(F.struct(*[cols[c].alias(c) for c in columns]))
-    return scored.select(F.inline(F.array(*structs)))
+        structs.append("named_struct(" + ", ".join(f"'{c}', {cols[c]}" for c in columns) + ")")
+    return scored.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def write_segments(segments: DataFrame, path: str, partition_by: Sequence[str] = ("YearMonth", "Period")) -> None:

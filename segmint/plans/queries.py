@@ -17,7 +17,7 @@ from segmint.operators.activity import converted_rows, customer_activity, daily_
 from segmint.operators.bands import bands_long
 from segmint.operators.base import BASE_COLUMNS, lrfm_base
 from segmint.operators.elite import elite_band_table, elite_columns
-from segmint.operators.output import CODE_COLUMNS, currency_columns
+from segmint.operators.output import CODE_COLUMNS, currency_rows
 from segmint.operators.rates import daily_rates
 from segmint.operators.window import observation_window, window_filter
 from segmint.plans.pipeline import SegmentationResult, segment_customers
@@ -182,12 +182,7 @@ CURRENCY_VALUE_COLUMNS = (
 
 def _per_currency(columns: tuple[str, ...]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s = fixture_run(spark, sf_dir).scored
-        structs = []
-        for cur in (0, 1):
-            cols = currency_columns(cur)
-            structs.append(F.struct(*[cols[c].alias(c) for c in ("CustomerKey", "Currency", *columns)]))
-        return s.select(F.inline(F.array(*structs)))
+        return currency_rows(fixture_run(spark, sf_dir).scored, ("CustomerKey", "Currency", *columns))
 
     return run
 
