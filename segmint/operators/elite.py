@@ -33,15 +33,22 @@ def band_key(e: EliteSpec) -> str:
     """Histogram key of the band values (shared with the bound when the columns agree)."""
     return e.name if e.band_value == e.bound_value else f"{e.name}/band"
 
-def elite_values(graded: DataFrame, specs: Sequence[EliteSpec]) -> DataFrame:
-    """Histogram of the populations' bound values (and band values where they differ)."""
+def elite_values(
+    df: DataFrame, specs: Sequence[EliteSpec], populations: dict[str, Column] | None = None
+) -> DataFrame:
+    """Histogram of the populations' bound values (and band values where they differ).
+
+    ``populations`` maps a score column to an equivalent predicate on ``df``; a score
+    column not in it is read from ``df`` (which then must be the graded table).
+    """
+    populations = populations or {}
     entries = []
     for e in specs:
-        pop = F.col(e.population) == 5
+        pop = populations.get(e.population, F.col(e.population) == 5)
         entries.append((e.name, F.when(pop, F.col(e.bound_value))))
         if band_key(e) != e.name:
             entries.append((band_key(e), F.when(pop, F.col(e.band_value))))
-    return value_histogram(unpivot_values(graded, entries))
+    return value_histogram(unpivot_values(df, entries))
 
 def elite_bounds(ranked: DataFrame, specs: Sequence[EliteSpec]) -> DataFrame:
     """U16: ``(Metric, Customers, LowerBound = NULL, UpperBound)``."""

@@ -114,6 +114,27 @@ def assign_grades(
     return out.selectExpr(*[f"`{c}`" for c in base.columns], *grades), not large
 
 
+def top_score_predicates(specs: Sequence[MetricSpec], bounds: dict[str, Bounds]) -> dict[str, Column]:
+    """``<metric>Score = 5`` as a predicate on the base table.
+
+    In-band values score 2-4 (their band's ntile) and below-bound values 1, so a score of
+    5 means exactly: above the upper bound (below the lower bound for a descending
+    metric); no bounds, no 5. This lets the elite populations be read straight from the
+    base table, without the grade joins, and prunes row groups on the bound.
+    """
+    out = {}
+    for m in specs:
+        b = bounds.get(m.name)
+        v = F.col(m.value).cast("bigint")
+        if b is None or b.lower is None or b.upper is None:
+            out[grade_columns(m)[1]] = F.lit(False)
+        elif m.descending:
+            out[grade_columns(m)[1]] = v < F.lit(b.lower).cast("bigint")
+        else:
+            out[grade_columns(m)[1]] = v > F.lit(b.upper).cast("bigint")
+    return out
+
+
 def grade_column_order(specs: Sequence[MetricSpec]) -> list[str]:
     """Groups of all metrics, then scores, then points (the procedure's column order)."""
     cols = [grade_columns(m) for m in specs]

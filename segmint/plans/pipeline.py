@@ -8,7 +8,7 @@ Jobs of a run (everything else is lazy and fused by Catalyst):
 3. one tiny collect: the per-metric bounds and band extents (a few numbers).
 4. ``graded``: base + one broadcast band lookup probed once per metric (map-only); staged
    only if the lookup was too large to broadcast.
-5. elite ranks and summary, as 2-3 over the graded table.
+5. elite ranks and summary, as 2-3; the populations (score 5) are filters on the base.
 6. the result: graded + the elite lookup, two rows per customer, written by the caller.
 """
 
@@ -33,7 +33,7 @@ from segmint.operators.bands import (
 )
 from segmint.operators.base import lrfm_base, with_metric_values
 from segmint.operators.elite import assign_elite, elite_bounds, elite_cuts, elite_values
-from segmint.operators.grade import assign_grades
+from segmint.operators.grade import assign_grades, top_score_predicates
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS
 from segmint.operators.output import currency_rows
 from segmint.operators.window import DEFAULT_FIRST_TX_DATE, ObservationWindow, observation_window
@@ -102,7 +102,10 @@ def segment_customers(
     if not all_broadcast:
         graded = stager.stage(graded, "graded")
 
-    eranked = stager.stage(rank_values(elite_values(graded, elite_specs)), "elite_ranked")
+    # the elite populations (score 5) are literal filters on the staged base: no grade joins
+    top = top_score_predicates(metric_specs, bounds)
+    pop_source = base if all(e.population in top for e in elite_specs) else graded
+    eranked = stager.stage(rank_values(elite_values(pop_source, elite_specs, top)), "elite_ranked")
     ebounds_frame = elite_bounds(eranked, elite_specs)
     ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs))
 

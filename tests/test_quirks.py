@@ -4,6 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from handmade import Inputs, generate
@@ -240,3 +241,15 @@ def test_bands_too_large_to_broadcast_take_the_shuffle_path(spark):
     b = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX, broadcast_rows=5).segments
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0
+
+
+def test_top_score_predicates_equal_score_five(spark):
+    from segmint.operators.grade import top_score_predicates
+    from segmint.plans.specs import DEFAULT_METRIC_SPECS
+
+    sources, users, rates = generate(7).spark_frames(spark)
+    res = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX)
+    preds = top_score_predicates(DEFAULT_METRIC_SPECS, res.bounds)
+    g = res.graded
+    for col, pred in preds.items():
+        assert g.where(F.coalesce(pred, F.lit(False)) != F.coalesce(F.col(col) == 5, F.lit(False))).count() == 0, col
