@@ -87,7 +87,10 @@ def main() -> None:
             t = time.perf_counter()
             res = run(period, f"{scratch}/out{i}_{r}")
             samples.append(time.perf_counter() - t)
+            if r < RUNS - 1:
+                res.release()
         customers[name] = res.base.count()
+        res.release()
         times[name] = round(statistics.median(samples), 3)
     spark.stop()
     jobs, shuffle = event_totals(scratch)

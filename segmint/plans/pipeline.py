@@ -56,6 +56,12 @@ class SegmentationResult:
     elite_extents: dict[str, Extent]
     scored: DataFrame  # graded + elite columns
     segments: DataFrame  # the result: two rows per customer
+    stager: Stager | None = None
+
+    def release(self) -> None:
+        """Remove the staged intermediates once the result has been written."""
+        if self.stager is not None:
+            self.stager.release()
 
 
 def base_stage(
@@ -124,4 +130,5 @@ def segment_customers(
         elite_extents=eextents,
         scored=scored,
         segments=currency_rows(scored),
+        stager=stager,
     )

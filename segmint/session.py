@@ -63,3 +63,13 @@ class Stager:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def release(self) -> None:
+        """Delete this run's staged files (through Hadoop's FileSystem, so any shared store
+        works). DataFrames read from them must not be used afterwards."""
+        if not self.run_dir:
+            return
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.run_dir)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path, True)
+
