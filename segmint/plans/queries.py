@@ -38,7 +38,7 @@ def _fixture(spark: SparkSession, sf_dir: str) -> tuple[FixtureTables, DataFrame
 
 
 def fixture_run(spark: SparkSession, sf_dir: str, period: int = 0) -> SegmentationResult:
-    key = (spark.sparkContext.applicationId, sf_dir, period)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, period)
     if key not in _RUNS:
         fx, rates = _fixture(spark, sf_dir)
         _RUNS[key] = segment_customers(spark, fx.sources, fx.users, rates, BASE_DAY, period, FIRST_TX_DATE)

@@ -37,17 +37,27 @@ def staging_root(spark: SparkSession) -> str:
     Only a local-mode session without one gets a fresh temporary folder; on a cluster a
     missing setting is an error, because a machine-local folder is not shared.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     root = tempfile.mkdtemp(prefix="segmint-ckpt-")
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no local context
+        return None
+
+
 class Stager:
     """Writes reused intermediates once, as Parquet, and hands back a reader over them."""
 
@@ -66,10 +76,11 @@ class Stager:
     def release(self) -> None:
         """Delete this run's staged files (through Hadoop's FileSystem, so any shared store
         works). DataFrames read from them must not be used afterwards."""
-        if not self.run_dir:
+        sc = _context(self.spark)
+        if not self.run_dir or sc is None:
             return
-        jvm = self.spark.sparkContext._jvm
+        jvm = sc._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.run_dir)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
         fs.delete(path, True)
 
