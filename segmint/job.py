@@ -1,7 +1,7 @@
 """Command-line job: the procedure's call ``spUserSegmentation(@BaseDay, @Period)`` as a
 Spark application.
 
-    spark-submit -m segmint.job --hot PATH --archive PATH --users PATH \\
+    spark-submit --py-files segmint.zip segmint/job.py --hot PATH --archive PATH --users PATH \\
         --rates-legacy PATH --rates-current PATH --day 2024-04-20 --period 3 --out PATH
 
 Inputs are read with their schemas pinned (``segmint.sources``); the result replaces only
