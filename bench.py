@@ -63,6 +63,7 @@ def main() -> None:
     from segmint.operators.output import write_segments
     from segmint.operators.rates import daily_rates
     from segmint.plans.pipeline import segment_customers
+    from segmint.session import phase
     from segmint.sources.fixture import BASE_DAY, FIRST_TX_DATE, RATE_CUTOVER, fixture_tables
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -75,7 +76,8 @@ def main() -> None:
         fx = fixture_tables(spark, sf_dir)
         rates = daily_rates(fx.rates_legacy, fx.rates_current, RATE_CUTOVER)
         res = segment_customers(spark, fx.sources, fx.users, rates, BASE_DAY, period, FIRST_TX_DATE)
-        write_segments(res.segments, out)
+        with phase(spark, "result"):
+            write_segments(res.segments, out)
         return res
 
     times: dict[str, float] = {}

@@ -53,8 +53,9 @@ def converted_rows(
     rates: DataFrame,
     window: ObservationWindow,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    rate_rows: int | None = None,
 ) -> DataFrame:
-    return convert_currency(source_rows(sources, window), rates_in_window(rates, window), broadcast_rows)
+    return convert_currency(source_rows(sources, window), rates_in_window(rates, window), broadcast_rows, rate_rows)
 
 
 def daily_activity(converted: DataFrame) -> DataFrame:

@@ -55,13 +55,19 @@ def rates_in_window(rates: DataFrame, window: ObservationWindow) -> DataFrame:
     return rates.where((F.col("Date") >= F.lit(window.start)) & (F.col("Date") < F.lit(window.base_day)))
 
 
-def convert_currency(tx: DataFrame, rates: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def convert_currency(
+    tx: DataFrame,
+    rates: DataFrame,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    rate_rows: int | None = None,
+) -> DataFrame:
     """Left-join each transaction to its day's rate(s); ``AmountUSD = Amount / rate``.
 
     Days without a rate give NULL (skipped by sums). The rate table is one row per day, so
-    it is broadcast after a row-count check; the transactions are never shuffled here.
+    it is broadcast after a row-count check (``rate_rows`` if the caller counted already);
+    the transactions are never shuffled here.
     """
     side = rates.select(F.col("Date").alias("_rate_date"), "Price_USDTRY")
-    side, _ = broadcast_if_small(side, broadcast_rows)
+    side, _ = broadcast_if_small(side, broadcast_rows, rows=rate_rows)
     joined = tx.join(side, F.to_date(F.col("CreateDate")) == F.col("_rate_date"), "left")
     return joined.drop("_rate_date").withColumn("AmountUSD", F.col("Amount") / F.col("Price_USDTRY"))

@@ -36,9 +36,10 @@ from segmint.operators.elite import assign_elite, elite_bounds, elite_cuts, elit
 from segmint.operators.grade import assign_grades, top_score_predicates
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS
 from segmint.operators.output import currency_rows
+from segmint.operators.rates import rates_in_window
 from segmint.operators.window import DEFAULT_FIRST_TX_DATE, ObservationWindow, observation_window
 from segmint.plans.specs import DEFAULT_ELITE_SPECS, DEFAULT_METRIC_SPECS, EliteSpec, MetricSpec
-from segmint.session import Stager
+from segmint.session import Stager, phase
 
 
 @dataclass
@@ -70,9 +71,10 @@ def base_stage(
     rates: DataFrame,
     window: ObservationWindow,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    rate_rows: int | None = None,
 ) -> DataFrame:
     """U3-U7 + integer values, lazily."""
-    daily = daily_activity(converted_rows(sources, rates, window, broadcast_rows))
+    daily = daily_activity(converted_rows(sources, rates, window, broadcast_rows, rate_rows))
     merged = merge_sources(daily, list(sources))
     return with_metric_values(lrfm_base(merged, users, window))
 
@@ -98,22 +100,35 @@ def segment_customers(
     stager = Stager(spark, enabled=stage)
     window = observation_window(day, period, first_tx_date)
 
-    base = stager.stage(base_stage(sources, users, rates, window, broadcast_rows), "base")
-
-    ranked = stager.stage(rank_values(metric_values(base, metric_specs)), "ranked")
-    bounds_frame = percentile_bounds(ranked, [PercentileSpec(m.name, m.p_low, m.p_high) for m in metric_specs])
-    bounds, extents = summarize(ranked, bounds_frame, base_cuts(metric_specs))
-
-    graded, all_broadcast = assign_grades(base, ranked, metric_specs, bounds, extents, broadcast_rows)
-    if not all_broadcast:
-        graded = stager.stage(graded, "graded")
+    with phase(spark, "base"):
+        # the window's day rates: at most a few rows per day, counted once and kept for the
+        # broadcast instead of being computed twice
+        day_rates = rates_in_window(rates, window).persist()
+        base = stager.stage(
+            base_stage(sources, users, day_rates, window, broadcast_rows, rate_rows=day_rates.count()), "base"
+        )
+        if stage:
+            day_rates.unpersist()
+
+    with phase(spark, "ranks"):
+        ranked = stager.stage(rank_values(metric_values(base, metric_specs)), "ranked")
+    with phase(spark, "bounds"):
+        bounds_frame = percentile_bounds(ranked, [PercentileSpec(m.name, m.p_low, m.p_high) for m in metric_specs])
+        bounds, extents = summarize(ranked, bounds_frame, base_cuts(metric_specs))
+
+    with phase(spark, "grades"):
+        graded, all_broadcast = assign_grades(base, ranked, metric_specs, bounds, extents, broadcast_rows)
+        if not all_broadcast:
+            graded = stager.stage(graded, "graded")
 
     # the elite populations (score 5) are literal filters on the staged base: no grade joins
     top = top_score_predicates(metric_specs, bounds)
     pop_source = base if all(e.population in top for e in elite_specs) else graded
-    eranked = stager.stage(rank_values(elite_values(pop_source, elite_specs, top)), "elite_ranked")
-    ebounds_frame = elite_bounds(eranked, elite_specs)
-    ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs))
+    with phase(spark, "elite ranks"):
+        eranked = stager.stage(rank_values(elite_values(pop_source, elite_specs, top)), "elite_ranked")
+    with phase(spark, "elite bounds"):
+        ebounds_frame = elite_bounds(eranked, elite_specs)
+        ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs))
 
     scored = assign_elite(graded, eranked, elite_specs, ebounds, eextents, broadcast_rows)
     return SegmentationResult(

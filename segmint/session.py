@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,21 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+@contextmanager
+def phase(spark: SparkSession, name: str):
+    """Label the jobs of one pipeline phase (shown in Spark's job list and event log)."""
+    sc = _context(spark)
+    if sc is None:
+        yield
+        return
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"segmint: {name}")
+    try:
+        yield
+    finally:
+        sc.setJobDescription(previous)
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None for a remote (Connect) session."""
     try:
