@@ -11,6 +11,7 @@ value above the bound -> 4 / 100.00; otherwise 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +44,16 @@ def elite_values(
     """
     populations = populations or {}
     entries = []
+    pops = []
     for e in specs:
         pop = populations.get(e.population, F.col(e.population) == 5)
+        pops.append(pop)
         entries.append((e.name, F.when(pop, F.col(e.bound_value))))
         if band_key(e) != e.name:
             entries.append((band_key(e), F.when(pop, F.col(e.band_value))))
-    return value_histogram(unpivot_values(df, entries))
+    # only customers in some population: the disjunction reaches the Parquet scan
+    tops = df.where(reduce(lambda a, b: a | b, pops))
+    return value_histogram(unpivot_values(tops, entries))
 
 def elite_bounds(ranked: DataFrame, specs: Sequence[EliteSpec]) -> DataFrame:
     """U16: ``(Metric, Customers, LowerBound = NULL, UpperBound)``."""
