@@ -131,3 +131,26 @@ def elite_inputs(regular: int = 380) -> Inputs:
         inp.tx["hot"].append((tx_id, c, datetime(d.year, d.month, d.day, 9), -amount, 0, None, 2, 1))
         inp.users.append((c, datetime(2021, 6, 1)))
     return inp
+
+
+def with_hot_keys(inp: Inputs, seed: int = 0) -> Inputs:
+    """Give one customer a third of all transaction rows (spread over days and both
+    sources), and make a quarter of the customers share one Monetary value."""
+    rnd = random.Random(seed)
+    n = sum(len(v) for v in inp.tx.values())
+    days = sorted({r[2].date() for v in inp.tx.values() for r in v})
+    next_id = max((r[0] for v in inp.tx.values() for r in v), default=0) + 1
+    for k in range(n // 2):
+        d = days[rnd.randrange(len(days))]
+        source = "hot" if k % 3 else "archive"
+        inp.tx[source].append((next_id + k, 1, datetime(d.year, d.month, d.day, 7), -Decimal(rnd.randint(100, 9999)) / 100, 0, None, 2, 1))
+    next_id += n // 2
+    customers = sorted({r[1] for v in inp.tx.values() for r in v if r[1] != 1})
+    for c in customers[: len(customers) // 4]:
+        # net the customer's valid spend away, then add one identical purchase
+        d = days[0]
+        inp.tx["hot"] = [r for r in inp.tx["hot"] if r[1] != c]
+        inp.tx["archive"] = [r for r in inp.tx["archive"] if r[1] != c]
+        inp.tx["hot"].append((next_id, c, datetime(d.year, d.month, d.day, 9), Decimal("-777.77"), 0, None, 2, 1))
+        next_id += 1
+    return inp

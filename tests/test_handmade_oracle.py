@@ -7,7 +7,7 @@ import pytest
 
 import oracle
 from compare import canonical, differences
-from handmade import elite_inputs, generate
+from handmade import elite_inputs, generate, with_hot_keys
 from segmint.plans.pipeline import segment_customers
 
 BASE_DAY = date(2024, 6, 20)
@@ -25,8 +25,8 @@ def oracle_sql(period: int) -> str:
     return oracle.with_ctes(ctes, oracle._currencies(None))
 
 
-def run_both(spark, seed, period):
-    inp = generate(seed)
+def run_both(spark, seed, period, hot=False):
+    inp = with_hot_keys(generate(seed), seed) if hot else generate(seed)
     sources, users, rates = inp.spark_frames(spark)
     res = segment_customers(spark, sources, users, rates, BASE_DAY, period, FIRST_TX)
     df = res.segments
@@ -43,6 +43,13 @@ def test_pipeline_matches_oracle(spark, seed, period):
     assert canonical(scols, srows) == canonical(ocols, orows), differences(scols, srows, ocols, orows)
 
 
+@pytest.mark.parametrize("seed,period", [(41, 0), (42, 3)])
+def test_hot_customer_and_hot_value_match_oracle(spark, seed, period):
+    scols, srows, ocols, orows = run_both(spark, seed, period, hot=True)
+    assert len(srows) == len(orows) > 0
+    assert canonical(scols, srows) == canonical(ocols, orows), differences(scols, srows, ocols, orows)
+
+
 def test_elite_coverage_table_matches_oracle_and_reaches_every_grade(spark):
     """The shared fixture never gives AvgTxVolumePerDayUSD a non-zero elite grade, nor the
     Q14 case; this table reaches both (and must still agree with the oracle)."""
