@@ -1,5 +1,5 @@
-"""Command-line job: the procedure's call ``spUserSegmentation(@BaseDay, @Period)`` as a
-Spark application.
+"""Command-line job: one segmentation run (a month and a look-back period) as a Spark
+application.
 
     spark-submit --py-files segmint.zip segmint/job.py --hot PATH --archive PATH --users PATH \\
         --rates-legacy PATH --rates-current PATH --day 2024-04-20 --period 3 --out PATH
