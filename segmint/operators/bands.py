@@ -1,4 +1,4 @@
-"""Metric value histograms, distributed ranks, exact percentile bounds and bands.
+"""Metric value histograms, distributed ranks, exact percentile bounds, band extents.
 
 * **Histogram** (U8): all metrics unpivoted to ``(Metric, Value)`` and counted, one shuffle
   with map-side combine; a value held by a third of all customers is one row per map task.
@@ -9,9 +9,9 @@
   with a smaller value) and ``ValueRank`` (0-based rank among distinct values).
 * **Percentiles** (U9) weight by customer: position ``q`` lies in the value whose
   ``[CustomersBefore, CustomersBefore + Customers)`` covers it; interpolation is exact.
-* **Bands** (U10-U12) rank the distinct values inside the bounds: a contiguous run of
-  ``ValueRank``, so ``rn = ValueRank - first + 1`` and ``ntile``/points follow from
-  ``(rn, n)``.
+* **Bands** (U10-U12, built in ``grade.band_lookup``) rank the distinct values inside
+  the bounds: a contiguous run of ``ValueRank``, so ``rn = ValueRank - first + 1`` and
+  ``ntile``/points follow from ``(rn, n)``; ``summarize`` yields ``first`` and ``n``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segmint.functions.exact import BASE_POINTS, floor_div, ntile_from_rank, points_from_rank
+from segmint.functions.exact import floor_div
 from segmint.plans.specs import MetricSpec
 
 BUCKET_BITS = 12  # 4,096 integers per bucket: bounds every ranking window
@@ -217,34 +217,3 @@ def summarize(ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut]) -> tup
 
 def base_cuts(specs: Sequence[MetricSpec]) -> dict[str, Cut]:
     return {m.name: Cut(m.name, m.name, True) for m in specs}
-
-
-def band_table(ranked: DataFrame, spec: MetricSpec, bounds: Bounds | None, extent: Extent) -> DataFrame:
-    """U10-U12 for one metric: ``(Metric, Value, Points, Score, Group)`` of the in-band values."""
-    if bounds is None or bounds.lower is None or bounds.upper is None or extent.size == 0:
-        rows = ranked.where(F.lit(False))
-        rn = F.lit(1)
-    else:
-        rows = ranked.where(
-            (F.col("Metric") == spec.name) & F.col("Value").between(bounds.lower, bounds.upper)
-        )
-        rn = F.col("ValueRank") - extent.first + 1
-        if spec.descending:
-            rn = extent.size + 1 - rn
-    ranks = rows.select("Metric", "Value", rn.cast("bigint").alias("_rn"), F.lit(max(extent.size, 1)).cast("bigint").alias("_n"))
-    return ranks.select(
-        "Metric",
-        "Value",
-        points_from_rank("_rn", "_n", BASE_POINTS).alias("Points"),
-        (ntile_from_rank("_rn", "_n", 3) + 1).alias("Score"),
-        (ntile_from_rank("_rn", "_n", 2) - 1).alias("Group"),
-    )
-
-
-def bands_long(ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]) -> DataFrame:
-    """All metrics' band tables, stacked."""
-    parts = [band_table(ranked, m, bounds.get(m.name), extents[m.name]) for m in specs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -77,36 +77,16 @@ def _cuts_of(e: EliteSpec, bounds: dict[str, Bounds]) -> tuple[int | None, int |
     return own, (_upper(bounds, e.score_bound_of) if e.score_bound_of else own)
 
 
-def elite_band_table(
-    ranked: DataFrame, e: EliteSpec, bounds: dict[str, Bounds], extents: dict[str, Extent]
+def elite_band_rows(
+    ranked: DataFrame, specs: Sequence[EliteSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
 ) -> DataFrame:
-    """U17 for one metric: ``(Metric, Value, EliteScore, ElitePoints)``; a column is NULL where
-    the value lies beyond that column's cut."""
-    own = _upper(bounds, e.name)
-    score_cut = _upper(bounds, e.score_bound_of) if e.score_bound_of else own
-    n_points = extents[f"{e.name}:points"].size
-    n_score = extents[f"{e.name}:score"].size
-    cuts = [c for c in (own, score_cut) if c is not None]
-    if not cuts:
-        rows = ranked.where(F.lit(False))
-    else:
-        rows = ranked.where((F.col("Metric") == band_key(e)) & (F.col("Value") <= max(cuts)))
-    def within(cut: int | None) -> Column:
-        return F.col("Value") <= cut if cut is not None else F.lit(False)
-
-    ranks = rows.select(
-        "Value",
-        (F.col("ValueRank") + 1).alias("_rn"),  # bands start at the smallest value
-        F.lit(max(n_points, 1)).cast("bigint").alias("_np"),
-        F.lit(max(n_score, 1)).cast("bigint").alias("_ns"),
-    )
-    return ranks.select(
-        F.lit(e.name).alias("Metric"),
-        F.col("Value"),
-        F.when(within(score_cut), ntile_from_rank("_rn", "_ns", 3)).alias("EliteScore"),
-        F.when(within(own), points_from_rank("_rn", "_np", ELITE_POINTS)).alias("ElitePoints"),
+    """``(Metric, Value, EliteScore, ElitePoints)`` - the elite lookup, by name."""
+    names = lit_map({str(i): e.name for i, e in enumerate(specs)}, "string")
+    return elite_lookup(ranked, specs, bounds, extents).select(
+        names[F.col("_key.m").cast("string")].alias("Metric"), F.col("_key.v").alias("Value"), "EliteScore", "ElitePoints"
     )
 
+
 def elite_columns(e: EliteSpec) -> tuple[str, str]:
     return f"EliteSegmentScore_{e.name}", f"EliteSegmentPoints_{e.name}"
 

@@ -79,6 +79,16 @@ def band_lookup(
     )
 
 
+def band_rows(
+    ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
+) -> DataFrame:
+    """``(Metric, Value, Points, Score, Group)`` - the grading lookup, by name."""
+    names = lit_map({str(i): m.name for i, m in enumerate(specs)}, "string")
+    return band_lookup(ranked, specs, bounds, extents).select(
+        names[F.col("_key.m").cast("string")].alias("Metric"), F.col("_key.v").alias("Value"), "Points", "Score", "Group"
+    )
+
+
 def lookup_key(index: int, value: Column) -> Column:
     return F.struct(F.lit(index).alias("m"), value.cast("bigint").alias("v"))
 

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmint.operators.activity import converted_rows, customer_activity, daily_activity, merge_sources, source_rows
-from segmint.operators.bands import bands_long
 from segmint.operators.base import BASE_COLUMNS, lrfm_base
-from segmint.operators.elite import elite_band_table, elite_columns
+from segmint.operators.elite import elite_band_rows, elite_columns
+from segmint.operators.grade import band_rows
 from segmint.operators.output import CODE_COLUMNS, currency_rows
 from segmint.operators.rates import daily_rates
 from segmint.operators.window import observation_window, window_filter
@@ -130,7 +130,7 @@ def q_outlier_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fixture_run(spark, sf_dir)
-    return bands_long(r.ranked, DEFAULT_METRIC_SPECS, r.bounds, r.extents)
+    return band_rows(r.ranked, DEFAULT_METRIC_SPECS, r.bounds, r.extents)
 
 
 def q_band_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +159,7 @@ def q_elite_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_elite_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fixture_run(spark, sf_dir)
-    parts = [elite_band_table(r.elite_ranked, e, r.elite_bounds, r.elite_extents) for e in DEFAULT_ELITE_SPECS]
-    return reduce(DataFrame.unionByName, parts)
+    return elite_band_rows(r.elite_ranked, DEFAULT_ELITE_SPECS, r.elite_bounds, r.elite_extents)
 
 
 def _elite(which: int) -> Callable[[SparkSession, str], DataFrame]:
