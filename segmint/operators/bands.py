@@ -65,7 +65,8 @@ def metric_values(base: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
 
 
 def rank_values(hist: DataFrame) -> DataFrame:
-    """Adds ``CustomersBefore`` and ``ValueRank`` to a histogram, with bounded windows only.
+    """Adds ``CustomersBefore``, ``ValueRank`` and the metric's total ``MetricCustomers`` to a
+    histogram, with bounded windows only.
 
     The offsets table (one row per bucket) joins back on ``(Metric, Bucket)``, the same
     partitioning the in-bucket window needs; AQE broadcasts it when its measured size is
@@ -76,11 +77,13 @@ def rank_values(hist: DataFrame) -> DataFrame:
         F.sum("Customers").alias("_bc"), F.count(F.lit(1)).alias("_bv")
     )
     before = Window.partitionBy("Metric").orderBy("Bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("Metric")
     offsets = per_bucket.select(
         "Metric",
         "Bucket",
         F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_cb"),
         F.coalesce(F.sum("_bv").over(before), F.lit(0)).alias("_vb"),
+        F.sum("_bc").over(whole).alias("MetricCustomers"),
     )
     inside = Window.partitionBy("Metric", "Bucket").orderBy("Value")
     return hb.join(offsets, ["Metric", "Bucket"]).select(
@@ -92,6 +95,7 @@ def rank_values(hist: DataFrame) -> DataFrame:
             + F.coalesce(F.sum("Customers").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         ).alias("CustomersBefore"),
         (F.col("_vb") + F.row_number().over(inside) - 1).alias("ValueRank"),
+        "MetricCustomers",
     )
 
 
@@ -106,16 +110,14 @@ def lit_map(pairs: dict, dtype: str) -> Column:
 def percentile_bounds(ranked: DataFrame, specs: Sequence[PercentileSpec]) -> DataFrame:
     """``(Metric, Customers, LowerBound, UpperBound)``: floor of the low and ceiling of the
     high continuous percentile, over customers. Metrics without values have no row."""
-    totals = ranked.groupBy("Metric").agg(F.max(F.col("CustomersBefore") + F.col("Customers")).alias("N"))
-    metric = F.col("Metric")
-    h = totals.where(metric.isin([s.key for s in specs])).select(
-        metric.alias("_m"),
-        "N",
-        (lit_map({s.key: s.p_low for s in specs}, "bigint")[metric] * (F.col("N") - 1)).alias("_hlo"),
-        (lit_map({s.key: s.p_high for s in specs}, "bigint")[metric] * (F.col("N") - 1)).alias("_hhi"),
+    metric, n = F.col("Metric"), F.col("MetricCustomers")
+    h = ranked.where(metric.isin([s.key for s in specs])).select(
+        "*",
+        (lit_map({s.key: s.p_low for s in specs}, "bigint")[metric] * (n - 1)).alias("_hlo"),
+        (lit_map({s.key: s.p_high for s in specs}, "bigint")[metric] * (n - 1)).alias("_hhi"),
     )
-    targets = h.select(
-        "_m", "N",
+    rows = h.select(
+        "*",
         floor_div("_hlo", 100).alias("_qlo"), F.expr("pmod(_hlo, 100)").alias("_rlo"),
         floor_div("_hhi", 100).alias("_qhi"), F.expr("pmod(_hhi, 100)").alias("_rhi"),
     )
@@ -126,11 +128,9 @@ def percentile_bounds(ranked: DataFrame, specs: Sequence[PercentileSpec]) -> Dat
     def at(pos: str) -> Column:
         return F.max(F.when(holds(pos), F.col("Value")))
 
-    # one row per graded metric: a proven bound on the broadcast side
-    hits = ranked.join(F.broadcast(targets), ranked["Metric"] == targets["_m"]).where(
-        holds("_qlo") | holds("_qlo + 1") | holds("_qhi") | holds("_qhi + 1")
-    )
-    x = hits.groupBy("Metric", "N", "_rlo", "_rhi", "_qlo").agg(
+    # only the (at most four) values covering the positions of each metric survive
+    hits = rows.where(holds("_qlo") | holds("_qlo + 1") | holds("_qhi") | holds("_qhi + 1"))
+    x = hits.withColumnRenamed("MetricCustomers", "N").groupBy("Metric", "N", "_rlo", "_rhi", "_qlo").agg(
         at("_qlo").alias("_xlo"), at("_qlo + 1").alias("_xlo1"), at("_qhi").alias("_xhi"), at("_qhi + 1").alias("_xhi1")
     )
     nums = x.select(
