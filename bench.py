@@ -1,7 +1,7 @@
 """Benchmark: the whole segmentation on the fixture at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Per headline query: one warm-up, then the median wall time of three runs, each writing
-the result as Parquet (the real sink). Prints ONE JSON line. Job count and shuffle bytes
+Per headline query: the median wall time of three runs (after one warm-up run of each,
+timed round-robin), each writing the result as Parquet (the real sink). Prints ONE JSON line. Job count and shuffle bytes
 come from Spark's event log, written to a fresh scratch folder.
 """
 
@@ -80,20 +80,20 @@ def main() -> None:
             write_segments(res.segments, out)
         return res
 
-    times: dict[str, float] = {}
-    customers: dict[str, int] = {}
+    # warm every query once, then time them round-robin so JIT warm-up favours none
     for i, (name, period) in enumerate(HEADLINE.items()):
-        run(period, f"{scratch}/warm{i}")
-        samples = []
-        for r in range(RUNS):
+        run(period, f"{scratch}/warm{i}").release()
+    samples: dict[str, list[float]] = {name: [] for name in HEADLINE}
+    customers: dict[str, int] = {}
+    for r in range(RUNS):
+        for i, (name, period) in enumerate(HEADLINE.items()):
             t = time.perf_counter()
             res = run(period, f"{scratch}/out{i}_{r}")
-            samples.append(time.perf_counter() - t)
-            if r < RUNS - 1:
-                res.release()
-        customers[name] = res.base.count()
-        res.release()
-        times[name] = round(statistics.median(samples), 3)
+            samples[name].append(time.perf_counter() - t)
+            if r == RUNS - 1:
+                customers[name] = res.base.count()
+            res.release()
+    times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     spark.stop()
     jobs, shuffle = event_totals(scratch)
     runs = len(HEADLINE) * (RUNS + 1)
