@@ -125,25 +125,38 @@ def percentile_bounds(ranked: DataFrame, specs: Sequence[PercentileSpec]) -> Dat
     def holds(pos: str) -> Column:
         return F.expr(f"CustomersBefore <= {pos} AND {pos} < CustomersBefore + Customers")
 
-    def at(pos: str) -> Column:
-        return F.max(F.when(holds(pos), F.col("Value")))
+    def at(pos: str, col: str = "Value") -> Column:
+        return F.max(F.when(holds(pos), F.col(col)))
 
     # only the (at most four) values covering the positions of each metric survive
     hits = rows.where(holds("_qlo") | holds("_qlo + 1") | holds("_qhi") | holds("_qhi + 1"))
     x = hits.withColumnRenamed("MetricCustomers", "N").groupBy("Metric", "N", "_rlo", "_rhi", "_qlo").agg(
-        at("_qlo").alias("_xlo"), at("_qlo + 1").alias("_xlo1"), at("_qhi").alias("_xhi"), at("_qhi + 1").alias("_xhi1")
+        at("_qlo").alias("_xlo"), at("_qlo + 1").alias("_xlo1"), at("_qhi").alias("_xhi"), at("_qhi + 1").alias("_xhi1"),
+        at("_qlo", "ValueRank").alias("_klo"), at("_qlo + 1", "ValueRank").alias("_klo1"),
+        at("_qhi", "ValueRank").alias("_khi"), at("_qhi + 1", "ValueRank").alias("_khi1"),
     )
     nums = x.select(
-        "Metric", "N", "_qlo",
+        "*",
         F.expr("_xlo * (100 - _rlo) + coalesce(_xlo1, 0) * _rlo").alias("_nlo"),
         F.expr("-(_xhi * (100 - _rhi) + coalesce(_xhi1, 0) * _rhi)").alias("_nhi_neg"),
     )
-    return nums.select(
-        "Metric",
-        F.col("N").alias("Customers"),
+    b = nums.select(
+        "*",
         F.when(F.col("_qlo").isNotNull(), floor_div("_nlo", 100)).alias("LowerBound"),
         (-floor_div("_nhi_neg", 100)).alias("UpperBound"),
     )
+    # x[q] <= lower <= x[q+1] and x[qh] <= upper <= x[qh+1], with no distinct value strictly
+    # between neighbours: the band's first and last values are among these four
+    first = F.expr("CASE WHEN LowerBound IS NULL THEN 0 WHEN LowerBound = _xlo THEN _klo ELSE _klo1 END")
+    last = F.expr("CASE WHEN _xhi1 IS NOT NULL AND UpperBound = _xhi1 THEN _khi1 ELSE _khi END")
+    return b.select(
+        "Metric",
+        F.col("N").alias("Customers"),
+        "LowerBound",
+        "UpperBound",
+        first.alias("FirstRank"),
+        F.greatest(last - first + 1, F.lit(0).cast("bigint")).alias("BandSize"),
+    )
 
 
 @dataclass(frozen=True)
@@ -156,13 +169,29 @@ class Cut:
     use_lower: bool
 
 
-def summarize(ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut]) -> tuple[dict[str, Bounds], dict[str, Extent]]:
+def summarize(
+    ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut], own: set[str] = frozenset()
+) -> tuple[dict[str, Bounds], dict[str, Extent]]:
     """One small job: every metric's bounds and every cut's first rank and size.
 
+    Cuts named in ``own`` are a metric's own band (same histogram key, its own bounds);
+    their extents come with the bounds. Only the others need a pass over the ranked values.
     These few numbers become literals of the grading expressions (as a quantile
     discretizer's splits do); no customer data reaches the driver.
     """
     spark = ranked.sparkSession
+    cross = {name: c for name, c in cuts.items() if name not in own}
+    if not cross:
+        rows = bounds.collect()
+        out_b = {r["Metric"]: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"]) for r in rows}
+        out_e = {name: Extent(0, 0) for name in cuts}
+        by_metric = {r["Metric"]: r for r in rows}
+        for name, c in cuts.items():
+            r = by_metric.get(c.bound_metric)
+            if r is not None and r["BandSize"]:
+                out_e[name] = Extent(r["FirstRank"], r["BandSize"])
+        return out_b, out_e
+    all_cuts, cuts = cuts, cross
     spec = spark.range(1).select(
         F.inline(
             F.array(
@@ -198,7 +227,7 @@ def summarize(ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut]) -> tup
     rows = (
         bounds.select(
             F.lit("bounds").alias("kind"), F.col("Metric").alias("name"), "Customers", "LowerBound", "UpperBound",
-            F.lit(None).cast("bigint").alias("first"), F.lit(None).cast("bigint").alias("size"),
+            F.col("FirstRank").alias("first"), F.col("BandSize").alias("size"),
         )
         .unionByName(
             extents.select(
@@ -210,10 +239,16 @@ def summarize(ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut]) -> tup
         .collect()
     )
     out_b = {r["name"]: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"]) for r in rows if r["kind"] == "bounds"}
-    out_e = {name: Extent(0, 0) for name in cuts}
+    own_rows = {r["name"]: r for r in rows if r["kind"] == "bounds"}
+    out_e = {name: Extent(0, 0) for name in all_cuts}
+    for name in own:
+        r = own_rows.get(all_cuts[name].bound_metric)
+        if r is not None and r["size"]:
+            out_e[name] = Extent(r["first"], r["size"])
     out_e.update({r["name"]: Extent(r["first"], r["size"]) for r in rows if r["kind"] == "extent"})
     return out_b, out_e
 
 
 def base_cuts(specs: Sequence[MetricSpec]) -> dict[str, Cut]:
+    """Each metric's band: its own values between its own bounds (all "own" cuts)."""
     return {m.name: Cut(m.name, m.name, True) for m in specs}

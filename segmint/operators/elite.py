@@ -72,6 +72,17 @@ def elite_cuts(specs: Sequence[EliteSpec]) -> dict[str, Cut]:
     return cuts
 
 
+def own_elite_cuts(specs: Sequence[EliteSpec]) -> set[str]:
+    """The cuts that are a metric's own band (extents come with its bounds)."""
+    own = set()
+    for e in specs:
+        if band_key(e) == e.name:
+            own.add(f"{e.name}:points")
+            if not e.score_bound_of:
+                own.add(f"{e.name}:score")
+    return own
+
+
 def _cuts_of(e: EliteSpec, bounds: dict[str, Bounds]) -> tuple[int | None, int | None]:
     own = _upper(bounds, e.name)
     return own, (_upper(bounds, e.score_bound_of) if e.score_bound_of else own)

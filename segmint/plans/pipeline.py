@@ -32,7 +32,7 @@ from segmint.operators.bands import (
     summarize,
 )
 from segmint.operators.base import lrfm_base, with_metric_values
-from segmint.operators.elite import assign_elite, elite_bounds, elite_cuts, elite_values
+from segmint.operators.elite import assign_elite, elite_bounds, elite_cuts, elite_values, own_elite_cuts
 from segmint.operators.grade import assign_grades, top_score_predicates
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS
 from segmint.operators.output import currency_rows
@@ -114,7 +114,8 @@ def segment_customers(
         ranked = stager.stage(rank_values(metric_values(base, metric_specs)), "ranked")
     with phase(spark, "bounds"):
         bounds_frame = percentile_bounds(ranked, [PercentileSpec(m.name, m.p_low, m.p_high) for m in metric_specs])
-        bounds, extents = summarize(ranked, bounds_frame, base_cuts(metric_specs))
+        cuts = base_cuts(metric_specs)
+        bounds, extents = summarize(ranked, bounds_frame, cuts, own=set(cuts))
 
     with phase(spark, "grades"):
         graded, all_broadcast = assign_grades(base, ranked, metric_specs, bounds, extents, broadcast_rows)
@@ -128,7 +129,7 @@ def segment_customers(
         eranked = stager.stage(rank_values(elite_values(pop_source, elite_specs, top)), "elite_ranked")
     with phase(spark, "elite bounds"):
         ebounds_frame = elite_bounds(eranked, elite_specs)
-        ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs))
+        ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs), own=own_elite_cuts(elite_specs))
 
     scored = assign_elite(graded, eranked, elite_specs, ebounds, eextents, broadcast_rows)
     return SegmentationResult(

@@ -123,7 +123,10 @@ def q_metric_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_outlier_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
-        fixture_run(spark, sf_dir, p).bounds_frame.select(F.lit(p).alias("Period"), "*") for p in BOUND_PERIODS
+        fixture_run(spark, sf_dir, p).bounds_frame.select(
+            F.lit(p).alias("Period"), "Metric", "Customers", "LowerBound", "UpperBound"
+        )
+        for p in BOUND_PERIODS
     ]
     return reduce(DataFrame.unionByName, parts)
 

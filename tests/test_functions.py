@@ -118,3 +118,22 @@ def test_random_percentiles_match_duckdb_integers():
         d = con.sql(f"SELECT quantile_cont(v, 0.05) FROM (SELECT unnest({xs}) AS v)").fetchall()[0][0]
         if abs(d - round(d)) > 1e-6:
             assert lo == int(Decimal(d).to_integral_value(rounding="ROUND_FLOOR"))
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    st.lists(st.integers(-5000, 5000), min_size=1, max_size=150),
+    st.lists(st.integers(0, 300), min_size=1, max_size=80),
+    st.sampled_from([(5, 95), (1, 99), (None, 99)]),
+)
+def test_band_extents_from_the_bounds_equal_counting(spark, xs, ys, ps):
+    """First rank and size read off the percentile positions = counting values in the band."""
+    from segmint.operators.bands import Cut, summarize
+
+    long = spark.createDataFrame([("m", v) for v in xs] + [("k", v) for v in ys], "Metric string, Value bigint")
+    ranked = rank_values(value_histogram(long))
+    specs = [PercentileSpec("m", ps[0], ps[1]), PercentileSpec("k", ps[0], ps[1])]
+    bounds = percentile_bounds(ranked, specs)
+    use_lower = ps[0] is not None
+    cuts = {"m": Cut("m", "m", use_lower), "k": Cut("k", "k", use_lower)}
+    assert summarize(ranked, bounds, cuts, own=set(cuts)) == summarize(ranked, bounds, cuts, own=set())
