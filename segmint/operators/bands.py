@@ -172,80 +172,36 @@ class Cut:
 def summarize(
     ranked: DataFrame, bounds: DataFrame, cuts: dict[str, Cut], own: set[str] = frozenset()
 ) -> tuple[dict[str, Bounds], dict[str, Extent]]:
-    """One small job: every metric's bounds and every cut's first rank and size.
+    """Every metric's bounds and every cut's first rank and size: a few numbers per metric
+    that become literals of the grading expressions (as a quantile discretizer's splits
+    do); no customer data reaches the driver.
 
-    Cuts named in ``own`` are a metric's own band (same histogram key, its own bounds);
-    their extents come with the bounds. Only the others need a pass over the ranked values.
-    These few numbers become literals of the grading expressions (as a quantile
-    discretizer's splits do); no customer data reaches the driver.
+    Cuts named in ``own`` are a metric's own band (same histogram key, its own bounds):
+    their extents come with the bounds. Any other cut is counted in one more small job.
     """
-    spark = ranked.sparkSession
-    cross = {name: c for name, c in cuts.items() if name not in own}
-    if not cross:
-        rows = bounds.collect()
-        out_b = {r["Metric"]: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"]) for r in rows}
-        out_e = {name: Extent(0, 0) for name in cuts}
-        by_metric = {r["Metric"]: r for r in rows}
-        for name, c in cuts.items():
-            r = by_metric.get(c.bound_metric)
-            if r is not None and r["BandSize"]:
+    rows = {r["Metric"]: r for r in bounds.collect()}
+    out_b = {m: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"]) for m, r in rows.items()}
+    out_e = {name: Extent(0, 0) for name in cuts}
+    conds = []
+    for name, c in cuts.items():
+        r = rows.get(c.bound_metric)
+        if r is None:
+            continue  # no bounds: an empty band
+        if name in own:
+            if r["BandSize"]:
                 out_e[name] = Extent(r["FirstRank"], r["BandSize"])
-        return out_b, out_e
-    all_cuts, cuts = cuts, cross
-    spec = spark.range(1).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("cut"),
-                        F.lit(c.band_key).alias("band_key"),
-                        F.lit(c.bound_metric).alias("bound_metric"),
-                        F.lit(c.use_lower).alias("use_lower"),
-                    )
-                    for name, c in cuts.items()
-                ]
-            )
-        )
-    )
-    limits = spec.join(bounds, spec["bound_metric"] == bounds["Metric"]).select(
-        "cut",
-        "band_key",
-        F.when(F.col("use_lower"), F.col("LowerBound")).alias("_lo"),
-        F.col("UpperBound").alias("_hi"),
-        F.col("use_lower"),
-    )
-    inside = (F.col("Value") <= F.col("_hi")) & (
-        ~F.col("use_lower") | (F.col("_lo").isNotNull() & (F.col("Value") >= F.col("_lo")))
-    )
-    # at most one row per cut: a proven bound on the broadcast side
-    extents = (
-        ranked.join(F.broadcast(limits), ranked["Metric"] == limits["band_key"])
-        .where(inside)
-        .groupBy("cut")
-        .agg(F.min("ValueRank").alias("first"), F.count(F.lit(1)).alias("size"))
-    )
-    rows = (
-        bounds.select(
-            F.lit("bounds").alias("kind"), F.col("Metric").alias("name"), "Customers", "LowerBound", "UpperBound",
-            F.col("FirstRank").alias("first"), F.col("BandSize").alias("size"),
-        )
-        .unionByName(
-            extents.select(
-                F.lit("extent").alias("kind"), F.col("cut").alias("name"), F.lit(None).cast("bigint").alias("Customers"),
-                F.lit(None).cast("bigint").alias("LowerBound"), F.lit(None).cast("bigint").alias("UpperBound"),
-                "first", "size",
-            )
-        )
-        .collect()
-    )
-    out_b = {r["name"]: Bounds(r["Customers"], r["LowerBound"], r["UpperBound"]) for r in rows if r["kind"] == "bounds"}
-    own_rows = {r["name"]: r for r in rows if r["kind"] == "bounds"}
-    out_e = {name: Extent(0, 0) for name in all_cuts}
-    for name in own:
-        r = own_rows.get(all_cuts[name].bound_metric)
-        if r is not None and r["size"]:
-            out_e[name] = Extent(r["first"], r["size"])
-    out_e.update({r["name"]: Extent(r["first"], r["size"]) for r in rows if r["kind"] == "extent"})
+            continue
+        lo, hi = (r["LowerBound"] if c.use_lower else None), r["UpperBound"]
+        if c.use_lower and lo is None:
+            continue
+        cond = (F.col("Metric") == c.band_key) & (F.col("Value") <= hi)
+        if lo is not None:
+            cond = cond & (F.col("Value") >= lo)
+        conds.append(F.when(cond, F.lit(name)))
+    if conds:
+        tagged = ranked.select(F.explode(F.array(*conds)).alias("_cut"), "ValueRank").where(F.col("_cut").isNotNull())
+        for r in tagged.groupBy("_cut").agg(F.min("ValueRank").alias("first"), F.count(F.lit(1)).alias("size")).collect():
+            out_e[r["_cut"]] = Extent(r["first"], r["size"])
     return out_b, out_e
 
 
