@@ -3,9 +3,10 @@
 A customer's value inside the bounds takes the band row of an equal eligible value (a
 left join on the value; no equal value: NULL, as in the procedure); below / above the
 bounds gives the low / high end (reversed for descending metrics). Bounds are literals,
-so these are plain CASE expressions. Each metric's band table is broadcast only when its
-row count (known from the extents) is under the limit; otherwise the join is a
-sort-merge join and AQE splits partitions of hot values.
+so these are plain CASE expressions. The bands of all metrics form one lookup keyed by
+``struct(metric, value)``, broadcast once and probed once per metric, as long as their
+row counts (known from the extents) fit the limit; a band that does not fit joins by
+sort-merge, where AQE splits partitions of hot values.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from segmint.operators.bands import Bounds, Extent, lit_map
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
 from segmint.plans.specs import MetricSpec
 
+
 def grade_columns(spec: MetricSpec) -> tuple[str, str, str]:
     return f"{spec.name}Group", f"{spec.name}Score", f"{spec.name}Points"
 

@@ -5,10 +5,12 @@ Jobs of a run (everything else is lazy and fused by Catalyst):
 1. ``base``: scan + filter + broadcast rate join + two aggregations + users join, written
    once to the shared staging folder (every later step reads it).
 2. ``ranked``: the metric histogram with its distributed ranks (small, staged).
-3. one tiny collect: the per-metric bounds and band extents (a few numbers).
+3. one tiny collect: the per-metric bounds and band extents (a few numbers; the extents
+   are read off the percentile positions).
 4. ``graded``: base + one broadcast band lookup probed once per metric (map-only); staged
    only if the lookup was too large to broadcast.
-5. elite ranks and summary, as 2-3; the populations (score 5) are filters on the base.
+5. elite ranks and summary, as 2-3; the populations (score 5) are filters on the base,
+   and one more tiny count covers the bands cut at another metric's bound.
 6. the result: graded + the elite lookup, two rows per customer, written by the caller.
 """
 
