@@ -281,3 +281,11 @@ def test_job_entry_point_runs_end_to_end(spark, tmp_path):
     cols = [c for c in direct.columns if c not in ("YearMonth", "Period")]
     assert written.count() == direct.count() > 0
     assert written.select(*cols).exceptAll(direct.select(*cols)).count() == 0
+
+
+def test_unstaged_run_equals_staged_run(spark):
+    sources, users, rates = generate(9, customers=60).spark_frames(spark)
+    a = segment_customers(spark, sources, users, rates, BASE_DAY, 6, FIRST_TX).segments
+    b = segment_customers(spark, sources, users, rates, BASE_DAY, 6, FIRST_TX, stage=False).segments
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
