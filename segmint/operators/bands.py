@@ -99,12 +99,20 @@ def rank_values(hist: DataFrame) -> DataFrame:
     )
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lit_map(pairs: dict, dtype: str) -> Column:
-    """A literal ``map<string, dtype>`` (typed even when empty)."""
-    items: list[Column] = []
-    for k, v in pairs.items():
-        items += [F.lit(k), F.lit(v).cast(dtype)]
-    return F.create_map(*items).cast(f"map<string,{dtype}>")
+    """A literal ``map<string, dtype>`` (typed even when empty), built as one expression."""
+    items = ", ".join(f"{_sql_literal(str(k))}, CAST({_sql_literal(v)} AS {dtype})" for k, v in pairs.items())
+    return F.expr(f"CAST(map({items}) AS map<string,{dtype}>)")
 
 
 def percentile_bounds(ranked: DataFrame, specs: Sequence[PercentileSpec]) -> DataFrame:
