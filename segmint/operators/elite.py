@@ -27,7 +27,7 @@ from segmint.operators.bands import (
     unpivot_values,
     value_histogram,
 )
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
+from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, left_join_lookups, split_by_size
 from segmint.plans.specs import EliteSpec
 
 def band_key(e: EliteSpec) -> str:
@@ -153,18 +153,16 @@ def assign_elite(
     small, large = split_by_size(sizes, broadcast_rows)
     shared = F.broadcast(elite_lookup(ranked, specs, bounds, extents, only=small))
     own_lk = {name: elite_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
-    out = graded
+    joins: list[tuple[DataFrame, str]] = []
     scores: list[str] = []
     points: list[str] = []
     for i, e in enumerate(specs):
-        lk = own_lk.get(e.name, shared).alias(f"_el{i}")
-        v = F.col(e.join_value).cast("bigint")
-        key = F.struct(F.lit(i).alias("m"), v.alias("v"))
-        out = out.join(lk, key == F.col(f"_el{i}._key"), "left")
+        value = f"CAST(b.`{e.join_value}` AS BIGINT)"
+        joins.append((own_lk.get(e.name, shared), f"named_struct('m', {i}, 'v', {value})"))
         bound = _upper(bounds, e.name)
-        gate = f"`{e.gate}` = 5"
-        above = f"CAST(`{e.join_value}` AS BIGINT) > " + ("CAST(NULL AS BIGINT)" if bound is None else f"CAST({bound} AS BIGINT)")
-        es, ep = f"`_el{i}`.`EliteScore`", f"`_el{i}`.`ElitePoints`"
+        gate = f"b.`{e.gate}` = 5"
+        above = f"{value} > " + ("CAST(NULL AS BIGINT)" if bound is None else f"CAST({bound} AS BIGINT)")
+        es, ep = f"l{i}.`EliteScore`", f"l{i}.`ElitePoints`"
         score_c, points_c = elite_columns(e)
         scores.append(
             f"CAST(CASE WHEN {gate} AND {es} IS NULL AND {above} THEN 4 WHEN {gate} AND {es} IS NOT NULL THEN {es} "
@@ -174,4 +172,4 @@ def assign_elite(
             f"CAST(CASE WHEN {gate} AND {ep} IS NULL AND {above} THEN 100.00 WHEN {gate} AND {ep} IS NOT NULL THEN {ep} "
             f"ELSE 0.00 END AS {POINTS_TYPE}) AS `{points_c}`"
         )
-    return out.selectExpr(*[f"`{c}`" for c in graded.columns], *scores, *points)
+    return left_join_lookups(graded, joins, [f"b.`{c}`" for c in graded.columns] + scores + points)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from segmint.functions.exact import BASE_POINTS, POINTS_TYPE, ntile_from_rank, points_from_rank
 from segmint.operators.bands import Bounds, Extent, lit_map
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, split_by_size
+from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, left_join_lookups, split_by_size
 from segmint.plans.specs import MetricSpec
 
 
@@ -91,10 +91,6 @@ def band_rows(
     )
 
 
-def lookup_key(index: int, value: Column) -> Column:
-    return F.struct(F.lit(index).alias("m"), value.cast("bigint").alias("v"))
-
-
 def assign_grades(
     base: DataFrame,
     ranked: DataFrame,
@@ -111,19 +107,18 @@ def assign_grades(
     small, large = split_by_size({m.name: extents[m.name].size for m in specs}, broadcast_rows)
     shared = F.broadcast(band_lookup(ranked, specs, bounds, extents, only=small))
     own = {name: band_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
-    out = base
+    joins: list[tuple[DataFrame, str]] = []
     grades: list[str] = []
     for i, m in enumerate(specs):
-        lk = own.get(m.name, shared).alias(f"_lk{i}")
-        v = F.col(m.value).cast("bigint")
-        out = out.join(lk, lookup_key(i, v) == F.col(f"_lk{i}._key"), "left")
+        value = f"CAST(b.`{m.value}` AS BIGINT)"
+        joins.append((own.get(m.name, shared), f"named_struct('m', {i}, 'v', {value})"))
         b = bounds.get(m.name)
         lo, hi = _sql_int(b.lower if b else None), _sql_int(b.upper if b else None)
-        value = f"CAST(`{m.value}` AS BIGINT)"
         ends = ((1, 0), (5, 1), ("100.00", "1.00")) if m.descending else ((0, 1), (1, 5), ("1.00", "100.00"))
         for (low, high), col, name, dtype in zip(ends, ("Group", "Score", "Points"), grade_columns(m), ("INT", "INT", POINTS_TYPE)):
-            grades.append(f"{_graded(f'`_lk{i}`.`{col}`', value, lo, hi, str(low), str(high), dtype)} AS `{name}`")
-    return out.selectExpr(*[f"`{c}`" for c in base.columns], *grades), not large
+            grades.append(f"{_graded(f'l{i}.`{col}`', value, lo, hi, str(low), str(high), dtype)} AS `{name}`")
+    graded = left_join_lookups(base, joins, [f"b.`{c}`" for c in base.columns] + grades)
+    return graded, not large
 
 
 def top_score_predicates(specs: Sequence[MetricSpec], bounds: dict[str, Bounds]) -> dict[str, Column]:

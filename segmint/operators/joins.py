@@ -6,6 +6,9 @@ join is left to the planner (sort-merge, with AQE splitting skewed partitions).
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +40,31 @@ def split_by_size(sizes: dict[str, int], limit: int = DEFAULT_BROADCAST_ROWS) ->
         small.add(name)
         total += n
     return small, set(sizes) - small
+
+
+def left_join_lookups(base: DataFrame, lookups: Sequence[tuple[DataFrame, str]], select: Sequence[str]) -> DataFrame:
+    """``base`` LEFT JOIN each lookup ``l<i>`` ON ``l<i>._key = <key SQL over b>``, projected
+    by ``select`` (SQL over ``b`` and ``l<i>``), written as one statement.
+
+    One statement is analysed once, where chained ``join`` calls re-analyse the growing
+    plan each time. The temporary views have run-unique names and are dropped as soon
+    as the statement is analysed (the plan no longer refers to them by name).
+    """
+    spark = base.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    views = {f"_segmint_b_{tag}": base}
+    tables: dict[int, str] = {}
+    for df, _ in lookups:
+        if id(df) not in tables:
+            tables[id(df)] = f"_segmint_l{len(tables)}_{tag}"
+            views[tables[id(df)]] = df
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    try:
+        joins = " ".join(
+            f"LEFT JOIN {tables[id(df)]} l{i} ON l{i}._key = {key}" for i, (df, key) in enumerate(lookups)
+        )
+        return spark.sql(f"SELECT {', '.join(select)} FROM _segmint_b_{tag} b {joins}")
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
