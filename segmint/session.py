@@ -87,7 +87,8 @@ class Stager:
             return df
         path = f"{self.run_dir}/{name}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        # the schema is known: reading it back needs no inference pass over the footers
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
         """Delete this run's staged files (through Hadoop's FileSystem, so any shared store
