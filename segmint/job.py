@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from segmint.operators.output import write_segments
 from segmint.operators.rates import DEFAULT_CUTOVER, daily_rates
-from segmint.operators.window import DEFAULT_FIRST_TX_DATE
+from segmint.operators.window import DEFAULT_FIRST_TX_DATE, observation_window
 from segmint.plans.pipeline import segment_customers
 from segmint.plans.specs import CONSISTENT_ELITE_SPECS, CONSISTENT_METRIC_SPECS, DEFAULT_ELITE_SPECS, DEFAULT_METRIC_SPECS
 from segmint.sources import read_rates_current, read_rates_legacy, read_transactions, read_users
@@ -38,15 +38,21 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--first-tx-date", type=date.fromisoformat, default=DEFAULT_FIRST_TX_DATE)
     p.add_argument("--cutover", type=date.fromisoformat, default=DEFAULT_CUTOVER)
     p.add_argument("--consistent-specs", action="store_true", help="each metric's own value, population and bound")
+    p.add_argument(
+        "--date-partition-column",
+        help="partition column of the transaction tables holding the date of CreateDate (prunes partitions)",
+    )
     return p.parse_args(argv)
 
 
 def main(argv=None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("segmint").getOrCreate()
-    sources = {"hot": read_transactions(spark, args.hot, args.format)}
+    window = observation_window(args.day, args.period, args.first_tx_date)
+    part = args.date_partition_column
+    sources = {"hot": read_transactions(spark, args.hot, args.format, window, part)}
     for i, path in enumerate(args.archive):
-        sources[f"archive{i}" if i else "archive"] = read_transactions(spark, path, args.format)
+        sources[f"archive{i}" if i else "archive"] = read_transactions(spark, path, args.format, window, part)
     rates = daily_rates(
         read_rates_legacy(spark, args.rates_legacy, args.format),
         read_rates_current(spark, args.rates_current, args.format),

@@ -23,8 +23,31 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> Dat
     return conform(spark.read.format(fmt).load(path), schema)
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _read(spark, path, TRANSACTIONS, fmt)
+def read_transactions(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    window=None,
+    date_partition: str | None = None,
+) -> DataFrame:
+    """Transactions with their schema pinned.
+
+    With a ``window`` and the name of a date partition column whose value is the date of
+    ``CreateDate``, the window's bounds are applied to that column too, so only the
+    window's partition directories are listed and read (the exact ``CreateDate`` filter is
+    still applied later).
+    """
+    df = spark.read.format(fmt).load(path)
+    if window is not None and date_partition is not None:
+        from segmint.operators.window import day_literal
+
+        if window.empty:
+            df = df.where(F.lit(False))
+        else:
+            col = F.col(f"`{date_partition}`")
+            dtype = df.schema[date_partition].dataType
+            df = df.where((col >= day_literal(window.start, dtype)) & (col < day_literal(window.base_day, dtype)))
+    return conform(df, TRANSACTIONS)
 
 
 def read_users(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -78,3 +78,19 @@ def test_elite_populations_do_not_rejoin_the_grades(run):
     p = plan(hist)
     assert "Join" not in p, p
     assert re.search(r"PushedFilters: \[[^\]]*Or\(", p), p  # population bounds reach the staged-base scan
+
+
+def test_date_partitioned_sources_prune_partitions(spark, tmp_path, run):
+    from pyspark.sql import functions as F
+
+    from segmint.sources.readers import read_transactions
+
+    sources = run[0]
+    path = str(tmp_path / "tx_by_day")
+    sources["hot"].withColumn("dt", F.to_date("CreateDate")).write.partitionBy("dt").parquet(path)
+    w = observation_window(BASE_DAY, 1, FIRST_TX)
+    df = read_transactions(spark, path, window=w, date_partition="dt")
+    p = plan(df)
+    assert re.search(r"PartitionFilters: \[[^\]]*dt#\d+ >= 2024-05-01", p), p
+    full = read_transactions(spark, path)
+    assert df.count() == full.where((F.col("CreateDate") >= "2024-05-01") & (F.col("CreateDate") < "2024-06-01")).count()
