@@ -64,3 +64,15 @@ def test_elite_coverage_table_matches_oracle_and_reaches_every_grade(spark):
     assert {r["ESByAvgTxVolumePerDay"] for r in usd} >= {0, 1, 2, 3, 4}
     q14 = [r for r in usd if r["ESByAvgTicketSize"] in (1, 2, 3) and r["ESPointsByAvgTicketSize"] == Decimal("100.00")]
     assert q14, "a USD ticket size above its own bound but inside the TRY-cut score band"
+
+
+def test_single_source_matches_oracle(spark):
+    inp = generate(17)
+    inp.tx = {"hot": inp.tx["hot"] + inp.tx["archive"]}
+    sources, users, rates = inp.spark_frames(spark)
+    assert list(sources) == ["hot"]
+    df = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).segments
+    srows = [tuple(r) for r in df.collect()]
+    rel = inp.duckdb().sql(oracle_sql(0))
+    orows = rel.fetchall()
+    assert canonical(df.columns, srows) == canonical(rel.columns, orows), differences(df.columns, srows, rel.columns, orows)
