@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-import oracle
+import segmint_oracle as oracle
 from compare import canonical, differences
 from handmade import elite_inputs, generate, with_hot_keys
 from segmint.plans.pipeline import segment_customers
