@@ -43,8 +43,11 @@ def session(cpus: str, scratch: str) -> SparkSession:
     return spark
 
 
-def event_totals(scratch: str) -> tuple[int, int]:
+def event_totals(scratch: str) -> tuple[int, int, dict[str, float]]:
+    """Jobs, shuffle bytes written, and job seconds per pipeline phase (job description)."""
     jobs, shuffle = 0, 0
+    started: dict[int, tuple[int, str]] = {}
+    phases: dict[str, float] = {}
     for path in glob.glob(f"{scratch}/events/**", recursive=True):
         if not os.path.isfile(path):
             continue
@@ -52,11 +55,18 @@ def event_totals(scratch: str) -> tuple[int, int]:
             for line in fh:
                 if '"SparkListenerJobStart"' in line:
                     jobs += 1
+                    ev = json.loads(line)
+                    desc = (ev.get("Properties") or {}).get("spark.job.description") or "other"
+                    started[ev["Job ID"]] = (ev["Submission Time"], desc.removeprefix("segmint: "))
+                elif '"SparkListenerJobEnd"' in line:
+                    ev = json.loads(line)
+                    t0, desc = started.pop(ev["Job ID"], (ev["Completion Time"], "other"))
+                    phases[desc] = phases.get(desc, 0.0) + (ev["Completion Time"] - t0) / 1000
                 elif '"SparkListenerTaskEnd"' in line:
                     ev = json.loads(line)
                     m = ev.get("Task Metrics") or {}
                     shuffle += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
-    return jobs, shuffle
+    return jobs, shuffle, phases
 
 
 def main() -> None:
@@ -95,7 +105,7 @@ def main() -> None:
             res.release()
     times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     spark.stop()
-    jobs, shuffle = event_totals(scratch)
+    jobs, shuffle, phases = event_totals(scratch)
     runs = len(HEADLINE) * (RUNS + 1)
     print(
         json.dumps(
@@ -109,6 +119,7 @@ def main() -> None:
                 "customers": customers,
                 "jobs_per_run": round(jobs / runs, 1),
                 "shuffle_bytes_per_run": int(shuffle / runs),
+                "job_seconds_per_run_by_phase": {k: round(v / runs, 3) for k, v in sorted(phases.items())},
             }
         )
     )
