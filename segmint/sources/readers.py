@@ -19,8 +19,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", "true")  # strings, cast to the pinned types by conform
+    return reader.load(path)
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    return conform(spark.read.format(fmt).load(path), schema)
+    return conform(_load(spark, path, fmt), schema)
 
 
 def read_transactions(
@@ -37,7 +44,7 @@ def read_transactions(
     window's partition directories are listed and read (the exact ``CreateDate`` filter is
     still applied later).
     """
-    df = spark.read.format(fmt).load(path)
+    df = _load(spark, path, fmt)
     if window is not None and date_partition is not None:
         from segmint.operators.window import day_literal
 

@@ -289,3 +289,15 @@ def test_unstaged_run_equals_staged_run(spark):
     b = segment_customers(spark, sources, users, rates, BASE_DAY, 6, FIRST_TX, stage=False).segments
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_readers_pin_schemas_for_text_formats(spark, tmp_path):
+    from segmint.sources import read_transactions
+    from segmint.sources.schemas import TRANSACTIONS
+
+    sources, _, _ = generate(10, customers=20).spark_frames(spark)
+    path = str(tmp_path / "tx_csv")
+    sources["hot"].write.option("header", "true").csv(path)
+    back = read_transactions(spark, path, "csv")
+    assert back.schema.simpleString() == TRANSACTIONS.simpleString()
+    assert back.exceptAll(sources["hot"]).count() == 0 and back.count() == sources["hot"].count()
