@@ -52,7 +52,8 @@ class Inputs:
         con.execute("CREATE TABLE daily_rates (Date DATE, Price_USDTRY DECIMAL(20,7), recip DECIMAL(20,10))")
         if self.rates:
             con.executemany(
-                "INSERT INTO daily_rates VALUES (?, ?, ?)", [(d, r, Decimal(1) / r) for d, r in self.rates]
+                "INSERT INTO daily_rates VALUES (?, ?, ?)",
+                [(d, r, None if r is None else Decimal(1) / r) for d, r in self.rates],
             )
         return con
 

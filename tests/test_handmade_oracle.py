@@ -76,3 +76,26 @@ def test_single_source_matches_oracle(spark):
     rel = inp.duckdb().sql(oracle_sql(0))
     orows = rel.fetchall()
     assert canonical(df.columns, srows) == canonical(rel.columns, orows), differences(df.columns, srows, rel.columns, orows)
+
+
+def test_null_inputs_match_oracle(spark):
+    """NULL keys, amounts, dates and flags behave as in SQL (grouped, skipped, filtered)."""
+    from datetime import datetime
+
+    inp = generate(23)
+    rows = inp.tx["hot"]
+    rows[0] = (rows[0][0], None, *rows[0][2:])  # no customer
+    rows[1] = (*rows[1][:3], None, *rows[1][4:])  # no amount
+    rows[2] = (*rows[2][:2], None, *rows[2][3:])  # no date
+    rows[3] = (*rows[3][:4], None, *rows[3][5:])  # no cancellation flag
+    rows[4] = (None, *rows[4][1:])  # no Id: not counted, but its day is active
+    inp.users.append((inp.users[0][0] + 10_000, None))
+    inp.users[1] = (inp.users[1][0], None)
+    inp.rates.append((inp.rates[0][0], None))
+    inp.tx["hot"].append((999_999, inp.users[2][0], datetime(2024, 5, 5, 5), None, 0, None, 2, 1))
+    sources, users, rates = inp.spark_frames(spark)
+    df = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).segments
+    srows = [tuple(r) for r in df.collect()]
+    rel = inp.duckdb().sql(oracle_sql(0))
+    orows = rel.fetchall()
+    assert canonical(df.columns, srows) == canonical(rel.columns, orows), differences(df.columns, srows, rel.columns, orows)
