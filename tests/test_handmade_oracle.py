@@ -99,3 +99,16 @@ def test_null_inputs_match_oracle(spark):
     rel = inp.duckdb().sql(oracle_sql(0))
     orows = rel.fetchall()
     assert canonical(df.columns, srows) == canonical(rel.columns, orows), differences(df.columns, srows, rel.columns, orows)
+
+
+def test_three_sources_match_oracle(spark):
+    """Any number of sources: the per-source HAVING and the merge generalise."""
+    inp = generate(29)
+    arch = inp.tx["archive"]
+    inp.tx = {"hot": inp.tx["hot"], "archive": arch[::2], "archive1": arch[1::2]}
+    sources, users, rates = inp.spark_frames(spark)
+    df = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).segments
+    srows = [tuple(r) for r in df.collect()]
+    rel = inp.duckdb().sql(oracle_sql(0))
+    orows = rel.fetchall()
+    assert canonical(df.columns, srows) == canonical(rel.columns, orows), differences(df.columns, srows, rel.columns, orows)
