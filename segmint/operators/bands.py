@@ -68,33 +68,40 @@ def rank_values(hist: DataFrame) -> DataFrame:
     """Adds ``CustomersBefore``, ``ValueRank`` and the metric's total ``MetricCustomers`` to a
     histogram, with bounded windows only.
 
-    The offsets table (one row per bucket) joins back on ``(Metric, Bucket)``, the same
-    partitioning the in-bucket window needs; AQE broadcasts it when its measured size is
-    small, else it stays a sort-merge join on already co-partitioned sides.
+    One window pass over each ``(Metric, Bucket)`` (at most 4,096 values) gives the local
+    running counts and the bucket's totals; the first row of every bucket carries those
+    totals into a window over the buckets of a metric (one row per bucket), whose running
+    sums are the offsets joined back on ``(Metric, Bucket)`` - the partitioning the first
+    window already has. AQE broadcasts the offsets when their measured size is small.
     """
     hb = hist.withColumn("Bucket", F.shiftright(F.col("Value"), BUCKET_BITS))
-    per_bucket = hb.groupBy("Metric", "Bucket").agg(
-        F.sum("Customers").alias("_bc"), F.count(F.lit(1)).alias("_bv")
+    inside = Window.partitionBy("Metric", "Bucket").orderBy("Value")
+    bucket = Window.partitionBy("Metric", "Bucket")
+    local = hb.select(
+        "Metric",
+        "Bucket",
+        "Value",
+        "Customers",
+        F.coalesce(F.sum("Customers").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_lc"),
+        (F.row_number().over(inside) - 1).alias("_lr"),
+        F.sum("Customers").over(bucket).alias("_bc"),
+        F.count(F.lit(1)).over(bucket).alias("_bv"),
     )
     before = Window.partitionBy("Metric").orderBy("Bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("Metric")
-    offsets = per_bucket.select(
+    offsets = local.where(F.col("_lr") == 0).select(
         "Metric",
         "Bucket",
         F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_cb"),
         F.coalesce(F.sum("_bv").over(before), F.lit(0)).alias("_vb"),
         F.sum("_bc").over(whole).alias("MetricCustomers"),
     )
-    inside = Window.partitionBy("Metric", "Bucket").orderBy("Value")
-    return hb.join(offsets, ["Metric", "Bucket"]).select(
+    return local.join(offsets, ["Metric", "Bucket"]).select(
         "Metric",
         "Value",
         "Customers",
-        (
-            F.col("_cb")
-            + F.coalesce(F.sum("Customers").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        ).alias("CustomersBefore"),
-        (F.col("_vb") + F.row_number().over(inside) - 1).alias("ValueRank"),
+        (F.col("_cb") + F.col("_lc")).alias("CustomersBefore"),
+        (F.col("_vb") + F.col("_lr")).alias("ValueRank"),
         "MetricCustomers",
     )
 
