@@ -34,7 +34,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--day", required=True, type=date.fromisoformat, help="any day of the month to segment")
     p.add_argument("--period", required=True, type=int, help="0 (all history), 1, 3, 6, 9 or 12 months")
     p.add_argument("--out", required=True)
-    p.add_argument("--format", default="parquet", help="input format")
+    p.add_argument("--format", default="parquet", help='input format, or "table" for catalog table names')
     p.add_argument("--first-tx-date", type=date.fromisoformat, default=DEFAULT_FIRST_TX_DATE)
     p.add_argument("--cutover", type=date.fromisoformat, default=DEFAULT_CUTOVER)
     p.add_argument("--consistent-specs", action="store_true", help="each metric's own value, population and bound")

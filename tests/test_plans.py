@@ -94,3 +94,23 @@ def test_date_partitioned_sources_prune_partitions(spark, tmp_path, run):
     assert re.search(r"PartitionFilters: \[[^\]]*dt#\d+ >= 2024-05-01", p), p
     full = read_transactions(spark, path)
     assert df.count() == full.where((F.col("CreateDate") >= "2024-05-01") & (F.col("CreateDate") < "2024-06-01")).count()
+
+
+def test_sources_bucketed_by_customer_need_no_activity_shuffle(spark, tmp_path, run):
+    """Catalog tables bucketed by CustomerKey: both activity aggregations run without an
+    exchange (the union keeps the bucketing); only the users side is shuffled to match."""
+    from segmint.sources.readers import read_transactions
+
+    sources, users, rates, _ = run
+    names = {}
+    for n, df in sources.items():
+        names[n] = f"segmint_test_tx_{n}"
+        df.write.bucketBy(4, "CustomerKey").option("path", str(tmp_path / n)).mode("overwrite").saveAsTable(names[n])
+    try:
+        bucketed = {n: read_transactions(spark, t, "table") for n, t in names.items()}
+        p = plan(base_stage(bucketed, users, rates, observation_window(BASE_DAY, 0, FIRST_TX)))
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+        assert all(k.startswith("User_Key#") for k in keys), keys
+    finally:
+        for t in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
