@@ -14,7 +14,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "segmint") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "segmint", conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session configured like the tests and the bench expect."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
