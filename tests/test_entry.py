@@ -27,7 +27,13 @@ def test_entry_returns_two_rows_per_customer(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-@pytest.mark.parametrize("key", ["window_filter", "lrfm_base", "outlier_bounds", "segmentation_full", "segmentation_p12"])
+def _keys():
+    from __spark_entry__ import queries
+
+    return sorted(queries())
+
+
+@pytest.mark.parametrize("key", _keys())
 def test_query_matches_oracle_at_smallest_scale(spark, key):
     from __spark_entry__ import oracle_sql, queries
 
