@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import langid, oracles
+from .chat import format_chat, loss_text, read_chat
+from .common import stage, table
+from .fingerprint import as_text, fingerprint_edits, likeness
 from .pieces import encode_pieces
 from .secrets import BASE_KINDS, scan_secrets
+from .warc import read_archives, write_archives
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -46,7 +50,57 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fingerprint_edits(table(spark, sf_dir, "documents"))
+    return docs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(F.col("fp")).alias("fingerprint"),
+        as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    chats = format_chat(turns.unionByName(extra)).withColumn("back", read_chat(F.col("formatted")))
+    chats = chats.withColumn("loss_text", loss_text(F.col("segments")))
+    listing = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id",
+        F.size("back").cast("long").alias("n_turns"),
+        F.sha2(listing, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.col("valid"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    net = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bundles = stage(write_archives(table(spark, sf_dir, "pages")), "warc")
+    return read_archives(bundles, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_sentencepiece)
+    f.__name__: f
+    for f in (op2_secret_scan, op3_sentencepiece, op5_fingerprint, op7_chat_format, op9_language_id, op10_warc)
 }
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {"op5_fingerprint": oracles.OP5, "op7_chat_format": oracles.OP7, "op10_warc": oracles.OP10}
