@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from . import langid, oracles
 from .chat import format_chat, loss_text, read_chat
+from .chunks import find_repeats
 from .common import stage, table
+from .decontaminate import find_leaks
 from .fingerprint import as_text, fingerprint_edits, likeness
-from .pieces import encode_pieces
+from .pieces import PieceModel, encode_pieces
 from .secrets import BASE_KINDS, scan_secrets
+from .unigram import count_tokens, zipf_scores
 from .warc import read_archives, write_archives
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -25,6 +28,25 @@ def tokenizer_path(name: str = PIECE_MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_repeats(table(spark, sf_dir, "documents"))
+
+    def total(spans: str) -> F.Column:
+        return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+    def listed(spans: str) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        F.size("repeats").cast("long").alias("n_repeats"),
+        total("repeats").alias("repeat_bytes"),
+        total("removable").alias("removable_bytes"),
+        listed("repeats").alias("repeats"),
+        listed("removable").alias("removable"),
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -50,6 +72,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = zipf_scores(PieceModel.load(tokenizer_path()))
+    return count_tokens(table(spark, sf_dir, "documents"), scores, PIECE_MODEL)
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fingerprint_edits(table(spark, sf_dir, "documents"))
     return docs.select(
@@ -63,6 +90,10 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -101,6 +132,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_secret_scan, op3_sentencepiece, op5_fingerprint, op7_chat_format, op9_language_id, op10_warc)
+    for f in (
+        op1_substring_dedup,
+        op2_secret_scan,
+        op3_sentencepiece,
+        op4_token_counts,
+        op5_fingerprint,
+        op6_decontaminate,
+        op7_chat_format,
+        op9_language_id,
+        op10_warc,
+    )
 }
 LLM_ORACLES: dict[str, str] = {"op5_fingerprint": oracles.OP5, "op7_chat_format": oracles.OP7, "op10_warc": oracles.OP10}
