@@ -13,6 +13,7 @@ from .chunks import find_repeats
 from .common import stage, table
 from .decontaminate import find_leaks
 from .fingerprint import as_text, fingerprint_edits, likeness
+from .neardup import near_duplicates
 from .pieces import PieceModel, encode_pieces
 from .secrets import BASE_KINDS, scan_secrets
 from .unigram import count_tokens, zipf_scores
@@ -116,6 +117,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -140,6 +145,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_fingerprint,
         op6_decontaminate,
         op7_chat_format,
+        op8_ngram_join,
         op9_language_id,
         op10_warc,
     )
