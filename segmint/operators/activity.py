@@ -4,13 +4,12 @@ Plan shape (per run, any number of sources):
 
 1. each source is filtered (type predicates and the date window reach the Parquet scan),
    unioned with a ``Source`` tag and joined to the broadcast day-rate table;
-2. ``daily``: one partial aggregate per ``(Source, CustomerKey, day)`` - map-side combined,
-   so a customer holding a large share of all rows is reduced before the shuffle;
-3. ``merge_sources``: one aggregate per customer with the per-source figures side by side;
-   the per-source HAVING is applied to those figures and the kept sources are added up.
-
-Counting distinct active days as days with a valid row avoids the Expand that
-``count(distinct ...)`` next to other aggregates would add.
+2. ``customer_sums``: one aggregate per customer, the only shuffle of the transactions, with
+   the per-source figures side by side and the set of active days per source. It combines
+   map-side, so a customer holding a large share of all rows is one row per map task, and
+   a group's state is bounded by the days of the window;
+3. ``customer_activity`` and ``merge_sources`` are projections of it: the per-source HAVING
+   applied to the figures, as one row per source or added up.
 """
 
 from __future__ import annotations
@@ -58,32 +57,42 @@ def converted_rows(
     return convert_currency(source_rows(sources, window), rates_in_window(rates, window), broadcast_rows, rate_rows)
 
 
-def daily_activity(converted: DataFrame) -> DataFrame:
-    """Per ``(Source, CustomerKey, TxDate)``: valid Ids, valid rows and the two amount sums."""
-    valid = F.col("IsValid")
-    return converted.groupBy("Source", "CustomerKey", F.to_date("CreateDate").alias("TxDate")).agg(
-        F.count(F.when(valid, F.col("Id"))).alias("IdCount"),
-        F.count(F.when(valid, F.lit(1))).alias("ValidRows"),
-        F.sum("Amount").alias("SumAmount"),
-        F.sum("AmountUSD").alias("SumAmountUSD"),
-    )
+def customer_sums(converted: DataFrame, source_names: Sequence[str]) -> DataFrame:
+    """Per ``CustomerKey`` and source ``i``: valid Ids ``_ids<i>``, the set of days with a valid
+    row ``_days<i>`` and the amount sums ``_amt<i>``, ``_usd<i>`` (NULL without any amount).
+
+    First, last and number of active days are read off the set, so neither a second
+    aggregation per day nor the Expand of ``count(distinct ...)`` is needed.
+    """
+    day = F.to_date("CreateDate")
+    aggs: list[Column] = []
+    for i, name in enumerate(source_names):
+        mine = F.col("Source") == name
+        valid = mine & F.col("IsValid")
+        aggs += [
+            F.count(F.when(valid, F.col("Id"))).alias(f"_ids{i}"),
+            F.collect_set(F.when(valid, day)).alias(f"_days{i}"),
+            F.sum(F.when(mine, F.col("Amount"))).alias(f"_amt{i}"),
+            F.sum(F.when(mine, F.col("AmountUSD"))).alias(f"_usd{i}"),
+        ]
+    return converted.groupBy("CustomerKey").agg(*aggs)
 
 
-def customer_activity(daily: DataFrame) -> DataFrame:
+def customer_activity(sums: DataFrame, source_names: Sequence[str]) -> DataFrame:
     """The procedure's per-source subquery: per ``(Source, CustomerKey)`` with HAVING IdCount > 0."""
-    active = F.col("ValidRows") > 0
-    return (
-        daily.groupBy("Source", "CustomerKey")
-        .agg(
-            F.sum("IdCount").alias("IdCount"),
-            F.count(F.when(active, F.lit(1))).alias("CountDistinctDate"),
-            F.min(F.when(active, F.col("TxDate"))).alias("MinCreateDate"),
-            F.max(F.when(active, F.col("TxDate"))).alias("MaxCreateDate"),
-            (-F.sum("SumAmount")).alias("SumAmount"),
-            (-F.sum("SumAmountUSD")).alias("SumAmountUSD"),
+    rows = [
+        F.struct(
+            F.lit(name).alias("Source"),
+            F.col(f"_ids{i}").alias("IdCount"),
+            F.size(f"_days{i}").cast("bigint").alias("CountDistinctDate"),
+            F.array_min(f"_days{i}").alias("MinCreateDate"),
+            F.array_max(f"_days{i}").alias("MaxCreateDate"),
+            (-F.col(f"_amt{i}")).alias("SumAmount"),
+            (-F.col(f"_usd{i}")).alias("SumAmountUSD"),
         )
-        .where(F.col("IdCount") > 0)
-    )
+        for i, name in enumerate(source_names)
+    ]
+    return sums.select("CustomerKey", F.inline(F.array(*rows))).where(F.col("IdCount") > 0)
 
 
 def _narrow(c: Column, dtype: T.DataType) -> Column:
@@ -100,40 +109,27 @@ def _sum_skip_nulls(cols: Sequence[Column], dtype: T.DataType) -> Column:
     return F.when(~all_null, total)
 
 
-def merge_sources(daily: DataFrame, source_names: Sequence[str]) -> DataFrame:
+def merge_sources(sums: DataFrame, source_names: Sequence[str]) -> DataFrame:
     """Per customer, the UNION ALL of the per-source partials re-aggregated.
 
     A source contributes only if the customer has a valid Id in it (per-source HAVING),
     and then with all its amounts; a day active in two sources counts twice.
     """
-    aggs: list[Column] = []
-    for i, name in enumerate(source_names):
-        mine = F.col("Source") == name
-        active = mine & (F.col("ValidRows") > 0)
-        aggs += [
-            F.sum(F.when(mine, F.col("IdCount"))).alias(f"_ids{i}"),
-            F.count(F.when(active, F.lit(1))).alias(f"_days{i}"),
-            F.min(F.when(active, F.col("TxDate"))).alias(f"_first{i}"),
-            F.max(F.when(active, F.col("TxDate"))).alias(f"_last{i}"),
-            F.sum(F.when(mine, F.col("SumAmount"))).alias(f"_amt{i}"),
-            F.sum(F.when(mine, F.col("SumAmountUSD"))).alias(f"_usd{i}"),
-        ]
-    g = daily.groupBy("CustomerKey").agg(*aggs)
-
     idx = range(len(source_names))
-    keep = [F.coalesce(F.col(f"_ids{i}") > 0, F.lit(False)) for i in idx]
+    keep = [F.col(f"_ids{i}") > 0 for i in idx]
 
-    def kept(prefix: str) -> list[Column]:
-        return [F.when(keep[i], F.col(f"{prefix}{i}")) for i in idx]
+    def kept(cols: Sequence[Column]) -> list[Column]:
+        return [F.when(keep[i], cols[i]) for i in idx]
 
-    amt_t = g.schema["_amt0"].dataType
-    usd_t = g.schema["_usd0"].dataType
-    return g.where(reduce(lambda a, b: a | b, keep)).select(
+    ids, days, amt, usd = ([F.col(f"{c}{i}") for i in idx] for c in ("_ids", "_days", "_amt", "_usd"))
+    counts = [F.size(c).cast("bigint") for c in days]
+    firsts, lasts = kept([F.array_min(c) for c in days]), kept([F.array_max(c) for c in days])
+    return sums.where(reduce(lambda a, b: a | b, keep)).select(
         "CustomerKey",
-        _sum_skip_nulls(kept("_ids"), T.LongType()).alias("IdCount"),
-        _sum_skip_nulls(kept("_days"), T.LongType()).alias("CountDistinctDate"),
-        F.least(*kept("_first")).alias("MinCreateDate") if len(idx) > 1 else kept("_first")[0].alias("MinCreateDate"),
-        F.greatest(*kept("_last")).alias("MaxCreateDate") if len(idx) > 1 else kept("_last")[0].alias("MaxCreateDate"),
-        (-_sum_skip_nulls(kept("_amt"), amt_t)).alias("SumAmount"),
-        (-_sum_skip_nulls(kept("_usd"), usd_t)).alias("SumAmountUSD"),
+        _sum_skip_nulls(kept(ids), T.LongType()).alias("IdCount"),
+        _sum_skip_nulls(kept(counts), T.LongType()).alias("CountDistinctDate"),
+        (F.least(*firsts) if len(idx) > 1 else firsts[0]).alias("MinCreateDate"),
+        (F.greatest(*lasts) if len(idx) > 1 else lasts[0]).alias("MaxCreateDate"),
+        (-_sum_skip_nulls(kept(amt), sums.schema["_amt0"].dataType)).alias("SumAmount"),
+        (-_sum_skip_nulls(kept(usd), sums.schema["_usd0"].dataType)).alias("SumAmountUSD"),
     )

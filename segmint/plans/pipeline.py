@@ -2,7 +2,7 @@
 
 Jobs of a run (everything else is lazy and fused by Catalyst):
 
-1. ``base``: scan + filter + broadcast rate join + two aggregations + users join, written
+1. ``base``: scan + filter + broadcast rate join + one aggregation + users join, written
    once to the shared staging folder (every later step reads it).
 2. ``ranked``: the metric histogram with its distributed ranks (small, staged).
 3. one tiny collect: the per-metric bounds and band extents (a few numbers; the extents
@@ -22,7 +22,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmint.operators.activity import converted_rows, daily_activity, merge_sources
+from segmint.operators.activity import converted_rows, customer_sums, merge_sources
 from segmint.operators.bands import (
     Bounds,
     Extent,
@@ -76,8 +76,8 @@ def base_stage(
     rate_rows: int | None = None,
 ) -> DataFrame:
     """U3-U7 + integer values, lazily."""
-    daily = daily_activity(converted_rows(sources, rates, window, broadcast_rows, rate_rows))
-    merged = merge_sources(daily, list(sources))
+    sums = customer_sums(converted_rows(sources, rates, window, broadcast_rows, rate_rows), list(sources))
+    merged = merge_sources(sums, list(sources))
     return with_metric_values(lrfm_base(merged, users, window))
 
 

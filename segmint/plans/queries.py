@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmint.operators.activity import converted_rows, customer_activity, daily_activity, merge_sources, source_rows
+from segmint.operators.activity import converted_rows, customer_activity, customer_sums, merge_sources, source_rows
 from segmint.operators.base import BASE_COLUMNS, lrfm_base
 from segmint.operators.elite import elite_band_rows, elite_columns
 from segmint.operators.grade import band_rows
@@ -100,20 +100,22 @@ def _typed_activity(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def q_customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, rates = _fixture(spark, sf_dir)
-    daily = daily_activity(converted_rows(fx.sources, rates, _window(0)))
-    return _typed_activity(customer_activity(daily), ("Source", "CustomerKey"))
+    names = list(fx.sources)
+    sums = customer_sums(converted_rows(fx.sources, rates, _window(0)), names)
+    return _typed_activity(customer_activity(sums, names), ("Source", "CustomerKey"))
 
 
 def q_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, rates = _fixture(spark, sf_dir)
-    daily = daily_activity(converted_rows(fx.sources, rates, _window(0)))
-    return _typed_activity(merge_sources(daily, list(fx.sources)), ("CustomerKey",))
+    names = list(fx.sources)
+    sums = customer_sums(converted_rows(fx.sources, rates, _window(0)), names)
+    return _typed_activity(merge_sources(sums, names), ("CustomerKey",))
 
 
 def q_lrfm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, rates = _fixture(spark, sf_dir)
-    w = _window(0)
-    merged = merge_sources(daily_activity(converted_rows(fx.sources, rates, w)), list(fx.sources))
+    w, names = _window(0), list(fx.sources)
+    merged = merge_sources(customer_sums(converted_rows(fx.sources, rates, w), names), names)
     return lrfm_base(merged, fx.users, w).select(*BASE_COLUMNS)
 
 
