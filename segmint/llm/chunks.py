@@ -6,12 +6,13 @@ the top bits of the hash are zero (never inside a character); candidates closer
 ``MIN_CHUNK`` to the last cut are passed over and a gap longer than ``MAX_CHUNK`` is cut at
 multiples of it from its start. Chunks are compared by 128-bit digest.
 
-A chunk is shared if its digest occurs in more than one place. Runs of adjacent shared
-chunks of at least ``min_run`` bytes are repeats; of each digest the first place (smallest
-document id, then smallest position) keeps its text and all others are removable.
+A chunk is shared if its digest occurs in more than one document. Runs of adjacent shared
+chunks of at least ``min_run`` bytes are repeats; of each digest the document with the
+smallest id keeps its text, and the places in all others are removable.
 
-Null and empty texts have no chunks and no repeats. Rows with the same id are read as one
-document's rows in any order; a null id is an id of its own, the smallest. Extra columns are ignored.
+Null and empty texts have no chunks and no repeats. Ids are integers; rows with the same
+id are one document, so a text that only repeats itself, or a repeated row, is no repeat.
+A null id counts as one id, the smallest. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,18 +103,17 @@ def chunk_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def shared_chunks(chunks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The chunk rows whose digest occurs in several places; ``kept`` marks the first place.
+    """The chunk rows whose digest occurs in several documents; ``kept`` marks the first one's.
 
-    The first place of every digest is found with a map-side combined aggregate, so a digest
-    that holds a third of all rows is one row per task there. The join back is a
-    plain equi-join, whose hot side adaptive execution splits.
+    The least and greatest id of every digest come from a map-side combined aggregate, so a
+    digest that holds a third of all rows is one row per task there. Its result is written
+    before the join back, so that both sides of the join are plain exchanges, whose hot
+    partitions adaptive execution splits.
     """
-    place = F.struct(F.col(id_col), F.col("start"))
-    # min() skips no null inside a struct, and null sorts first
-    first = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
-    joined = chunks.join(first, "digest")
-    kept = F.col("first")[id_col].eqNullSafe(F.col(id_col)) & (F.col("first.start") == F.col("start"))
-    return joined.select(id_col, "start", "size", kept.alias("kept"))
+    order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    shared = chunks.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first < last")
+    joined = chunks.join(stage(shared.select("digest", "first"), "shared"), "digest")
+    return joined.select(id_col, "start", "size", (F.col("first") == order).alias("kept"))
 
 
 def merge_runs(shared: list[dict], min_run: int) -> tuple[list[dict], list[dict]]:
