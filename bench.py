@@ -70,7 +70,7 @@ def event_totals(scratch: str) -> tuple[int, int, dict[str, float]]:
 
 
 def main() -> None:
-    from segmint.operators.output import write_segments
+    from segmint.operators.output import write_result
     from segmint.operators.rates import daily_rates
     from segmint.plans.pipeline import segment_customers
     from segmint.session import phase
@@ -87,7 +87,7 @@ def main() -> None:
         rates = daily_rates(fx.rates_legacy, fx.rates_current, RATE_CUTOVER)
         res = segment_customers(spark, fx.sources, fx.users, rates, BASE_DAY, period, FIRST_TX_DATE)
         with phase(spark, "result"):
-            write_segments(res.segments, out)
+            write_result(res.segments, out, res.window)
         return res
 
     # warm every query once, then time them round-robin so JIT warm-up favours none

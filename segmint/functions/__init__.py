@@ -7,8 +7,6 @@ from segmint.functions.exact import (
     cents_to_points,
     floor_div,
     ntile_from_rank,
-    percentile_bound,
-    percentile_positions,
     points_cents,
     points_from_rank,
     ratio,
@@ -21,8 +19,6 @@ __all__ = [
     "cents_to_points",
     "floor_div",
     "ntile_from_rank",
-    "percentile_bound",
-    "percentile_positions",
     "points_cents",
     "points_from_rank",
     "ratio",

@@ -76,15 +76,3 @@ def points_from_rank(rn: str, n: str, scale: PointsScale) -> Column:
 def ratio(num: Column, den: Column) -> Column:
     """``coalesce(num / nullif(den, 0), 0)`` as DOUBLE from the exact operands."""
     return F.coalesce(num.cast("double") / F.nullif(den, F.lit(0)).cast("double"), F.lit(0.0))
-
-
-def percentile_positions(n: int, p: int) -> tuple[int, int]:
-    """0-based position ``q`` and remainder ``r`` (in hundredths) of percentile ``p`` of ``n``."""
-    h = p * (n - 1)
-    return h // 100, h % 100
-
-
-def percentile_bound(x_q: int, x_next: int | None, r: int, upper: bool) -> int:
-    """floor (lower) or ceiling (upper) of the interpolated percentile, exactly."""
-    num = x_q * (100 - r) + (x_next * r if r else 0)
-    return -((-num) // 100) if upper else num // 100

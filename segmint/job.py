@@ -5,8 +5,10 @@ application.
         --rates-legacy PATH --rates-current PATH --day 2024-04-20 --period 3 --out PATH
 
 Inputs are read with their schemas pinned (``segmint.sources``); the result replaces only
-its own (month, period) partition of ``--out``. Staged intermediates go to the session's
-``spark.checkpoint.dir`` and are removed once the result is written.
+its own (month, period) partition of the output. Results are the currency rows
+(``--out`` or ``--out-table``) and, if asked for, the wide table with one row per customer
+(``--wide-out`` or ``--wide-table``). Staged intermediates go to ``--staging-dir`` or the
+session's ``spark.checkpoint.dir`` and are removed at the end, also after a failure.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from segmint.operators.output import write_segments
+from segmint.operators.output import write_result, write_result_table
+from segmint.operators.joins import DEFAULT_BROADCAST_ROWS
 from segmint.operators.rates import DEFAULT_CUTOVER, daily_rates
 from segmint.operators.window import DEFAULT_FIRST_TX_DATE, observation_window
 from segmint.plans.pipeline import segment_customers
@@ -33,7 +36,14 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--rates-current", required=True)
     p.add_argument("--day", required=True, type=date.fromisoformat, help="any day of the month to segment")
     p.add_argument("--period", required=True, type=int, help="0 (all history), 1, 3, 6, 9 or 12 months")
-    p.add_argument("--out", required=True)
+    out = p.add_mutually_exclusive_group(required=True)
+    out.add_argument("--out", help="path of the currency rows")
+    out.add_argument("--out-table", help="catalog table of the currency rows")
+    wide = p.add_mutually_exclusive_group()
+    wide.add_argument("--wide-out", help="path of the wide table")
+    wide.add_argument("--wide-table", help="catalog table of the wide rows")
+    p.add_argument("--staging-dir", help="shared folder for intermediates (default: spark.checkpoint.dir)")
+    p.add_argument("--broadcast-rows", type=int, default=DEFAULT_BROADCAST_ROWS, help="rows a broadcast side may have")
     p.add_argument("--format", default="parquet", help='input format, or "table" for catalog table names')
     p.add_argument("--first-tx-date", type=date.fromisoformat, default=DEFAULT_FIRST_TX_DATE)
     p.add_argument("--cutover", type=date.fromisoformat, default=DEFAULT_CUTOVER)
@@ -63,10 +73,19 @@ def main(argv=None) -> None:
     )
     res = segment_customers(
         spark, sources, read_users(spark, args.users, args.format), rates, args.day, args.period,
-        args.first_tx_date, metric_specs, elite_specs,
+        args.first_tx_date, metric_specs, elite_specs, args.broadcast_rows, staging_dir=args.staging_dir,
     )
-    write_segments(res.segments, args.out)
-    res.release()
+    try:
+        if args.out:
+            write_result(res.segments, args.out, window)
+        else:
+            write_result_table(res.segments, args.out_table, window)
+        if args.wide_out:
+            write_result(res.wide, args.wide_out, window)
+        elif args.wide_table:
+            write_result_table(res.wide, args.wide_table, window)
+    finally:
+        res.release()
 
 
 if __name__ == "__main__":

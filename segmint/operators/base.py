@@ -63,9 +63,27 @@ def users_by_key(users: DataFrame) -> DataFrame:
     )
 
 
-def _times(x: Column, copies: Column, scale: int) -> Column:
+def _checked(value: Column, result: Column, what: str) -> Column:
+    """``result``, or an error where it is NULL though ``value`` is not.
+
+    Overflow fails the job, as it does in the procedure, whether or not
+    ``spark.sql.ansi.enabled`` is set: ``result`` is a ``try_`` expression.
+    """
+    error = F.raise_error(F.concat(F.lit(f"{what} out of range: "), value.cast("string")))
+    return F.when(value.isNotNull() & result.isNull(), error).otherwise(result)
+
+
+def _as(value: Column, dtype: T.DataType | str, what: str) -> Column:
+    return _checked(value, value.try_cast(dtype), what)
+
+
+def _times(x: Column, copies: Column, scale: int, what: str) -> Column:
     """Exact ``x * copies``: operand widths chosen so the product needs no rounding."""
-    return x.cast(T.DecimalType(27, scale)) * copies.cast(T.DecimalType(10, 0))
+    return _as(x, T.DecimalType(27, scale), what) * _as(copies, T.DecimalType(10, 0), "user rows")
+
+
+def _count_times(x: Column, copies: Column, what: str) -> Column:
+    return _checked(x, F.try_multiply(x, copies), what)
 
 
 def lrfm_base(activity: DataFrame, users: DataFrame, window: ObservationWindow) -> DataFrame:
@@ -78,8 +96,8 @@ def lrfm_base(activity: DataFrame, users: DataFrame, window: ObservationWindow)
 
     first, last = F.col("MinCreateDate"), F.col("MaxCreateDate")
     length = (F.datediff(last, first) + 1).cast("int")
-    frequency = (F.col("IdCount") * copies).cast("bigint")
-    days = (F.col("CountDistinctDate") * copies).cast("bigint")
+    frequency = _count_times(F.col("IdCount"), copies, "Frequency")
+    days = _count_times(F.col("CountDistinctDate"), copies, "DistinctTxDayCount")
     reg_gap = (
         F.lit(None).cast("int")
         if window.period in LOOKBACK_PERIODS
@@ -98,15 +116,15 @@ def lrfm_base(activity: DataFrame, users: DataFrame, window: ObservationWindow)
         (F.datediff(F.lit(window.base_day), last) - 1).cast("int").alias("Recency"),
         frequency.alias("Frequency"),
         days.alias("DistinctTxDayCount"),
-        _times(F.col("SumAmount"), copies, amt_scale).alias("SumAmount"),
-        _times(F.col("SumAmountUSD"), copies, usd_scale).alias("SumAmountUSD"),
+        _times(F.col("SumAmount"), copies, amt_scale, "SumAmount").alias("SumAmount"),
+        _times(F.col("SumAmountUSD"), copies, usd_scale, "SumAmountUSD").alias("SumAmountUSD"),
     )
     s, su = F.col("SumAmount"), F.col("SumAmountUSD")
     n, ln, d = F.col("Frequency"), F.col("Length"), F.col("DistinctTxDayCount")
     return staged.select(
         *BASE_COLUMNS[:11],
-        s.cast(MONETARY_TYPE).alias("Monetary"),
-        su.cast(MONETARY_TYPE).alias("MonetaryUSD"),
+        _as(s, MONETARY_TYPE, "Monetary").alias("Monetary"),
+        _as(su, MONETARY_TYPE, "MonetaryUSD").alias("MonetaryUSD"),
         ratio(s, n).alias("AvgTicketSize"),
         ratio(su, n).alias("AvgTicketSizeUSD"),
         ratio(s, ln).alias("AvgTxVolumePerDay"),
@@ -118,19 +136,19 @@ def lrfm_base(activity: DataFrame, users: DataFrame, window: ObservationWindow)
     )
 
 
-def _trunc_ratio(num: str, den: str) -> Column:
+def _trunc_ratio(num: str, den: str, what: str) -> Column:
     """``cast(coalesce(num / nullif(den, 0), 0) as int)`` with an exact quotient."""
-    return F.coalesce(F.expr(f"`{num}` div nullif(`{den}`, 0)"), F.lit(0)).cast("int")
+    return _as(F.coalesce(F.expr(f"`{num}` div nullif(`{den}`, 0)"), F.lit(0)), "int", what)
 
 
 def with_metric_values(base: DataFrame) -> DataFrame:
     """Adds the integer values the money metrics are graded on (truncation toward zero)."""
     return base.select(
         "*",
-        F.col("Monetary").cast("int").alias("MonetaryINT"),
-        F.col("MonetaryUSD").cast("int").alias("MonetaryUSDINT"),
-        _trunc_ratio("SumAmount", "Frequency").alias("AvgTicketSizeINT"),
-        _trunc_ratio("SumAmountUSD", "Frequency").alias("AvgTicketSizeUSDINT"),
-        _trunc_ratio("SumAmount", "Length").alias("AvgTxVolumePerDayINT"),
-        _trunc_ratio("SumAmountUSD", "Length").alias("AvgTxVolumePerDayUSDINT"),
+        _as(F.col("Monetary"), "int", "Monetary").alias("MonetaryINT"),
+        _as(F.col("MonetaryUSD"), "int", "MonetaryUSD").alias("MonetaryUSDINT"),
+        _trunc_ratio("SumAmount", "Frequency", "AvgTicketSize").alias("AvgTicketSizeINT"),
+        _trunc_ratio("SumAmountUSD", "Frequency", "AvgTicketSizeUSD").alias("AvgTicketSizeUSDINT"),
+        _trunc_ratio("SumAmount", "Length", "AvgTxVolumePerDay").alias("AvgTxVolumePerDayINT"),
+        _trunc_ratio("SumAmountUSD", "Length", "AvgTxVolumePerDayUSD").alias("AvgTxVolumePerDayUSDINT"),
     )

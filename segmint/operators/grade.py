@@ -140,9 +140,3 @@ def top_score_predicates(specs: Sequence[MetricSpec], bounds: dict[str, Bounds])
         else:
             out[grade_columns(m)[1]] = v > F.lit(b.upper).cast("bigint")
     return out
-
-
-def grade_column_order(specs: Sequence[MetricSpec]) -> list[str]:
-    """Groups of all metrics, then scores, then points (the procedure's column order)."""
-    cols = [grade_columns(m) for m in specs]
-    return [c[0] for c in cols] + [c[1] for c in cols] + [c[2] for c in cols]

@@ -6,11 +6,17 @@ UNION ALL that would evaluate the graded plan twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from segmint.plans.specs import CURRENCY_METRICS
+from segmint.operators.base import BASE_COLUMNS
+from segmint.operators.elite import elite_columns
+from segmint.operators.grade import grade_columns
+from segmint.operators.window import ObservationWindow
+from segmint.plans.specs import CURRENCY_METRICS, EliteSpec, MetricSpec
 
 SHARED_HEAD = (
     "CreateDate",
@@ -159,12 +165,41 @@ def currency_rows(scored: DataFrame, columns: Sequence[str] = RESULT_COLUMNS, cu
     return scored.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def write_segments(segments: DataFrame, path: str, partition_by: Sequence[str] = ("YearMonth", "Period")) -> None:
-    """Replace the result. Partitioned by month and period with dynamic overwrite, so a
-    run replaces only its own (month, period) and earlier runs survive."""
-    (
-        segments.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def wide_columns(metric_specs: Sequence[MetricSpec], elite_specs: Sequence[EliteSpec]) -> list[str]:
+    """Columns of the wide table: base, groups, scores, points, elite scores, elite points."""
+    grades = [grade_columns(m) for m in metric_specs]
+    elites = [elite_columns(e) for e in elite_specs]
+    return [*BASE_COLUMNS, *(g[k] for k in range(3) for g in grades), *(e[k] for k in range(2) for e in elites)]
+
+
+def _own_rows(rows: DataFrame, window: ObservationWindow) -> DataFrame:
+    own = (F.col("YearMonth") == F.lit(window.year_month)) & (F.col("Period") == window.period)
+    return rows.where(own).drop("YearMonth", "Period")
+
+
+def write_result(rows: DataFrame, path: str, window: ObservationWindow) -> None:
+    """Replace the rows of the window's (month, period) under ``path`` (Parquet).
+
+    The partition's own folder is overwritten, so a run without rows leaves an empty
+    partition and never stale ones, and other months and periods survive.
+    """
+    folder = f"{path.rstrip('/')}/YearMonth={window.year_month.isoformat()}/Period={window.period}"
+    _own_rows(rows, window).write.mode("overwrite").parquet(folder)
+
+
+def write_result_table(rows: DataFrame, table: str, window: ObservationWindow) -> None:
+    """U22 for a catalog table, created on first use with the same partitioning."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        rows.limit(0).write.format("parquet").partitionBy("YearMonth", "Period").saveAsTable(table)
+    own = _own_rows(rows, window)
+    view = f"_segmint_result_{uuid.uuid4().hex[:12]}"
+    own.createOrReplaceTempView(view)
+    try:
+        columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in ("YearMonth", "Period"))
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (YearMonth = DATE'{window.year_month.isoformat()}', "
+            f"Period = {window.period}) SELECT {columns} FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)

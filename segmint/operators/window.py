@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -60,3 +61,21 @@ def window_filter(tx: DataFrame, window: ObservationWindow, column: str = "Creat
     dtype = tx.schema[column].dataType
     c = F.col(column)
     return tx.where((c >= day_literal(window.start, dtype)) & (c < day_literal(window.base_day, dtype)))
+
+
+def tag_windows(tx: DataFrame, windows: Sequence[ObservationWindow], column: str = "CreateDate") -> DataFrame:
+    """One row per input row and window it lies in, with the window's ``Period``, in one scan.
+
+    The filter on the span of all windows reaches the scan; empty windows match nothing.
+    """
+    live = [w for w in windows if not w.empty]
+    if not live:
+        return tx.where(F.lit(False)).select(F.lit(0).alias("Period"), "*")
+    dtype = tx.schema[column].dataType
+    c = F.col(column)
+    low, high = min(w.start for w in live), max(w.base_day for w in live)
+    inside = [
+        F.when((c >= day_literal(w.start, dtype)) & (c < day_literal(w.base_day, dtype)), F.lit(w.period)) for w in live
+    ]
+    span = tx.where((c >= day_literal(low, dtype)) & (c < day_literal(high, dtype)))
+    return span.select(F.explode(F.array_compact(F.array(*inside))).alias("Period"), "*")

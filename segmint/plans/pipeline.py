@@ -4,7 +4,8 @@ Jobs of a run (everything else is lazy and fused by Catalyst):
 
 1. ``base``: scan + filter + broadcast rate join + one aggregation + users join, written
    once to the shared staging folder (every later step reads it).
-2. ``ranked``: the metric histogram with its distributed ranks (small, staged).
+2. ``histogram``, ``ranked``: the metric histogram, counted once, and its distributed ranks
+   (both small, staged).
 3. one tiny collect: the per-metric bounds and band extents (a few numbers; the extents
    are read off the percentile positions).
 4. ``graded``: base + one broadcast band lookup probed once per metric (map-only); staged
@@ -37,7 +38,7 @@ from segmint.operators.base import lrfm_base, with_metric_values
 from segmint.operators.elite import assign_elite, elite_bounds, elite_cuts, elite_values, own_elite_cuts
 from segmint.operators.grade import assign_grades, top_score_predicates
 from segmint.operators.joins import DEFAULT_BROADCAST_ROWS
-from segmint.operators.output import currency_rows
+from segmint.operators.output import currency_rows, wide_columns
 from segmint.operators.rates import rates_in_window
 from segmint.operators.window import DEFAULT_FIRST_TX_DATE, ObservationWindow, observation_window
 from segmint.plans.specs import DEFAULT_ELITE_SPECS, DEFAULT_METRIC_SPECS, EliteSpec, MetricSpec
@@ -58,6 +59,7 @@ class SegmentationResult:
     elite_bounds: dict[str, Bounds]
     elite_extents: dict[str, Extent]
     scored: DataFrame  # graded + elite columns
+    wide: DataFrame  # one row per customer: base columns and every grade in both currencies
     segments: DataFrame  # the result: two rows per customer
     stager: Stager | None = None
 
@@ -93,27 +95,46 @@ def segment_customers(
     elite_specs: Sequence[EliteSpec] = DEFAULT_ELITE_SPECS,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     stage: bool = True,
+    staging_dir: str | None = None,
 ) -> SegmentationResult:
     """Segment every customer active in the window ending at ``day``'s month start.
 
     ``sources``: transaction tables by name (the procedure has a hot and an archive one);
-    ``rates``: the output of :func:`segmint.operators.rates.daily_rates`.
+    ``rates``: the output of :func:`segmint.operators.rates.daily_rates`. Intermediates are
+    staged under ``staging_dir`` (default: the session's checkpoint folder) until the
+    result's ``release()``; a failing run removes its own.
     """
-    stager = Stager(spark, enabled=stage)
-    window = observation_window(day, period, first_tx_date)
+    stager = Stager(spark, enabled=stage, root=staging_dir)
+    try:
+        return _segment(
+            spark, stager, sources, users, rates, observation_window(day, period, first_tx_date), metric_specs, elite_specs, broadcast_rows
+        )
+    except BaseException:
+        stager.release()
+        raise
+
 
+def _segment(
+    spark: SparkSession,
+    stager: Stager,
+    sources: Mapping[str, DataFrame],
+    users: DataFrame,
+    rates: DataFrame,
+    window: ObservationWindow,
+    metric_specs: Sequence[MetricSpec],
+    elite_specs: Sequence[EliteSpec],
+    broadcast_rows: int,
+) -> SegmentationResult:
     with phase(spark, "base"):
-        # the window's day rates: at most a few rows per day, counted once and kept for the
-        # broadcast instead of being computed twice
-        day_rates = rates_in_window(rates, window).persist()
+        # the window's day rates: at most a few rows per day, staged and counted once
+        day_rates = stager.stage(rates_in_window(rates, window), "rates")
         base = stager.stage(
             base_stage(sources, users, day_rates, window, broadcast_rows, rate_rows=day_rates.count()), "base"
         )
-        if stage:
-            day_rates.unpersist()
 
     with phase(spark, "ranks"):
-        ranked = stager.stage(rank_values(metric_values(base, metric_specs)), "ranked")
+        histogram = stager.stage(metric_values(base, metric_specs), "histogram")
+        ranked = stager.stage(rank_values(histogram), "ranked")
     with phase(spark, "bounds"):
         bounds_frame = percentile_bounds(ranked, [PercentileSpec(m.name, m.p_low, m.p_high) for m in metric_specs])
         cuts = base_cuts(metric_specs)
@@ -128,7 +149,8 @@ def segment_customers(
     top = top_score_predicates(metric_specs, bounds)
     pop_source = base if all(e.population in top for e in elite_specs) else graded
     with phase(spark, "elite ranks"):
-        eranked = stager.stage(rank_values(elite_values(pop_source, elite_specs, top)), "elite_ranked")
+        ehistogram = stager.stage(elite_values(pop_source, elite_specs, top), "elite_histogram")
+        eranked = stager.stage(rank_values(ehistogram), "elite_ranked")
     with phase(spark, "elite bounds"):
         ebounds_frame = elite_bounds(eranked, elite_specs)
         ebounds, eextents = summarize(eranked, ebounds_frame, elite_cuts(elite_specs), own=own_elite_cuts(elite_specs))
@@ -147,6 +169,7 @@ def segment_customers(
         elite_bounds=ebounds,
         elite_extents=eextents,
         scored=scored,
+        wide=scored.select(*wide_columns(metric_specs, elite_specs)),
         segments=currency_rows(scored),
         stager=stager,
     )

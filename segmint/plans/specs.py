@@ -94,7 +94,7 @@ CONSISTENT_METRIC_SPECS: tuple[MetricSpec, ...] = (
     DEFAULT_METRIC_SPECS[5],
     MetricSpec("AvgTicketSizeUSD", "AvgTicketSizeUSDINT", _ticket("SumAmountUSD", "10")),
     DEFAULT_METRIC_SPECS[7],
-    MetricSpec("AvgTxVolumePerDayUSD", "AvgTxVolumePerDayUSDINT", _volume("SumAmountUSD", "0.15")),
+    MetricSpec("AvgTxVolumePerDayUSD", "AvgTxVolumePerDayUSDINT", _volume("SumAmountUSD", "0.015"), p_low=1, p_high=99),
 )
 
 CONSISTENT_ELITE_SPECS: tuple[EliteSpec, ...] = tuple(

@@ -7,6 +7,7 @@ the lineage: a lost executor never forces a rescan of the fact tables.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -79,12 +80,18 @@ def _context(spark: SparkSession):
 
 
 class Stager:
-    """Writes reused intermediates once, as Parquet, and hands back a reader over them."""
+    """Writes reused intermediates once, as Parquet, and hands back a reader over them.
 
-    def __init__(self, spark: SparkSession, enabled: bool = True):
+    ``root`` is a folder shared by the cluster (default: the session's checkpoint folder).
+    What is not released by the end of the driver process is removed then.
+    """
+
+    def __init__(self, spark: SparkSession, enabled: bool = True, root: str | None = None):
         self.spark = spark
         self.enabled = enabled
-        self.run_dir = f"{staging_root(spark)}/segmint-{uuid.uuid4().hex}" if enabled else None
+        self.run_dir = f"{(root or staging_root(spark)).rstrip('/')}/segmint-{uuid.uuid4().hex}" if enabled else None
+        if enabled:
+            atexit.register(self.release)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         if not self.enabled:
@@ -96,12 +103,12 @@ class Stager:
 
     def release(self) -> None:
         """Delete this run's staged files (through Hadoop's FileSystem, so any shared store
-        works). DataFrames read from them must not be used afterwards."""
+        works). DataFrames read from them must not be used afterwards; calling it again,
+        or after the session has ended, does nothing."""
+        atexit.unregister(self.release)
         sc = _context(self.spark)
-        if not self.run_dir or sc is None:
+        run_dir, self.run_dir = self.run_dir, None
+        if run_dir is None or sc is None or sc._jsc is None:
             return
-        jvm = sc._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.run_dir)
-        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-        fs.delete(path, True)
-
+        path = sc._jvm.org.apache.hadoop.fs.Path(run_dir)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,7 +1,7 @@
 """The shared test fixture: the driver's ``orders`` / ``customer`` tables mapped onto the
 procedure's inputs (two transaction sources, users, two rate sources).
 
-The same mapping is written in SQL for the DuckDB oracle (``segmint.oracle``); both follow
+The same mapping is written in SQL for the DuckDB oracle (``segmint_oracle``); both follow
 FIXTURES.md. Everything here is a projection or a filter of the given tables, so it grows
 with them.
 """
@@ -21,7 +21,6 @@ from segmint.sources.schemas import PRICE, RATES_CURRENT, RATES_LEGACY, TRANSACT
 # Fixed values of the fixture (FIXTURES.md), in natural order.
 BASE_DAY = date(2001, 7, 15)
 FIRST_TX_DATE = date(1995, 1, 1)
-PERIODS = (0, 12, 3)
 ARCHIVE_BEFORE = date(1998, 1, 1)
 RATE_CUTOVER = date(1998, 6, 1)
 RATE_EPOCH = date(1995, 1, 1)

@@ -10,7 +10,7 @@ integer cast rounds). The fixture mapping follows FIXTURES.md.
 
 from __future__ import annotations
 
-from segmint.plans.specs import DEFAULT_ELITE_SPECS, DEFAULT_METRIC_SPECS
+from typing import NamedTuple
 
 BASE_DAY = "2001-07-15"
 FIRST_TX_DATE = "1995-01-01"
@@ -31,8 +31,51 @@ METRIC_SQL = {
     "AvgTxVolumePerDay": ("AvgTxVolumePerDayINT", "AvgTxVolumePerDay >= 0.15"),
     "AvgTxVolumePerDayUSD": ("AvgTxVolumePerDayUSDINT", "AvgTxVolumePerDay >= 0.015"),
 }
-PERCENTILES = {m.name: (m.p_low, m.p_high) for m in DEFAULT_METRIC_SPECS}
-DESCENDING = {m.name for m in DEFAULT_METRIC_SPECS if m.descending}
+# The same with each metric's own currency.
+CONSISTENT_METRIC_SQL = METRIC_SQL | {
+    "MonetaryUSD": ("MonetaryUSDINT", "MonetaryUSD >= 50"),
+    "AvgTicketSizeUSD": ("AvgTicketSizeUSDINT", "AvgTicketSizeUSD >= 10"),
+    "AvgTxVolumePerDayUSD": ("AvgTxVolumePerDayUSDINT", "AvgTxVolumePerDayUSD >= 0.015"),
+}
+# Low and high percentile per metric, and the metrics ranked from high to low.
+PERCENTILES = {
+    "Length": (5, 95),
+    "Recency": (5, 95),
+    "Frequency": (5, 95),
+    "Monetary": (5, 95),
+    "MonetaryUSD": (5, 95),
+    "AvgTicketSize": (5, 95),
+    "AvgTicketSizeUSD": (5, 95),
+    "AvgTxVolumePerDay": (5, 95),
+    "AvgTxVolumePerDayUSD": (1, 99),
+}
+DESCENDING = {"Recency"}
+
+
+class Elite(NamedTuple):
+    name: str
+    band_value: str  # its distinct values form the band
+    bound_value: str  # its 99th percentile is the bound
+    join_value: str  # the customer's own value
+    population: str  # score that must be 5 to be in the population
+    gate: str  # score that must be 5 for a grade
+    score_bound_of: str | None = None  # whose bound cuts the score band
+
+
+ELITES = (
+    Elite("Monetary", "MonetaryINT", "MonetaryINT", "MonetaryINT", "MonetaryScore", "MonetaryScore"),
+    Elite("MonetaryUSD", "MonetaryUSDINT", "MonetaryUSDINT", "MonetaryUSDINT", "MonetaryScore", "MonetaryUSDScore"),
+    Elite("AvgTicketSize", "AvgTicketSizeINT", "AvgTicketSizeINT", "AvgTicketSizeINT", "AvgTicketSizeScore", "MonetaryScore"),
+    Elite("AvgTicketSizeUSD", "AvgTicketSizeUSDINT", "AvgTicketSizeUSDINT", "AvgTicketSizeUSDINT", "AvgTicketSizeUSDScore",
+          "MonetaryScore", "AvgTicketSize"),
+    Elite("AvgTxVolumePerDay", "AvgTxVolumePerDayINT", "AvgTxVolumePerDayINT", "AvgTxVolumePerDayINT", "AvgTxVolumePerDayScore",
+          "MonetaryScore"),
+    Elite("AvgTxVolumePerDayUSD", "AvgTxVolumePerDayINT", "AvgTxVolumePerDayUSDINT", "AvgTxVolumePerDayUSDINT",
+          "AvgTxVolumePerDayUSDScore", "MonetaryScore"),
+)
+CONSISTENT_ELITES = tuple(
+    Elite(e.name, e.join_value, e.join_value, e.join_value, f"{e.name}Score", f"{e.name}Score") for e in ELITES
+)
 
 
 def _fdiv(a: str, b: int) -> str:
@@ -160,10 +203,10 @@ def fixture_ctes(period: int) -> list[str]:
     return [params_cte(period)] + fixture_input_ctes() + core_ctes()
 
 
-def band_ctes() -> list[str]:
+def band_ctes(metric_sql: dict[str, tuple[str, str]] = METRIC_SQL) -> list[str]:
     elig = "\n  UNION ALL\n  ".join(
         f"SELECT '{m}' AS Metric, CAST({v} AS BIGINT) AS Value FROM base WHERE {p} AND {v} IS NOT NULL"
-        for m, (v, p) in METRIC_SQL.items()
+        for m, (v, p) in metric_sql.items()
     )
     pct = ", ".join(f"('{m}', {lo}, {hi})" for m, (lo, hi) in PERCENTILES.items())
     desc = ", ".join(f"'{m}'" for m in DESCENDING)
@@ -236,10 +279,10 @@ def graded_cte() -> str:
     return "graded AS (\n  SELECT t.*,\n    " + ",\n    ".join(cols) + "\n  FROM base t\n  " + "\n  ".join(joins) + ")"
 
 
-def elite_ctes() -> list[str]:
+def elite_ctes(elites: tuple[Elite, ...] = ELITES) -> list[str]:
     ctes = []
-    index = {e.name: i for i, e in enumerate(DEFAULT_ELITE_SPECS)}
-    for i, e in enumerate(DEFAULT_ELITE_SPECS):
+    index = {e.name: i for i, e in enumerate(elites)}
+    for i, e in enumerate(elites):
         ctes += [
             f"""e_ord{i} AS (
   SELECT CAST({e.bound_value} AS BIGINT) AS Value, row_number() OVER (ORDER BY {e.bound_value}) - 1 AS pos,
@@ -261,7 +304,7 @@ def elite_ctes() -> list[str]:
   FROM e_vals{i} v CROSS JOIN e_bnd{index[e.score_bound_of] if e.score_bound_of else i} b WHERE v.Value <= b.UpperBound)""",
         ]
     cols, joins = [], []
-    for i, e in enumerate(DEFAULT_ELITE_SPECS):
+    for i, e in enumerate(elites):
         v = f"t.{e.join_value}"
         joins += [
             f"LEFT JOIN e_sc{i} s{i} ON s{i}.Value = {v}",
@@ -281,11 +324,11 @@ def elite_ctes() -> list[str]:
     ctes.append("scored AS (\n  SELECT t.*,\n    " + ",\n    ".join(cols) + "\n  FROM graded t\n  " + "\n  ".join(joins) + ")")
     ctes.append(
         "elite_bounds AS (\n  "
-        + "\n  UNION ALL\n  ".join(f"SELECT * FROM e_bnd{i}" for i in range(len(DEFAULT_ELITE_SPECS)))
+        + "\n  UNION ALL\n  ".join(f"SELECT * FROM e_bnd{i}" for i in range(len(elites)))
         + ")"
     )
     parts = []
-    for i, e in enumerate(DEFAULT_ELITE_SPECS):
+    for i, e in enumerate(elites):
         parts.append(
             f"SELECT '{e.name}' AS Metric, coalesce(s.Value, p.Value) AS Value, s.Score AS EliteScore, p.Points AS ElitePoints "
             f"FROM e_sc{i} s FULL OUTER JOIN e_pts{i} p ON p.Value = s.Value"
@@ -372,10 +415,10 @@ def full_ctes(period: int) -> list[str]:
     return fixture_ctes(period) + band_ctes() + [graded_cte()] + elite_ctes()
 
 
-WINDOW_PERIODS = (0, 1, 3, 6, 9, 12, 7)
+WINDOW_PERIODS = (0, 1, 3, 6, 9, 12)
 BOUND_PERIODS = (0, 12, 3)
 FULL_PERIODS = {"segmentation_full": 0, "segmentation_p12": 12, "segmentation_p3": 3, "segmentation_p1": 1,
-                "segmentation_p6": 6, "segmentation_p9": 9, "segmentation_p7": 7}
+                "segmentation_p6": 6, "segmentation_p9": 9}
 
 
 def _window_filter_sql() -> str:
@@ -407,6 +450,12 @@ BASE_SELECT = (
     "AvgTxVolumePerDayUSD, AvgTxCountPerDay, DistinctTxDayCount, TxRangeOfDaysFrequency"
 )
 
+WIDE_SELECT = ", ".join(
+    [BASE_SELECT]
+    + [f"{m}{g}" for g in ("Group", "Score", "Points") for m in METRIC_SQL]
+    + [f"EliteSegment{g}_{e.name}" for g in ("Score", "Points") for e in ELITES]
+)
+
 CODES = ("LR", "FM", "LRFM", "FM_ByTicketSize", "LRFM_ByTicketSize", "FM_ByVolumePerDay", "LRFM_ByVolumePerDay",
          "RFM_Score", "RFM_Score_ByTicketSize", "RFM_Score_ByVolumePerDay")
 CURRENCY_VALUES = (
@@ -428,7 +477,7 @@ def oracle_queries() -> dict[str, str]:
     graded = bands + [graded_cte()]
     full0 = full_ctes(0)
     metrics = list(METRIC_SQL)
-    elites = [e.name for e in DEFAULT_ELITE_SPECS]
+    elites = [e.name for e in ELITES]
     q = {
         "window_filter": _window_filter_sql(),
         "daily_rates": with_ctes(fx0, "SELECT Date, Price_USDTRY FROM daily_rates"),
@@ -476,6 +525,7 @@ def oracle_queries() -> dict[str, str]:
         "elite_points": with_ctes(
             full0, "SELECT CustomerKey, " + ", ".join(f"EliteSegmentPoints_{e}" for e in elites) + " FROM scored"
         ),
+        "scored_wide": with_ctes(full0, f"SELECT {WIDE_SELECT} FROM scored"),
         "segment_codes": with_ctes(full0, _currencies(["CustomerKey", "Currency", *CODES])),
         "currency_rows": with_ctes(full0, _currencies(["CustomerKey", "Currency", *CURRENCY_VALUES])),
     }

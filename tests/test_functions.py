@@ -15,13 +15,22 @@ from segmint.functions.exact import (
     ELITE_POINTS,
     floor_div,
     ntile_from_rank,
-    percentile_bound,
-    percentile_positions,
     points_cents,
 )
 from segmint.operators.bands import PercentileSpec, percentile_bounds, rank_values, value_histogram
 
 
+def percentile_positions(n: int, p: int) -> tuple[int, int]:
+    """0-based position and remainder (in hundredths) of percentile ``p`` of ``n`` values."""
+    return divmod(p * (n - 1), 100)
+
+
+def percentile_bound(x_q: int, x_next: int | None, r: int, upper: bool) -> int:
+    """Floor (lower) or ceiling (upper) of the interpolated percentile."""
+    num = x_q * (100 - r) + (x_next * r if r else 0)
+    return -((-num) // 100) if upper else num // 100
+
+
 @pytest.mark.parametrize("buckets", [2, 3])
 def test_ntile_from_rank_equals_spark_ntile(spark, buckets):
     df = spark.range(1, 121).select(F.col("id").alias("n")).select(

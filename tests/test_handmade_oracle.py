@@ -14,13 +14,13 @@ BASE_DAY = date(2024, 6, 20)
 FIRST_TX = date(2023, 1, 1)
 
 
-def oracle_sql(period: int) -> str:
+def oracle_sql(period: int, metric_sql=oracle.METRIC_SQL, elites=oracle.ELITES) -> str:
     ctes = (
         [oracle.params_cte(period, BASE_DAY.isoformat(), FIRST_TX.isoformat())]
         + oracle.core_ctes()
-        + oracle.band_ctes()
+        + oracle.band_ctes(metric_sql)
         + [oracle.graded_cte()]
-        + oracle.elite_ctes()
+        + oracle.elite_ctes(elites)
     )
     return oracle.with_ctes(ctes, oracle._currencies(None))
 
@@ -43,6 +43,36 @@ def test_pipeline_matches_oracle(spark, seed, period):
     assert canonical(scols, srows) == canonical(ocols, orows), differences(scols, srows, ocols, orows)
 
 
+@pytest.mark.parametrize("period", [0, 3])
+def test_consistent_specs_match_their_oracle(spark, period):
+    from segmint.plans.specs import CONSISTENT_ELITE_SPECS, CONSISTENT_METRIC_SPECS
+
+    inp = generate(11)
+    sources, users, rates = inp.spark_frames(spark)
+    df = segment_customers(
+        spark, sources, users, rates, BASE_DAY, period, FIRST_TX, CONSISTENT_METRIC_SPECS, CONSISTENT_ELITE_SPECS
+    ).segments
+    srows = [tuple(r) for r in df.collect()]
+    rel = inp.duckdb().sql(oracle_sql(period, oracle.CONSISTENT_METRIC_SQL, oracle.CONSISTENT_ELITES))
+    orows = rel.fetchall()
+    assert canonical(df.columns, srows) == canonical(rel.columns, orows), differences(df.columns, srows, rel.columns, orows)
+
+
+def test_a_wrong_spec_turns_the_comparison_red(spark):
+    """The oracle has its own constants: altering one spec of the engine shows."""
+    from dataclasses import replace
+
+    from segmint.plans.specs import DEFAULT_METRIC_SPECS
+
+    inp = generate(1)
+    sources, users, rates = inp.spark_frames(spark)
+    specs = [replace(m, p_high=90) if m.name == "Monetary" else m for m in DEFAULT_METRIC_SPECS]
+    df = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX, specs).segments
+    rel = inp.duckdb().sql(oracle_sql(0))
+    assert canonical(df.columns, [tuple(r) for r in df.collect()]) != canonical(rel.columns, rel.fetchall())
+    assert "segmint." not in open(oracle.__file__).read().replace("segmint_oracle", "")
+
+
 @pytest.mark.parametrize("seed,period", [(41, 0), (42, 3)])
 def test_hot_customer_and_hot_value_match_oracle(spark, seed, period):
     scols, srows, ocols, orows = run_both(spark, seed, period, hot=True)

@@ -67,6 +67,22 @@ def test_grading_is_map_only_when_bands_fit(run):
         assert "BroadcastHashJoin" in p
 
 
+def test_each_histogram_is_computed_once(run):
+    """The histograms are written tables: ranking joins two reads of them, not of the base."""
+    import os
+
+    from segmint.operators.bands import metric_values, rank_values
+    from segmint.plans.specs import DEFAULT_METRIC_SPECS
+
+    res = run[3]
+    folder = re.sub("^file:/+", "/", res.stager.run_dir)
+    assert set(os.listdir(folder)) == {"rates", "base", "histogram", "ranked", "elite_histogram", "elite_ranked"}
+    assert plan(metric_values(res.base, DEFAULT_METRIC_SPECS)).count("FileScan parquet") == 1
+    ranking = plan(rank_values(res.base.sparkSession.read.parquet(f"{folder}/histogram")))
+    reads = re.findall(r"ReadSchema: struct<([^>]*)>", ranking)
+    assert reads and all(r.startswith("Metric:string,Value:bigint") for r in reads), ranking
+
+
 def test_elite_populations_do_not_rejoin_the_grades(run):
     from segmint.operators.elite import elite_values
     from segmint.operators.grade import top_score_predicates

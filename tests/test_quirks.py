@@ -196,15 +196,42 @@ def test_daily_rates_cutover_and_duplicates(spark):
     assert got == [(date(2024, 2, 5), D("30")), (date(2024, 2, 5), D("31")), (date(2024, 2, 6), D("30.0000015"))]
 
 
-def test_monetary_overflow_fails_like_the_procedure(spark):
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_monetary_overflow_fails_like_the_procedure(spark, ansi):
     inp = Inputs()
     inp.rates = [(date(2024, 5, 1), D("1"))]
-    inp.tx["hot"] += [tx(i, 1, "2024-05-01", "-9999999999999.99") for i in range(1, 3)]
+    inp.tx["hot"] += [tx(i, 1, "2024-05-01", "-50000000.00") for i in range(1, 3)]
     inp.users = [user(1)]
-    with pytest.raises(PySparkException):
+    with pytest.raises(PySparkException, match="Monetary(USD)? out of range"):
         base_rows(spark, inp)
 
 
+def test_largest_monetary_is_kept(spark, ansi):
+    inp = Inputs()
+    inp.rates = [(date(2024, 5, 1), D("1"))]
+    inp.tx["hot"] += [tx(1, 1, "2024-05-01", "-99999999.99")]
+    inp.users = [user(1)]
+    assert [r.Monetary for r in base_rows(spark, inp).values()] == [D("99999999.99")]
+
+
+def test_integer_values_out_of_range_fail(spark, ansi):
+    from segmint.operators.base import with_metric_values
+
+    row = spark.sql(
+        "SELECT CAST(1 AS DECIMAL(18,10)) AS Monetary, CAST(1 AS DECIMAL(18,10)) AS MonetaryUSD, "
+        "CAST(3000000000 AS DECIMAL(38,2)) AS SumAmount, CAST(1 AS DECIMAL(38,15)) AS SumAmountUSD, 1L AS Frequency, 2 AS Length"
+    )
+    with pytest.raises(PySparkException, match="AvgTicketSize out of range"):
+        with_metric_values(row).collect()
+    assert with_metric_values(row.withColumn("Frequency", F.lit(2))).first().AvgTicketSizeINT == 1500000000
+
+
 def test_consistent_specs_change_only_the_cross_wired_columns(spark):
     sources, users, rates = generate(4).spark_frames(spark)
     a = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).scored
@@ -217,21 +244,67 @@ def test_consistent_specs_change_only_the_cross_wired_columns(spark):
     assert a.select(*a.columns).exceptAll(b.select(*a.columns)).count() > 0
 
 
-def test_write_segments_replaces_only_its_partition(spark, tmp_path):
-    from segmint.operators.output import write_segments
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_result_replaces_exactly_its_partition(spark, tmp_path, kind):
+    """Re-runs replace, a run without rows leaves none, and other partitions stay intact."""
+    from segmint.operators.output import write_result, write_result_table
+
+    sources, users, rates = generate(5, customers=60).spark_frames(spark)
+    runs = {p: segment_customers(spark, sources, users, rates, BASE_DAY, p, FIRST_TX) for p in (0, 3)}
+    nothing = {n: df.limit(0) for n, df in sources.items()}
+    empty = segment_customers(spark, nothing, users, rates, BASE_DAY, 3, FIRST_TX)
+    target = str(tmp_path / "out") if kind == "path" else "segmint_test_result"
+    write = write_result if kind == "path" else write_result_table
+
+    def back():
+        if kind == "path":
+            return spark.read.parquet(target)
+        spark.catalog.refreshTable(target)
+        return spark.table(target)
+
+    try:
+        for frame in ("segments", "wide"):
+            if kind == "path":
+                target = str(tmp_path / frame)
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS {target}")
+            rows = {p: getattr(r, frame) for p, r in runs.items()}
+            for p in (0, 3, 3):  # the second run of period 3 replaces the first
+                write(rows[p], target, runs[p].window)
+            cols = rows[0].columns
+            for p in (0, 3):
+                found = back().where(f"Period = {p}")
+                assert found.count() == rows[p].count() > 0
+                assert found.select(*cols).exceptAll(rows[p]).count() == 0
+            write(getattr(empty, frame), target, empty.window)
+            assert back().where("Period = 3").count() == 0
+            assert back().where("Period = 0").count() == rows[0].count()
+    finally:
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
+
+
+def test_unsupported_period_gives_no_rows(spark):
+    sources, users, rates = generate(5, customers=30).spark_frames(spark)
+    res = segment_customers(spark, sources, users, rates, BASE_DAY, 7, FIRST_TX)
+    assert res.segments.count() == 0 and res.wide.count() == 0
+
+
+def test_staged_files_go_after_release_and_after_a_failure(spark, tmp_path):
+    import os
 
-    sources, users, rates = generate(5).spark_frames(spark)
-    out = str(tmp_path / "segments")
-    r0 = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).segments
-    r3 = segment_customers(spark, sources, users, rates, BASE_DAY, 3, FIRST_TX).segments
-    write_segments(r0, out)
-    write_segments(r3, out)
-    write_segments(r3, out)  # rerun replaces, does not append
-    back = spark.read.parquet(out)
-    assert back.where("Period = 0").count() == r0.count()
-    assert back.where("Period = 3").count() == r3.count()
-    cols = [c for c in r0.columns if c not in ("YearMonth", "Period")]
-    assert back.where("Period = 0").select(*cols).exceptAll(r0.select(*cols)).count() == 0
+    sources, users, rates = generate(5, customers=30).spark_frames(spark)
+    root = tmp_path / "staging"
+    root.mkdir()
+    res = segment_customers(spark, sources, users, rates, BASE_DAY, 3, FIRST_TX, staging_dir=f"file://{root}")
+    assert len(os.listdir(root)) == 1
+    res.release()
+    res.release()
+    assert os.listdir(root) == []
+    bad = rates.withColumn("Price_USDTRY", F.expr("if(Price_USDTRY > 0, raise_error('no rate'), Price_USDTRY)"))
+    with pytest.raises(PySparkException, match="no rate"):
+        segment_customers(spark, sources, users, bad, BASE_DAY, 3, FIRST_TX, staging_dir=f"file://{root}")
+    assert os.listdir(root) == []
 
 
 def test_bands_too_large_to_broadcast_take_the_shuffle_path(spark):
@@ -269,15 +342,19 @@ def test_job_entry_point_runs_end_to_end(spark, tmp_path):
     rates.write.parquet(paths["legacy"])
     paths["current"] = str(tmp_path / "current")
     spark.createDataFrame([], "Tarih date, `USD-A` decimal(18,6), `USD-S` decimal(18,6)").write.parquet(paths["current"])
-    out = str(tmp_path / "out")
+    out, wide, staging = str(tmp_path / "out"), str(tmp_path / "wide"), tmp_path / "staging"
+    staging.mkdir()
     job.main([
         "--hot", paths["hot"], "--archive", paths["archive"], "--users", paths["users"],
         "--rates-legacy", paths["legacy"], "--rates-current", paths["current"],
         "--day", BASE_DAY.isoformat(), "--period", "3", "--out", out, "--first-tx-date", FIRST_TX.isoformat(),
-        "--cutover", "2100-01-01",
+        "--cutover", "2100-01-01", "--wide-out", wide, "--staging-dir", f"file://{staging}",
     ])
+    assert list(staging.iterdir()) == []
     written = spark.read.parquet(out)
-    direct = segment_customers(spark, sources, users, rates, BASE_DAY, 3, FIRST_TX).segments
+    run = segment_customers(spark, sources, users, rates, BASE_DAY, 3, FIRST_TX)
+    direct = run.segments
+    assert spark.read.parquet(wide).count() == run.wide.count() == direct.count() / 2
     cols = [c for c in direct.columns if c not in ("YearMonth", "Period")]
     assert written.count() == direct.count() > 0
     assert written.select(*cols).exceptAll(direct.select(*cols)).count() == 0
