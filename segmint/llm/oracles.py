@@ -73,3 +73,24 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
   CASE WHEN newest <> page_id THEN newest END AS refers_to
 FROM p LEFT JOIN m ON m.d = p.d
 """
+
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS words FROM documents),
+s AS (SELECT doc_id, words, CAST(len(words) AS INT) AS m, CAST(least(5, len(words)) AS INT) AS k FROM w WHERE len(words) > 0),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + k - 1], ' ') AS gram
+  FROM (SELECT doc_id, words, k, unnest(range(1, m - k + 2)) AS i FROM s)),
+n AS (SELECT doc_id, count(*) AS c FROM g GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS z FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y, z = nx.c AND z = ny.c AS same
+  FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE z >= 0.8 * (nx.c + ny.c - z) - 1e-9),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+classes AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
+counts AS (SELECT x AS doc_id, count(*) AS n_links, min(CASE WHEN same THEN y END) AS copy FROM links GROUP BY x)
+SELECT doc_id, class_id, least(doc_id, coalesce(copy, doc_id)) AS copy_id, coalesce(n_links, 0) AS n_links
+FROM classes LEFT JOIN counts USING (doc_id)
+"""

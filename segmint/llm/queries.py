@@ -150,4 +150,4 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_warc,
     )
 }
-LLM_ORACLES: dict[str, str] = {"op5_fingerprint": oracles.OP5, "op7_chat_format": oracles.OP7, "op10_warc": oracles.OP10}
+LLM_ORACLES: dict[str, str] = {"op5_fingerprint": oracles.OP5, "op7_chat_format": oracles.OP7, "op8_ngram_join": oracles.OP8, "op10_warc": oracles.OP10}
