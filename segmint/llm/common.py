@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +23,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: a lost executor costs a reread, not a recomputation. The files
     go when the driver's Python process ends.
     """
-    stager = Stager(df.sparkSession)
-    atexit.register(_release, stager)
-    return stager.stage(df, f"{name}-{uuid.uuid4().hex[:8]}")
-
-
-def _release(stager: Stager) -> None:
-    if stager.spark.sparkContext._jsc is not None:  # the session may have ended first
-        stager.release()
+    return Stager(df.sparkSession).stage(df, name)
 
 
 def text_column(batch: pa.RecordBatch, name: str = "text") -> list[str]:
