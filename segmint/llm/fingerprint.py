@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 LANES = 60
 MODULUS = 1 << 32
-CELL = 64  # fan-out of the two-step bucket search
+CELL = 256  # fan-out of the two-step bucket search
+MAX_BUCKETS = CELL * CELL  # beyond 262 million rows the buckets grow instead
 
 
 def paragraphs(text: Column) -> Column:
@@ -98,38 +99,42 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
+def _longs(values: list[int]) -> Column:
+    """A constant array; parsed from one string, which the optimizer folds to a literal."""
+    return F.from_json(F.lit(str(values)), "array<bigint>")
+
+
 def with_next(df: DataFrame, key: str, columns: list[str], ties: str, rows_per_bucket: int = 4000) -> DataFrame:
     """Every row with struct ``next``: ``columns`` of the row that follows by ``key``.
 
     After the last row comes the first. Rows are cut into buckets of about equal size at
     keys that exist in the table; the row at a cut is also sent to the bucket before it, so
-    each bucket finds its successors alone and no window spans the table. Equal keys are
-    ordered by ``ties``; a null key comes first.
+    each bucket finds its successors alone and no window spans the table. The cuts are one
+    constant of at most ``MAX_BUCKETS`` longs. Equal keys are ordered by ``ties``; a null
+    key comes first.
     """
     order = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
     df = df.withColumn("_order", order)
     stats = df.agg(F.count(F.lit(1)), F.min("_order")).first()
     if not stats[0]:
         return df.withColumn("next", F.struct(*[F.col(c) for c in columns])).drop("_order")
-    buckets = math.ceil(stats[0] / rows_per_bucket)
+    buckets = min(MAX_BUCKETS, math.ceil(stats[0] / rows_per_bucket))
     cuts: list[int] = []
     if buckets > 1:
         shares = [i / buckets for i in range(1, buckets)]
         found = df.agg(F.percentile_approx("_order", shares, 20 * buckets)).first()[0]
         cuts = sorted(set(found) - {stats[1]})
-    n = F.lit(0)
+    bucket, is_cut = F.lit(0), F.lit(False)
     if cuts:
-        longs = "array<bigint>"
-        fine = F.array(*[F.lit(c) for c in cuts]).cast(longs)
-        coarse = F.array(*[F.lit(c) for c in cuts[::CELL]]).cast(longs)
+        coarse, fine = _longs(cuts[::CELL]), _longs(cuts)
 
         def below(values: Column) -> Column:
             return F.size(F.filter(values, lambda c: c <= F.col("_order")))
 
         cell = F.greatest(below(coarse) - 1, F.lit(0)) * CELL
-        n = cell + below(F.slice(fine, cell + 1, CELL))
-    df = df.withColumn("_bucket", n)
-    is_cut = F.col("_order").isin(cuts) if cuts else F.lit(False)
+        own = F.slice(fine, cell + 1, CELL)
+        bucket, is_cut = cell + below(own), F.array_contains(own, F.col("_order"))
+    df = df.withColumn("_bucket", bucket)
 
     def place(bucket: Column, late: int) -> Column:
         return F.struct(bucket.cast("int").alias("bucket"), F.lit(late).alias("late"))
