@@ -19,7 +19,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from segmint.operators.output import write_result, write_result_table
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS
+from segmint.operators.joins import DEFAULT_BROADCAST_BYTES, rows_within
 from segmint.operators.rates import DEFAULT_CUTOVER, daily_rates
 from segmint.operators.window import DEFAULT_FIRST_TX_DATE, observation_window
 from segmint.plans.pipeline import segment_customers
@@ -43,7 +43,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     wide.add_argument("--wide-out", help="path of the wide table")
     wide.add_argument("--wide-table", help="catalog table of the wide rows")
     p.add_argument("--staging-dir", help="shared folder for intermediates (default: spark.checkpoint.dir)")
-    p.add_argument("--broadcast-rows", type=int, default=DEFAULT_BROADCAST_ROWS, help="rows a broadcast side may have")
+    p.add_argument(
+        "--broadcast-mb", type=int, default=DEFAULT_BROADCAST_BYTES >> 20, help="size up to which a side of a join is broadcast"
+    )
     p.add_argument("--format", default="parquet", help='input format, or "table" for catalog table names')
     p.add_argument("--first-tx-date", type=date.fromisoformat, default=DEFAULT_FIRST_TX_DATE)
     p.add_argument("--cutover", type=date.fromisoformat, default=DEFAULT_CUTOVER)
@@ -73,7 +75,7 @@ def main(argv=None) -> None:
     )
     res = segment_customers(
         spark, sources, read_users(spark, args.users, args.format), rates, args.day, args.period,
-        args.first_tx_date, metric_specs, elite_specs, args.broadcast_rows, staging_dir=args.staging_dir,
+        args.first_tx_date, metric_specs, elite_specs, rows_within(args.broadcast_mb << 20), staging_dir=args.staging_dir,
     )
     try:
         if args.out:

@@ -12,13 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows, not bytes: every table broadcast here is a handful of narrow columns.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Every table broadcast here is a handful of narrow columns; a row of the widest one (the
+# grading lookup: struct key, two integers, a decimal) takes about this much when hashed.
+LOOKUP_ROW_BYTES = 96
+DEFAULT_BROADCAST_BYTES = 192 << 20
 
 
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """``min(count, limit + 1)`` without counting past the limit."""
-    return df.limit(limit + 1).count()
+def rows_within(limit_bytes: int) -> int:
+    """Lookup rows that fit a broadcast of ``limit_bytes``."""
+    return limit_bytes // LOOKUP_ROW_BYTES
+
+
+DEFAULT_BROADCAST_ROWS = rows_within(DEFAULT_BROADCAST_BYTES)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS, rows: int | None = None) -> tuple[DataFrame, bool]:
@@ -26,7 +31,7 @@ def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS, rows:
 
     ``rows`` may pass a count that is already known, to skip the counting job.
     """
-    n = bounded_count(df, limit) if rows is None else rows
+    n = df.count() if rows is None else rows  # partial counts per task
     return (F.broadcast(df), True) if n <= limit else (df, False)
 
 
