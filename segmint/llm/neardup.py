@@ -318,6 +318,8 @@ def near_duplicates(
         "digest", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
+    # written first, so that the join below has two plain exchanges, whose hot digests are split
+    known = stage(known, "known")
     alone = described.where("id IS NULL OR digest IS NULL").select("id", F.col("id").alias("class_id"), F.col("id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
     return (
         taking_part.select("id", "digest").join(known, "digest").select("id", "class_id", "copy_id", "n_links")
