@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stage
+
 INDEX_MAGIC = 0x184D2A50  # skippable frame
 SEEK_MAGIC = 0x184D2A5E  # skippable frame of the seek table
 SEEKABLE = 0x8F92EAB1  # last four bytes of a seekable file
@@ -168,12 +170,14 @@ def plan_records(pages: DataFrame, min_revisit: int = 1000) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long"), "url", F.encode(html, "UTF-8").alias("payload")).withColumns(
         {"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")}
     )
-    # only payload groups of two or more rows travel to the join
+    # only payload groups of two or more rows travel to the join; they are written first, so
+    # that both sides of the join are plain exchanges, whose hot digests are split
     copies = (
         rows.where(F.col("payload_bytes") >= min_revisit)
         .groupBy("payload_digest").agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("n"))
         .where("n > 1 AND newest IS NOT NULL").drop("n")
     )
+    copies = stage(copies, "copies")
     revisit = F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
     return rows.join(copies, "payload_digest", "left").select(
         "page_id", "url", "payload_bytes", "payload_digest",
