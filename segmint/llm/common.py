@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,46 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return Stager(df.sparkSession).stage(df, name)
 
 
+class Memo(dict):
+    """A memo of ``compute`` that holds at most two generations of ``limit`` entries.
+
+    When the young generation is full it becomes the old one, and old entries that are asked
+    for come back, so frequent keys stay. ``memo[key]`` computes what it does not hold.
+    """
+
+    def __init__(self, compute: Callable, limit: int):
+        self.compute, self.limit, self.old = compute, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        return self.put(key, value)
+
+    def put(self, key, value):
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
+
+_FORGET: dict[str, Callable[[], None]] = {}
+
+
+def only_memo(name: str, forget: Callable[[], None]) -> None:
+    """Called where a task starts to use a process-wide memo: the memos of other operators in
+    this (reused) worker process are dropped, so that only one of them takes memory."""
+    for other, drop in _FORGET.items():
+        if other != name:
+            drop()
+    _FORGET[name] = forget
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of an Arrow batch; null counts as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
@@ -39,7 +79,7 @@ def list_array(parts: list[np.ndarray], value_type: pa.DataType) -> pa.ListArray
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=value_type))
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``max_bytes`` per slice (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:

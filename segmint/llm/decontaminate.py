@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stage, text_column
+from .common import only_memo, small_batches, stage, text_column
 
 WORD = re.compile(r"\w+")
 SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
@@ -220,6 +220,7 @@ def find_leaks(
 
     def scan(index: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            only_memo("index", lambda: None)
             for batch in small_batches(batches, text_col):
                 owner, found = [], []
                 for i, text in enumerate(text_column(batch, text_col)):
@@ -248,6 +249,7 @@ def drop_leaks(
 
     def keep(index: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            only_memo("index", lambda: None)
             for batch in small_batches(batches, text_col):
                 clean = [not index.value.matches(t, threshold, question, answer) for t in text_column(batch, text_col)]
                 yield batch.filter(pa.array(clean, pa.bool_()))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import only_memo, small_batches
 
 HIDDEN = 8
 WINDOW = 64
@@ -246,8 +246,9 @@ def predict(df: DataFrame, net: ByteNet | None, carry: tuple[str, ...] = ("doc_i
     columns = list(dict.fromkeys([*carry, text_col]))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo("langid", lambda: None)
         model = shared.value
-        for batch in small_batches(batches, text_col):
+        for batch in small_batches(batches, text_col, 1 << 20):
             texts = batch.column(text_col).to_pylist()
             known = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
             names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stage, text_column
+from .common import Memo, only_memo, small_batches, stage, text_column
 from .graph import connected_components
 
 WORD = re.compile(r"\w+")
@@ -36,7 +36,7 @@ GRAM = 5
 BANDS, ROWS = 30, 5
 BLOCK = 256  # classes of a block, about
 ROUND = 30  # MinHash values compared at a time
-MEMO_WORDS = 800_000
+MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
 
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,17 +44,7 @@ _ADD = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 _MIX = _rng.integers(0, 1 << 63, max(GRAM, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _WordHash(dict):
-    """Memo of 64-bit word hashes."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_HASH = _WordHash()
+_HASH = Memo(xxhash.xxh64_intdigest, MEMO_WORDS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -116,6 +106,7 @@ def _describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, digest of the set (null if empty) and band keys of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo("grams", _HASH.forget)
         for batch in small_batches(batches, text_col):
             digests, keys = [], []
             for text in text_column(batch, text_col):
@@ -134,6 +125,7 @@ def _sets(df: DataFrame) -> DataFrame:
     """digest, MinHash values and grams of (text) rows, as binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memo("grams", _HASH.forget)
         for batch in small_batches(batches, "text", 2 << 20):
             sets = [x for x in map(grams, text_column(batch, "text")) if len(x)]
             columns = [[set_digest(x) for x in sets], [signature(x).tobytes() for x in sets], [x.tobytes() for x in sets]]

@@ -25,12 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import list_array, small_batches, text_column
+from .common import Memo, list_array, only_memo, small_batches, text_column
 
 SPACE = "\u2581"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-MEMO_WORDS = 800_000  # words kept per Python process; the memo restarts beyond it
-MEMO_PAIRS = 1_000_000
+MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
+MEMO_PAIRS = 100_000
 
 
 @dataclass(frozen=True)
@@ -76,8 +76,8 @@ class PieceEncoder:
         self.runs = re.compile(f"[{chars}]+|[^{chars}]+")
         self.known = {p for p in self.ids if len(p) == 1}
         self.shorter: dict[str, int] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.pairs = Memo(self._merges_to, MEMO_PAIRS)
+        self.words = Memo(self._packed, MEMO_WORDS)
         self.decoded = [b"" if i in model.special else p.replace(SPACE, " ").encode() for i, p in enumerate(model.pieces)]
         for value, i in enumerate(model.byte_ids):
             self.decoded[i] = bytes([value])
@@ -101,14 +101,10 @@ class PieceEncoder:
                 gains[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
-    def compatible(self, left: str, right: str) -> bool:
-        """Whether merging the joined text gives back the two tokens (one, if ``left`` is empty)."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= MEMO_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
-        return known
+    def _merges_to(self, pair: tuple[str, str]) -> bool:
+        """Whether merging the joined text gives back the two tokens (one, if the left is empty)."""
+        left, right = pair
+        return self.merge(left + right) == ([left, right] if left else [right])
 
     def shorter_prefix(self, piece: str) -> int:
         """Length of the longest proper prefix that is a piece; 0 if there is none."""
@@ -137,10 +133,7 @@ class PieceEncoder:
             end = at + size
             piece = text[at:end]
             if not (tried and failed[end >> 3] >> (end & 7) & 1):
-                fits = pairs.get((last, piece))
-                if fits is None:
-                    fits = self.compatible(last, piece)
-                if fits:
+                if pairs[last, piece]:
                     tokens.append(piece)
                     if end == n:
                         return [self.ids[t] for t in tokens]
@@ -168,15 +161,8 @@ class PieceEncoder:
                 out += [self.byte_ids[b] for b in run.encode("utf-8", "surrogatepass")]
         return out
 
-    def packed(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = np.array(self.encode_word(word), dtype=np.int32).tobytes()
-            if len(word) <= 64:
-                if len(self.words) >= MEMO_WORDS:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
+    def _packed(self, word: str) -> bytes:
+        return np.array(self.encode_word(word), dtype=np.int32).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text as int32."""
@@ -184,10 +170,8 @@ class PieceEncoder:
             return np.empty(0, dtype=np.int32)
         words = _WORD.findall(SPACE + text.replace(" ", SPACE))
         known = self.words
-        try:
-            return np.frombuffer(b"".join([known[w] for w in words]), dtype=np.int32)
-        except KeyError:  # some word is new
-            return np.frombuffer(b"".join(map(self.packed, words)), dtype=np.int32)
+        ids = [known[w] if len(w) <= 64 else self._packed(w) for w in words]
+        return np.frombuffer(b"".join(ids), dtype=np.int32)
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text of ids; the space that encoding puts first is dropped."""
@@ -203,6 +187,7 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 def encoder_of(model: PieceModel) -> PieceEncoder:
     """One encoder per process and model."""
+    only_memo("pieces", _ENCODERS.clear)
     if model.key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[model.key] = PieceEncoder(model)

@@ -12,8 +12,8 @@ vocabulary. A character that no piece covers costs its UTF-8 bytes, one token ea
 scores prefer the longer last piece.
 
 Null text counts as empty: no pre-tokens, no tokens. Rows stay one to one, extra columns are
-ignored. Memory is bounded: a batch's new pre-tokens and a memo that restarts when full;
-pre-tokens over 64 characters are not memoised.
+ignored. Memory is bounded: a batch's pre-tokens and a memo of two generations; pre-tokens over
+64 characters are not memoised.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import small_batches, text_column
+from .common import Memo, only_memo, small_batches, text_column
 from .pieces import SPACE, PieceModel
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 BYTE_SCORE = -20.0  # of each byte of an uncovered character
-MEMO_WORDS = 800_000
+MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
 
 
 def zipf_scores(model: PieceModel) -> dict[str, float]:
@@ -53,7 +53,7 @@ class TrieCounter:
             for i in range(len(piece)):
                 self.suffixes.setdefault(piece[i:], None)
         self.suffixes.update(scores)
-        self.memo: dict[str, tuple[int, float]] = {}
+        self.memo = Memo(None, MEMO_WORDS)  # filled by ``learn`` only
 
     def count_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, int, float]]:
         """(word, tokens, score) of distinct words in sorted order, sharing prefixes."""
@@ -87,11 +87,18 @@ class TrieCounter:
     def learn(self, words: Iterable[str]) -> dict[str, tuple[int, float]]:
         """Results of new words; those of ordinary length stay in the memo."""
         fresh = {w: (n, s) for w, n, s in self.count_sorted(sorted(words))}
-        if len(self.memo) + len(fresh) > MEMO_WORDS:
-            self.memo.clear()
-        self.memo.update((w, r) for w, r in fresh.items() if len(w) <= 64)
+        for word, result in fresh.items():
+            if len(word) <= 64:
+                self.memo.put(word, result)
         return fresh
 
+    def known(self, word: str) -> tuple[int, float] | None:
+        """The memo's result of a word; one found in the old generation becomes young."""
+        result = self.memo.get(word)
+        if result is None and (result := self.memo.old.get(word)) is not None:
+            self.memo.put(word, result)
+        return result
+
 
 def pre_tokens(text: str) -> list[str]:
     """Words with their leading spaces as marks; the text counts as starting with a space."""
@@ -102,6 +109,7 @@ _COUNTERS: dict[str, TrieCounter] = {}
 
 
 def _counter_of(key: str, scores: dict[str, float]) -> TrieCounter:
+    only_memo("unigram", _COUNTERS.clear)
     if key not in _COUNTERS:
         _COUNTERS.clear()
         _COUNTERS[key] = TrieCounter(scores)
@@ -123,8 +131,7 @@ def count_tokens(
         for batch in small_batches(batches, text_col):
             split = [pre_tokens(t) for t in text_column(batch, text_col)]
             distinct = set().union(*split)
-            memo = counter.memo
-            known = {w: memo[w] for w in distinct if w in memo}
+            known = {w: r for w in distinct if (r := counter.known(w)) is not None}
             known.update(counter.learn(w for w in distinct if w not in known))
             totals = [[known[w] for w in words] for words in split]
             yield pa.RecordBatch.from_arrays(
