@@ -6,13 +6,15 @@ the top bits of the hash are zero (never inside a character); candidates closer
 ``MIN_CHUNK`` to the last cut are passed over and a gap longer than ``MAX_CHUNK`` is cut at
 multiples of it from its start. Chunks are compared by 128-bit digest.
 
-A chunk is shared if its digest occurs in more than one document. Runs of adjacent shared
-chunks of at least ``min_run`` bytes are repeats; of each digest the document with the
-smallest id keeps its text, and the places in all others are removable.
-
-Null and empty texts have no chunks and no repeats. Ids are integers; rows with the same
-id are one document, so a text that only repeats itself, or a repeated row, is no repeat.
-A null id counts as one id, the smallest. Extra columns are ignored.
+A chunk is shared if its digest occurs in more than one document or, with ``within``, in
+more than one place: twice in a document, or in two rows with the same id. Runs of adjacent
+shared chunks of at least ``min_run`` bytes are repeats. Of each digest the document with
+the smallest id keeps its text, with ``within`` only its first place; all other places are
+removable.
+
+Null and empty texts have no chunks and no repeats. A null id counts as one id, the
+smallest; rows with the same id follow each other in the order they are read. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -79,7 +81,7 @@ def chunk_digest(chunk: bytes) -> bytes:
 
 
 def chunk_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Chunk rows: id, byte ``start`` and ``size``, ``digest``."""
+    """Chunk rows: id, ``_row``, byte ``start`` and ``size``, ``digest``; ``df`` has a number ``_row`` per row."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,26 +96,31 @@ def chunk_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     digests.append(chunk_digest(raw[last:end]))
                     last = end
                 owner += [i] * len(cuts)
+            owners = [batch.column(c).take(pa.array(owner, pa.int64())) for c in (id_col, "_row")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col).take(pa.array(owner, pa.int64())), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())],
-                [id_col, "start", "size", "digest"],
-            )
+                [*owners, pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())],
+                [id_col, "_row", "start", "size", "digest"],
+            )
 
-    return df.select(id_col, text_col).mapInArrow(split, f"`{id_col}` {kind}, start int, size int, digest binary")
+    return df.select(id_col, "_row", text_col).mapInArrow(split, f"`{id_col}` {kind}, _row long, start int, size int, digest binary")
 
 
-def shared_chunks(chunks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The chunk rows whose digest occurs in several documents; ``kept`` marks the first one's.
+def shared_chunks(chunks: DataFrame, id_col: str = "doc_id", within: bool = False) -> DataFrame:
+    """The chunk rows whose digest occurs in several documents (``within``: in several places);
+    ``kept`` marks the first document's (the first place).
 
-    The least and greatest id of every digest come from a map-side combined aggregate, so a
-    digest that holds a third of all rows is one row per task there. Its result is written
+    The first place and the greatest id of every digest come from a map-side combined aggregate,
+    so a digest that holds a third of all rows is one row per task there. Its result is written
     before the join back, so that both sides of the join are plain exchanges, whose hot
     partitions adaptive execution splits.
     """
-    order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    shared = chunks.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first < last")
-    joined = chunks.join(stage(shared.select("digest", "first"), "shared"), "digest")
-    return joined.select(id_col, "start", "size", (F.col("first") == order).alias("kept"))
+    place = F.struct(F.col(id_col).alias("id"), F.col("_row").alias("row"), "start")
+    # min() and max() skip no null inside a struct, and null sorts first
+    found = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.max(F.struct(F.col(id_col).alias("id"))).alias("last"), F.count(F.lit(1)).alias("places"))
+    shared = found.where("places > 1" if within else "NOT first.id <=> last.id").select("digest", "first")
+    joined = chunks.join(stage(shared, "shared"), "digest")
+    kept = F.col("first") == place if within else F.col("first.id").eqNullSafe(F.col(id_col))
+    return joined.select(id_col, "_row", "start", "size", kept.alias("kept"))
 
 
 def merge_runs(shared: list[dict], min_run: int) -> tuple[list[dict], list[dict]]:
@@ -146,34 +153,45 @@ def merge_runs(shared: list[dict], min_run: int) -> tuple[list[dict], list[dict]
     return repeats, removable
 
 
-def find_repeats(df: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document that holds a repeat: id, ``repeats`` and ``removable``, arrays of
+def find_repeats(df: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text", within: bool = False) -> DataFrame:
+    """One row per document row that holds a repeat: id, ``repeats`` and ``removable``, arrays of
     (start, end) in bytes of the UTF-8 text, ascending.
 
+    ``within`` also finds repeats inside one document and between rows with the same id.
     A document's shared chunks are gathered in one row; their number is bounded by its
     length.
     """
+    numbered = df.select(id_col, text_col, F.monotonically_increasing_id().alias("_row"))
+    return _numbered_repeats(numbered, min_run, id_col, text_col, within).drop("_row")
+
+
+def _numbered_repeats(df: DataFrame, min_run: int, id_col: str, text_col: str, within: bool) -> DataFrame:
+    """``find_repeats`` of rows with a number ``_row``, which the result keeps."""
     chunks = stage(chunk_documents(df, id_col, text_col), "chunks")
     own = F.sort_array(F.collect_set(F.struct("start", "size", "kept")))
-    docs = shared_chunks(chunks, id_col).groupBy(id_col).agg(own.alias("shared"))
+    docs = shared_chunks(chunks, id_col, within).groupBy(id_col, "_row").agg(own.alias("shared"))
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [merge_runs(x, min_run) for x in batch.column("shared").to_pylist()]
-            out = [batch.column(id_col), pa.array([f[0] for f in found], spans), pa.array([f[1] for f in found], spans)]
-            rows = pa.RecordBatch.from_arrays(out, [id_col, "repeats", "removable"])
+            out = [batch.column(id_col), batch.column("_row"), pa.array([f[0] for f in found], spans), pa.array([f[1] for f in found], spans)]
+            rows = pa.RecordBatch.from_arrays(out, [id_col, "_row", "repeats", "removable"])
             yield rows.filter(pa.array([bool(f[0]) for f in found], pa.bool_()))
 
     kind = df.schema[id_col].dataType.simpleString()
     ddl = "array<struct<start:int,end:int>>"
-    return docs.mapInArrow(merge, f"`{id_col}` {kind}, repeats {ddl}, removable {ddl}")
+    return docs.mapInArrow(merge, f"`{id_col}` {kind}, _row long, repeats {ddl}, removable {ddl}")
 
 
-def remove_repeats(df: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with every repeat but its first place cut out of the texts."""
-    spans = find_repeats(df, min_run, id_col, text_col).select(F.col(id_col).alias("_id"), F.col("removable").alias("_cuts"))
-    joined = df.join(spans, df[id_col].eqNullSafe(spans["_id"]), "left").drop("_id")
+def remove_repeats(df: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text", within: bool = False) -> DataFrame:
+    """``df`` with every repeat but its kept place cut out of the texts.
+
+    The numbered rows are written first, so that a row has the same number in both uses.
+    """
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    spans = _numbered_repeats(rows, min_run, id_col, text_col, within).select("_row", F.col("removable").alias("_cuts"))
+    joined = rows.join(spans, "_row", "left").drop("_row")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

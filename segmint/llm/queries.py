@@ -30,7 +30,7 @@ def tokenizer_path(name: str = PIECE_MODEL) -> str:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_repeats(table(spark, sf_dir, "documents"))
+    found = find_repeats(table(spark, sf_dir, "documents"), within=True)
 
     def total(spans: str) -> F.Column:
         return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
