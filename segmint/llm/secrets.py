@@ -34,12 +34,18 @@ KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a maximal run, so the same as dropping shorter matches
 HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run as well
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
+HEX_ANY = re.compile(r"[0-9A-Fa-f]{24,}")  # candidates for keys: either case
+LINE_BREAK = re.compile(r"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*")
+#: Lines of base64 of either alphabet; the structure says at which line's end a key ends.
+BASE64_LINES = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{LINE_BREAK.pattern}[A-Za-z0-9+/_-]+)*")
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----")
 
 # Byte classes for a cheap first test: a long run in the translated text is searched as a literal.
 _LOWER = bytes(range(256)).lower()
 _HEX_CLASS = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
+_HEX_ANY_CLASS = bytes(120 if chr(b) in "0123456789abcdefABCDEF" else 32 for b in range(256))
+_B64_ANY_CLASS = bytes(120 if b < 128 and (chr(b).isalnum() or chr(b) in "+/_-") else 32 for b in range(256))
 _B64_CLASS = bytes(
     120 if b < 128 and (chr(b).isalnum() or chr(b) in "+/") else 32 for b in range(256)
 )
@@ -68,7 +74,7 @@ def _der(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """PKCS#1, PKCS#8 (plain or encrypted) or SEC1 private key, by nested lengths."""
+    """PKCS#1, DSA, PKCS#8 (plain or encrypted) or SEC1 private key, by nested lengths."""
     top = _der(data)
     if not top or len(top) != 1 or top[0][0] != 0x30:
         return False
@@ -77,7 +83,7 @@ def is_der_key(data: bytes) -> bool:
         return False
     tags = [t for t, _ in inner]
     if tags[:1] == [0x02] and inner[0][1] == b"\x00":
-        if tags == [0x02] * 9:  # PKCS#1: version and eight integers
+        if tags in ([0x02] * 9, [0x02] * 6):  # PKCS#1: version and eight integers; DSA: version and five
             return True
         if tags[1:3] == [0x30, 0x04]:  # PKCS#8: version, algorithm, key octets
             algorithm = _der(inner[1][1])
@@ -92,9 +98,14 @@ def is_der_key(data: bytes) -> bool:
 
 def is_ssh_key(data: bytes) -> bool:
     """openssh-key-v1: magic, then length-prefixed strings that end with the data."""
+    return _ssh_length(data) == len(data)
+
+
+def _ssh_length(data: bytes) -> int | None:
+    """Where the strings of an OpenSSH key at the start of the data end."""
     magic = b"openssh-key-v1\x00"
     if not data.startswith(magic):
-        return False
+        return None
     at = len(magic)
 
     def string() -> bytes | None:
@@ -108,16 +119,16 @@ def is_ssh_key(data: bytes) -> bool:
         return data[at - n : at]
 
     if any(string() is None for _ in range(3)) or at + 4 > len(data):
-        return False
+        return None
     keys = int.from_bytes(data[at : at + 4], "big")
     at += 4
     if not 1 <= keys <= 16:
-        return False
+        return None
     for _ in range(keys):
         public = string()
         if public is None or len(public) < 8 or int.from_bytes(public[:4], "big") > len(public) - 4:
-            return False
-    return string() is not None and at == len(data)
+            return None
+    return at if string() is not None else None
 
 
 def _b64(text: str, url: bool = False) -> bytes | None:
@@ -145,6 +156,48 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der_key" if is_der_key(data) else "ssh_key" if is_ssh_key(data) else None
 
 
+def _der_length(data: bytes) -> int | None:
+    """The length that the header of a DER sequence at the start of the data gives."""
+    if len(data) < 6 or data[0] != 0x30:
+        return None
+    k = data[1] & 0x7F if data[1] & 0x80 else 0
+    if k > 4:
+        return None
+    return 2 + k + (int.from_bytes(data[2 : 2 + k], "big") if k else data[1])
+
+
+def _line_keys(text: str, first: int, last: int) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of keys that begin and end with a line of text[first:last]."""
+    breaks = [m.span() for m in LINE_BREAK.finditer(text, first, last)]
+    starts, ends = [first, *(b for _, b in breaks)], [*(a for a, _ in breaks), last]
+    lines = [text[a:b].replace("-", "+").replace("_", "/") for a, b in zip(starts, ends)]
+    after = 0
+    for i, line in enumerate(lines):
+        if i < after or not line.startswith(("M", "b3Bl")):
+            continue
+        if line[0] == "M":
+            n = _der_length(_b64("".join(lines[i : i + 8])[:8]) or b"")
+        else:
+            joined = "".join(lines[i:])
+            n = _ssh_length(_b64(joined[: len(joined) // 4 * 4]) or b"")
+            if n is None:  # the last line may end inside a group of four
+                n = _ssh_length(_b64(joined) or b"")
+        chars = 0 if n is None else (8 * n + 5) // 6
+        if chars < 40:
+            continue
+        total = 0
+        for j in range(i, len(lines)):
+            total += len(lines[j])
+            if total >= chars:
+                break
+        if total == chars and (kind := _key_kind(_b64("".join(lines[i : j + 1])))):
+            end = ends[j]
+            while end < len(text) and end < ends[j] + 2 and text[end] == "=":
+                end += 1
+            yield kind, starts[i], end
+            after = j + 1
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """All (kind, start, end) spans of a text in code points, by start, then kind."""
     spans: list[tuple[str, int, int]] = []
@@ -159,6 +212,10 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
             spans.append(("hex", m.start(), m.end()))
             if len(m[0]) % 2 == 0 and _key_kind(bytes.fromhex(m[0])):
                 spans.append(("hex_key", m.start(), m.end()))
+    if b"x" * 24 in raw.translate(_HEX_ANY_CLASS):
+        for m in HEX_ANY.finditer(text):
+            if len(m[0]) % 2 == 0 and ("hex_key", *m.span()) not in spans and _key_kind(bytes.fromhex(m[0])):
+                spans.append(("hex_key", m.start(), m.end()))
     pem: list[tuple[int, int]] = []
     if b"PRIVATE KEY-----" in raw:
         missing: set[str] = set()  # labels with no further end line: do not search again
@@ -176,6 +233,11 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         for m in BASE64_RUN.finditer(text):
             if not any(a <= m.start() < b for a, b in pem) and (kind := _key_kind(_b64(m[0]))):
                 spans.append((kind, m.start(), m.end()))
+    if b"x" * 16 in raw.translate(_B64_ANY_CLASS):
+        for m in BASE64_LINES.finditer(text):
+            for span in _line_keys(text, m.start(), m.end()):
+                if span not in spans and not any(a <= span[1] < b for a, b in pem):
+                    spans.append(span)
     if b"eyJ" in raw:
         spans += [("signed_token", m.start(), m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
