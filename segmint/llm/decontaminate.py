@@ -9,7 +9,7 @@ longest length of a class, overlapping by half, so an item always lies whole in
 Postings are cut into blocks of consecutive items with the largest impact of each term.
 The sum of a window's block maxima is computed for all windows of a document at once;
 only blocks that can reach the threshold are opened, and WAND walks their postings.
-Retrieved items are verified: the share of the question's and of the answer's word
+Every retrieved window of an item is verified, and the best verified one is reported: the share of the question's and of the answer's word
 trigrams that occur in the window. The answer is the item's last sentence (the last
 quarter of the words, if there is only one sentence).
 
@@ -106,13 +106,20 @@ class ItemIndex:
 
     def search(self, text: str, threshold: float) -> dict[int, tuple[float, int, list[str]]]:
         """item position -> (best score, window start, window words) for all items at threshold or above."""
+        found: dict[int, tuple[float, int, list[str]]] = {}
+        for i, score, at, window in self.candidates(text, threshold):
+            if i not in found or score > found[i][0]:
+                found[i] = (score, at, window)
+        return found
+
+    def candidates(self, text: str, threshold: float) -> Iterator[tuple[int, float, int, list[str]]]:
+        """(item position, score, window start, window words) of every window and item at threshold or above."""
         words = words_of(text)
         get = self.terms.get
         ids = np.array([get(w, 0) for w in words], dtype=np.int32)
         known = np.flatnonzero(ids)
-        found: dict[int, tuple[float, int, list[str]]] = {}
         if not len(known):
-            return found
+            return
         for part in self.classes:
             step = part.longest
             starts = np.arange(0, max(1, len(words) - step), step)
@@ -126,11 +133,8 @@ class ItemIndex:
                 once = part.maxima[terms].sum(axis=0, dtype=np.float64)
                 for block in np.flatnonzero(once >= threshold).tolist():
                     for number, score in self._wand(part, terms.tolist(), block, threshold):
-                        i = part.items[number]
-                        if i not in found or score > found[i][0]:
-                            at = int(starts[w])
-                            found[i] = (score, at, words[at : at + 2 * step])
-        return found
+                        at = int(starts[w])
+                        yield part.items[number], score, at, words[at : at + 2 * step]
 
     def _wand(self, part: LengthClass, terms: list[int], block: int, threshold: float) -> Iterator[tuple[int, float]]:
         """Items of a block that score the threshold or more, by pivoting on block maxima."""
@@ -167,9 +171,11 @@ class ItemIndex:
             cursors = [c for c in cursors if c[0] < limit]
 
     def matches(self, text: str, threshold: float, question: float, answer: float) -> list[tuple]:
-        """(item id, score, question overlap, answer overlap) of verified items."""
-        out = []
-        for i, (score, _, window) in sorted(self.search(text, threshold).items()):
+        """(item id, score, question overlap, answer overlap) of the best verified window of each item."""
+        best: dict[int, tuple] = {}
+        for i, score, _, window in self.candidates(text, threshold):
+            if i in best and round(best[i][1], 9) > round(min(1.0, score), 9):
+                continue  # a better window is verified
             overlaps = []
             for words in self.parts[i]:
                 wanted = _grams(words)
@@ -177,8 +183,10 @@ class ItemIndex:
                 have = {tuple(window[k : k + n]) for k in range(len(window) - n + 1)} if n else set()
                 overlaps.append(len(wanted & have) / len(wanted) if wanted else 1.0)
             if overlaps[0] >= question and overlaps[1] >= answer:
-                out.append((self.ids[i], min(1.0, score), *overlaps))
-        return out
+                match = (self.ids[i], min(1.0, score), *overlaps)
+                if i not in best or (round(match[1], 9), *overlaps) > (round(best[i][1], 9), *best[i][2:]):
+                    best[i] = match
+        return [best[i] for i in sorted(best)]
 
 
 def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Broadcast]:
