@@ -94,3 +94,70 @@ counts AS (SELECT x AS doc_id, count(*) AS n_links, min(CASE WHEN same THEN y EN
 SELECT doc_id, class_id, least(doc_id, coalesce(copy, doc_id)) AS copy_id, coalesce(n_links, 0) AS n_links
 FROM classes LEFT JOIN counts USING (doc_id)
 """
+
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM s),
+f AS (SELECT doc_id, term, count(*) AS tf FROM d SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), c),
+p AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))) AS part
+  FROM f JOIN s USING (doc_id) JOIN w USING (term), c),
+r AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY item_id ORDER BY sum(part) DESC, doc_id) AS rank
+  FROM q JOIN p USING (term) GROUP BY item_id, doc_id HAVING sum(part) > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+OP13 = r"""
+WITH RECURSIVE tab(k, step, v) AS (
+  SELECT CAST(k AS BIGINT), 0, CAST(k AS BIGINT) FROM range(256) t(k)
+  UNION ALL SELECT k, step + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM tab WHERE step < 8),
+t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc(conv_id, i, v) AS (
+  SELECT DISTINCT conv_id, 0, 4294967295 FROM t
+  UNION ALL
+  SELECT conv_id, i + 1, xor(crc.v // 256, tab.v) FROM crc JOIN tab
+    ON step = 8 AND i < length(CAST(conv_id AS VARCHAR))
+       AND k = xor(crc.v % 256, CAST(ascii(substr(CAST(conv_id AS VARCHAR), i + 1, 1)) AS BIGINT))),
+heads AS (SELECT conv_id, xor(v, 4294967295) % 4 AS h FROM crc WHERE i = length(CAST(conv_id AS VARCHAR))),
+rebuilt AS (
+  SELECT heads.conv_id AS c, 0 AS part, pos, role, text FROM heads JOIN t ON t.conv_id = heads.conv_id - heads.conv_id % 20 AND pos <= h
+  UNION ALL SELECT heads.conv_id, 1, pos, role, text FROM heads JOIN t USING (conv_id) WHERE pos > h),
+listed AS (
+  SELECT conv_id AS c, coalesce(list({'role': role, 'text': text} ORDER BY part, pos) FILTER (part IS NOT NULL), []) AS l
+  FROM heads LEFT JOIN rebuilt ON c = conv_id GROUP BY conv_id),
+prefixes AS (SELECT c, d, l[1:d] AS p, len(l) AS size FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM listed)),
+nodes AS (
+  SELECT d, p, min(c) AS conv_id, count(*) AS n, max(size) = d AS leaf,
+         CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(p[d].text, '[^\x20\x09-\x0D]+')) END AS words,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (size = d), '')) AS ends
+  FROM prefixes GROUP BY d, p)
+SELECT g.conv_id, CAST(g.d AS BIGINT) AS depth,
+  (SELECT q.conv_id FROM nodes q WHERE q.d = g.d - 1 AND q.p = g.p[1:g.d - 1]) AS parent_conv_id,
+  g.n AS n_convs, count(*) FILTER (x.d = g.d + 1) AS n_children, count(*) FILTER (x.leaf) AS n_leaves,
+  CAST(sum((x.n - 1) * x.words) AS BIGINT) AS saved_tokens, g.ends AS ends_sha256,
+  CASE WHEN g.d > 0 THEN r.ref[1] END AS turn_conv_id, CASE WHEN g.d > 0 THEN r.ref[2] END AS turn_pos
+FROM nodes g JOIN nodes x ON x.d >= g.d AND x.p[1:g.d] = g.p
+  LEFT JOIN (
+    SELECT p, min([src, place]) AS ref FROM (
+      SELECT p, CASE WHEN d <= k THEN c - c % 20 ELSE c END AS src, CASE WHEN d <= k THEN d ELSE d - k + h END AS place
+      FROM prefixes JOIN heads ON heads.conv_id = c
+        JOIN (SELECT conv_id AS c, (SELECT count(*) FROM rebuilt r WHERE r.c = heads.conv_id AND part = 0) AS k FROM heads) USING (c))
+    GROUP BY p) r ON r.p = g.p
+GROUP BY ALL
+"""

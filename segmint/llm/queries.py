@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, oracles
+from .bpe import encode_bytes
 from .chat import format_chat, loss_text, read_chat
 from .chunks import find_repeats
 from .common import stage, table
@@ -15,11 +16,14 @@ from .decontaminate import find_leaks
 from .fingerprint import as_text, fingerprint_edits, likeness
 from .neardup import near_duplicates
 from .pieces import PieceModel, encode_pieces
+from .ranking import rank_documents
 from .secrets import BASE_KINDS, scan_secrets
+from .trie import conversation_trie
 from .unigram import count_tokens, zipf_scores
 from .warc import read_archives, write_archives
 
 PIECE_MODEL = "piece_bpe_32k.model"
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_path(name: str = PIECE_MODEL) -> str:
@@ -135,6 +139,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_bytes(table(spark, sf_dir, "documents"), tokenizer_path(RANK_FILE))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -148,6 +170,16 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_join,
         op9_language_id,
         op10_warc,
+        op11_ranked_search,
+        op12_byte_bpe,
+        op13_conversation_trie,
     )
 }
-LLM_ORACLES: dict[str, str] = {"op5_fingerprint": oracles.OP5, "op7_chat_format": oracles.OP7, "op8_ngram_join": oracles.OP8, "op10_warc": oracles.OP10}
+LLM_ORACLES: dict[str, str] = {
+    "op5_fingerprint": oracles.OP5,
+    "op7_chat_format": oracles.OP7,
+    "op8_ngram_join": oracles.OP8,
+    "op10_warc": oracles.OP10,
+    "op11_ranked_search": oracles.OP11,
+    "op13_conversation_trie": oracles.OP13,
+}
