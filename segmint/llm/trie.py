@@ -48,17 +48,17 @@ ATTEMPTS = 4
 _ORDER_BITS = 31  # a conversation has fewer than 2^31 turns
 
 
-def _power(base: int, exponent: Column) -> Column:
-    """``base ^ exponent mod PRIME`` from the exponent's bits."""
-    out = F.lit(1).cast("long")
+def _power(base: int, exponent: str) -> Column:
+    """``base ^ exponent mod PRIME`` from the bits of a long column."""
+    out = "1L"
     for bit in range(_ORDER_BITS):
-        factor = pow(base, 1 << bit, PRIME)
-        out = (out * F.when(exponent.bitwiseAND(F.lit(1 << bit)) != 0, F.lit(factor)).otherwise(F.lit(1))) % PRIME
-    return out
+        out = f"({out} * IF({exponent} & {1 << bit}L != 0, {pow(base, 1 << bit, PRIME)}L, 1L)) % {PRIME}L"
+    return F.expr(out)
 
 
-def _total(values: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, values)
+def _head_product(i: int, turns: int) -> str:
+    """SQL of lane ``i`` of the product of the first turns of ``head`` (missing ones add nothing)."""
+    return "(" + " + ".join(f"coalesce(get(head, {j}).g{i} * {pow(LANES[i], j, PRIME)}L % {PRIME}L, 0L)" for j in range(turns)) + f") % {PRIME}L"
 
 
 def _running(df: DataFrame, key: str, at: Column, order: Sequence[Column], values: Sequence[str], name: str) -> DataFrame:
@@ -105,40 +105,30 @@ def _prefixes(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     convs = turns.groupBy(F.col("conv").alias("c")).agg(F.max("pos").alias("n")).withColumn("h", h)
     convs = convs.withColumn("base", F.col("c") - F.col("c") % BASE_EVERY).join(heads, "base", "left")
     convs = convs.withColumn("head", F.coalesce(F.slice("head", F.lit(1), F.col("h").cast("int")), F.array().cast(heads.schema["head"].dataType)))
-    product = {
-        f"p{i}": _total([F.coalesce(F.get("head", F.lit(j))[f"g{i}"] * pow(LANES[i], j, PRIME) % PRIME, F.lit(0)) for j in range(HEAD_MOST)]) % PRIME
-        for i in lanes
-    }
-    convs = convs.withColumns(product).withColumn("k", F.size("head").cast("long"))
+    convs = convs.withColumns({f"p{i}": F.expr(_head_product(i, HEAD_MOST)) for i in lanes}).withColumn("k", F.size("head").cast("long"))
     convs = stage(convs.withColumn("size", F.col("k") + F.greatest(F.col("n") - F.col("h"), F.lit(0))), "convs")
 
-    def prefix(j: int) -> Column:
+    def prefix(j: int) -> str:
         """The head's prefix of ``j + 1`` turns."""
-        turn = F.get("head", F.lit(j))
-        values = [
-            _total([F.get("head", F.lit(m))[f"g{i}"] * pow(LANES[i], m, PRIME) % PRIME for m in range(j + 1)]) % PRIME for i in lanes
-        ]
-        return F.when(
-            F.col("k") > j,
-            F.struct(
-                F.lit(j + 1).cast("long").alias("d"), *(v.alias(f"v{i}") for i, v in enumerate(values)), *(turn[b].alias(b) for b in brief[1:]),
-                F.col("base").alias("ref_conv"), turn["pos"].alias("ref_pos"),
-            ),
-        )
+        values = [f"{_head_product(i, j + 1)} AS v{i}" for i in lanes]
+        turn = [f"get(head, {j}).{b} AS {b}" for b in brief[1:]]
+        fields = [f"{j + 1}L AS d", *values, *turn, "base AS ref_conv", f"get(head, {j}).pos AS ref_pos"]
+        return f"IF(k > {j}, struct({', '.join(fields)}), NULL)"
 
-    from_heads = convs.select("c", "size", F.inline(F.array_compact(F.array(*(prefix(j) for j in range(HEAD_MOST))))))
+    from_heads = convs.select("c", "size", F.expr(f"inline(array_compact(array({', '.join(prefix(j) for j in range(HEAD_MOST))})))"))
 
     own_h = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
     own = turns.drop("role", "text").withColumn("rel", F.col("pos") - own_h - 1).where(F.col("rel") >= 0)
-    own = own.withColumns({f"t{i}": F.col(f"g{i}") * _power(LANES[i], F.col("rel")) % PRIME for i in lanes})
+    own = own.withColumns({f"t{i}": F.col(f"g{i}") * _power(LANES[i], "rel") % PRIME for i in lanes})
     own = _running(own, "conv", F.col("rel"), [F.col("rel")], [f"t{i}" for i in lanes], "own")
     own = own.withColumnRenamed("conv", "c").join(convs.select("c", "k", "size", *(f"p{i}" for i in lanes)), "c")
-    shift = {f"v{i}": (F.col(f"p{i}") + (F.col(f"sum_t{i}") % PRIME) * _power(LANES[i], F.col("k")) % PRIME) % PRIME for i in lanes}
+    scale = [f"element_at(array({', '.join(f'{pow(b, j, PRIME)}L' for j in range(HEAD_MOST + 1))}), CAST(k AS INT) + 1)" for b in LANES]
+    shift = {f"v{i}": F.expr(f"(p{i} + (sum_t{i} % {PRIME}L) * {scale[i]} % {PRIME}L) % {PRIME}L") for i in lanes}
     own = own.withColumns(shift).select(
         "c", "size", (F.col("k") + F.col("rel") + 1).alias("d"), *(f"v{i}" for i in lanes), *brief[1:], F.col("c").alias("ref_conv"), F.col("pos").alias("ref_pos")
     )
     rows = from_heads.unionByName(own)
-    before = {f"u{i}": F.pmod(F.col(f"v{i}") - F.col(f"g{i}") * _power(LANES[i], F.col("d") - 1) % PRIME, F.lit(PRIME)) for i in lanes}
+    before = {f"u{i}": F.pmod(F.col(f"v{i}") - F.col(f"g{i}") * _power(LANES[i], "(d - 1)") % PRIME, F.lit(PRIME)) for i in lanes}
 
     def packed(a: str, b: str) -> Column:
         return F.col(a) * (1 << 31) + F.col(b)
