@@ -52,6 +52,7 @@ from .common import list_array, small_batches, stage, text_column
 FOLD_BYTES = 62  # boundaries of a word as the bits of a long
 SHARED_WORDS = 1 << 19  # bound of the broadcast dictionary, in words
 TASK_WORDS = 400_000  # words a task remembers before it starts anew
+MOST_SPANS = 1 << 11  # substrings of such a word, and room
 RANK_BUCKETS = 1 << 16
 HASH_SEED = 42  # of Spark's xxhash64
 
@@ -60,19 +61,33 @@ WHITE = r"\t-\r \x85\xa0  -     　"
 
 
 @cache
-def word_pattern() -> str:
+def _other_numbers() -> str:
+    """The numbers that are no decimal digits (Nl and No)."""
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
+
+
+def word_pattern(numbers: str = "") -> str:
     """The public pre-token pattern for Python's ``re``, which has no ``\\p``: what ``\\w`` holds
-    besides letters, decimal digits and the underscore are the other numbers."""
-    others = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Nl", "No")]
-    starts = [c for c, before in zip(others, [-2, *others]) if c != before + 1]
-    ends = [c for c, after in zip(others, [*others[1:], -2]) if c != after - 1]
-    numbers = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+    besides letters, decimal digits and the underscore are the other numbers. Without them the
+    pattern is right for texts that have none, and much faster."""
     return (
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{numbers}]+| ?[\d{numbers}]+"
         rf"| ?(?:[^\w{WHITE}]|_)+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
     )
 
 
+class WordCutter:
+    """Cuts texts into pre-tokens."""
+
+    def __init__(self, numbers: str | None = None):
+        self.numbers = frozenset(_other_numbers() if numbers is None else numbers)
+        self.plain = re.compile(word_pattern()).findall
+        self.full = re.compile(word_pattern("".join(sorted(self.numbers)))).findall
+
+    def __call__(self, text: str) -> list[str]:
+        return self.plain(text) if text.isascii() or self.numbers.isdisjoint(text) else self.full(text)
+
+
 @dataclass(frozen=True)
 class RankFile:
     """Token bytes by rank (the rank is the id)."""
@@ -130,10 +145,11 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def rank_map(file: RankFile) -> Column:
-    """The rank map as a literal: by hash of the token in hex, a small map token -> rank."""
+    """The rank map as a literal: by hash of the token, a small map token -> rank. Bytes are
+    characters of the same number here and in the fold (ISO 8859-1)."""
     buckets: list[dict[str, int]] = [{} for _ in range(RANK_BUCKETS)]
     for rank, token in enumerate(file.tokens):
-        key = token.hex().upper()
+        key = token.decode("latin-1")
         buckets[xxhash.xxh64_intdigest(key.encode(), HASH_SEED) % RANK_BUCKETS][key] = rank
     return F.from_json(F.lit(dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
 
@@ -143,10 +159,10 @@ def _rank_of(ranks: Column, piece: Column) -> Column:
 
 
 def _spans() -> Column:
-    """All substrings of a word by end, as a literal: place and length in hex digits, the
-    boundaries inside (``i``) and with both ends (``f``). Those of a shorter word come first."""
+    """All substrings of a word by end, as a literal: place ``a`` and length ``n``, the boundaries inside
+    (``i``) and with both ends (``f``). Those of a shorter word come first."""
     spans = [
-        {"a": 2 * s + 1, "n": 2 * (e - s), "f": (1 << (e + 1)) - (1 << s), "i": (1 << e) - (2 << s)}
+        {"a": s + 1, "n": e - s, "f": (1 << (e + 1)) - (1 << s), "i": (1 << e) - (2 << s)}
         for e in range(2, FOLD_BYTES + 1)
         for s in range(e - 1)
     ]
@@ -157,17 +173,18 @@ def fold_merges(word: Column, ranks: Column) -> Column:
     """``array<int>``: the ids of a word of 1 to ``FOLD_BYTES`` bytes."""
     size = F.octet_length(word)
 
-    def over(digits: Column, ranks: Column, spans: Column) -> Column:
+    def over(text: Column, ranks: Column, spans: Column) -> Column:
         inside = F.slice(spans, F.lit(1), F.floor(size * (size - 1) / 2).cast("int"))
+        # a merge is its rank and, in the lower bits, the number of its span
         found = F.transform(
-            inside,
-            lambda x: F.struct(_rank_of(ranks, F.substring(digits, x["a"], x["n"])).alias("r"), x["f"].alias("f"), x["i"].alias("i")),
+            inside, lambda x, i: _rank_of(ranks, F.substring(text, x["a"], x["n"])).cast("long") * MOST_SPANS + i
         )
-        merges = F.sort_array(F.filter(found, lambda c: c["r"].isNotNull()))
+        merges = F.sort_array(F.array_compact(found))
 
-        def apply(mask: Column, c: Column) -> Column:
-            two = (F.bit_count(mask.bitwiseAND(c["i"])) == 1) & (F.bit_count(mask.bitwiseAND(c["f"])) == 3)
-            return F.when(two, mask.bitwiseAND(F.bitwise_not(c["i"]))).otherwise(mask)
+        def apply(mask: Column, merge: Column) -> Column:
+            span = F.get(spans, merge.bitwiseAND(F.lit(MOST_SPANS - 1)).cast("int"))
+            two = (F.bit_count(mask.bitwiseAND(span["i"])) == 1) & (F.bit_count(mask.bitwiseAND(span["f"])) == 3)
+            return F.when(two, mask.bitwiseAND(F.bitwise_not(span["i"]))).otherwise(mask)
 
         every = F.call_function("shiftleft", F.lit(2).cast("long"), size) - 1
         mask = F.aggregate(merges, every, apply)
@@ -181,13 +198,13 @@ def fold_merges(word: Column, ranks: Column) -> Column:
                 at,
                 lambda b: F.transform(
                     F.sequence(F.lit(1), F.size(b) - 1),
-                    lambda i: _rank_of(ranks, F.substring(digits, 2 * F.get(b, i - 1) + 1, 2 * (F.get(b, i) - F.get(b, i - 1)))),
+                    lambda i: _rank_of(ranks, F.substring(text, F.get(b, i - 1) + 1, F.get(b, i) - F.get(b, i - 1))),
                 ),
             )
 
         return _let(mask, pieces)
 
-    return _let(F.hex(word), lambda d: _let(ranks, lambda r: _let(_spans(), lambda s: over(d, r, s))))
+    return _let(F.decode(word, "ISO-8859-1"), lambda d: _let(ranks, lambda r: _let(_spans(), lambda s: over(d, r, s))))
 
 
 @dataclass(frozen=True)
@@ -202,10 +219,10 @@ class WordTable:
 def _shared_words(texts: DataFrame, text_col: str, ranks: Column) -> WordTable:
     """The words that most tasks meet (each more than one), encoded: as many of the most common
     counts as have at most ``SHARED_WORDS`` words together."""
-    pattern = word_pattern()
+    numbers = _other_numbers()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = re.compile(pattern).findall
+        cut = WordCutter(numbers)
         met: set[str] = set()
 
         def rows() -> pa.RecordBatch:
@@ -285,10 +302,10 @@ def encode_bytes(df: DataFrame, rank_path: str, id_col: str = "doc_id", text_col
     text_col = rows.columns[1]
     kind = rows.schema[id_col].dataType.simpleString()
     shared_words = _shared_words(rows.select(text_col), text_col, ranks)
-    shared, tokens, pattern = context.broadcast(shared_words), context.broadcast(file.tokens), word_pattern()
+    shared, tokens, numbers = context.broadcast(shared_words), context.broadcast(file.tokens), _other_numbers()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(pattern).findall
+        find = WordCutter(numbers)
         common = {w.decode("utf-8", "surrogatepass"): k for k, w in enumerate(shared.value.words)}
         rank_of: dict[bytes, int] = {}
         slots: dict[str, int] = {}

@@ -314,8 +314,12 @@ def _numbered_repeats(df: DataFrame, min_run: int, id_col: str, text_col: str, w
 def remove_repeats(df: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text", within: bool = False) -> DataFrame:
     """``df`` with every repeat but its kept place cut out of the texts.
 
-    The numbered rows are written first, so that a row has the same number in both uses.
+    The numbered rows are written first, so that a row has the same number in both uses. Columns
+    go by place inside, so no name of ``df`` can clash.
     """
+    names = df.columns
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    df = df.toDF(*(f"c{i}" for i in range(len(names))))
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_text", F.xxhash64(text_col)), "rows")
     spans = _numbered_repeats(rows, min_run, id_col, text_col, within).select("_row", F.col("removable").alias("_cuts"))
     joined = rows.join(spans, "_row", "left").drop("_row", "_text")
@@ -333,4 +337,4 @@ def remove_repeats(df: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id"
             names = [n for n in batch.schema.names if n != "_cuts"]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text_col else batch.column(n) for n in names], names)
 
-    return joined.mapInArrow(cut, df.schema)
+    return joined.mapInArrow(cut, df.schema).toDF(*names)

@@ -29,8 +29,10 @@ from .common import Memo, list_array, only_memo, small_batches, text_column
 
 SPACE = "\u2581"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
-MEMO_PAIRS = 100_000
+# Entries of a memo generation; a process keeps two at most. Packed words and pairs take about
+# 120 and 150 bytes, so a generation is 70 MB and 150 MB at the very most.
+MEMO_WORDS = 600_000
+MEMO_PAIRS = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -4,7 +4,7 @@ Three plain patterns (assignments, access keys, hex runs) give the base spans. O
 them, base64 and hex candidates are decoded and parsed before anything is reported:
 DER private keys by their nested ASN.1 lengths, OpenSSH keys by their nested
 length-prefixed strings, and signed tokens by their JSON header and payload. A candidate
-that does not parse to its last byte is not reported.
+that does not parse to its last byte is not reported. Work is linear in the text and its spans.
 
 Null text counts as empty and yields no spans; rows are kept one to one, so repeated rows
 give repeated results; extra columns are ignored (scan) or kept (redaction).
@@ -16,12 +16,14 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_column
+from .common import small_batches, text_column
 
 #: Kinds in listing order: base patterns first, then the structurally confirmed ones.
 KINDS = ("assign", "access", "hex", "pem_key", "der_key", "ssh_key", "hex_key", "signed_token")
@@ -35,6 +37,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a maximal run, so the same as dropp
 HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run as well
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 HEX_ANY = re.compile(r"[0-9A-Fa-f]{24,}")  # candidates for keys: either case
+#: How keys begin: the tag 0x30 of a DER sequence, or "ope" of openssh-key-v1.
+HEX_STARTS, BASE64_STARTS = ("30", "6f"), ("M", "b3Bl")
 LINE_BREAK = re.compile(r"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*")
 #: Lines of base64 of either alphabet; the structure says at which line's end a key ends.
 BASE64_LINES = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{LINE_BREAK.pattern}[A-Za-z0-9+/_-]+)*")
@@ -98,35 +102,41 @@ def is_der_key(data: bytes) -> bool:
 
 def is_ssh_key(data: bytes) -> bool:
     """openssh-key-v1: magic, then length-prefixed strings that end with the data."""
-    return _ssh_length(data) == len(data)
+    return _ssh_length(lambda a, b: data[a:b], len(data)) == len(data)
 
 
-def _ssh_length(data: bytes) -> int | None:
-    """Where the strings of an OpenSSH key at the start of the data end."""
+def _ssh_length(read: Callable[[int, int], bytes | None], size: int) -> int | None:
+    """Where the strings of an OpenSSH key at the start of ``size`` bytes end. Only lengths are
+    read, ``read(a, b)`` gives the bytes from a to b."""
     magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
+    if size < len(magic) or read(0, len(magic)) != magic:
         return None
     at = len(magic)
 
-    def string() -> bytes | None:
+    def number(where: int) -> int | None:
+        raw = read(where, where + 4) if where + 4 <= size else None
+        return None if raw is None else int.from_bytes(raw, "big")
+
+    def string() -> tuple[int, int] | None:
         nonlocal at
-        if at + 4 > len(data):
-            return None
-        n = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + n > len(data):
+        n = number(at)
+        if n is None or at + 4 + n > size:
             return None
         at += 4 + n
-        return data[at - n : at]
+        return at - n, n
 
-    if any(string() is None for _ in range(3)) or at + 4 > len(data):
+    if any(string() is None for _ in range(3)):
         return None
-    keys = int.from_bytes(data[at : at + 4], "big")
+    keys = number(at)
     at += 4
-    if not 1 <= keys <= 16:
+    if keys is None or not 1 <= keys <= 16:
         return None
     for _ in range(keys):
         public = string()
-        if public is None or len(public) < 8 or int.from_bytes(public[:4], "big") > len(public) - 4:
+        if public is None or public[1] < 8:
+            return None
+        first = number(public[0])
+        if first is None or first > public[1] - 4:
             return None
     return at if string() is not None else None
 
@@ -171,31 +181,47 @@ def _line_keys(text: str, first: int, last: int) -> Iterator[tuple[str, int, int
     breaks = [m.span() for m in LINE_BREAK.finditer(text, first, last)]
     starts, ends = [first, *(b for _, b in breaks)], [*(a for a, _ in breaks), last]
     lines = [text[a:b].replace("-", "+").replace("_", "/") for a, b in zip(starts, ends)]
+    joined, places = "".join(lines), [0, *accumulate(map(len, lines))]
     after = 0
     for i, line in enumerate(lines):
-        if i < after or not line.startswith(("M", "b3Bl")):
+        if i < after or not line.startswith(BASE64_STARTS):
             continue
+        begin = places[i]
         if line[0] == "M":
-            n = _der_length(_b64("".join(lines[i : i + 8])[:8]) or b"")
+            n = _der_length(_b64(joined[begin : begin + 8]) or b"")
         else:
-            joined = "".join(lines[i:])
-            n = _ssh_length(_b64(joined[: len(joined) // 4 * 4]) or b"")
-            if n is None:  # the last line may end inside a group of four
-                n = _ssh_length(_b64(joined) or b"")
+
+            def read(a: int, b: int, begin: int = begin) -> bytes | None:
+                raw = _b64(joined[begin + a // 3 * 4 : begin - (-b // 3) * 4])
+                return None if raw is None else raw[a % 3 : a % 3 + b - a]
+
+            n = _ssh_length(read, (len(joined) - begin) * 6 // 8)
         chars = 0 if n is None else (8 * n + 5) // 6
         if chars < 40:
             continue
-        total = 0
-        for j in range(i, len(lines)):
-            total += len(lines[j])
-            if total >= chars:
-                break
-        if total == chars and (kind := _key_kind(_b64("".join(lines[i : j + 1])))):
-            end = ends[j]
-            while end < len(text) and end < ends[j] + 2 and text[end] == "=":
+        j = bisect_left(places, begin + chars)  # the key ends with line j - 1
+        if j < len(places) and places[j] == begin + chars and (kind := _key_kind(_b64(joined[begin : places[j]]))):
+            end = close = ends[j - 1]
+            while end < len(text) and end < close + 2 and text[end] == "=":
                 end += 1
             yield kind, starts[i], end
-            after = j + 1
+            after = j
+
+
+class _Cover:
+    """Whether a position lies in one of some spans, which come by start."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.reach: list[int] = []  # the furthest end so far
+
+    def add(self, start: int, end: int) -> None:
+        self.starts.append(start)
+        self.reach.append(max(end, self.reach[-1] if self.reach else 0))
+
+    def __contains__(self, at: int) -> bool:
+        n = bisect_right(self.starts, at)
+        return n > 0 and at < self.reach[n - 1]
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
@@ -210,13 +236,14 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     if b"x" * 24 in raw.translate(_HEX_CLASS):
         for m in HEX.finditer(text):
             spans.append(("hex", m.start(), m.end()))
-            if len(m[0]) % 2 == 0 and _key_kind(bytes.fromhex(m[0])):
+            if len(m[0]) % 2 == 0 and m[0].startswith(HEX_STARTS) and _key_kind(bytes.fromhex(m[0])):
                 spans.append(("hex_key", m.start(), m.end()))
     if b"x" * 24 in raw.translate(_HEX_ANY_CLASS):
+        seen = set(spans)
         for m in HEX_ANY.finditer(text):
-            if len(m[0]) % 2 == 0 and ("hex_key", *m.span()) not in spans and _key_kind(bytes.fromhex(m[0])):
+            if len(m[0]) % 2 == 0 and m[0][:2].lower() in HEX_STARTS and ("hex_key", *m.span()) not in seen and _key_kind(bytes.fromhex(m[0])):
                 spans.append(("hex_key", m.start(), m.end()))
-    pem: list[tuple[int, int]] = []
+    pem = _Cover()
     if b"PRIVATE KEY-----" in raw:
         missing: set[str] = set()  # labels with no further end line: do not search again
         for m in PEM_BEGIN.finditer(text):
@@ -228,16 +255,15 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
                 missing.add(m[1])
             elif _key_kind(_b64(re.sub(r"\\[nr]|\s", "", text[m.end() : end]))):
                 spans.append(("pem_key", m.start(), end + len(close)))
-                pem.append((m.start(), end + len(close)))
+                pem.add(m.start(), end + len(close))
     if b"x" * 40 in raw.translate(_B64_CLASS):
         for m in BASE64_RUN.finditer(text):
-            if not any(a <= m.start() < b for a, b in pem) and (kind := _key_kind(_b64(m[0]))):
+            if m[0].startswith(BASE64_STARTS) and m.start() not in pem and (kind := _key_kind(_b64(m[0]))):
                 spans.append((kind, m.start(), m.end()))
     if b"x" * 16 in raw.translate(_B64_ANY_CLASS):
+        seen = set(spans)
         for m in BASE64_LINES.finditer(text):
-            for span in _line_keys(text, m.start(), m.end()):
-                if span not in spans and not any(a <= span[1] < b for a, b in pem):
-                    spans.append(span)
+            spans += [s for s in _line_keys(text, m.start(), m.end()) if s not in seen and s[1] not in pem]
     if b"eyJ" in raw:
         spans += [("signed_token", m.start(), m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
@@ -263,7 +289,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in small_batches(batches, text_col):
             found = [
                 [{"kind": k, "start": a, "end": b} for k, a, b in find_secrets(t)] for t in text_column(batch, text_col)
             ]
@@ -279,7 +305,7 @@ def redact_secrets(df: DataFrame, text_col: str = "text", length_col: str = "n_c
     """
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text_col):
             texts = batch.column(text_col).to_pylist()
             lengths = batch.column(length_col).to_pylist()
             for i, text in enumerate(texts):

@@ -45,6 +45,7 @@ END_BITS = 12  # 4096 consecutive ids are joined at a time
 PRIME = (1 << 31) - 1
 LANES = (1_000_003, 69_621_113, 523_456_789, 1_987_654_321)  # B of each lane
 ATTEMPTS = 4
+NO_ENDS = hashlib.sha256(b"").hexdigest()
 _ORDER_BITS = 31  # a conversation has fewer than 2^31 turns
 
 
@@ -211,7 +212,7 @@ def conversation_trie(conversations: DataFrame) -> DataFrame:
     )
     back = -F.col("d")
     marked = _running(marked, "c", back, [back], ["leaves", "saved"], "marked")
-    sums = marked.groupBy(*key).agg(F.sum("sum_leaves").alias("n_leaves"), F.sum("sum_saved").alias("saved_tokens"))
+    sums = stage(marked.groupBy(*key).agg(F.sum("sum_leaves").alias("n_leaves"), F.sum("sum_saved").alias("saved_tokens")), "sums")
 
     children = nodes.groupBy(F.col("pd").alias("d"), F.col("q1").alias("k1"), F.col("q2").alias("k2")).agg(F.count(F.lit(1)).alias("n_children"))
     parents = nodes.select(F.col("d").alias("pd"), F.col("k1").alias("q1"), F.col("k2").alias("q2"), F.col("conv_id").alias("parent_conv_id"))
@@ -219,22 +220,27 @@ def conversation_trie(conversations: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     ended = ended.unionByName(convs.where("size = 0").select("c", *(zero.alias(k) for k in key)))
     ends = stage(_ends(ended), "ends")
-    top = convs.agg(F.count(F.lit(1)).alias("n_convs"), F.min("c").alias("conv_id")).where("n_convs > 0")
-    whole = nodes.agg(F.count_if(F.col("d") == 1).alias("n_children"), F.greatest(F.count_if("childless"), F.lit(1)).alias("n_leaves"))
-    saved = sums.where("d = 1").agg(F.coalesce(F.sum("saved_tokens"), F.lit(0)).alias("saved_tokens"))
-    root_end = ends.where("d = 0").agg(F.first("ends_sha256").alias("ends_sha256"))
-    root = top.join(F.broadcast(whole)).join(F.broadcast(saved)).join(F.broadcast(root_end))  # one row each
     parented = stage(nodes.where("d > 1").join(parents, ["pd", "q1", "q2"]).select(*key, "parent_conv_id"), "parents")
     tree = nodes.join(sums, key).join(children, key, "left").join(parented, key, "left").join(ends.where("d > 0"), key, "left")
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "turn_conv_id", "turn_pos"]
-    least = top.select(F.col("conv_id").alias("root_id"))
-    inner = tree.join(F.broadcast(least)).select(
+    root = _root(convs, nodes, sums, ends)
+    inner = tree.select(
         "conv_id", F.col("d").alias("depth"),
-        F.when(F.col("d") == 1, F.col("root_id")).otherwise(F.col("parent_conv_id")).alias("parent_conv_id"),
-        "n_convs", F.coalesce("n_children", zero).alias("n_children"), "n_leaves", "saved_tokens", "ends_sha256",
+        F.when(F.col("d") == 1, F.lit(root[0] if root else None).cast("long")).otherwise(F.col("parent_conv_id")).alias("parent_conv_id"),
+        "n_convs", F.coalesce("n_children", zero).alias("n_children"), "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(NO_ENDS)).alias("ends_sha256"),
         F.col("ref.ref_conv").alias("turn_conv_id"), F.col("ref.ref_pos").alias("turn_pos"),
     )
-    none = F.lit(None).cast("long")
-    outer = root.withColumns({"depth": zero, "parent_conv_id": none, "turn_conv_id": none, "turn_pos": none})
-    out = inner.select(*columns).unionByName(outer.select(*columns))
-    return out.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+    outer = conversations.sparkSession.createDataFrame([root] if root else [], ", ".join(f"{c} {t}" for c, t in inner.dtypes))
+    return inner.select(*columns).unionByName(outer)
+
+
+def _root(convs: DataFrame, nodes: DataFrame, sums: DataFrame, ends: DataFrame) -> tuple | None:
+    """The root's row, from a few totals; None without conversations."""
+    members = convs.agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("first")).first()
+    if not members.n:
+        return None
+    whole = nodes.agg(F.count_if(F.col("d") == 1).alias("children"), F.count_if("childless").alias("leaves")).first()
+    saved = sums.where("d = 1").agg(F.sum("saved_tokens")).first()[0] or 0
+    ended = ends.where("d = 0").first()
+    return members["first"], 0, None, members.n, whole.children, max(whole.leaves, 1), saved, ended.ends_sha256 if ended else NO_ENDS, None, None

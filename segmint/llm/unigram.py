@@ -42,6 +42,9 @@ def zipf_scores(model: PieceModel) -> dict[str, float]:
     return {p: -math.log(r + 2) - total for r, p in enumerate(pieces)}
 
 
+_NO_SUFFIX = object()  # of any piece; None: a suffix that is no piece itself
+
+
 class TrieCounter:
     """Best-segmentation counts and scores of pre-tokens."""
 
@@ -69,8 +72,8 @@ class TrieCounter:
                 top, count, covered = -math.inf, 0, False
                 start = end - 1
                 while start >= 0:
-                    score = suffixes.get(word[start:end], 0.0)
-                    if score == 0.0:  # no suffix of any piece
+                    score = suffixes.get(word[start:end], _NO_SUFFIX)
+                    if score is _NO_SUFFIX:
                         break
                     if score is not None:
                         covered = covered or start == end - 1
