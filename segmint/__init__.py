@@ -4,7 +4,8 @@ The public entry point is :func:`segmint.plans.pipeline.segment_customers`;
 every stage of it is importable on its own from :mod:`segmint.operators`.
 """
 
-from segmint.plans.pipeline import SegmentationResult, segment_customers
+from segmint.operators.output import write_months, write_result, write_result_table
+from segmint.plans.pipeline import SegmentationResult, build_months, segment_customers, segment_periods
 from segmint.plans.specs import (
     CONSISTENT_ELITE_SPECS,
     CONSISTENT_METRIC_SPECS,
@@ -24,6 +25,11 @@ __all__ = [
     "MetricSpec",
     "ObservationWindow",
     "SegmentationResult",
+    "build_months",
     "observation_window",
     "segment_customers",
+    "segment_periods",
+    "write_months",
+    "write_result",
+    "write_result_table",
 ]

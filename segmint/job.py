@@ -8,7 +8,8 @@ Inputs are read with their schemas pinned (``segmint.sources``); the result repl
 its own (month, period) partition of the output. Results are the currency rows
 (``--out`` or ``--out-table``) and, if asked for, the wide table with one row per customer
 (``--wide-out`` or ``--wide-table``). Staged intermediates go to ``--staging-dir`` or the
-session's ``spark.checkpoint.dir`` and are removed at the end, also after a failure.
+session's ``spark.checkpoint.dir`` and are removed at the end, also after a failure, unless
+``--run-name`` is given: then a failed run keeps them and can be resumed.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     wide.add_argument("--wide-out", help="path of the wide table")
     wide.add_argument("--wide-table", help="catalog table of the wide rows")
     p.add_argument("--staging-dir", help="shared folder for intermediates (default: spark.checkpoint.dir)")
+    p.add_argument("--run-name", help="keep the stages of a failed run, and go on after them when called again with this name")
     p.add_argument(
         "--broadcast-mb", type=int, default=DEFAULT_BROADCAST_BYTES >> 20, help="size up to which a side of a join is broadcast"
     )
@@ -76,7 +78,9 @@ def main(argv=None) -> None:
     res = segment_customers(
         spark, sources, read_users(spark, args.users, args.format), rates, args.day, args.period,
         args.first_tx_date, metric_specs, elite_specs, rows_within(args.broadcast_mb << 20), staging_dir=args.staging_dir,
+        run_name=args.run_name,
     )
+    written = False
     try:
         if args.out:
             write_result(res.segments, args.out, window)
@@ -86,8 +90,10 @@ def main(argv=None) -> None:
             write_result(res.wide, args.wide_out, window)
         elif args.wide_table:
             write_result_table(res.wide, args.wide_table, window)
+        written = True
     finally:
-        res.release()
+        if written or args.run_name is None:
+            res.release()
 
 
 if __name__ == "__main__":

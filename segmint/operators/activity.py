@@ -5,11 +5,17 @@ Plan shape (per run, any number of sources):
 1. each source is filtered (type predicates and the date window reach the Parquet scan),
    unioned with a ``Source`` tag and joined to the broadcast day-rate table;
 2. ``customer_sums``: one aggregate per customer, the only shuffle of the transactions, with
-   the per-source figures side by side and the set of active days per source. It combines
-   map-side, so a customer holding a large share of all rows is one row per map task, and
-   a group's state is bounded by the days of the window;
+   the per-source figures side by side. Active days are a bitmap of the window's days, as
+   64-bit words merged by OR, so every buffer has a fixed width: the aggregate stays a hash
+   aggregate with map-side combine, where a set per group would make it sort its input
+   after the first few groups. A customer holding a large share of all rows is one row per
+   map task;
 3. ``customer_activity`` and ``merge_sources`` are projections of it: the per-source HAVING
    applied to the figures, as one row per source or added up.
+
+``month_state`` is the same aggregate per customer and calendar month (a month's days fit
+one word), as a table to keep: ``sums_of_months`` adds up the months of any window, so
+several periods and later months need no second scan of the transactions.
 """
 
 from __future__ import annotations
@@ -57,25 +63,63 @@ def converted_rows(
     return convert_currency(source_rows(sources, window), rates_in_window(rates, window), broadcast_rows, rate_rows)
 
 
-def customer_sums(converted: DataFrame, source_names: Sequence[str]) -> DataFrame:
-    """Per ``CustomerKey`` and source ``i``: valid Ids ``_ids<i>``, the set of days with a valid
-    row ``_days<i>`` and the amount sums ``_amt<i>``, ``_usd<i>`` (NULL without any amount).
+#: Per source ``i``: valid Ids, days with a valid row, first and last of them, amount sums
+#: (NULL without any amount).
+SUM_FIELDS = ("_ids", "_days", "_first", "_last", "_amt", "_usd")
 
-    First, last and number of active days are read off the set, so neither a second
-    aggregation per day nor the Expand of ``count(distinct ...)`` is needed.
-    """
+
+def _grouped(converted: DataFrame, names: Sequence[str], keys: Sequence[str], start: Column, words: int) -> DataFrame:
+    """The per-source figures per ``keys``; ``start`` is the first day of the bitmap of ``words`` words."""
     day = F.to_date("CreateDate")
-    aggs: list[Column] = []
-    for i, name in enumerate(source_names):
-        mine = F.col("Source") == name
-        valid = mine & F.col("IsValid")
-        aggs += [
-            F.count(F.when(valid, F.col("Id"))).alias(f"_ids{i}"),
-            F.collect_set(F.when(valid, day)).alias(f"_days{i}"),
-            F.sum(F.when(mine, F.col("Amount"))).alias(f"_amt{i}"),
-            F.sum(F.when(mine, F.col("AmountUSD"))).alias(f"_usd{i}"),
-        ]
-    return converted.groupBy("CustomerKey").agg(*aggs)
+    rows = converted.select(
+        "*", day.alias("_day"), F.expr(_source_number(names)).alias("_source"), F.datediff(day, start).alias("_nth")
+    )
+    rows = rows.selectExpr("*", "_nth div 64 AS _word", "shiftleft(1L, _nth % 64) AS _bit")
+    aggs, fields = [], []
+    for i in range(len(names)):
+        mine = f"_source = {i}"
+        valid = f"{mine} AND IsValid"
+        aggs += [f"count(IF({valid}, Id, NULL)) AS _ids{i}"]
+        aggs += [f"bit_or(IF({valid} AND _word = {k}, _bit, NULL)) AS _w{i}_{k}" for k in range(words)]
+        aggs += [f"min(IF({valid}, _day, NULL)) AS _first{i}", f"max(IF({valid}, _day, NULL)) AS _last{i}"]
+        aggs += [f"sum(IF({mine}, Amount, NULL)) AS _amt{i}", f"sum(IF({mine}, AmountUSD, NULL)) AS _usd{i}"]
+        days = " + ".join(f"coalesce(bit_count(_w{i}_{k}), 0)" for k in range(words))
+        fields += [f"CAST({days} AS BIGINT) AS _days{i}" if f == "_days" else f"{f}{i}" for f in SUM_FIELDS]
+    return rows.groupBy(*keys).agg(*(F.expr(a) for a in aggs)).selectExpr(*keys, *fields)
+
+
+def _source_number(names: Sequence[str]) -> str:
+    quoted = [n.replace("\\", "\\\\").replace("'", "\\'") for n in names]
+    return "CASE Source " + " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(quoted)) + " END"
+
+
+def customer_sums(converted: DataFrame, source_names: Sequence[str], window: ObservationWindow) -> DataFrame:
+    """Per ``CustomerKey``, the ``SUM_FIELDS`` of each source over the window's rows."""
+    start = window.start or window.base_day
+    words = max(1, -(-(window.base_day - start).days // 64))
+    return _grouped(converted, source_names, ["CustomerKey"], F.lit(start), words)
+
+
+def month_state(converted: DataFrame, source_names: Sequence[str]) -> DataFrame:
+    """Per ``CustomerKey`` and ``Month`` (its first day), the ``SUM_FIELDS`` of each source."""
+    month = F.trunc(F.to_date("CreateDate"), "month")
+    return _grouped(converted.withColumn("Month", month), source_names, ["CustomerKey", "Month"], month, 1)
+
+
+def sums_of_months(state: DataFrame, source_names: Sequence[str], window: ObservationWindow) -> DataFrame:
+    """``customer_sums`` of a window from the months it consists of. Days of different months
+    differ, so their numbers add up."""
+    aggs = []
+    for i in range(len(source_names)):
+        for field in SUM_FIELDS:
+            how = {"_first": "min", "_last": "max"}.get(field, "sum")
+            # a sum of sums keeps their type, which is wide enough for all rows
+            dtype = state.schema[f"{field}{i}"].dataType.simpleString()
+            aggs.append(F.expr(f"CAST({how}({field}{i}) AS {dtype}) AS {field}{i}"))
+    months = state.where(F.lit(False)) if window.empty else state.where(
+        (F.col("Month") >= F.trunc(F.lit(window.start), "month")) & (F.col("Month") < F.lit(window.base_day))
+    )
+    return months.groupBy("CustomerKey").agg(*aggs)
 
 
 def customer_activity(sums: DataFrame, source_names: Sequence[str]) -> DataFrame:
@@ -84,9 +128,9 @@ def customer_activity(sums: DataFrame, source_names: Sequence[str]) -> DataFrame
         F.struct(
             F.lit(name).alias("Source"),
             F.col(f"_ids{i}").alias("IdCount"),
-            F.size(f"_days{i}").cast("bigint").alias("CountDistinctDate"),
-            F.array_min(f"_days{i}").alias("MinCreateDate"),
-            F.array_max(f"_days{i}").alias("MaxCreateDate"),
+            F.col(f"_days{i}").alias("CountDistinctDate"),
+            F.col(f"_first{i}").alias("MinCreateDate"),
+            F.col(f"_last{i}").alias("MaxCreateDate"),
             (-F.col(f"_amt{i}")).alias("SumAmount"),
             (-F.col(f"_usd{i}")).alias("SumAmountUSD"),
         )
@@ -121,13 +165,12 @@ def merge_sources(sums: DataFrame, source_names: Sequence[str]) -> DataFrame:
     def kept(cols: Sequence[Column]) -> list[Column]:
         return [F.when(keep[i], cols[i]) for i in idx]
 
-    ids, days, amt, usd = ([F.col(f"{c}{i}") for i in idx] for c in ("_ids", "_days", "_amt", "_usd"))
-    counts = [F.size(c).cast("bigint") for c in days]
-    firsts, lasts = kept([F.array_min(c) for c in days]), kept([F.array_max(c) for c in days])
+    ids, days, first, last, amt, usd = ([F.col(f"{c}{i}") for i in idx] for c in SUM_FIELDS)
+    firsts, lasts = kept(first), kept(last)
     return sums.where(reduce(lambda a, b: a | b, keep)).select(
         "CustomerKey",
         _sum_skip_nulls(kept(ids), T.LongType()).alias("IdCount"),
-        _sum_skip_nulls(kept(counts), T.LongType()).alias("CountDistinctDate"),
+        _sum_skip_nulls(kept(days), T.LongType()).alias("CountDistinctDate"),
         (F.least(*firsts) if len(idx) > 1 else firsts[0]).alias("MinCreateDate"),
         (F.greatest(*lasts) if len(idx) > 1 else lasts[0]).alias("MaxCreateDate"),
         (-_sum_skip_nulls(kept(amt), sums.schema["_amt0"].dataType)).alias("SumAmount"),

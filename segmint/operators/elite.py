@@ -6,6 +6,11 @@ the distinct ``band_value``s of the population up to a bound form the band, grad
 different bounds (the default spec cuts the USD ticket-size score band at the TRY bound).
 Final grade: gate score 5 and a band row -> the band grade; gate 5, no band row and the
 value above the bound -> 4 / 100.00; otherwise 0.
+
+As in ``grade.py`` a band is a step function of bounded size. The value of a customer of the
+population occurs if it is the value the band was built from; if the population is all
+customers above a bound of that very value, no other customer's can occur. Otherwise it is
+looked up in bitmaps of the values that occur.
 """
 
 from __future__ import annotations
@@ -27,33 +32,73 @@ from segmint.operators.bands import (
     unpivot_values,
     value_histogram,
 )
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, left_join_lookups, split_by_size
-from segmint.plans.specs import EliteSpec
+from segmint.operators.grade import grade_columns
+from segmint.operators.joins import left_join_lookups
+from segmint.operators.steps import bit_is_set, find_steps, present_values, step_column, step_grades, with_steps
+from segmint.plans.specs import EliteSpec, MetricSpec
 
 def band_key(e: EliteSpec) -> str:
     """Histogram key of the band values (shared with the bound when the columns agree)."""
     return e.name if e.band_value == e.bound_value else f"{e.name}/band"
 
+def _by_own_value(e: EliteSpec, metric_specs: Sequence[MetricSpec]) -> MetricSpec | None:
+    """The metric at whose bound the population is cut, if its value is the band's and the one
+    that is looked up: then the values that occur are exactly the population's."""
+    owner = {grade_columns(m)[1]: m for m in metric_specs}.get(e.population)
+    return owner if owner is not None and e.band_value == e.join_value == owner.value else None
+
+
+def from_base_ranks(specs: Sequence[EliteSpec], metric_specs: Sequence[MetricSpec]) -> dict[str, MetricSpec]:
+    """Elite metrics whose histogram is a part of a base metric's: the population is all who lie
+    beyond its bound, all of them are eligible, and bound and band are of the same value."""
+    owners = {e.name: _by_own_value(e, metric_specs) for e in specs if e.bound_value == e.band_value}
+    return {name: m for name, m in owners.items() if m is not None and m.eligible_beyond}
+
+
 def elite_values(
-    df: DataFrame, specs: Sequence[EliteSpec], populations: dict[str, Column] | None = None
+    df: DataFrame,
+    specs: Sequence[EliteSpec],
+    populations: dict[str, Column] | None = None,
+    ranked: DataFrame | None = None,
+    bounds: dict[str, Bounds] | None = None,
+    metric_specs: Sequence[MetricSpec] = (),
 ) -> DataFrame:
     """Histogram of the populations' bound values (and band values where they differ).
 
     ``populations`` maps a score column to an equivalent predicate on ``df``; a score
-    column not in it is read from ``df`` (which then must be the graded table).
+    column not in it is read from ``df`` (which then must be the graded table). With the
+    ``ranked`` base histogram and its ``bounds``, what ``from_base_ranks`` names is read there
+    and only the rest from ``df``.
     """
     populations = populations or {}
+    parts: list[DataFrame] = []
     entries = []
     pops = []
+    ready = from_base_ranks(specs, metric_specs) if ranked is not None else {}
+    if ready:
+        beyond = []
+        for name, m in ready.items():
+            b = (bounds or {}).get(m.name)
+            if b is not None and b.lower is not None and b.upper is not None:
+                past = F.col("Value") < b.lower if m.descending else F.col("Value") > b.upper
+                beyond.append(F.when((F.col("Metric") == m.name) & past, F.lit(name)))
+        if beyond:
+            tops = ranked.select(F.explode(F.array_compact(F.array(*beyond))).alias("_elite"), "Value", "Customers")
+            parts.append(tops.select(F.col("_elite").alias("Metric"), "Value", "Customers"))
     for e in specs:
+        if e.name in ready:
+            continue
         pop = populations.get(e.population, F.col(e.population) == 5)
         pops.append(pop)
         entries.append((e.name, F.when(pop, F.col(e.bound_value))))
         if band_key(e) != e.name:
             entries.append((band_key(e), F.when(pop, F.col(e.band_value))))
-    # only customers in some population: the disjunction reaches the Parquet scan
-    tops = df.where(reduce(lambda a, b: a | b, pops))
-    return value_histogram(unpivot_values(tops, entries))
+    if entries or not parts:
+        # only customers in some population: the disjunction reaches the Parquet scan
+        some = df.where(reduce(lambda a, b: a | b, pops, F.lit(False)))
+        parts.append(value_histogram(unpivot_values(some, entries or [(specs[0].name, F.lit(None).cast("int"))])))
+    return reduce(DataFrame.unionByName, parts)
+
 
 def elite_bounds(ranked: DataFrame, specs: Sequence[EliteSpec]) -> DataFrame:
     """U16: ``(Metric, Customers, LowerBound = NULL, UpperBound)``."""
@@ -106,13 +151,12 @@ def elite_lookup(
     specs: Sequence[EliteSpec],
     bounds: dict[str, Bounds],
     extents: dict[str, Extent],
-    only: set[str] | None = None,
 ) -> DataFrame:
-    """Elite bands in one table keyed by ``struct(metric index, value)`` (one broadcast)."""
+    """Elite bands in one table keyed by ``struct(metric index, value)``."""
     live = {}
     for i, e in enumerate(specs):
         own, score = _cuts_of(e, bounds)
-        if (own is not None or score is not None) and (only is None or e.name in only):
+        if own is not None or score is not None:
             live[band_key(e)] = (i, own, score, extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size)
     metric = F.col("Metric")
     if not live:
@@ -140,29 +184,42 @@ def elite_lookup(
     )
 
 
+ELITE_TYPES = {"EliteScore": "int", "ElitePoints": POINTS_TYPE}
+
+
 def assign_elite(
     graded: DataFrame,
     ranked: DataFrame,
     specs: Sequence[EliteSpec],
     bounds: dict[str, Bounds],
     extents: dict[str, Extent],
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    metric_specs: Sequence[MetricSpec] = (),
 ) -> DataFrame:
-    """Graded columns + ``EliteSegmentScore_*`` and ``EliteSegmentPoints_*``."""
-    sizes = {e.name: max(extents[f"{e.name}:points"].size, extents[f"{e.name}:score"].size) for e in specs}
-    small, large = split_by_size(sizes, broadcast_rows)
-    shared = F.broadcast(elite_lookup(ranked, specs, bounds, extents, only=small))
-    own_lk = {name: elite_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
+    """Graded columns + ``EliteSegmentScore_*`` and ``EliteSegmentPoints_*``, without a
+    shuffle of ``graded``."""
+    bands = elite_lookup(ranked, specs, bounds, extents)
+    steps = find_steps(bands, list(ELITE_TYPES))
+    levels = F.broadcast(step_grades(graded, steps, ELITE_TYPES))
+    probed = [i for i, e in enumerate(specs) if i in steps and _by_own_value(e, metric_specs) is None]
+    present = F.broadcast(present_values(bands, probed))
     joins: list[tuple[DataFrame, str]] = []
     scores: list[str] = []
     points: list[str] = []
     for i, e in enumerate(specs):
         value = f"CAST(b.`{e.join_value}` AS BIGINT)"
-        joins.append((own_lk.get(e.name, shared), f"named_struct('m', {i}, 'v', {value})"))
         bound = _upper(bounds, e.name)
         gate = f"b.`{e.gate}` = 5"
         above = f"{value} > " + ("CAST(NULL AS BIGINT)" if bound is None else f"CAST({bound} AS BIGINT)")
-        es, ep = f"l{i}.`EliteScore`", f"l{i}.`ElitePoints`"
+        es, ep = "CAST(NULL AS INT)", f"CAST(NULL AS {POINTS_TYPE})"
+        if i in steps:
+            top = max(c for c in _cuts_of(e, bounds) if c is not None)
+            asked = f"{gate} AND {value} <= CAST({top} AS BIGINT)"
+            known = f"b.`{e.population}` = 5"
+            if i in probed:
+                joins.append((present, f"named_struct('m', {i}, 'b', IF({asked}, bitmap_bucket_number({value}), NULL))"))
+                known = bit_is_set(f"l{len(joins) - 1}.Bits", value)
+            joins.append((levels, f"named_struct('m', {i}, 's', IF({asked} AND {known}, CAST(b.{step_column(i)} AS INT), NULL))"))
+            es, ep = (f"l{len(joins) - 1}.`{c}`" for c in ELITE_TYPES)
         score_c, points_c = elite_columns(e)
         scores.append(
             f"CAST(CASE WHEN {gate} AND {es} IS NULL AND {above} THEN 4 WHEN {gate} AND {es} IS NOT NULL THEN {es} "
@@ -172,4 +229,5 @@ def assign_elite(
             f"CAST(CASE WHEN {gate} AND {ep} IS NULL AND {above} THEN 100.00 WHEN {gate} AND {ep} IS NOT NULL THEN {ep} "
             f"ELSE 0.00 END AS {POINTS_TYPE}) AS `{points_c}`"
         )
-    return left_join_lookups(graded, joins, [f"b.`{c}`" for c in graded.columns] + scores + points)
+    stepped = with_steps(graded, steps, {i: e.join_value for i, e in enumerate(specs)})
+    return left_join_lookups(stepped, joins, [f"b.`{c}`" for c in graded.columns] + scores + points)

@@ -1,12 +1,15 @@
 """Every customer's group (0/1), score (1-5) and points (1-100) per metric.
 
-A customer's value inside the bounds takes the band row of an equal eligible value (a
-left join on the value; no equal value: NULL, as in the procedure); below / above the
-bounds gives the low / high end (reversed for descending metrics). Bounds are literals,
-so these are plain CASE expressions. The bands of all metrics form one lookup keyed by
-``struct(metric, value)``, broadcast once and probed once per metric, as long as their
-row counts (known from the extents) fit the limit; a band that does not fit joins by
-sort-merge, where AQE splits partitions of hot values.
+A customer's value inside the bounds takes the band row of an equal eligible value (none:
+NULL, as in the procedure); below / above the bounds gives the low / high end (reversed
+for descending metrics). Bounds are literals, so these are plain CASE expressions.
+
+Band rows are not looked up by value. Inside the band the grades are a step function of the
+value with a bounded number of steps (``steps.py``): the step is found by binary search and
+its grades in one broadcast table of at most ``MAX_STEPS`` rows per metric. An eligible
+customer's value occurs by definition. Where eligibility does not follow from the value, an
+ineligible customer's is looked up in bitmaps of the values that occur, also bounded. So
+grading never shuffles the customers, at any number of distinct values.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 
 from segmint.functions.exact import BASE_POINTS, POINTS_TYPE, ntile_from_rank, points_from_rank
 from segmint.operators.bands import Bounds, Extent, lit_map
-from segmint.operators.joins import DEFAULT_BROADCAST_ROWS, left_join_lookups, split_by_size
+from segmint.operators.joins import left_join_lookups
+from segmint.operators.steps import bit_is_set, find_steps, present_values, step_column, step_grades, with_steps
 from segmint.plans.specs import MetricSpec
 
 
@@ -39,21 +43,16 @@ def _graded(band: str, value: str, lo: str, hi: str, low: str, high: str, dtype:
 
 
 def band_lookup(
-    ranked: DataFrame,
-    specs: Sequence[MetricSpec],
-    bounds: dict[str, Bounds],
-    extents: dict[str, Extent],
-    only: set[str] | None = None,
+    ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
 ) -> DataFrame:
-    """The bands of several metrics in one table keyed by ``struct(metric index, value)`` -
-    one scan of the ranked values, and one broadcast that every metric's join reuses."""
+    """The bands of all metrics in one table keyed by ``struct(metric index, value)``, from one
+    scan of the ranked values."""
     live = {
         m.name: i
         for i, m in enumerate(specs)
         if (b := bounds.get(m.name)) is not None
         and b.lower is not None
         and extents[m.name].size > 0
-        and (only is None or m.name in only)
     }
     if not live:
         rows = ranked.where(F.lit(False))
@@ -91,34 +90,40 @@ def band_rows(
     )
 
 
+GRADE_TYPES = {"Group": "int", "Score": "int", "Points": POINTS_TYPE}
+
+
 def assign_grades(
-    base: DataFrame,
-    ranked: DataFrame,
-    specs: Sequence[MetricSpec],
-    bounds: dict[str, Bounds],
-    extents: dict[str, Extent],
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> tuple[DataFrame, bool]:
-    """Base columns + 27 grade columns; also whether every band was broadcast.
-
-    Bands go into one broadcast lookup, smallest first, up to ``broadcast_rows`` rows; a
-    band that does not fit gets its own sort-merge join (AQE splits hot values).
-    """
-    small, large = split_by_size({m.name: extents[m.name].size for m in specs}, broadcast_rows)
-    shared = F.broadcast(band_lookup(ranked, specs, bounds, extents, only=small))
-    own = {name: band_lookup(ranked, specs, bounds, extents, only={name}) for name in large}
+    base: DataFrame, ranked: DataFrame, specs: Sequence[MetricSpec], bounds: dict[str, Bounds], extents: dict[str, Extent]
+) -> DataFrame:
+    """Base columns + 27 grade columns, without a shuffle of ``base``."""
+    bands = band_lookup(ranked, specs, bounds, extents)
+    steps = find_steps(bands, list(GRADE_TYPES))
+    levels = F.broadcast(step_grades(base, steps, GRADE_TYPES))
+    probed = [i for i, m in enumerate(specs) if i in steps and not m.eligible_by_value]
+    present = F.broadcast(present_values(bands, probed))
     joins: list[tuple[DataFrame, str]] = []
     grades: list[str] = []
+    at: dict[int, str] = {}
     for i, m in enumerate(specs):
         value = f"CAST(b.`{m.value}` AS BIGINT)"
-        joins.append((own.get(m.name, shared), f"named_struct('m', {i}, 'v', {value})"))
         b = bounds.get(m.name)
         lo, hi = _sql_int(b.lower if b else None), _sql_int(b.upper if b else None)
+        if i in steps:
+            inside = f"{value} BETWEEN {lo} AND {hi}"
+            known = f"({m.eligible})"
+            if i in probed:
+                bucket = f"IF({inside} AND NOT coalesce({known}, false), bitmap_bucket_number({value}), NULL)"
+                joins.append((present, f"named_struct('m', {i}, 'b', {bucket})"))
+                known = f"({known} OR {bit_is_set(f'l{len(joins) - 1}.Bits', value)})"
+            joins.append((levels, f"named_struct('m', {i}, 's', IF({inside} AND {known}, CAST(b.{step_column(i)} AS INT), NULL))"))
+            at[i] = f"l{len(joins) - 1}"
         ends = ((1, 0), (5, 1), ("100.00", "1.00")) if m.descending else ((0, 1), (1, 5), ("1.00", "100.00"))
-        for (low, high), col, name, dtype in zip(ends, ("Group", "Score", "Points"), grade_columns(m), ("INT", "INT", POINTS_TYPE)):
-            grades.append(f"{_graded(f'l{i}.`{col}`', value, lo, hi, str(low), str(high), dtype)} AS `{name}`")
-    graded = left_join_lookups(base, joins, [f"b.`{c}`" for c in base.columns] + grades)
-    return graded, not large
+        for (low, high), (col, dtype), name in zip(ends, GRADE_TYPES.items(), grade_columns(m)):
+            band = f"{at[i]}.`{col}`" if i in at else f"CAST(NULL AS {dtype})"
+            grades.append(f"{_graded(band, value, lo, hi, str(low), str(high), dtype)} AS `{name}`")
+    stepped = with_steps(base, steps, {i: m.value for i, m in enumerate(specs)})
+    return left_join_lookups(stepped, joins, [f"b.`{c}`" for c in base.columns] + grades)
 
 
 def top_score_predicates(specs: Sequence[MetricSpec], bounds: dict[str, Bounds]) -> dict[str, Column]:

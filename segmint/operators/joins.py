@@ -35,18 +35,6 @@ def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS, rows:
     return (F.broadcast(df), True) if n <= limit else (df, False)
 
 
-def split_by_size(sizes: dict[str, int], limit: int = DEFAULT_BROADCAST_ROWS) -> tuple[set[str], set[str]]:
-    """Greedy split of lookup parts (smallest first) into one broadcastable group whose rows
-    add up to at most ``limit``, and the rest (joined without broadcast)."""
-    small, total = set(), 0
-    for name, n in sorted(sizes.items(), key=lambda kv: kv[1]):
-        if total + n > limit:
-            break
-        small.add(name)
-        total += n
-    return small, set(sizes) - small
-
-
 def left_join_lookups(base: DataFrame, lookups: Sequence[tuple[DataFrame, str]], select: Sequence[str]) -> DataFrame:
     """``base`` LEFT JOIN each lookup ``l<i>`` ON ``l<i>._key = <key SQL over b>``, projected
     by ``select`` (SQL over ``b`` and ``l<i>``), written as one statement.

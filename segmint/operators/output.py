@@ -17,6 +17,7 @@ from segmint.operators.elite import elite_columns
 from segmint.operators.grade import grade_columns
 from segmint.operators.window import ObservationWindow
 from segmint.plans.specs import CURRENCY_METRICS, EliteSpec, MetricSpec
+from segmint.session import file_system
 
 SHARED_HEAD = (
     "CreateDate",
@@ -172,34 +173,80 @@ def wide_columns(metric_specs: Sequence[MetricSpec], elite_specs: Sequence[Elite
     return [*BASE_COLUMNS, *(g[k] for k in range(3) for g in grades), *(e[k] for k in range(2) for e in elites)]
 
 
+#: Folders that readers skip: a replacement being written, and what it replaces.
+NEW_PREFIX, OLD_PREFIX = "_new-", "_old-"
+
+
 def _own_rows(rows: DataFrame, window: ObservationWindow) -> DataFrame:
     own = (F.col("YearMonth") == F.lit(window.year_month)) & (F.col("Period") == window.period)
     return rows.where(own).drop("YearMonth", "Period")
 
 
+def _recover(fs, make, parent: str, name: str) -> None:
+    """Finish what a writer that died left: of a replacement only the last step, a rename, can
+    be missing; then the old rows are put back."""
+    target, old = make(f"{parent}/{name}"), make(f"{parent}/{OLD_PREFIX}{name}")
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, target)
+
+
+def replace_folder(rows: DataFrame, folder: str) -> None:
+    """Replace the Parquet files of ``folder`` by ``rows``, all or nothing.
+
+    The rows are written beside the folder, under a name that readers of the parent skip. Only
+    a complete write is published, by renames (the old folder aside, the new one in its place,
+    the old one deleted): a failed write leaves the old rows as they were, and one that dies
+    between the renames is undone by the next call. Renames are atomic on HDFS and local
+    disks; on a store without them a reader may see the folder missing or in part for the time
+    of the copy. One writer per folder at a time.
+    """
+    parent, _, name = folder.rstrip("/").rpartition("/")
+    fs, make = file_system(rows.sparkSession, folder)
+    target, old, new = make(folder), make(f"{parent}/{OLD_PREFIX}{name}"), make(f"{parent}/{NEW_PREFIX}{uuid.uuid4().hex}")
+    _recover(fs, make, parent, name)
+    try:
+        rows.write.mode("errorifexists").parquet(new.toString())
+        if fs.exists(target) and not fs.rename(target, old):
+            raise OSError(f"could not set {folder} aside")
+        if not fs.rename(new, target):
+            fs.rename(old, target)
+            raise OSError(f"could not publish {folder}")
+        fs.delete(old, True)
+    finally:
+        fs.delete(new, True)
+
+
 def write_result(rows: DataFrame, path: str, window: ObservationWindow) -> None:
-    """Replace the rows of the window's (month, period) under ``path`` (Parquet).
+    """Replace the rows of the window's (month, period) under ``path`` (Parquet), all or
+    nothing (:func:`replace_folder`).
 
-    The partition's own folder is overwritten, so a run without rows leaves an empty
-    partition and never stale ones, and other months and periods survive.
+    A run without rows leaves an empty partition and never stale ones, and other months and
+    periods survive.
     """
     folder = f"{path.rstrip('/')}/YearMonth={window.year_month.isoformat()}/Period={window.period}"
-    _own_rows(rows, window).write.mode("overwrite").parquet(folder)
+    replace_folder(_own_rows(rows, window), folder)
 
 
 def write_result_table(rows: DataFrame, table: str, window: ObservationWindow) -> None:
-    """U22 for a catalog table, created on first use with the same partitioning."""
+    """U22 for a catalog table, created on first use with the same partitioning. The partition's
+    folder is replaced as for a path, then made known to the catalog."""
     spark = rows.sparkSession
     if not spark.catalog.tableExists(table):
         rows.limit(0).write.format("parquet").partitionBy("YearMonth", "Period").saveAsTable(table)
-    own = _own_rows(rows, window)
-    view = f"_segmint_result_{uuid.uuid4().hex[:12]}"
-    own.createOrReplaceTempView(view)
-    try:
-        columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in ("YearMonth", "Period"))
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (YearMonth = DATE'{window.year_month.isoformat()}', "
-            f"Period = {window.period}) SELECT {columns} FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    write_result(rows.select(*spark.table(table).columns), details["data_type"], window)
+    spec = f"PARTITION (YearMonth = DATE'{window.year_month.isoformat()}', Period = {window.period})"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
+    spark.catalog.refreshTable(table)
+
+
+def write_months(state: DataFrame, path: str) -> None:
+    """Write a months' state by ``Month``; months it holds are replaced, others survive.
+
+    Spark's dynamic overwrite moves finished files into place when all tasks are done, so a
+    failed write changes nothing.
+    """
+    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Month").parquet(path)

@@ -17,6 +17,9 @@ DEFAULT_CUTOVER = date(2024, 2, 6)
 # (buy + sell) / 2 of two decimal(18,6) prices has at most 7 decimals: decimal(20,7) is exact.
 RATE_TYPE = T.DecimalType(20, 7)
 
+#: Parts of a day's transactions in the join that is too large to broadcast.
+SALTS = 64
+
 
 def _checked(rate):
     return F.when(rate.isNull() | (rate > 0), rate).otherwise(
@@ -65,9 +68,16 @@ def convert_currency(
 
     Days without a rate give NULL (skipped by sums). The rate table is one row per day, so
     it is broadcast after a row-count check (``rate_rows`` if the caller counted already);
-    the transactions are never shuffled here.
+    the transactions are never shuffled here. Beyond the limit both sides are dealt by day
+    and one of ``SALTS`` parts of the day's transactions, so that no day's rows meet in one
+    task; the rates are repeated per part.
     """
     side = rates.select(F.col("Date").alias("_rate_date"), "Price_USDTRY")
-    side, _ = broadcast_if_small(side, broadcast_rows, rows=rate_rows)
-    joined = tx.join(side, F.to_date(F.col("CreateDate")) == F.col("_rate_date"), "left")
+    side, small = broadcast_if_small(side, broadcast_rows, rows=rate_rows)
+    same_day = F.to_date(F.col("CreateDate")) == F.col("_rate_date")
+    if not small:
+        side = side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_merge")
+        joined = tx.join(side, same_day & (F.pmod(F.xxhash64("CustomerKey", "Id"), F.lit(SALTS)) == F.col("_part")), "left").drop("_part")
+    else:
+        joined = tx.join(side, same_day, "left")
     return joined.drop("_rate_date").withColumn("AmountUSD", F.col("Amount") / F.col("Price_USDTRY"))

@@ -17,15 +17,17 @@ from segmint.operators.activity import converted_rows, customer_activity, custom
 from segmint.operators.base import BASE_COLUMNS, lrfm_base
 from segmint.operators.elite import elite_band_rows, elite_columns
 from segmint.operators.grade import band_rows
-from segmint.operators.output import CODE_COLUMNS, currency_rows
+from segmint.operators.output import CODE_COLUMNS, currency_rows, write_months, write_result
 from segmint.operators.rates import daily_rates
 from segmint.operators.window import observation_window, tag_windows
-from segmint.plans.pipeline import SegmentationResult, segment_customers
+from segmint.plans.pipeline import SegmentationResult, build_months, segment_customers, segment_periods
 from segmint.plans.specs import DEFAULT_ELITE_SPECS, DEFAULT_METRIC_SPECS
+from segmint.session import Stager
 from segmint.sources.fixture import BASE_DAY, FIRST_TX_DATE, RATE_CUTOVER, FixtureTables, fixture_tables
 
 WINDOW_PERIODS = (0, 1, 3, 6, 9, 12)
 BOUND_PERIODS = (0, 12, 3)
+SINK_PERIODS = (3, 0, 12)
 FULL_PERIODS = {"segmentation_full": 0, "segmentation_p12": 12, "segmentation_p3": 3, "segmentation_p1": 1,
                 "segmentation_p6": 6, "segmentation_p9": 9}
 
@@ -92,22 +94,22 @@ def _typed_activity(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def q_customer_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, rates = _fixture(spark, sf_dir)
-    names = list(fx.sources)
-    sums = customer_sums(converted_rows(fx.sources, rates, _window(0)), names)
+    w, names = _window(0), list(fx.sources)
+    sums = customer_sums(converted_rows(fx.sources, rates, w), names, w)
     return _typed_activity(customer_activity(sums, names), ("Source", "CustomerKey"))
 
 
 def q_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, rates = _fixture(spark, sf_dir)
-    names = list(fx.sources)
-    sums = customer_sums(converted_rows(fx.sources, rates, _window(0)), names)
+    w, names = _window(0), list(fx.sources)
+    sums = customer_sums(converted_rows(fx.sources, rates, w), names, w)
     return _typed_activity(merge_sources(sums, names), ("CustomerKey",))
 
 
 def q_lrfm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, rates = _fixture(spark, sf_dir)
     w, names = _window(0), list(fx.sources)
-    merged = merge_sources(customer_sums(converted_rows(fx.sources, rates, w), names), names)
+    merged = merge_sources(customer_sums(converted_rows(fx.sources, rates, w), names, w), names)
     return lrfm_base(merged, fx.users, w).select(*BASE_COLUMNS)
 
 
@@ -146,6 +148,30 @@ def _per_currency(columns: tuple[str, ...]) -> Callable[[SegmentationResult], Da
     return lambda r: currency_rows(r.scored, ("CustomerKey", "Currency", *columns))
 
 
+def q_segmentation_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six periods from one scan of the transactions: the months' state is written, read back
+    and rolled up per period."""
+    fx, rates = _fixture(spark, sf_dir)
+    end = _window().base_day
+    path = f"{Stager(spark).run_dir}/months"
+    write_months(build_months(fx.sources, rates, FIRST_TX_DATE, end), path)
+    runs = segment_periods(spark, spark.read.parquet(path), list(fx.sources), fx.users, BASE_DAY, WINDOW_PERIODS, FIRST_TX_DATE)
+    return reduce(DataFrame.unionByName, [r.segments for r in runs.values()])
+
+
+def q_result_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of three periods as it is read back from the sink, one of them written over an
+    earlier result of other rows."""
+    path = f"{Stager(spark).run_dir}/result"
+    for period in SINK_PERIODS:
+        run = fixture_run(spark, sf_dir, period)
+        if period == SINK_PERIODS[0]:
+            write_result(run.segments.where(F.col("Currency") == 0), path, run.window)
+        write_result(run.segments, path, run.window)
+        run.release()
+    return spark.read.parquet(path)
+
+
 #: Queries that look at one run of period 0.
 VIEWS: dict[str, Callable[[SegmentationResult], DataFrame]] = {
     "metric_values": lambda r: r.ranked.select("Metric", "Value", "Customers"),
@@ -184,4 +210,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outlier_bounds": q_outlier_bounds,
     **{name: _view(name) for name in VIEWS},
     **{k: _full(p) for k, p in FULL_PERIODS.items()},
+    "segmentation_periods": q_segmentation_periods,
+    "result_sink": q_result_sink,
 }

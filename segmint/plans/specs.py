@@ -22,6 +22,12 @@ class MetricSpec:
     p_low: int = 5  # percent
     p_high: int = 95
     descending: bool = False  # rank high values first (Recency)
+    # whether equal values are equally eligible, so that an ineligible customer's value is
+    # never that of an eligible one; False (always correct) makes grading look it up
+    eligible_by_value: bool = False
+    # whether all customers above (descending: below) an eligible one's value are eligible: then
+    # those beyond the bound are in the histogram, and elite populations are read from it
+    eligible_beyond: bool = False
 
 
 @dataclass(frozen=True)
@@ -46,14 +52,14 @@ def _volume(ratio_of: str, threshold: str) -> str:
 
 # Fixed values of the procedure: thresholds and percentiles per metric.
 DEFAULT_METRIC_SPECS: tuple[MetricSpec, ...] = (
-    MetricSpec("Length", "Length", "Length > 1"),
-    MetricSpec("Recency", "Recency", "Recency > 3 AND Recency < 121", descending=True),
-    MetricSpec("Frequency", "Frequency", "Frequency > 2"),
-    MetricSpec("Monetary", "MonetaryINT", "Monetary >= 50"),
+    MetricSpec("Length", "Length", "Length > 1", eligible_by_value=True),
+    MetricSpec("Recency", "Recency", "Recency > 3 AND Recency < 121", descending=True, eligible_by_value=True),
+    MetricSpec("Frequency", "Frequency", "Frequency > 2", eligible_by_value=True),
+    MetricSpec("Monetary", "MonetaryINT", "Monetary >= 50", eligible_by_value=True, eligible_beyond=True),
     MetricSpec("MonetaryUSD", "MonetaryUSDINT", "Monetary > 50"),
-    MetricSpec("AvgTicketSize", "AvgTicketSizeINT", _ticket("SumAmount", "10")),
+    MetricSpec("AvgTicketSize", "AvgTicketSizeINT", _ticket("SumAmount", "10"), eligible_by_value=True, eligible_beyond=True),
     MetricSpec("AvgTicketSizeUSD", "AvgTicketSizeUSDINT", _ticket("SumAmount", "10")),
-    MetricSpec("AvgTxVolumePerDay", "AvgTxVolumePerDayINT", _volume("SumAmount", "0.15")),
+    MetricSpec("AvgTxVolumePerDay", "AvgTxVolumePerDayINT", _volume("SumAmount", "0.15"), eligible_beyond=True),
     MetricSpec("AvgTxVolumePerDayUSD", "AvgTxVolumePerDayUSDINT", _volume("SumAmount", "0.015"), p_low=1, p_high=99),
 )
 
@@ -90,11 +96,11 @@ DEFAULT_ELITE_SPECS: tuple[EliteSpec, ...] = (
 
 CONSISTENT_METRIC_SPECS: tuple[MetricSpec, ...] = (
     *DEFAULT_METRIC_SPECS[:4],
-    MetricSpec("MonetaryUSD", "MonetaryUSDINT", "MonetaryUSD >= 50"),
+    MetricSpec("MonetaryUSD", "MonetaryUSDINT", "MonetaryUSD >= 50", eligible_by_value=True, eligible_beyond=True),
     DEFAULT_METRIC_SPECS[5],
-    MetricSpec("AvgTicketSizeUSD", "AvgTicketSizeUSDINT", _ticket("SumAmountUSD", "10")),
+    MetricSpec("AvgTicketSizeUSD", "AvgTicketSizeUSDINT", _ticket("SumAmountUSD", "10"), eligible_by_value=True, eligible_beyond=True),
     DEFAULT_METRIC_SPECS[7],
-    MetricSpec("AvgTxVolumePerDayUSD", "AvgTxVolumePerDayUSDINT", _volume("SumAmountUSD", "0.015"), p_low=1, p_high=99),
+    MetricSpec("AvgTxVolumePerDayUSD", "AvgTxVolumePerDayUSDINT", _volume("SumAmountUSD", "0.015"), p_low=1, p_high=99, eligible_beyond=True),
 )
 
 CONSISTENT_ELITE_SPECS: tuple[EliteSpec, ...] = tuple(

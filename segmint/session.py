@@ -11,6 +11,7 @@ import atexit
 import tempfile
 import uuid
 from contextlib import contextmanager
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,20 +85,49 @@ class Stager:
 
     ``root`` is a folder shared by the cluster (default: the session's checkpoint folder).
     What is not released by the end of the driver process is removed then.
+
+    With a ``run`` name the folder is ``segmint-run-<name>`` and outlives the process: a stage that an
+    earlier driver finished is read, not computed again. ``manifest`` describes what the run
+    computes (any text); it is written first, and a folder of another manifest is refused.
+    Only ``release`` removes a named run.
     """
 
-    def __init__(self, spark: SparkSession, enabled: bool = True, root: str | None = None):
+    def __init__(
+        self, spark: SparkSession, enabled: bool = True, root: str | None = None, run: str | None = None, manifest: str = ""
+    ):
         self.spark = spark
         self.enabled = enabled
-        self.run_dir = f"{(root or staging_root(spark)).rstrip('/')}/segmint-{uuid.uuid4().hex}" if enabled else None
-        if enabled:
+        self.run = run if enabled else None
+        name = f"segmint-run-{quote(run, safe='')}" if run else f"segmint-{uuid.uuid4().hex}"
+        self.run_dir = f"{(root or staging_root(spark)).rstrip('/')}/{name}" if enabled else None
+        self.resumed: list[str] = []  # stages found finished
+        if self.run:
+            self._claim(manifest)
+        elif enabled:
             atexit.register(self.release)
 
+    def _claim(self, manifest: str) -> None:
+        path = f"{self.run_dir}/_manifest"
+        if self._finished(path):
+            found = self.spark.read.schema("manifest string").parquet(path).first()[0]
+            if found != manifest:
+                raise ValueError(f"run {self.run!r} exists and computes something else: {found}")
+        else:
+            self.spark.createDataFrame([(manifest,)], "manifest string").coalesce(1).write.mode("overwrite").parquet(path)
+
+    def _finished(self, path: str) -> bool:
+        """Whether a write to ``path`` was committed: the last thing a committer does is its marker."""
+        fs, make = file_system(self.spark, path)
+        return fs.exists(make(f"{path}/_SUCCESS"))
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         if not self.enabled:
             return df
         path = f"{self.run_dir}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        if self.run and self._finished(path):
+            self.resumed.append(name)
+        else:
+            df.write.mode("overwrite").parquet(path)
         # the schema is known: reading it back needs no inference pass over the footers
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -110,5 +140,12 @@ class Stager:
         run_dir, self.run_dir = self.run_dir, None
         if run_dir is None or sc is None or sc._jsc is None:
             return
-        path = sc._jvm.org.apache.hadoop.fs.Path(run_dir)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        fs, make = file_system(self.spark, run_dir)
+        fs.delete(make(run_dir), True)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` (any shared store) and its Path class."""
+    sc = spark.sparkContext
+    make = sc._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(sc._jsc.hadoopConfiguration()), make

@@ -417,6 +417,7 @@ def full_ctes(period: int) -> list[str]:
 
 WINDOW_PERIODS = (0, 1, 3, 6, 9, 12)
 BOUND_PERIODS = (0, 12, 3)
+SINK_PERIODS = (3, 0, 12)
 FULL_PERIODS = {"segmentation_full": 0, "segmentation_p12": 12, "segmentation_p3": 3, "segmentation_p1": 1,
                 "segmentation_p6": 6, "segmentation_p9": 9}
 
@@ -531,4 +532,6 @@ def oracle_queries() -> dict[str, str]:
     }
     for key, p in FULL_PERIODS.items():
         q[key] = with_ctes(full_ctes(p), _currencies(None))
+    q["segmentation_periods"] = "\nUNION ALL\n".join(f"({with_ctes(full_ctes(p), _currencies(None))})" for p in WINDOW_PERIODS)
+    q["result_sink"] = "\nUNION ALL\n".join(f"({with_ctes(full_ctes(p), _currencies(None))})" for p in SINK_PERIODS)
     return q

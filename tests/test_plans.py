@@ -56,15 +56,87 @@ def test_base_stage_pushes_filters_broadcasts_rates_and_combines_map_side(spark,
     # one exchange of the transactions, fed by a partial aggregate; the users are the other one
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     assert sorted(k.split("#")[0] for k in keys) == ["CustomerKey", "User_Key"], keys
-    assert "partial_count" in p and "partial_sum" in p and "partial_collect_set" in p
-
-
-def test_grading_is_map_only_when_bands_fit(run):
+    assert "partial_count" in p and "partial_sum" in p and "partial_bit_or" in p
+    # fixed-width buffers: hash aggregates all the way, nothing sorted before the exchange
+    assert "ObjectHashAggregate" not in p and "SortAggregate" not in p, p
+    before_exchange = p[p.index("partial_bit_or") : p.index("- Union")]
+    assert not re.search(r"\bSort \[", before_exchange), p
+
+
+def _without_broadcast_sides(p: str) -> str:
+    """The plan text less what feeds a broadcast (those subtrees are bounded tables)."""
+    kept, hidden = [], None
+    for line in p.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-|*()0123456789"))
+        if hidden is not None and depth > hidden:
+            continue
+        hidden = depth if "BroadcastExchange" in line else None
+        kept.append(line)
+    return "\n".join(kept)
+
+
+def test_grading_never_shuffles_the_customers(run):
+    """At any size of the bands: only bounded tables are broadcast, all joins are map-side."""
     res = run[3]
     for df in (res.graded, res.scored, res.segments):
         p = plan(df)
-        assert "Exchange hashpartitioning" not in p, p
         assert "BroadcastHashJoin" in p
+        assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p, p
+        assert "Exchange hashpartitioning" not in _without_broadcast_sides(p), p
+
+
+def test_steps_are_bounded_however_many_values(spark):
+    """A band of 300,000 values has at most 9,891 point levels; every value gets its own grades."""
+    from pyspark.sql import functions as F
+
+    from segmint.functions.exact import BASE_POINTS, ntile_from_rank, points_from_rank
+    from segmint.operators.steps import MAX_STEPS, find_steps, present_values, step_column, step_grades, with_steps, bit_is_set
+
+    n = 300_000
+    values = spark.range(n).select((F.col("id") * 3 - 1000).alias("v"), (F.col("id") + 1).alias("_rn"), F.lit(n).cast("bigint").alias("_n"))
+    bands = values.select(
+        F.struct(F.lit(4).alias("m"), F.col("v")).alias("_key"), (ntile_from_rank("_rn", "_n", 2) - 1).alias("Group"),
+        (ntile_from_rank("_rn", "_n", 3) + 1).alias("Score"), points_from_rank("_rn", "_n", BASE_POINTS).alias("Points"),
+    )
+    types = {"Group": "int", "Score": "int", "Points": "decimal(18,2)"}
+    steps = find_steps(bands, list(types))
+    assert 9_000 < len(steps[4].firsts) <= MAX_STEPS
+    asked = bands.select("_key.v", *types)
+    found = with_steps(asked, steps, {4: "v"}).select("*", F.struct(F.lit(4).alias("m"), F.col(step_column(4)).cast("int").alias("s")).alias("_key"))
+    found = found.alias("a").join(F.broadcast(step_grades(asked, steps, types)).alias("s"), "_key")
+    assert found.count() == n
+    assert found.where("a.Group <> s.Group OR a.Score <> s.Score OR a.Points <> s.Points").count() == 0
+    bits = present_values(bands, [4])
+    assert bits.count() == 29  # 900,000 integers in buckets of 32,768, and one below 1
+    probe = spark.range(-1010, 3 * n - 990).withColumn("_key", F.expr("struct(4 AS m, bitmap_bucket_number(id) AS b)"))
+    held = probe.join(F.broadcast(bits), "_key", "left").where(F.expr(bit_is_set("Bits", "id")))
+    assert held.count() == n and held.select("id").exceptAll(values.select("v")).count() == 0
+
+
+def test_periods_from_months_read_the_transactions_once(spark, tmp_path, run):
+    from segmint.operators.output import write_months
+    from segmint.plans.pipeline import build_months, segment_periods
+
+    sources, users, rates, res = run
+    for name, df in sources.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in sources}
+    months, end = str(tmp_path / "months"), res.window.base_day
+    write_months(build_months(stored, rates, FIRST_TX, date(2024, 2, 1)), months)
+    # the later months as they close; one is written twice, and replaced
+    for first, last in ((date(2024, 2, 1), date(2024, 4, 1)), (date(2024, 3, 1), end)):
+        write_months(build_months(stored, rates, first, last), months)
+    state = spark.read.parquet(months)
+    runs = segment_periods(spark, state, list(sources), users, BASE_DAY, (0, 12, 3, 1), FIRST_TX)
+    for period, got in runs.items():
+        want = segment_customers(spark, sources, users, rates, BASE_DAY, period, FIRST_TX).segments
+        assert got.segments.count() == want.count() > 0
+        assert got.segments.exceptAll(want).count() == 0
+        p = got.base._jdf.queryExecution().toString() + got.segments._jdf.queryExecution().toString()
+        assert str(tmp_path / "hot") not in p and str(tmp_path / "archive") not in p
+        got.release()
+    with pytest.raises(ValueError, match="inside a month"):
+        segment_periods(spark, state, list(sources), users, BASE_DAY, (0, 12), date(2024, 1, 15))
 
 
 def test_each_histogram_is_computed_once(run):

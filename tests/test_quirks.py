@@ -307,13 +307,106 @@ def test_staged_files_go_after_release_and_after_a_failure(spark, tmp_path):
     assert os.listdir(root) == []
 
 
-def test_bands_too_large_to_broadcast_take_the_shuffle_path(spark):
-    """With a tiny broadcast limit every band joins by sort-merge; results are the same."""
+@pytest.mark.parametrize("how", ["rows", "publish"])
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path, monkeypatch, how):
+    """A write that fails half-way, or whose last rename never happens, loses nothing."""
+    import os
+
+    from segmint.operators import output
+
+    sources, users, rates = generate(5, customers=60).spark_frames(spark)
+    res = segment_customers(spark, sources, users, rates, BASE_DAY, 3, FIRST_TX)
+    target = str(tmp_path / "out")
+    output.write_result(res.segments, target, res.window)
+    before = spark.read.parquet(target).collect()
+    month = f"{target}/YearMonth={res.window.year_month}"
+    if how == "rows":
+        # fails in the last of several tasks, after others have written their files
+        bad = res.segments.repartition(8).withColumn(
+            "Monetary", F.expr("if(spark_partition_id() = 7, raise_error('no disk'), Monetary)")
+        )
+        with pytest.raises(PySparkException, match="no disk"):
+            output.write_result(bad, target, res.window)
+    else:
+        # the writer dies between the renames: the old folder is set aside and nothing in its place
+        os.rename(f"{month}/Period=3", f"{month}/{output.OLD_PREFIX}Period=3")
+        fs, make = output.file_system(spark, target)
+        output._recover(fs, make, month, "Period=3")
+    after = spark.read.parquet(target)
+    assert sorted(map(str, after.collect())) == sorted(map(str, before)) and before
+    assert os.listdir(month) == ["Period=3"]
+
+
+def test_rates_beyond_the_broadcast_limit_are_joined_in_parts_of_a_day(spark):
+    """With no broadcast allowed results are the same, and one hot day does not fill one task."""
+    from segmint.operators.rates import convert_currency
+
     sources, users, rates = generate(6).spark_frames(spark)
     a = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX).segments
-    b = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX, broadcast_rows=5).segments
+    b = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX, broadcast_rows=0).segments
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0
+    hot = spark.range(40_000).select(
+        F.col("id").alias("Id"), (F.col("id") % 5).alias("CustomerKey"), F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz").alias("CreateDate"),
+        F.lit(Decimal("1.00")).alias("Amount"),
+    )
+    joined = convert_currency(hot, rates, broadcast_rows=0)
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the tasks as they are dealt, not as AQE mends them
+    try:
+        tasks = sorted(r["count"] for r in convert_currency(hot, rates, broadcast_rows=0).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(tasks) == 4 and tasks[-1] <= 2 * tasks[len(tasks) // 2]
+
+
+def test_a_named_run_goes_on_after_its_finished_stages(spark, tmp_path):
+    """A run killed after ``base`` resumes in a new call without reading the transactions."""
+    sources, users, rates = generate(8, customers=80).spark_frames(spark)
+    want = segment_customers(spark, sources, users, rates, BASE_DAY, 12, FIRST_TX).segments
+    root = f"file://{tmp_path}/runs"
+    import segmint.plans.pipeline as pipeline
+
+    def killed(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    plain, pipeline.metric_values = pipeline.metric_values, killed
+    try:
+        with pytest.raises(KeyboardInterrupt):
+            segment_customers(spark, sources, users, rates, BASE_DAY, 12, FIRST_TX, staging_dir=root, run_name="may/12")
+    finally:
+        pipeline.metric_values = plain
+    # reading any transaction would fail now
+    gone = {n: df.withColumn("FeatureType", F.expr("if(Id is null, 0, raise_error('read again'))").cast("int")) for n, df in sources.items()}
+    with pytest.raises(ValueError, match="computes something else"):
+        segment_customers(spark, gone, users, rates, BASE_DAY, 3, FIRST_TX, staging_dir=root, run_name="may/12")
+    res = segment_customers(spark, gone, users, rates, BASE_DAY, 12, FIRST_TX, staging_dir=root, run_name="may/12")
+    assert res.stager.resumed == ["rates", "base"]
+    assert res.segments.count() == want.count() > 0 and res.segments.exceptAll(want).count() == 0
+    res.release()
+    with pytest.raises(PySparkException, match="read again"):
+        segment_customers(spark, gone, users, rates, BASE_DAY, 12, FIRST_TX, staging_dir=root, run_name="may/12")
+
+
+@pytest.mark.parametrize("consistent", [False, True])
+def test_elite_histograms_from_the_base_ranks_equal_those_from_the_customers(spark, consistent):
+    """Slices of the ranked base histogram, and no second read of the base where all are slices."""
+    from segmint.operators.elite import elite_values, from_base_ranks
+    from segmint.operators.grade import top_score_predicates
+    from segmint.plans.specs import DEFAULT_ELITE_SPECS, DEFAULT_METRIC_SPECS
+
+    metrics, elites = (CONSISTENT_METRIC_SPECS, CONSISTENT_ELITE_SPECS) if consistent else (DEFAULT_METRIC_SPECS, DEFAULT_ELITE_SPECS)
+    sources, users, rates = generate(9).spark_frames(spark)
+    res = segment_customers(spark, sources, users, rates, BASE_DAY, 0, FIRST_TX, metrics, elites)
+    top = top_score_predicates(metrics, res.bounds)
+    direct = elite_values(res.base, elites, top)
+    sliced = elite_values(res.base, elites, top, res.ranked, res.bounds, metrics)
+    assert direct.count() == sliced.count() > 0
+    assert direct.exceptAll(sliced).count() == 0
+    ready = from_base_ranks(elites, metrics)
+    assert set(ready) == ({e.name for e in elites} if consistent else {"Monetary", "AvgTicketSize", "AvgTxVolumePerDay"})
+    reads = sliced._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    assert reads == (1 if consistent else 2)
 
 
 def test_top_score_predicates_equal_score_five(spark):
