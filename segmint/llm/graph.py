@@ -14,15 +14,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: each round links neighbours to the least
     node they know, and the edge list ends as one star per component after a number of
     rounds that grows with the logarithm of its size. Every round is one written table;
-    only its row count and a checksum reach the driver.
+    only its row count and a checksum reach the driver. Least neighbours are written before
+    they are joined, so that both sides are plain exchanges and a hot node's rows are split.
     """
     edges = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = _mark(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stage(least, "least")
+        large = stage(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        lower = stage(large.groupBy("a").agg(F.min("b").alias("m")), "lower")
         # (a, b) becomes (b, m), and a itself links to m
         passed = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stage(passed.unionAll(lower.select("a", F.col("m").alias("b"))).distinct(), "edges")

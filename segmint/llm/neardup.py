@@ -3,12 +3,15 @@
 Documents are sets of hashed word 5-grams (lower case, letters and digits; a text of fewer
 words is one gram). Documents with equal sets form a copy class, and one of each goes on.
 Candidates are classes that share a band of MinHash values; with 30 bands of five values,
-a pair at similarity 0.8 is missed by all bands with a probability under 1e-5. Candidate
-components are cut into blocks of bounded size, and every pair of blocks is compared in
-one step: MinHash values in rounds, where a pair is dropped as soon as the posterior
-probability of reaching the threshold (uniform prior) is under ``tolerance``; the rest is
-verified on the exact sets. A step returns, per class, its number of links and one edge to
-the least class it is connected with, so no pair becomes a row.
+a pair at similarity 0.8 is missed by all bands with a probability under 1e-5. MinHash
+values are compared in rounds, and a pair is dropped as soon as the posterior probability of
+reaching the threshold (uniform prior) is under ``tolerance``. A connected component of
+candidates that fits one block is compared as it is. In a larger one, classes that merely share
+boilerplate would be compared with all others, so its bands are searched first: the members of
+a band key, in blocks, are joined where a pair outlives the pruning, and the components that
+remain are cut into blocks, of which every pair is one step. What outlives the rounds there is
+verified on the exact sets. A step returns, per class, its number of links and one edge to the
+least class it is connected with, so no pair becomes a row.
 
 Null and empty texts, and texts without a word, have no grams: they link to nothing. A row
 with a null id takes no part and comes back with null class and no links. Equal rows are
@@ -35,6 +38,8 @@ WORD = re.compile(r"\w+")
 GRAM = 5
 BANDS, ROWS = 30, 5
 BLOCK = 256  # classes of a block, about
+BLOCK_GRAMS = 4_000_000  # grams of a block's sets, about
+BAND_BLOCK = 1024  # classes of a block of one band key, about
 ROUND = 30  # MinHash values compared at a time
 MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
 
@@ -73,15 +78,6 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band, different for each band."""
-    rows = values.reshape(BANDS, ROWS).astype(np.uint64)
-    total = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
-        total = _mixed(total + rows[:, k]) * _MIX[k]
-    return _mixed(total).view(np.int64)
-
-
 def set_digest(items: np.ndarray) -> bytes:
     return hashlib.blake2b(items.tobytes(), digest_size=16).digest()
 
@@ -103,35 +99,40 @@ def least_matches(threshold: float, tolerance: float, rounds: int) -> list[int]:
 
 
 def _describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, digest of the set (null if empty) and band keys of every row."""
+    """id, digest of the set, MinHash values as binary (both null if empty) and size of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_memo("grams", _HASH.forget)
         for batch in small_batches(batches, text_col):
-            digests, keys = [], []
+            digests, values, sizes = [], [], []
             for text in text_column(batch, text_col):
                 items = grams(text)
                 digests.append(set_digest(items) if len(items) else None)
-                keys.append(band_keys(signature(items)).tolist() if len(items) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "digest", "bands"]
-            )
+                values.append(signature(items).tobytes() if len(items) else None)
+                sizes.append(len(items))
+            columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(values, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "minhash", "size"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), text_col)
-    return rows.mapInArrow(run, "id bigint, digest binary, bands array<bigint>")
+    return rows.mapInArrow(run, "id bigint, digest binary, minhash binary, size bigint")
+
+
+def _band_key(band: F.Column) -> F.Column:
+    """One 64-bit key of a band's MinHash values, different for each band."""
+    return F.xxhash64(band, F.substring("minhash", band * (4 * ROWS) + 1, F.lit(4 * ROWS)))
 
 
 def _sets(df: DataFrame) -> DataFrame:
-    """digest, MinHash values and grams of (text) rows, as binary."""
+    """digest and grams of (text) rows, as binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_memo("grams", _HASH.forget)
         for batch in small_batches(batches, "text", 2 << 20):
             sets = [x for x in map(grams, text_column(batch, "text")) if len(x)]
-            columns = [[set_digest(x) for x in sets], [signature(x).tobytes() for x in sets], [x.tobytes() for x in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["digest", "minhash", "grams"])
+            columns = [[set_digest(x) for x in sets], [x.tobytes() for x in sets]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["digest", "grams"])
 
-    return df.select("text").mapInArrow(run, "digest binary, minhash binary, grams binary")
+    return df.select("text").mapInArrow(run, "digest binary, grams binary")
 
 
 def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -212,14 +213,81 @@ def _least_connected(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         root = new
 
 
-_STEP = "a binary, b binary, links bigint"
+def _rows_of_steps(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[list[dict]]:
+    """The rows of each step, one step at a time; they come sorted by ``key``."""
+    rows, current = [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if (name := tuple(row[c] for c in key)) != current:
+                if rows:
+                    yield rows
+                rows, current = [], name
+            rows.append(row)
+    if rows:
+        yield rows
+
 
+def _dealt(steps: DataFrame, *key: str) -> DataFrame:
+    partitions = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return steps.repartition(partitions, *key).sortWithinPartitions(*key)
 
-def _compare(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Rows (a, b, links): class, least class connected within the step, linked documents.
 
-    ``pairs`` comes grouped and sorted by step; a task holds the rows of one step.
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Each row once for every pair (low, high) of blocks that its ``block`` is in."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    names = [c for c in rows.columns if c != "blocks"]
+    return rows.select(*names, other.alias("other")).select(
+        *names, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+
+
+def survivors(values: np.ndarray, sizes: np.ndarray, threshold: float, needed: list[int]) -> np.ndarray:
+    """The least row that each row is connected with by pairs that no round drops.
+
+    Rows are reached from the least one on; a reached row is compared only with those not
+    reached yet, so a group of near copies takes few comparisons.
     """
+    root = np.full(len(values), -1)
+    rest = np.arange(len(values))
+    while len(rest):
+        start, rest = rest[0], rest[1:]
+        root[start] = start
+        reached = [start]
+        while reached and len(rest):
+            i = reached.pop()
+            near = np.flatnonzero(np.minimum(sizes[rest], sizes[i]) >= threshold * np.maximum(sizes[rest], sizes[i]) - 1e-9)
+            equal = np.zeros(len(near), np.int64)
+            for r, least in enumerate(needed):
+                part = slice(r * ROUND, (r + 1) * ROUND)
+                equal += (values[rest[near], part] == values[i, part]).sum(axis=1)
+                near, equal = near[equal >= least], equal[equal >= least]
+            root[rest[near]] = start
+            reached.extend(rest[near].tolist())
+            rest = np.delete(rest, near)
+    return root
+
+
+def _likely(steps: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Edges (a, b) from classes to the least one that the pruning leaves them connected with in a step."""
+    needed = least_matches(threshold, tolerance, BANDS * ROWS // ROUND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _rows_of_steps(batches, ("key", "low", "high")):
+            rows = sorted(rows, key=lambda r: r["digest"])
+            values = np.stack([np.frombuffer(r["minhash"], np.uint32) for r in rows])
+            root = survivors(values, np.array([r["size"] for r in rows]), threshold, needed)
+            joined = np.flatnonzero(root != np.arange(len(rows))).tolist()
+            ends = [[rows[i]["digest"] for i in joined], [rows[root[i]]["digest"] for i in joined]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in ends], ["a", "b"])
+
+    return _dealt(steps, "key", "low", "high").mapInArrow(run, "a binary, b binary")
+
+
+_STEP = "a binary, b binary, links bigint"
+
+
+def _compare(steps: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Rows (a, b, links): class, least class connected within the step, linked documents."""
     needed = least_matches(threshold, tolerance, BANDS * ROWS // ROUND)
 
     def step(rows: list[dict]) -> pa.RecordBatch | None:
@@ -246,19 +314,43 @@ def _compare(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, current = [], None
-        for batch in batches:
-            for row in batch.to_pylist():
-                key = (row["root"], row["low"], row["high"])
-                if key != current:
-                    if rows and (out := step(rows)) is not None:
-                        yield out
-                    rows, current = [], key
-                rows.append(row)
-        if rows and (out := step(rows)) is not None:
-            yield out
-
-    return pairs.mapInArrow(run, _STEP)
+        for rows in _rows_of_steps(batches, ("root", "low", "high")):
+            if (out := step(rows)) is not None:
+                yield out
+
+    return _dealt(steps, "root", "low", "high").mapInArrow(run, _STEP)
+
+
+def _candidates(classes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """(node, root) of the classes to compare, with ``blocks``, the number of blocks of the root."""
+
+    def sized(members: DataFrame) -> DataFrame:
+        sizes = members.join(classes.select(F.col("digest").alias("node"), "size"), "node").groupBy("root").agg(
+            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks")
+        )
+        # written first, so that the join has two plain exchanges, whose hot roots are split
+        return members.join(stage(sizes, "sizes"), "root")
+
+    keyed = classes.select("digest", "minhash", "size", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    keyed = keyed.select("digest", "minhash", "size", _band_key(F.col("band")).alias("key"))
+    buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = stage(buckets, "buckets")
+    edges = keyed.select("digest", "key").join(buckets, "key").where("digest <> least")
+    members = stage(sized(stage(connected_components(edges.select(F.col("digest").alias("a"), F.col("least").alias("b"))), "met")), "candidates")
+    large = members.where("blocks > 1").select(F.col("node").alias("digest"))
+    if large.isEmpty():
+        return members
+    block = F.pmod(F.xxhash64("digest", "key"), F.col("blocks")).cast("int")
+    banded = (
+        keyed.join(large, "digest", "left_semi")
+        .join(buckets.select("key", F.ceil(F.col("n") / BAND_BLOCK).cast("int").alias("blocks")), "key")
+        .withColumn("block", block)
+    )
+    # the pair of different blocks compares inside them too
+    steps = _block_pairs(banded.select("key", "digest", "minhash", "size", "blocks", "block", F.col("blocks").alias("of")))
+    steps = steps.where("of = 1 OR low < high").drop("of", "block")
+    likely = stage(_likely(steps, threshold, tolerance).distinct(), "likely")
+    return members.where("blocks = 1").unionByName(sized(stage(connected_components(likely), "likely_groups")))
 
 
 def near_duplicates(
@@ -271,32 +363,19 @@ def near_duplicates(
     taking_part = described.where("id IS NOT NULL AND digest IS NOT NULL")
     classes = stage(
         taking_part.groupBy("digest").agg(
-            F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
+            F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"), F.first("minhash").alias("minhash"), F.first("size").alias("size")
         ),
         "classes",
     )
-    # candidates: classes with a common band key, linked to the least class of the key
-    keyed = classes.select("digest", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    edges = keyed.join(buckets, "key").where("digest <> least").select(F.col("digest").alias("a"), F.col("least").alias("b"))
-    members = stage(connected_components(edges), "candidates")
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = (
-        members.join(sizes, "root")
-        .join(classes.select(F.col("digest").alias("node"), "copy_id", "copies"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        _candidates(classes, threshold, tolerance).withColumnRenamed("node", "digest")
+        .join(classes.select("digest", "copy_id", "copies", "minhash"), "digest")
+        .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     )
+    placed = stage(placed, "placed")
     texts = df.select(F.col(id_col).cast("long").alias("copy_id"), F.col(text_col).alias("text"))
-    wanted = placed.select("copy_id").distinct()
-    sets = _sets(texts.join(wanted, "copy_id", "left_semi")).dropDuplicates(["digest"])
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    steps = (
-        placed.select(F.col("node").alias("digest"), "root", "copies", "block", other.alias("other"))
-        .select("digest", "root", "copies", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .join(sets, "digest")
-    )
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    steps = steps.repartition(partitions, "root", "low", "high").sortWithinPartitions("root", "low", "high")
+    sets = _sets(texts.join(placed.select("copy_id").distinct(), "copy_id", "left_semi")).dropDuplicates(["digest"])
+    steps = _block_pairs(placed.select("digest", "root", "copies", "minhash", "blocks", "block")).join(sets, "digest")
     linked = stage(_compare(steps, threshold, tolerance), "links")
     groups = connected_components(linked.select("a", "b"))
     links = linked.groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("links"))
@@ -304,7 +383,8 @@ def near_duplicates(
         links.join(groups.withColumnRenamed("node", "digest"), "digest")
         .join(classes.select("digest", "copy_id"), "digest")
     )
-    least = grouped.groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    grouped = stage(grouped, "grouped")
+    least = stage(grouped.groupBy("root").agg(F.min("copy_id").alias("class_id")), "least")
     grouped = grouped.join(least, "root").select("digest", "class_id", "links")
     known = classes.select("digest", "copy_id", "copies").join(grouped, "digest", "left").select(
         "digest", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"),

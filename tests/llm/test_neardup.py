@@ -38,6 +38,57 @@ def test_blocks_of_a_large_group_find_every_link(spark, monkeypatch):
     assert _found(spark.createDataFrame(docs, "doc_id long, text string")) == brute.near_groups(docs)
 
 
+def _half_shared(n, seed=5):
+    """Texts of 300 words of which half are the same in all: similarities of about 1/3, no link."""
+    rng = random.Random(seed)
+    shared = [f"s{i}" for i in range(150)]
+    return [(i, " ".join(shared + [f"x{rng.randrange(10**9)}" for _ in range(150)])) for i in range(n)]
+
+
+def test_shared_boilerplate_leaves_no_candidates(spark, monkeypatch):
+    """Documents that only share boilerplate are one component of band keys, but none is compared on its set."""
+    compared = []
+    real = neardup._compare
+    monkeypatch.setattr(neardup, "_compare", lambda steps, *rest: (compared.append(steps.count()), real(steps, *rest))[1])
+    docs = _half_shared(1200)
+    copies = [(5000 + i, t + " end") for i, t in docs[:20]]
+    got = _found(spark.createDataFrame(docs + copies, "doc_id long, text string"))
+    for i, _ in docs:
+        assert got[i] == (i, i, 1 if i < 20 else 0)
+    for i, _ in copies:
+        assert got[i] == (i - 5000, i, 1)
+    assert compared[0] < 100
+
+
+def test_survivors_equal_all_pairs_of_the_rounds():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 4, (60, 150)).astype(np.uint32)
+    for i in range(1, 60, 3):
+        values[i] = np.where(rng.random(150) < 0.85, values[i - 1], values[i])
+    needed = neardup.least_matches(0.8, 1e-6, 5)
+    pairs = [
+        (i, j) for i in range(60) for j in range(i)
+        if all((values[i, : 30 * (r + 1)] == values[j, : 30 * (r + 1)]).sum() >= least for r, least in enumerate(needed))
+    ]
+    want = neardup._least_connected(60, np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]))
+    assert pairs and neardup.survivors(values, np.full(60, 100), 0.8, needed).tolist() == want.tolist()
+
+
+def test_small_band_blocks_find_every_link(spark, monkeypatch):
+    """Large components whose band keys hold several blocks, and blocks limited by grams."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BAND_BLOCK", 8)
+    monkeypatch.setattr(neardup, "BLOCK_GRAMS", 1000)
+    rng = random.Random(4)
+    docs = _half_shared(60)
+    for i in range(80):
+        words = docs[i % 3][1].split()
+        for _ in range(rng.randint(0, 12)):
+            words[rng.randrange(len(words))] = f"y{rng.randrange(10**6)}"
+        docs.append((100 + i, " ".join(words)))
+    assert _found(spark.createDataFrame(docs, "doc_id long, text string")) == brute.near_groups(docs)
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "k"), (2, "", "k"), (3, "a b", "k"), (4, "A, b!", "k"), (5, "a b", "k"), (None, "a b", "k"), (6, "...", "k"),
             (7, "long " * 40000, "k"), (7, "long " * 40000, "k")]
