@@ -4,7 +4,9 @@
 records fill independent Zstandard frames (a record never spans two), a skippable frame
 holds the record index (identifier -> frame, offset inside the frame, length), and a
 footer in the Zstandard seekable format lists the frame sizes. One record is read by
-decompressing one frame.
+decompressing one frame. Whole archives are read through the same index: each frame is
+decompressed once and every record is taken from its offset. A frame or record of 4 GiB or
+more has no place in that format and is refused.
 
 Of pages with equal payloads of at least ``min_revisit`` bytes, those with the largest id
 are responses and the others are revisits without payload. Bundles are rows (name,
@@ -21,7 +23,7 @@ import base64
 import hashlib
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -76,11 +78,12 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     http = dict(x.split(": ", 1) for x in data[start : body - 4].decode().split("\r\n")[1:])
     response = head["WARC-Type"] == "response"
     payload = data[body:stop] if response else None
+    size = int(http["Content-Length"])  # a revisit's own statement: it carries no payload
     digest = base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-    if response and hashlib.sha1(payload).hexdigest() != digest:
-        raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
+    if response and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != size):
+        raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest or length")
     return {
-        "page_id": _id(head["WARC-Record-ID"]), "url": head.get("WARC-Target-URI"), "payload_bytes": int(http["Content-Length"]),
+        "page_id": _id(head["WARC-Record-ID"]), "url": head.get("WARC-Target-URI"), "payload_bytes": len(payload) if response else size,
         "payload_digest": digest, "record_type": head["WARC-Type"], "refers_to": _id(head.get("WARC-Refers-To")), "payload": payload,
     }, stop + 4
 
@@ -99,6 +102,8 @@ class BundleWriter:
         self.size = 0
 
     def add(self, name: str, record: bytes) -> None:
+        if len(record) >= 1 << 32:
+            raise ValueError(f"record {name} has {len(record)} bytes: the seek table holds 32-bit sizes")
         if self.open and self.open_bytes + len(record) > self.frame_bytes:
             self._close_frame()
         self.index.append((name, len(self.frames), self.open_bytes, len(record)))
@@ -146,22 +151,23 @@ class BundleReader:
         return self.codec.decompress(self.content[at : at + packed], max_output_size=plain)
 
     def records(self) -> Iterator[dict]:
-        for number in range(len(self.spans)):
-            data, at = self.frame(number), 0
-            while at < len(data):
-                record, at = parse_record(data, at)
-                yield record
+        """Every record, by the index."""
+        yield from self._at(self.index)
 
     def find(self, names: set[str]) -> Iterator[dict]:
-        """The named records, one decompression for each frame that holds any."""
-        wanted: dict[int, list[int]] = {}
-        for name, number, offset, _ in self.index:
-            if name in names:
-                wanted.setdefault(number, []).append(offset)
-        for number, offsets in wanted.items():
-            data = self.frame(number)
-            for offset in offsets:
-                yield parse_record(data, offset)[0]
+        """The named records."""
+        yield from self._at(entry for entry in self.index if entry[0] in names)
+
+    def _at(self, entries: Iterable[tuple[str, int, int, int]]) -> Iterator[dict]:
+        """The records of index entries, which come by frame: each frame is decompressed once."""
+        open_frame, data = -1, b""
+        for name, number, offset, length in entries:
+            if number != open_frame:
+                open_frame, data = number, self.frame(number)
+            record, end = parse_record(data, offset)
+            if _name(record["page_id"]) != name or end != offset + length:
+                raise ValueError(f"the index is wrong about {name}")
+            yield record
 
 
 def plan_records(pages: DataFrame, min_revisit: int = 1000) -> DataFrame:
@@ -221,7 +227,7 @@ def _rows(records: list[dict]) -> pa.RecordBatch:
 
 
 def read_archives(bundles: DataFrame, payloads: bool = True) -> DataFrame:
-    """Every record of the bundles, in the order of the files; digests are checked."""
+    """Every record of the bundles, by the index of each; digests and lengths are checked."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
