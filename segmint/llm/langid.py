@@ -1,8 +1,10 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-A text is cut into windows of ``WINDOW`` bytes; in each window one network reads forward
-and one backward from a zero state, every position gets label probabilities from both
-states, and the mean over all positions of the text gives the document's probabilities.
+A text is read in windows of ``WINDOW`` bytes; one network reads forward from ``CONTEXT`` bytes
+before the window and one backward from ``CONTEXT`` bytes behind it (from a zero state at the
+text's ends), every position gets label probabilities from both states, and the mean over all
+positions of the text gives the document's probabilities. So a label rests on 32 to 95 bytes
+to either side, not on the whole text; windows are independent and a long text is read in batches.
 Training is plain numpy: backpropagation through time over labelled windows, Adam steps.
 
 The training sample is bounded by parameters: at most about ``per_label`` documents of
@@ -10,7 +12,8 @@ each label (those with the smallest hash of their id; the share is taken from fu
 counts), one excerpt of ``excerpt_chars`` code points of each. Prediction covers every
 byte of every text, in batches, in tasks.
 
-A null text, or one without a letter, is ``und`` with score 0. Rows stay one to one. With
+A null text, or one without a letter, is ``und`` with score 0. Of labels with equal
+probabilities the first in ascending order is taken. Rows stay one to one. With
 no labelled row at all, everything is ``und``.
 """
 
@@ -28,6 +31,7 @@ from .common import only_memo, small_batches
 
 HIDDEN = 8
 WINDOW = 64
+CONTEXT = 32  # bytes read before and behind a window
 BATCH = 2048  # windows per pass
 UNDETERMINED = "und"
 
@@ -98,10 +102,12 @@ def _states(net: ByteNet, d: int, data: np.ndarray, mask: np.ndarray | None, kee
     return states
 
 
-def position_probabilities(net: ByteNet, data: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
-    """Label probabilities (T, B, K) of every position."""
-    scores = _states(net, 0, data, mask) @ net.out[0]
-    scores += _states(net, 1, data, mask) @ net.out[1]
+def position_probabilities(net: ByteNet, data: np.ndarray, mask: np.ndarray | None, skip: int = 0) -> np.ndarray:
+    """Label probabilities (T, B, K) of the window's positions, which begin ``skip`` bytes into
+    ``data``: the forward direction starts before them, the backward one behind them."""
+    stop = min(len(data), skip + WINDOW)
+    scores = _states(net, 0, data[:stop], None if mask is None else mask[:stop])[skip:] @ net.out[0]
+    scores += _states(net, 1, data[skip:], None if mask is None else mask[skip:])[: stop - skip] @ net.out[1]
     scores += net.bias
     scores -= scores.max(axis=2, keepdims=True)
     np.exp(scores, out=scores)
@@ -187,21 +193,39 @@ def train(texts: list[str], labels: list[str], steps: int = 300, batch: int = 19
     return net
 
 
+def windows_in_context(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes (W, CONTEXT + WINDOW + CONTEXT), first and end of the text's bytes in each row, text
+    index): the windows of all texts, each with the bytes around it."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    count = -(-lengths // WINDOW)
+    owner = np.repeat(np.arange(len(texts)), count)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    around = b"\0" * CONTEXT
+    flat = np.frombuffer(around + b"".join(t + b"\0" * (-len(t) % WINDOW) for t in texts) + around, dtype=np.uint8)
+    data = np.lib.stride_tricks.sliding_window_view(flat, WINDOW + 2 * CONTEXT)[::WINDOW] if len(owner) else np.empty((0, 0), np.uint8)
+    first = np.maximum(0, CONTEXT - number * WINDOW)
+    end = np.minimum(WINDOW + 2 * CONTEXT, CONTEXT + lengths[owner] - number * WINDOW)
+    return data, first, end, owner
+
+
 def pooled(net: ByteNet, texts: list[bytes]) -> np.ndarray:
     """Mean position probabilities (texts, K) over all bytes; zeros for an empty text."""
-    data, real, owner = windows(texts)
+    data, first, end, owner = windows_in_context(texts)
     total = np.zeros((len(texts), len(net.labels)))
-    order = np.argsort(real, kind="stable")  # short windows together: only they need a mask
-    for at in range(0, len(data), BATCH):
-        pick = order[at : at + BATCH]
-        size = int(real[pick].max())
-        part = np.ascontiguousarray(data[pick, :size].T)
-        whole = int(real[pick].min()) == size
-        mask = None if whole else (np.arange(size)[:, None] < real[pick]).astype(np.float32)
-        probs = position_probabilities(net, part, mask)
-        if mask is not None:
-            probs *= mask[:, :, None]
-        np.add.at(total, owner[pick], probs.sum(axis=0))
+    order = np.lexsort((end, first))  # windows at a text's ends together: only they need a mask
+    cuts = np.flatnonzero(np.diff(first[order])) + 1
+    for group in np.split(order, cuts) if len(order) else []:
+        for at in range(0, len(group), BATCH):
+            pick = group[at : at + BATCH]
+            low, high = int(first[pick[0]]), int(end[pick].max())
+            part = np.ascontiguousarray(data[pick, low:high].T)
+            place = np.arange(low, high)[:, None]
+            inside = place < end[pick]
+            mask = None if inside.all() else inside.astype(np.float32)
+            probs = position_probabilities(net, part, mask, CONTEXT - low)
+            if mask is not None:
+                probs *= mask[CONTEXT - low :][:WINDOW, :, None]
+            np.add.at(total, owner[pick], probs.sum(axis=0))
     return total / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
 
 

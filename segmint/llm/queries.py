@@ -127,7 +127,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    # a null id has no checksum: its row is not held out
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     net = langid.fit(docs.where(~held_out))
     return langid.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
