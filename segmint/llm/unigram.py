@@ -2,18 +2,19 @@
 
 The best segmentation of a pre-token is a forward recursion over its prefixes:
 ``best[i] = max over pieces p ending at i of best[i - len(p)] + score(p)``. Distinct
-pre-tokens of a batch form a trie; walking it in depth-first order (the sorted list, with
-the common prefix of neighbours as the current branch) computes every prefix once, however
-many pre-tokens share it. Terminal nodes keep their token count and score; a document's
-count is the sum over its pre-tokens.
+pre-tokens are inserted in a trie whose nodes hold the best score and token count of their
+prefix, so every prefix is computed once, however many pre-tokens share it. A pre-token that
+is met again is answered by its terminal node; a document's count is the sum over its pre-tokens.
+Each worker process has one trie and keeps it between batches and tasks; no words are shuffled.
 
 Scores are given by the caller; ``zipf_scores`` derives them from the ranks of a public
 vocabulary. A character that no piece covers costs its UTF-8 bytes, one token each. Equal
 scores prefer the longer last piece.
 
 Null text counts as empty: no pre-tokens, no tokens. Rows stay one to one, extra columns are
-ignored. Memory is bounded: a batch's pre-tokens and a memo of two generations; pre-tokens over
-64 characters are not memoised.
+ignored. Memory is bounded: a batch's pre-tokens and a trie of at most ``MAX_NODES`` nodes, which
+begins anew when it is full; pre-tokens over 64 characters are counted without it, with the last
+few positions only.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Memo, only_memo, small_batches, text_column
+from .common import only_memo, small_batches, text_column
 from .pieces import SPACE, PieceModel
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 BYTE_SCORE = -20.0  # of each byte of an uncovered character
-MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
+MAX_NODES = 1_500_000  # of a process's trie
+LONGEST = 64  # characters of a pre-token in the trie
 
 
 def zipf_scores(model: PieceModel) -> dict[str, float]:
@@ -56,51 +58,72 @@ class TrieCounter:
             for i in range(len(piece)):
                 self.suffixes.setdefault(piece[i:], None)
         self.suffixes.update(scores)
-        self.memo = Memo(None, MEMO_WORDS)  # filled by ``learn`` only
+        self.longest = max(map(len, scores), default=1)
+        self._begin()
 
-    def count_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, int, float]]:
-        """(word, tokens, score) of distinct words in sorted order, sharing prefixes."""
-        best, tokens, last = [0.0], [0], ""
+    def _begin(self) -> None:
+        self.child: dict[int, int] = {}  # node << 21 | character -> node
+        self.best, self.tokens = [0.0], [0]  # by node; the root is the empty prefix
+        self.terminal: dict[str, int] = {}  # pre-token -> its node
+
+    def _extend(self, word: str, end: int, best: list[float], tokens: list[int], base: int = 0) -> None:
+        """Appends the results of ``word[:end]``; ``best[k]`` is that of ``word[: base + k]``."""
         suffixes = self.suffixes
-        for word in words:
-            shared, most = 0, min(len(word), len(last))
-            while shared < most and word[shared] == last[shared]:
-                shared += 1
-            del best[shared + 1 :], tokens[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                raw = len(word[end - 1].encode("utf-8", "surrogatepass"))
-                top, count, covered = -math.inf, 0, False
-                start = end - 1
-                while start >= 0:
-                    score = suffixes.get(word[start:end], _NO_SUFFIX)
-                    if score is _NO_SUFFIX:
-                        break
-                    if score is not None:
-                        covered = covered or start == end - 1
-                        if best[start] + score >= top:
-                            top, count = best[start] + score, tokens[start] + 1
-                    start -= 1
-                if not covered and best[end - 1] + raw * BYTE_SCORE > top:
-                    top, count = best[end - 1] + raw * BYTE_SCORE, tokens[end - 1] + raw
-                best.append(top)
-                tokens.append(count)
-            last = word
-            yield word, tokens[-1], best[-1]
+        top, count, covered = -math.inf, 0, False
+        for start in range(end - 1, -1, -1):
+            score = suffixes.get(word[start:end], _NO_SUFFIX)
+            if score is _NO_SUFFIX:
+                break
+            if score is not None:
+                covered = covered or start == end - 1
+                if best[start - base] + score >= top:
+                    top, count = best[start - base] + score, tokens[start - base] + 1
+        if not covered:
+            raw = len(word[end - 1].encode("utf-8", "surrogatepass"))
+            if best[end - 1 - base] + raw * BYTE_SCORE > top:
+                top, count = best[end - 1 - base] + raw * BYTE_SCORE, tokens[end - 1 - base] + raw
+        best.append(top)
+        tokens.append(count)
+
+    def _insert(self, word: str) -> tuple[int, float]:
+        """Walks the known prefix of ``word`` and adds a node for each character after it."""
+        if len(self.best) + len(word) > MAX_NODES:
+            self._begin()
+        child, node, path = self.child, 0, [0]
+        for c in word:
+            node = child.get(node << 21 | ord(c))
+            if node is None:
+                break
+            path.append(node)
+        node = path[-1]
+        if len(path) <= len(word):
+            best, tokens = [self.best[i] for i in path], [self.tokens[i] for i in path]
+            for end in range(len(path), len(word) + 1):
+                self._extend(word, end, best, tokens)
+                child[node << 21 | ord(word[end - 1])] = node = len(self.best)
+                self.best.append(best[-1])
+                self.tokens.append(tokens[-1])
+        self.terminal[word] = node
+        return self.tokens[node], self.best[node]
+
+    def _alone(self, word: str) -> tuple[int, float]:
+        """A long pre-token, of whose prefixes only as many are held as a piece is long."""
+        best, tokens, base = [0.0], [0], 0
+        for end in range(1, len(word) + 1):
+            self._extend(word, end, best, tokens, base)
+            if len(best) > 4096 + self.longest:
+                del best[:4096], tokens[:4096]
+                base += 4096
+        return tokens[-1], best[-1]
 
     def learn(self, words: Iterable[str]) -> dict[str, tuple[int, float]]:
-        """Results of new words; those of ordinary length stay in the memo."""
-        fresh = {w: (n, s) for w, n, s in self.count_sorted(sorted(words))}
-        for word, result in fresh.items():
-            if len(word) <= 64:
-                self.memo.put(word, result)
-        return fresh
+        """(tokens, score) of pre-tokens; those of ordinary length stay in the trie."""
+        return {w: self._insert(w) if len(w) <= LONGEST else self._alone(w) for w in words}
 
     def known(self, word: str) -> tuple[int, float] | None:
-        """The memo's result of a word; one found in the old generation becomes young."""
-        result = self.memo.get(word)
-        if result is None and (result := self.memo.old.get(word)) is not None:
-            self.memo.put(word, result)
-        return result
+        """The result at the terminal node of ``word``, if it has one."""
+        node = self.terminal.get(word)
+        return None if node is None else (self.tokens[node], self.best[node])
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -135,7 +158,7 @@ def count_tokens(
             split = [pre_tokens(t) for t in text_column(batch, text_col)]
             distinct = set().union(*split)
             known = {w: r for w in distinct if (r := counter.known(w)) is not None}
-            known.update(counter.learn(w for w in distinct if w not in known))
+            known.update(counter.learn([w for w in distinct if w not in known]))
             totals = [[known[w] for w in words] for words in split]
             yield pa.RecordBatch.from_arrays(
                 [

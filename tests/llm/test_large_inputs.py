@@ -38,7 +38,7 @@ def test_wrapped_ssh_keys_after_one_another():
 
 def test_a_piece_may_score_zero():
     counter = unigram.TrieCounter({"ab": 0.0, "a": -5.0, "b": -5.0})
-    assert list(counter.count_sorted(["ab", "aba"])) == [("ab", 1, 0.0), ("aba", 2, -5.0)]
+    assert counter.learn(["ab", "aba"]) == {"ab": (1, 0.0), "aba": (2, -5.0)}
 
 
 def test_removal_of_repeats_keeps_columns_of_any_name(spark):
