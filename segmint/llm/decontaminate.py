@@ -13,8 +13,10 @@ Every retrieved window of an item is verified, and the best verified one is repo
 trigrams that occur in the window. The answer is the item's last sentence (the last
 quarter of the words, if there is only one sentence).
 
-The index is broadcast in parts of a bounded number of characters; a larger benchmark
-takes more passes over the documents, never a larger broadcast.
+The index is broadcast in parts of a bounded number of characters, one at a time: a larger
+benchmark takes more passes over the documents, each written before the next part is built.
+Of a long text only word numbers, one slice's words and one slice's block sums are held.
+In scripts written without spaces every character is a word.
 
 Null and empty texts and items match nothing; equal items are all reported; repeated rows
 give repeated results; a document's id may be null. Extra columns are ignored.
@@ -23,6 +25,7 @@ give repeated results; a document's id may be null. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,14 +38,64 @@ from pyspark.sql import functions as F
 from .common import only_memo, small_batches, stage, text_column
 
 WORD = re.compile(r"\w+")
-SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
+#: Thai, Lao, Burmese, Khmer, kana and Han: written without spaces.
+_SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+SPACELESS = re.compile(f"[{_SPACELESS}]")
+MIXED_WORD = re.compile(f"[{_SPACELESS}]|[^\\W{_SPACELESS}]+")
+#: Where a long text may be cut: part of no word, or a word alone, and no part of a letter's context.
+_CUT = re.compile(f'[\\s,;|<>/(){{}}\\[\\]="&{_SPACELESS}-]')
+SENTENCE_END = re.compile(r"[.!?]+\s+|[。！？]+|\n+")
 K1, B = 1.2, 0.75
 BLOCKS = 32  # blocks of a length class at most
 INDEX_CHARS = 2_000_000  # characters of test items in one broadcast part
+SLICE_CHARS = 1_000_000  # characters of a text whose words are held at a time, about
+SLICE_WORDS = 32_768  # words of a text whose block sums are held at a time, about
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    text = text.lower()
+    return (WORD if text.isascii() or not SPACELESS.search(text) else MIXED_WORD).findall(text)
+
+
+class TextWords:
+    """The words of a text by position, of which one slice is held at a time."""
+
+    def __init__(self, text: str):
+        self.slices, at = [], 0  # pieces of the text, cut at characters that are part of no word
+        while len(text) - at > SLICE_CHARS:
+            cut = _CUT.search(text, at + SLICE_CHARS)
+            if cut is None:
+                break
+            self.slices.append(text[at : cut.start()])
+            at = cut.start()
+        self.slices.append(text[at:] if at else text)
+        self.firsts = [0]  # number of the first word of each slice, and of all words
+        self.open = (-1, [])
+
+    def numbers(self, terms: dict[str, int]) -> np.ndarray:
+        """The term of every word, 0 if it is none."""
+        get, parts = terms.get, []
+        for i in range(len(self.slices)):
+            words = self._slice(i)
+            parts.append(np.array([get(w, 0) for w in words], dtype=np.int32))
+            if len(self.firsts) == i + 1:
+                self.firsts.append(self.firsts[-1] + len(words))
+        return np.concatenate(parts)
+
+    def _slice(self, i: int) -> list[str]:
+        if self.open[0] != i:
+            self.open = (i, words_of(self.slices[i]))
+        return self.open[1]
+
+    def between(self, low: int, high: int) -> list[str]:
+        """Words ``low`` to ``high`` (excluded, or the end); ``numbers`` has been called."""
+        out = []
+        i = max(0, bisect_right(self.firsts, low) - 1)
+        while i < len(self.slices) and self.firsts[i] < high:
+            first = self.firsts[i]
+            out += self._slice(i)[max(0, low - first) : high - first]
+            i += 1
+        return out
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -114,27 +167,31 @@ class ItemIndex:
 
     def candidates(self, text: str, threshold: float) -> Iterator[tuple[int, float, int, list[str]]]:
         """(item position, score, window start, window words) of every window and item at threshold or above."""
-        words = words_of(text)
-        get = self.terms.get
-        ids = np.array([get(w, 0) for w in words], dtype=np.int32)
+        words = TextWords(text)
+        ids = words.numbers(self.terms)
         known = np.flatnonzero(ids)
         if not len(known):
             return
         for part in self.classes:
             step = part.longest
-            starts = np.arange(0, max(1, len(words) - step), step)
-            # running sums of block maxima over known words: a window's bound is a difference
-            sums = np.zeros((len(known) + 1, part.maxima.shape[1]))
-            np.cumsum(part.maxima[ids[known]], axis=0, out=sums[1:], dtype=np.float64)
-            low, high = np.searchsorted(known, starts), np.searchsorted(known, starts + 2 * step)
-            bounds = sums[high] - sums[low]
-            for w in np.flatnonzero((bounds >= threshold).any(axis=1)):
-                terms = np.unique(ids[known[low[w] : high[w]]])  # repeated words count once
-                once = part.maxima[terms].sum(axis=0, dtype=np.float64)
-                for block in np.flatnonzero(once >= threshold).tolist():
-                    for number, score in self._wand(part, terms.tolist(), block, threshold):
-                        at = int(starts[w])
-                        yield part.items[number], score, at, words[at : at + 2 * step]
+            every = np.arange(0, max(1, len(ids) - step), step)
+            size = max(1, SLICE_WORDS // step)
+            for starts in (every[i : i + size] for i in range(0, len(every), size)):
+                own = known[np.searchsorted(known, starts[0]) : np.searchsorted(known, starts[-1] + 2 * step)]
+                # running sums of block maxima over known words: a window's bound is a difference
+                sums = np.zeros((len(own) + 1, part.maxima.shape[1]))
+                np.cumsum(part.maxima[ids[own]], axis=0, out=sums[1:], dtype=np.float64)
+                low, high = np.searchsorted(own, starts), np.searchsorted(own, starts + 2 * step)
+                bounds = sums[high] - sums[low]
+                for w in np.flatnonzero((bounds >= threshold).any(axis=1)):
+                    terms = np.unique(ids[own[low[w] : high[w]]])  # repeated words count once
+                    once = part.maxima[terms].sum(axis=0, dtype=np.float64)
+                    window = None
+                    for block in np.flatnonzero(once >= threshold).tolist():
+                        for number, score in self._wand(part, terms.tolist(), block, threshold):
+                            at = int(starts[w])
+                            window = window or words.between(at, at + 2 * step)
+                            yield part.items[number], score, at, window
 
     def _wand(self, part: LengthClass, terms: list[int], block: int, threshold: float) -> Iterator[tuple[int, float]]:
         """Items of a block that score the threshold or more, by pivoting on block maxima."""
@@ -189,8 +246,9 @@ class ItemIndex:
         return [best[i] for i in sorted(best)]
 
 
-def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Broadcast]:
-    """Broadcast index parts of at most about INDEX_CHARS; statistics cover all items."""
+def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[Broadcast, bool]]:
+    """Broadcast index parts of at most about INDEX_CHARS and whether there are more than one;
+    statistics cover all items. A part is built when it is asked for."""
     spark = benchmark.sparkSession
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,17 +262,15 @@ def build_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
         F.count(F.lit(1)), F.avg(F.size("words")), F.sum(F.length("text"))
     ).first()
     if not n:
-        return []
+        return
     parts = -(-chars // INDEX_CHARS)
     items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
     terms = items.select("part", F.explode(F.array_distinct("words")).alias("term"))
     frequency = stage(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
-    out = []
     for part in range(parts):  # each collects one bounded part
         own = sorted(((r[0], r[1]) for r in items.where(F.col("part") == part).select("item_id", "text").collect()), key=lambda r: (r[0] is None, r))
         df = frequency.join(terms.where(F.col("part") == part).select("term").distinct(), "term", "left_semi")
-        out.append(spark.sparkContext.broadcast(ItemIndex(own, {r[0]: r[1] for r in df.collect()}, n, mean)))
-    return out
+        yield spark.sparkContext.broadcast(ItemIndex(own, {r[0]: r[1] for r in df.collect()}, n, mean)), parts > 1
 
 
 def find_leaks(
@@ -241,7 +297,13 @@ def find_leaks(
 
         return run
 
-    parts = [rows.mapInArrow(scan(index), ddl) for index in build_indexes(benchmark)]
+    parts = []
+    for index, several in build_indexes(benchmark):
+        found = rows.mapInArrow(scan(index), ddl)
+        if several:  # written, so that this part's broadcast can go before the next is built
+            found = stage(found, "leaks")
+            index.destroy()
+        parts.append(found)
     if not parts:
         return docs.sparkSession.createDataFrame([], ddl)
     out = parts[0]
@@ -264,6 +326,9 @@ def drop_leaks(
 
         return run
 
-    for index in build_indexes(benchmark):
+    for index, several in build_indexes(benchmark):
         docs = docs.mapInArrow(keep(index), docs.schema)
+        if several:
+            docs = stage(docs, "clean")
+            index.destroy()
     return docs
