@@ -14,9 +14,12 @@ are days and counts, so the bitmaps of a metric take about 12.5 MB at the very m
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,10 +62,11 @@ def with_steps(df: DataFrame, steps: dict[int, Steps], values: dict[int, str]) -
         return df
     inputs = {i: f"_in{i}" for i in used}
     df = df.select("*", *(F.col(values[i]).cast("double").alias(c) for i, c in inputs.items()))
-    splits = [[float("-inf"), *map(float, s.firsts), float("inf")] for s in used.values()]
-    bucketizer = Bucketizer(
-        splitsArray=splits, inputCols=list(inputs.values()), outputCols=[step_column(i) for i in used], handleInvalid="keep"
-    )
+    splits = json.dumps([["-Inf", *map(float, s.firsts), "Inf"] for s in used.values()])
+    bucketizer = Bucketizer(inputCols=list(inputs.values()), outputCols=[step_column(i) for i in used], handleInvalid="keep")
+    # thousands of splits: as one JSON text, for a Python list crosses to the JVM number by number
+    java = bucketizer._java_obj
+    java.setSplitsArray(java.splitsArray().jsonDecode(splits))
     return bucketizer.transform(df).drop(*inputs.values())
 
 
@@ -70,8 +74,11 @@ def step_grades(df: DataFrame, steps: dict[int, Steps], grades: dict[str, str])
     """The grades by ``_key`` = struct of metric index and step, as a table of at most
     ``MAX_STEPS`` rows per metric; ``grades``: type by column."""
     rows = [(i, k + 1, *g) for i, s in steps.items() for k, g in enumerate(s.grades)]
-    ddl = "m int, s int, " + ", ".join(f"`{c}` {t}" for c, t in grades.items())
-    table = df.sparkSession.createDataFrame(rows, ddl)
+    types = {"m": "int", "s": "int"} | grades
+    kinds = [pa.int32() if t == "int" else pa.decimal128(*map(int, re.findall(r"\d+", t))) for t in types.values()]
+    arrays = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+    ddl = ", ".join(f"`{c}` {t}" for c, t in types.items())
+    table = df.sparkSession.createDataFrame(pa.table(arrays, names=list(types)), ddl)
     return table.select(F.struct("m", "s").alias("_key"), *grades)
 
 
