@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from segmint.session import Stager
@@ -84,7 +85,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", max_b
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        lengths = np.nan_to_num(batch.column(column).cast(pa.large_binary()).to_pandas().str.len().to_numpy(dtype=float))
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(float)
         cuts = np.floor(np.cumsum(lengths) / max_bytes).astype(int)
         starts = [0, *(np.flatnonzero(np.diff(cuts)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:]):

@@ -29,10 +29,10 @@ from .common import Memo, list_array, only_memo, small_batches, text_column
 
 SPACE = "\u2581"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-# Entries of a memo generation; a process keeps two at most. Packed words and pairs take about
-# 120 and 150 bytes, so a generation is 70 MB and 150 MB at the very most.
-MEMO_WORDS = 600_000
-MEMO_PAIRS = 1_000_000
+# Entries of a memo generation; a process keeps two at most. A word with its packed ids takes about
+# 200 bytes and a pair of ids, one number, 75: 160 MB of words and 75 MB of pairs at the very most.
+MEMO_WORDS = 400_000
+MEMO_PAIRS = 500_000
 
 
 @dataclass(frozen=True)
@@ -103,10 +103,12 @@ class PieceEncoder:
                 gains[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
-    def _merges_to(self, pair: tuple[str, str]) -> bool:
-        """Whether merging the joined text gives back the two tokens (one, if the left is empty)."""
-        left, right = pair
-        return self.merge(left + right) == ([left, right] if left else [right])
+    def _merges_to(self, pair: int) -> bool:
+        """Whether merging the joined text gives back the two tokens (one, if there is no left one). A pair is
+        the left id plus one (0: none) times the number of pieces, plus the right id."""
+        left, right = divmod(pair, len(self.pieces))
+        parts = [self.pieces[left - 1], self.pieces[right]] if left else [self.pieces[right]]
+        return self.merge("".join(parts)) == parts
 
     def shorter_prefix(self, piece: str) -> int:
         """Length of the longest proper prefix that is a piece; 0 if there is none."""
@@ -128,18 +130,19 @@ class PieceEncoder:
                 longest[start] = size
         failed = bytearray(n // 8 + 1)  # bit i: no valid sequence passes position i
         tried = False  # whether any bit is set
-        tokens: list[str] = []
-        pairs, shorter = self.pairs, self.shorter
-        last, at, size = "", 0, longest[0]  # the empty start is compatible with every sound piece
+        tokens: list[int] = []
+        pairs, shorter, ids, many = self.pairs, self.shorter, self.ids, len(self.pieces)
+        last, at, size = 0, 0, longest[0]  # the empty start (0) is compatible with every sound piece
         while True:
             end = at + size
             piece = text[at:end]
             if not (tried and failed[end >> 3] >> (end & 7) & 1):
-                if pairs[last, piece]:
-                    tokens.append(piece)
+                number = ids[piece]
+                if pairs[last * many + number]:
+                    tokens.append(number)
                     if end == n:
-                        return [self.ids[t] for t in tokens]
-                    last, at, size = piece, end, longest[end]
+                        return tokens
+                    last, at, size = number + 1, end, longest[end]
                     continue
             size = shorter.get(piece)
             if size is None:
@@ -147,9 +150,9 @@ class PieceEncoder:
             while not size:
                 failed[at >> 3] |= 1 << (at & 7)
                 tried = True
-                piece = tokens.pop()
+                piece = self.pieces[tokens.pop()]
                 at -= len(piece)
-                last = tokens[-1] if tokens else ""
+                last = tokens[-1] + 1 if tokens else 0
                 size = self.shorter_prefix(piece)
 
     def encode_word(self, word: str) -> list[int]:
