@@ -42,6 +42,7 @@ BLOCK_GRAMS = 4_000_000  # grams of a block's sets, about
 BAND_BLOCK = 1024  # classes of a block of one band key, about
 ROUND = 30  # MinHash values compared at a time
 MEMO_WORDS = 150_000  # words of a memo generation; a process keeps two at most
+FILTER_BITS, FILTER_PROBES = 1 << 27, 4  # most bits of the filter of ids, and bits of an id
 
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,17 +123,52 @@ def _band_key(band: F.Column) -> F.Column:
     return F.xxhash64(band, F.substring("minhash", band * (4 * ROWS) + 1, F.lit(4 * ROWS)))
 
 
-def _sets(df: DataFrame) -> DataFrame:
-    """digest and grams of (text) rows, as binary."""
+def _probe_bits(hashed: np.ndarray, bits: int) -> np.ndarray:
+    """A row per probe: the places of 64-bit hashes in a filter of ``bits`` bits."""
+    first, step = hashed & (bits - 1), (hashed.view(np.uint64) >> np.uint64(32)).astype(np.int64) | 1
+    return np.stack([(first + k * step) & (bits - 1) for k in range(FILTER_PROBES)])
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the long column ``id`` as 64-bit words: 16 to 32 bits an id, at most ``FILTER_BITS``
+    in all (16 MB). It passes every id, and few others (more of them where the bits are at the limit)."""
+    bits = min(FILTER_BITS, max(1 << 10, 1 << (16 * ids.count()).bit_length()))
+    mask, hashed = F.lit(bits - 1).cast("long"), F.xxhash64("id")
+    first, step = hashed.bitwiseAND(mask), F.shiftrightunsigned(hashed, 32).bitwiseOR(F.lit(1).cast("long"))
+    places = F.array(*[(first + step * k).bitwiseAND(mask) for k in range(FILTER_PROBES)])
+    words = ids.select(F.explode(places).alias("at")).select(
+        F.shiftright("at", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int")).alias("bit")
+    )
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def _passing(filter_words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Which hashes of ids the filter passes."""
+    at = _probe_bits(hashed, 64 * len(filter_words))
+    return ((filter_words[at >> 6] >> (at & 63)) & 1).all(axis=0)
+
+
+def _sets(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """digest and grams, as binary, of the (id, text) rows whose id is among ``ids``, and of few others.
+
+    The texts stay where they are: a filter of the ids goes to them, so that no text is shuffled.
+    """
+    words = df.sparkSession.sparkContext.broadcast(_id_filter(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_memo("grams", _HASH.forget)
-        for batch in small_batches(batches, "text", 2 << 20):
-            sets = [x for x in map(grams, text_column(batch, "text")) if len(x)]
-            columns = [[set_digest(x) for x in sets], [x.tobytes() for x in sets]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["digest", "grams"])
+        for batch in batches:
+            batch = batch.filter(pa.array(_passing(words.value, batch.column("hashed").to_numpy())))
+            for part in small_batches(iter([batch]), "text", 2 << 20):
+                sets = [x for x in map(grams, text_column(part, "text")) if len(x)]
+                columns = [[set_digest(x) for x in sets], [x.tobytes() for x in sets]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["digest", "grams"])
 
-    return df.select("text").mapInArrow(run, "digest binary, grams binary")
+    rows = df.where("id IS NOT NULL").select(F.xxhash64("id").alias("hashed"), "text")
+    return rows.mapInArrow(run, "digest binary, grams binary")
 
 
 def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -335,7 +371,7 @@ def _candidates(classes: DataFrame, threshold: float, tolerance: float) -> DataF
     keyed = keyed.select("digest", "minhash", "size", _band_key(F.col("band")).alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stage(buckets, "buckets")
-    edges = keyed.select("digest", "key").join(buckets, "key").where("digest <> least")
+    edges = keyed.select("digest", "key").join(buckets.hint("merge"), "key").where("digest <> least")
     members = stage(sized(stage(connected_components(edges.select(F.col("digest").alias("a"), F.col("least").alias("b"))), "met")), "candidates")
     large = members.where("blocks > 1").select(F.col("node").alias("digest"))
     if large.isEmpty():
@@ -368,13 +404,13 @@ def near_duplicates(
         "classes",
     )
     placed = (
-        _candidates(classes, threshold, tolerance).withColumnRenamed("node", "digest")
+        _candidates(classes, threshold, tolerance).withColumnRenamed("node", "digest").hint("merge")
         .join(classes.select("digest", "copy_id", "copies", "minhash"), "digest")
         .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     )
     placed = stage(placed, "placed")
-    texts = df.select(F.col(id_col).cast("long").alias("copy_id"), F.col(text_col).alias("text"))
-    sets = _sets(texts.join(placed.select("copy_id").distinct(), "copy_id", "left_semi")).dropDuplicates(["digest"])
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sets = _sets(texts, placed.select(F.col("copy_id").alias("id"))).dropDuplicates(["digest"])
     steps = _block_pairs(placed.select("digest", "root", "copies", "minhash", "blocks", "block")).join(sets, "digest")
     linked = stage(_compare(steps, threshold, tolerance), "links")
     groups = connected_components(linked.select("a", "b"))
