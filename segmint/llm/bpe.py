@@ -1,13 +1,15 @@
 """Byte-level BPE encoding and decoding with a rank file, as a fold over ranked merges.
 
-A text is cut into pre-tokens ("words"). Each distinct word is encoded once, by Spark's
-higher-order functions over its bytes:
-
-* every substring is looked up in the rank map, a literal of the plan (an array of small
-  maps by hash, so that a lookup does not scan the vocabulary);
-* the substrings that have a rank, sorted by it, are the word's ranked merges. They are
-  folded (``aggregate``) over the set of piece boundaries, a bit mask: a merge applies when
-  its substring consists of exactly two current pieces, and clears the boundary between;
+A text is cut into pre-tokens ("words"). Each distinct word is encoded once, over its bytes:
+
+* the substrings that have a rank, sorted by it, are the word's ranked merges. The task that
+  cuts the text lists them with an automaton of the tokens, which passes a word once; words
+  that come without (the shared ones below) have every substring looked up in the rank map, a
+  literal of the plan (an array of small maps by hash, so that a lookup does not scan the
+  vocabulary);
+* Spark's higher-order functions fold (``aggregate``) the merges over the set of piece
+  boundaries, a bit mask: a merge applies when its substring consists of exactly two current
+  pieces, and clears the boundary between;
 * the ranks of the pieces that are left are the ids.
 
 Taking each merge once, in rank order, gives what repeated "lowest rank first, leftmost on
@@ -41,17 +43,20 @@ from dataclasses import dataclass
 from functools import cache
 from json import dumps
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array, small_batches, stage, text_column
+from .common import list_array, only_memo, small_batches, stage, text_column
 
 FOLD_BYTES = 62  # boundaries of a word as the bits of a long
 SHARED_WORDS = 1 << 19  # bound of the broadcast dictionary, in words
 TASK_WORDS = 400_000  # words a task remembers before it starts anew
+WORD_ROWS = 4_096  # words that are sent to the fold at a time
 MOST_SPANS = 1 << 11  # substrings of such a word, and room
 RANK_BUCKETS = 1 << 16
 HASH_SEED = 42  # of Spark's xxhash64
@@ -169,17 +174,39 @@ def _spans() -> Column:
     return F.from_json(F.lit(dumps(spans, separators=(",", ":"))), "array<struct<a:int,n:int,f:bigint,i:bigint>>")
 
 
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """``array<int>``: the ids of a word of 1 to ``FOLD_BYTES`` bytes."""
+class MergeFinder:
+    """The ranked merges of a word of at most ``FOLD_BYTES`` bytes: for each of its substrings that
+    has a rank, the rank and, in the lower bits, the number of its span (see ``_spans``), sorted."""
+
+    def __init__(self, tokens: tuple[bytes, ...]):
+        self.automaton = ahocorasick.Automaton()
+        for rank, token in enumerate(tokens):
+            if 1 < len(token) <= FOLD_BYTES:
+                # the span from s to e has number (e - 1) * (e - 2) / 2 + s, and s is e less the length
+                self.automaton.add_word(token.decode("latin-1"), rank * MOST_SPANS - len(token))
+        self.automaton.make_automaton()
+        self.ends = [e * (e - 1) // 2 + e + 1 for e in range(FOLD_BYTES)]  # by place of the last byte
+
+    def __call__(self, word: bytes) -> list[int]:
+        ends = self.ends
+        return sorted([start + ends[last] for last, start in self.automaton.iter(word.decode("latin-1"))])
+
+
+def fold_merges(word: Column, ranks: Column, merges: Column | None = None) -> Column:
+    """``array<int>``: the ids of a word of 1 to ``FOLD_BYTES`` bytes; ``merges`` are its ranked merges,
+    if they are known."""
     size = F.octet_length(word)
 
     def over(text: Column, ranks: Column, spans: Column) -> Column:
-        inside = F.slice(spans, F.lit(1), F.floor(size * (size - 1) / 2).cast("int"))
-        # a merge is its rank and, in the lower bits, the number of its span
-        found = F.transform(
-            inside, lambda x, i: _rank_of(ranks, F.substring(text, x["a"], x["n"])).cast("long") * MOST_SPANS + i
-        )
-        merges = F.sort_array(F.array_compact(found))
+        if merges is None:
+            inside = F.slice(spans, F.lit(1), F.floor(size * (size - 1) / 2).cast("int"))
+            # a merge is its rank and, in the lower bits, the number of its span
+            found = F.transform(
+                inside, lambda x, i: _rank_of(ranks, F.substring(text, x["a"], x["n"])).cast("long") * MOST_SPANS + i
+            )
+            ordered = F.sort_array(F.array_compact(found))
+        else:
+            ordered = merges
 
         def apply(mask: Column, merge: Column) -> Column:
             span = F.get(spans, merge.bitwiseAND(F.lit(MOST_SPANS - 1)).cast("int"))
@@ -187,7 +214,7 @@ def fold_merges(word: Column, ranks: Column) -> Column:
             return F.when(two, mask.bitwiseAND(F.bitwise_not(span["i"]))).otherwise(mask)
 
         every = F.call_function("shiftleft", F.lit(2).cast("long"), size) - 1
-        mask = F.aggregate(merges, every, apply)
+        mask = F.aggregate(ordered, every, apply)
 
         def pieces(mask: Column) -> Column:
             at = F.filter(
@@ -216,9 +243,24 @@ class WordTable:
     starts: np.ndarray
 
 
-def _shared_words(texts: DataFrame, text_col: str, ranks: Column) -> WordTable:
+def _with_merges(words: DataFrame, tokens: Broadcast) -> DataFrame:
+    """``word`` (of at most ``FOLD_BYTES`` bytes) and its ranked ``merges``."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges_of = _finder_of(tokens)
+        for batch in batches:
+            for at in range(0, batch.num_rows, WORD_ROWS):
+                part = batch.column("word").slice(at, WORD_ROWS)
+                merges = [np.array(merges_of(w), dtype=np.int64) for w in part.to_pylist()]
+                yield pa.RecordBatch.from_arrays([part, list_array(merges, pa.int64())], ["word", "merges"])
+
+    return words.select("word").mapInArrow(add, "word binary, merges array<bigint>")
+
+
+def _shared_words(texts: DataFrame, text_col: str, ranks: Column, tokens: Broadcast | None = None) -> WordTable:
     """The words that most tasks meet (each more than one), encoded: as many of the most common
-    counts as have at most ``SHARED_WORDS`` words together."""
+    counts as have at most ``SHARED_WORDS`` words together. Given the tokens, an automaton lists
+    the merges."""
     numbers = _other_numbers()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +289,10 @@ def _shared_words(texts: DataFrame, text_col: str, ranks: Column) -> WordTable:
         least = tasks
     if least is None:
         return WordTable([], np.empty(0, np.int32), np.zeros(1, np.int64))
-    shared = counts.where(F.col("tasks") >= least).select("word", fold_merges(F.col("word"), ranks).alias("ids")).toArrow()
+    words = counts.where(F.col("tasks") >= least).select("word")
+    merges = None if tokens is None else F.col("merges")
+    words = words if tokens is None else _with_merges(words, tokens)
+    shared = words.select("word", fold_merges(F.col("word"), ranks, merges).alias("ids")).toArrow()
     ids = shared.column("ids").combine_chunks()
     ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
     lengths = ids.value_lengths().to_numpy(zero_copy_only=False)
@@ -262,7 +307,7 @@ class _Assembler:
     """Ids of words by slot: the shared words first, then those a task has met, in order."""
 
     def __init__(self, shared: WordTable):
-        self.n = self.shared = len(shared.words)
+        self.n = self.shared = len(shared.starts) - 1
         self.used = self.shared_used = len(shared.ids)
         self.ids = shared.ids.copy()
         self.starts = shared.starts.copy()
@@ -282,12 +327,25 @@ class _Assembler:
     def _room(values: np.ndarray, size: int) -> np.ndarray:
         return values if size <= len(values) else np.resize(values, max(size, 2 * len(values)))
 
-    def text(self, slots: np.ndarray) -> np.ndarray:
+    def texts(self, slots: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that follow each other, and where each begins, with the end: text ``k``
+        has the words ``slots[stops[k] : stops[k + 1]]``."""
         first = self.starts[slots]
         lengths = self.starts[slots + 1] - first
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(first - (ends - lengths), lengths) + np.arange(total)]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.ids[np.repeat(first - ends[:-1], lengths) + np.arange(ends[-1])], ends[stops]
+
+
+_FINDERS: dict[tuple[bytes, ...], MergeFinder] = {}
+
+
+def _finder_of(tokens: Broadcast) -> MergeFinder:
+    """One automaton per process and rank file."""
+    only_memo("bytes", _FINDERS.clear)
+    if tokens.value not in _FINDERS:
+        _FINDERS.clear()
+        _FINDERS[tokens.value] = MergeFinder(tokens.value)
+    return _FINDERS[tokens.value]
 
 
 NEW, WORD, TEXT = 0, 1, 2  # rows of the step in between: forget the words; a word; a document
@@ -301,52 +359,62 @@ def encode_bytes(df: DataFrame, rank_path: str, id_col: str = "doc_id", text_col
     rows = df.select(F.col(id_col), F.col(text_col).alias("_text" if id_col == "text" else "text"))
     text_col = rows.columns[1]
     kind = rows.schema[id_col].dataType.simpleString()
-    shared_words = _shared_words(rows.select(text_col), text_col, ranks)
-    shared, tokens, numbers = context.broadcast(shared_words), context.broadcast(file.tokens), _other_numbers()
+    tokens, numbers = context.broadcast(file.tokens), _other_numbers()
+    shared_words = _shared_words(rows.select(text_col), text_col, ranks, tokens)
+    # the step that cuts needs the words, the step that puts ids together their ids
+    common = context.broadcast(pa.array(shared_words.words, pa.binary()).cast(pa.string()))
+    shared = context.broadcast(WordTable([], shared_words.ids, shared_words.starts))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = WordCutter(numbers)
-        common = {w.decode("utf-8", "surrogatepass"): k for k, w in enumerate(shared.value.words)}
+        find, merges_of = WordCutter(numbers), _finder_of(tokens)
         rank_of: dict[bytes, int] = {}
         slots: dict[str, int] = {}
 
+        def begin() -> None:
+            slots.clear()
+            for at in range(0, len(common.value), 65536):
+                slots.update(zip(common.value.slice(at, 65536).to_pylist(), range(at, len(common.value))))
+
         def encoded(word: bytes) -> np.ndarray:
             if not rank_of:
                 rank_of.update((t, k) for k, t in enumerate(tokens.value))
             return np.array([rank_of[p] for p in merge(word, rank_of)], dtype=np.int32)
 
-        def built(kinds: list[int], words: list[bytes | None], nums: list[np.ndarray], ids: pa.Array) -> pa.RecordBatch:
+        def built(kinds: list[int], words: list[bytes | None], merges: pa.Array, nums: pa.Array, ids: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(kinds, pa.int8()), pa.array(words, pa.binary()), list_array(nums, pa.int32()), ids],
-                ["kind", "word", "nums", "id"],
+                [pa.array(kinds, pa.int8()), pa.array(words, pa.binary()), merges, nums, ids], ["kind", "word", "merges", "nums", "id"]
             )
 
+        def rows_of(new: list[str], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+            """Some thousand words at a time, for their merges take far more room than they do."""
+            for at in range(0, len(new), WORD_ROWS):
+                raw = [w.encode() for w in new[at : at + WORD_ROWS]]
+                short = [len(w) <= FOLD_BYTES for w in raw]
+                merges = [np.array(merges_of(w) if s else [], dtype=np.int64) for w, s in zip(raw, short)]
+                nums = [empty if s else encoded(w) for w, s in zip(raw, short)]
+                words = [w if s else None for w, s in zip(raw, short)]
+                yield built([WORD] * len(raw), words, list_array(merges, pa.int64()), list_array(nums, pa.int32()), pa.nulls(len(raw), kind))
+
+        begin()
+        empty = np.empty(0, dtype=np.int32)
         for batch in small_batches(batches, text_col):
-            ids, empty = batch.column(id_col), np.empty(0, dtype=np.int32)
-            kinds, words, nums = [], [], []
-            if len(slots) >= TASK_WORDS:
-                slots.clear()
-                kinds, words, nums = [NEW], [None], [empty]
-            base = len(common)
-            texts = []
+            ids = batch.column(id_col)
+            if len(slots) >= len(common.value) + TASK_WORDS:
+                begin()
+                yield built([NEW], [None], pa.nulls(1, pa.list_(pa.int64())), list_array([empty], pa.int32()), pa.nulls(1, ids.type))
+            texts, new = [], []
             for text in text_column(batch, text_col):
                 found = find(text)
-                for word in dict.fromkeys(found):
-                    if word in common or word in slots:
-                        continue
-                    slots[word] = base + len(slots)
-                    raw = word.encode()
-                    kinds.append(WORD)
-                    words.append(raw if len(raw) <= FOLD_BYTES else None)
-                    nums.append(empty if len(raw) <= FOLD_BYTES else encoded(raw))
-                texts.append(np.fromiter((common[w] if w in common else slots[w] for w in found), np.int32, len(found)))
-            if kinds:
-                yield built(kinds, words, nums, pa.nulls(len(kinds), ids.type))
-            yield built([TEXT] * len(texts), [None] * len(texts), texts, ids)
+                for word in set(found).difference(slots):
+                    slots[word] = len(slots)
+                    new.append(word)
+                texts.append(np.fromiter(map(slots.__getitem__, found), np.int32, len(found)))
+            yield from rows_of(new, ids.type)
+            yield built([TEXT] * len(texts), [None] * len(texts), pa.nulls(len(texts), pa.list_(pa.int64())), list_array(texts, pa.int32()), ids)
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _Assembler(shared.value)
-        pieces = tokens.value
+        pieces = pa.array(tokens.value, pa.large_binary())
         for batch in batches:
             kinds = batch.column("kind").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), len(kinds)]
@@ -360,13 +428,18 @@ def encode_bytes(df: DataFrame, rank_path: str, id_col: str = "doc_id", text_col
                 elif a < b:
                     for row in range(0, b - a, 256):
                         some = nums.slice(row, 256)
-                        ids = [table.text(some[k].values.to_numpy()) for k in range(len(some))]
-                        texts = pa.array([b"".join([pieces[i] for i in x.tolist()]) for x in ids], pa.binary())
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column("id").slice(row, 256), list_array(ids, pa.int32()), texts], [id_col, "ids", "decoded"]
-                        )
-
-    parts = rows.mapInArrow(cut, f"kind tinyint, word binary, nums array<int>, id {kind}")
-    folded = F.when(F.col("word").isNotNull(), fold_merges(F.col("word"), ranks)).otherwise(F.col("nums"))
+                        stops = np.concatenate([[0], np.cumsum(some.value_lengths().to_numpy())])
+                        ids, starts = table.texts(some.flatten().to_numpy(), stops)
+                        # the taken pieces lie one after the other: a text is the bytes of its pieces
+                        taken = pieces.take(pa.array(ids))
+                        places = np.frombuffer(taken.buffers()[1], np.int64, len(ids) + 1)[starts] if len(ids) else starts
+                        texts = pa.LargeBinaryArray.from_buffers(
+                            pa.large_binary(), len(some), [None, pa.py_buffer(places.astype(np.int64)), taken.buffers()[2] or pa.py_buffer(b"")]
+                        ).cast(pa.binary())
+                        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids, pa.int32()))
+                        yield pa.RecordBatch.from_arrays([part.column("id").slice(row, 256), lists, texts], [id_col, "ids", "decoded"])
+
+    parts = rows.mapInArrow(cut, f"kind tinyint, word binary, merges array<bigint>, nums array<int>, id {kind}")
+    folded = F.when(F.col("word").isNotNull(), fold_merges(F.col("word"), ranks, F.col("merges"))).otherwise(F.col("nums"))
     parts = parts.select("kind", folded.alias("nums"), "id")
     return parts.mapInArrow(put_together, f"`{id_col}` {kind}, ids array<int>, decoded binary")
