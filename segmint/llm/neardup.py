@@ -71,12 +71,13 @@ def grams(text: str) -> np.ndarray:
 
 
 def signature(items: np.ndarray) -> np.ndarray:
-    """BANDS * ROWS MinHash values (uint32) of a non-empty set."""
+    """BANDS * ROWS MinHash values of a non-empty set, 16 bits of each: half the bytes to shuffle, and a
+    value in 65,536 is equal by chance, which only keeps a pair that the exact sets decide on."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
     for at in range(0, len(items), 4096):
         part = items[at : at + 4096]
         least = np.minimum(least, (_MULTIPLY[:, None] * part + _ADD[:, None]).min(axis=1))
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return (least >> np.uint64(48)).astype(np.uint16)
 
 
 def set_digest(items: np.ndarray) -> bytes:
@@ -120,7 +121,7 @@ def _describe(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _band_key(band: F.Column) -> F.Column:
     """One 64-bit key of a band's MinHash values, different for each band."""
-    return F.xxhash64(band, F.substring("minhash", band * (4 * ROWS) + 1, F.lit(4 * ROWS)))
+    return F.xxhash64(band, F.substring("minhash", band * (2 * ROWS) + 1, F.lit(2 * ROWS)))
 
 
 def _probe_bits(hashed: np.ndarray, bits: int) -> np.ndarray:
@@ -310,7 +311,7 @@ def _likely(steps: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _rows_of_steps(batches, ("key", "low", "high")):
             rows = sorted(rows, key=lambda r: r["digest"])
-            values = np.stack([np.frombuffer(r["minhash"], np.uint32) for r in rows])
+            values = np.stack([np.frombuffer(r["minhash"], np.uint16) for r in rows])
             root = survivors(values, np.array([r["size"] for r in rows]), threshold, needed)
             joined = np.flatnonzero(root != np.arange(len(rows))).tolist()
             ends = [[rows[i]["digest"] for i in joined], [rows[root[i]]["digest"] for i in joined]]
@@ -330,7 +331,7 @@ def _compare(steps: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         rows = sorted(rows, key=lambda r: r["digest"])
         if len(rows) < 2:
             return None
-        values = np.stack([np.frombuffer(r["minhash"], np.uint32) for r in rows])
+        values = np.stack([np.frombuffer(r["minhash"], np.uint16) for r in rows])
         sets = [np.frombuffer(r["grams"], np.uint64) for r in rows]
         blocks = np.array([r["block"] for r in rows])
         if rows[0]["low"] != rows[0]["high"] and len(np.unique(blocks)) < 2:
@@ -367,11 +368,11 @@ def _candidates(classes: DataFrame, threshold: float, tolerance: float) -> DataF
         # written first, so that the join has two plain exchanges, whose hot roots are split
         return members.join(stage(sizes, "sizes"), "root")
 
-    keyed = classes.select("digest", "minhash", "size", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-    keyed = keyed.select("digest", "minhash", "size", _band_key(F.col("band")).alias("key"))
+    keyed = classes.select("digest", "minhash", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    keyed = keyed.select("digest", _band_key(F.col("band")).alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stage(buckets, "buckets")
-    edges = keyed.select("digest", "key").join(buckets.hint("merge"), "key").where("digest <> least")
+    edges = keyed.join(buckets.hint("merge"), "key").where("digest <> least")
     members = stage(sized(stage(connected_components(edges.select(F.col("digest").alias("a"), F.col("least").alias("b"))), "met")), "candidates")
     large = members.where("blocks > 1").select(F.col("node").alias("digest"))
     if large.isEmpty():
@@ -383,8 +384,11 @@ def _candidates(classes: DataFrame, threshold: float, tolerance: float) -> DataF
         .withColumn("block", block)
     )
     # the pair of different blocks compares inside them too
-    steps = _block_pairs(banded.select("key", "digest", "minhash", "size", "blocks", "block", F.col("blocks").alias("of")))
+    steps = _block_pairs(banded.select("key", "digest", "blocks", "block", F.col("blocks").alias("of")))
     steps = steps.where("of = 1 OR low < high").drop("of", "block")
+    # the values come last: a class is in many steps
+    values = classes.select("digest", "minhash", "size").join(large, "digest", "left_semi")
+    steps = steps.join(values, "digest")
     likely = stage(_likely(steps, threshold, tolerance).distinct(), "likely")
     return members.where("blocks = 1").unionByName(sized(stage(connected_components(likely), "likely_groups")))
 
