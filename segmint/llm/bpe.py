@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from .common import list_array, only_memo, small_batches, stage, text_column
 
 FOLD_BYTES = 62  # boundaries of a word as the bits of a long
-SHARED_WORDS = 1 << 19  # bound of the broadcast dictionary, in words
+SHARED_WORDS = 1 << 18  # bound of the broadcast dictionary, in words
 TASK_WORDS = 400_000  # words a task remembers before it starts anew
 WORD_ROWS = 4_096  # words that are sent to the fold at a time
 MOST_SPANS = 1 << 11  # substrings of such a word, and room
@@ -270,7 +270,7 @@ def _shared_words(texts: DataFrame, text_col: str, ranks: Column, tokens: Broadc
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in met], pa.binary())], ["word"])
 
-        for batch in small_batches(batches, text_col):
+        for batch in small_batches(batches, text_col, 2 << 20):
             for text in text_column(batch, text_col):
                 met.update(cut(text))
             if len(met) >= TASK_WORDS:
@@ -397,7 +397,7 @@ def encode_bytes(df: DataFrame, rank_path: str, id_col: str = "doc_id", text_col
 
         begin()
         empty = np.empty(0, dtype=np.int32)
-        for batch in small_batches(batches, text_col):
+        for batch in small_batches(batches, text_col, 2 << 20):
             ids = batch.column(id_col)
             if len(slots) >= len(common.value) + TASK_WORDS:
                 begin()
