@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.functions.exact import ratio
+from segmint.operators.joins import split_code
 from segmint.operators.window import LOOKBACK_PERIODS, ObservationWindow
 
 MONETARY_TYPE = T.DecimalType(18, 10)
@@ -111,7 +112,7 @@ def lrfm_base(activity: DataFrame, users: DataFrame, window: ObservationWindow)
         "RegisterDate",
         reg_gap.alias("RegisterDateToFirstTxDate"),
         first.alias("FirstTxDate"),
-        last.alias("LastTxDate"),
+        F.expr(split_code("MaxCreateDate")).alias("LastTxDate"),
         length.alias("Length"),
         (F.datediff(F.lit(window.base_day), last) - 1).cast("int").alias("Recency"),
         frequency.alias("Frequency"),

@@ -32,9 +32,18 @@ from segmint.operators.bands import (
     unpivot_values,
     value_histogram,
 )
-from segmint.operators.grade import grade_columns
-from segmint.operators.joins import left_join_lookups
-from segmint.operators.steps import bit_is_set, find_steps, present_values, step_column, step_grades, with_steps
+from segmint.operators.grade import METRICS_PER_ROUND, grade_columns
+from segmint.operators.joins import left_join_lookups, split_code
+from segmint.operators.steps import (
+    bit_is_set,
+    find_steps,
+    key_of,
+    long_key,
+    present_values,
+    step_column,
+    step_grades,
+    with_steps,
+)
 from segmint.plans.specs import EliteSpec, MetricSpec
 
 def band_key(e: EliteSpec) -> str:
@@ -199,35 +208,42 @@ def assign_elite(
     shuffle of ``graded``."""
     bands = elite_lookup(ranked, specs, bounds, extents)
     steps = find_steps(bands, list(ELITE_TYPES))
-    levels = F.broadcast(step_grades(graded, steps, ELITE_TYPES))
+    levels = F.broadcast(long_key(step_grades(graded, steps, ELITE_TYPES), "s"))
     probed = [i for i, e in enumerate(specs) if i in steps and _by_own_value(e, metric_specs) is None]
-    present = F.broadcast(present_values(bands, probed))
-    joins: list[tuple[DataFrame, str]] = []
-    scores: list[str] = []
-    points: list[str] = []
-    for i, e in enumerate(specs):
-        value = f"CAST(b.`{e.join_value}` AS BIGINT)"
-        bound = _upper(bounds, e.name)
-        gate = f"b.`{e.gate}` = 5"
-        above = f"{value} > " + ("CAST(NULL AS BIGINT)" if bound is None else f"CAST({bound} AS BIGINT)")
-        es, ep = "CAST(NULL AS INT)", f"CAST(NULL AS {POINTS_TYPE})"
-        if i in steps:
-            top = max(c for c in _cuts_of(e, bounds) if c is not None)
-            asked = f"{gate} AND {value} <= CAST({top} AS BIGINT)"
-            known = f"b.`{e.population}` = 5"
-            if i in probed:
-                joins.append((present, f"named_struct('m', {i}, 'b', IF({asked}, bitmap_bucket_number({value}), NULL))"))
-                known = bit_is_set(f"l{len(joins) - 1}.Bits", value)
-            joins.append((levels, f"named_struct('m', {i}, 's', IF({asked} AND {known}, CAST(b.{step_column(i)} AS INT), NULL))"))
-            es, ep = (f"l{len(joins) - 1}.`{c}`" for c in ELITE_TYPES)
-        score_c, points_c = elite_columns(e)
-        scores.append(
-            f"CAST(CASE WHEN {gate} AND {es} IS NULL AND {above} THEN 4 WHEN {gate} AND {es} IS NOT NULL THEN {es} "
-            f"ELSE 0 END AS INT) AS `{score_c}`"
-        )
-        points.append(
-            f"CAST(CASE WHEN {gate} AND {ep} IS NULL AND {above} THEN 100.00 WHEN {gate} AND {ep} IS NOT NULL THEN {ep} "
-            f"ELSE 0.00 END AS {POINTS_TYPE}) AS `{points_c}`"
-        )
+    present = F.broadcast(long_key(present_values(bands, probed), "b"))
     stepped = with_steps(graded, steps, {i: e.join_value for i, e in enumerate(specs)})
-    return left_join_lookups(stepped, joins, [f"b.`{c}`" for c in graded.columns] + scores + points)
+    kept = [f"b.`{c}`" for c in stepped.columns]
+    rounds: list[tuple[list[tuple[DataFrame, str]], list[str]]] = []
+    for start in range(0, len(specs), METRICS_PER_ROUND):
+        joins: list[tuple[DataFrame, str]] = []
+        grades: dict[str, str] = {}
+        for i, e in list(enumerate(specs))[start : start + METRICS_PER_ROUND]:
+            value = f"CAST(b.`{e.join_value}` AS BIGINT)"
+            bound = _upper(bounds, e.name)
+            gate = f"b.`{e.gate}` = 5"
+            above = f"{value} > " + ("CAST(NULL AS BIGINT)" if bound is None else f"CAST({bound} AS BIGINT)")
+            es, ep = "CAST(NULL AS INT)", f"CAST(NULL AS {POINTS_TYPE})"
+            if i in steps:
+                top = max(c for c in _cuts_of(e, bounds) if c is not None)
+                asked = f"{gate} AND {value} <= CAST({top} AS BIGINT)"
+                known = f"b.`{e.population}` = 5"
+                if i in probed:
+                    joins.append((present, key_of(i, f"IF({asked}, bitmap_bucket_number({value}), NULL)")))
+                    known = bit_is_set(f"l{len(joins) - 1}.Bits", value)
+                joins.append((levels, key_of(i, f"IF({asked} AND {known}, CAST(b.{step_column(i)} AS INT), NULL)")))
+                es, ep = (f"l{len(joins) - 1}.`{c}`" for c in ELITE_TYPES)
+            score_c, points_c = elite_columns(e)
+            grades[score_c] = (
+                f"CAST(CASE WHEN {gate} AND {es} IS NULL AND {above} THEN 4 WHEN {gate} AND {es} IS NOT NULL THEN {es} "
+                f"ELSE 0 END AS INT)"
+            )
+            grades[points_c] = (
+                f"CAST(CASE WHEN {gate} AND {ep} IS NULL AND {above} THEN 100.00 WHEN {gate} AND {ep} IS NOT NULL THEN {ep} "
+                f"ELSE 0.00 END AS {POINTS_TYPE})"
+            )
+        grades[points_c] = split_code(grades[points_c])
+        rounds.append((joins, kept + [f"{g} AS `{name}`" for name, g in grades.items()]))
+        kept = kept + [f"b.`{name}`" for name in grades]
+    columns = [elite_columns(e)[k] for k in range(2) for e in specs]
+    rounds.append(([], [f"b.`{c}`" for c in (*graded.columns, *columns)]))
+    return left_join_lookups(stepped, rounds)

@@ -21,8 +21,17 @@ from pyspark.sql import functions as F
 
 from segmint.functions.exact import BASE_POINTS, POINTS_TYPE, ntile_from_rank, points_from_rank
 from segmint.operators.bands import Bounds, Extent, lit_map
-from segmint.operators.joins import left_join_lookups
-from segmint.operators.steps import bit_is_set, find_steps, present_values, step_column, step_grades, with_steps
+from segmint.operators.joins import left_join_lookups, split_code
+from segmint.operators.steps import (
+    bit_is_set,
+    find_steps,
+    key_of,
+    long_key,
+    present_values,
+    step_column,
+    step_grades,
+    with_steps,
+)
 from segmint.plans.specs import MetricSpec
 
 
@@ -90,6 +99,9 @@ def band_rows(
     )
 
 
+#: Metrics looked up by one chain of joins.
+METRICS_PER_ROUND = 2
+
 GRADE_TYPES = {"Group": "int", "Score": "int", "Points": POINTS_TYPE}
 
 
@@ -99,31 +111,41 @@ def assign_grades(
     """Base columns + 27 grade columns, without a shuffle of ``base``."""
     bands = band_lookup(ranked, specs, bounds, extents)
     steps = find_steps(bands, list(GRADE_TYPES))
-    levels = F.broadcast(step_grades(base, steps, GRADE_TYPES))
+    levels = F.broadcast(long_key(step_grades(base, steps, GRADE_TYPES), "s"))
     probed = [i for i, m in enumerate(specs) if i in steps and not m.eligible_by_value]
-    present = F.broadcast(present_values(bands, probed))
-    joins: list[tuple[DataFrame, str]] = []
-    grades: list[str] = []
-    at: dict[int, str] = {}
-    for i, m in enumerate(specs):
-        value = f"CAST(b.`{m.value}` AS BIGINT)"
-        b = bounds.get(m.name)
-        lo, hi = _sql_int(b.lower if b else None), _sql_int(b.upper if b else None)
-        if i in steps:
-            inside = f"{value} BETWEEN {lo} AND {hi}"
-            known = f"({m.eligible})"
-            if i in probed:
-                bucket = f"IF({inside} AND NOT coalesce({known}, false), bitmap_bucket_number({value}), NULL)"
-                joins.append((present, f"named_struct('m', {i}, 'b', {bucket})"))
-                known = f"({known} OR {bit_is_set(f'l{len(joins) - 1}.Bits', value)})"
-            joins.append((levels, f"named_struct('m', {i}, 's', IF({inside} AND {known}, CAST(b.{step_column(i)} AS INT), NULL))"))
-            at[i] = f"l{len(joins) - 1}"
-        ends = ((1, 0), (5, 1), ("100.00", "1.00")) if m.descending else ((0, 1), (1, 5), ("1.00", "100.00"))
-        for (low, high), (col, dtype), name in zip(ends, GRADE_TYPES.items(), grade_columns(m)):
-            band = f"{at[i]}.`{col}`" if i in at else f"CAST(NULL AS {dtype})"
-            grades.append(f"{_graded(band, value, lo, hi, str(low), str(high), dtype)} AS `{name}`")
+    present = F.broadcast(long_key(present_values(bands, probed), "b"))
     stepped = with_steps(base, steps, {i: m.value for i, m in enumerate(specs)})
-    return left_join_lookups(stepped, joins, [f"b.`{c}`" for c in base.columns] + grades)
+    kept = [f"b.`{c}`" for c in stepped.columns]
+    rounds: list[tuple[list[tuple[DataFrame, str]], list[str]]] = []
+    # a round per few metrics: joined together, all would make one method too long to be compiled
+    for start in range(0, len(specs), METRICS_PER_ROUND):
+        joins: list[tuple[DataFrame, str]] = []
+        grades: list[str] = []
+        names: list[str] = []
+        for i, m in list(enumerate(specs))[start : start + METRICS_PER_ROUND]:
+            value = f"CAST(b.`{m.value}` AS BIGINT)"
+            b = bounds.get(m.name)
+            lo, hi = _sql_int(b.lower if b else None), _sql_int(b.upper if b else None)
+            at = None
+            if i in steps:
+                inside = f"{value} BETWEEN {lo} AND {hi}"
+                known = f"({m.eligible})"
+                if i in probed:
+                    bucket = f"IF({inside} AND NOT coalesce({known}, false), bitmap_bucket_number({value}), NULL)"
+                    joins.append((present, key_of(i, bucket)))
+                    known = f"({known} OR {bit_is_set(f'l{len(joins) - 1}.Bits', value)})"
+                joins.append((levels, key_of(i, f"IF({inside} AND {known}, CAST(b.{step_column(i)} AS INT), NULL)")))
+                at = f"l{len(joins) - 1}"
+            ends = ((1, 0), (5, 1), ("100.00", "1.00")) if m.descending else ((0, 1), (1, 5), ("1.00", "100.00"))
+            for (low, high), (col, dtype), name in zip(ends, GRADE_TYPES.items(), grade_columns(m)):
+                band = f"{at}.`{col}`" if at else f"CAST(NULL AS {dtype})"
+                grades.append(_graded(band, value, lo, hi, str(low), str(high), dtype))
+                names.append(name)
+        grades[-1] = split_code(grades[-1])
+        rounds.append((joins, kept + [f"{g} AS `{name}`" for g, name in zip(grades, names)]))
+        kept = kept + [f"b.`{name}`" for name in names]
+    rounds.append(([], [f"b.`{c}`" for c in base.columns] + kept[len(stepped.columns) :]))
+    return left_join_lookups(stepped, rounds)
 
 
 def top_score_predicates(specs: Sequence[MetricSpec], bounds: dict[str, Bounds]) -> dict[str, Column]:

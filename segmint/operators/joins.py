@@ -35,29 +35,42 @@ def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS, rows:
     return (F.broadcast(df), True) if n <= limit else (df, False)
 
 
-def left_join_lookups(base: DataFrame, lookups: Sequence[tuple[DataFrame, str]], select: Sequence[str]) -> DataFrame:
-    """``base`` LEFT JOIN each lookup ``l<i>`` ON ``l<i>._key = <key SQL over b>``, projected
-    by ``select`` (SQL over ``b`` and ``l<i>``), written as one statement.
+def left_join_lookups(base: DataFrame, rounds: Sequence[tuple[Sequence[tuple[DataFrame, str]], Sequence[str]]]) -> DataFrame:
+    """Rounds of ``b`` LEFT JOIN each lookup ``l<i>`` ON ``l<i>._key = <key SQL over b>``, projected
+    by a select list (SQL over ``b`` and ``l<i>``); ``b`` is ``base``, then the round before.
 
-    One statement is analysed once, where chained ``join`` calls re-analyse the growing
-    plan each time. The temporary views have run-unique names and are dropped as soon
-    as the statement is analysed (the plan no longer refers to them by name).
+    All rounds are one statement. It is analysed once, where chained ``join`` calls re-analyse
+    the growing plan each time. The temporary views have run-unique names and are dropped as
+    soon as the statement is analysed (the plan no longer refers to them by name).
     """
     spark = base.sparkSession
     tag = uuid.uuid4().hex[:12]
-    views = {f"_segmint_b_{tag}": base}
+    source = f"_segmint_b_{tag}"
+    views = {source: base}
     tables: dict[int, str] = {}
-    for df, _ in lookups:
-        if id(df) not in tables:
-            tables[id(df)] = f"_segmint_l{len(tables)}_{tag}"
-            views[tables[id(df)]] = df
+    for lookups, select in rounds:
+        for df, _ in lookups:
+            if id(df) not in tables:
+                tables[id(df)] = f"_segmint_l{len(tables)}_{tag}"
+                views[tables[id(df)]] = df
+        joins = " ".join(f"LEFT JOIN {tables[id(df)]} l{i} ON l{i}._key = {key}" for i, (df, key) in enumerate(lookups))
+        source = f"(SELECT {', '.join(select)} FROM {source} b {joins})"
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     try:
-        joins = " ".join(
-            f"LEFT JOIN {tables[id(df)]} l{i} ON l{i}._key = {key}" for i, (df, key) in enumerate(lookups)
-        )
-        return spark.sql(f"SELECT {', '.join(select)} FROM _segmint_b_{tag} b {joins}")
+        return spark.sql(source)
     finally:
         for name in views:
             spark.catalog.dropTempView(name)
+
+
+def split_code(value: str) -> str:
+    """SQL: ``value`` (one of a wide select list), in a form that keeps the projection it is in
+    out of whole-stage code.
+
+    Whole-stage code is one method per chain of operators, and the JVM only interprets methods
+    above 8,000 bytes: many lookups and wide select lists in one chain run many times slower
+    than compiled. A higher-order function ends the chain, and Spark splits the code of a
+    projection by itself into small methods.
+    """
+    return f"transform(array({value}), v -> v)[0]"

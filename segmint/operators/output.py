@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from segmint.operators.base import BASE_COLUMNS
 from segmint.operators.elite import elite_columns
 from segmint.operators.grade import grade_columns
+from segmint.operators.joins import split_code
 from segmint.operators.window import ObservationWindow
 from segmint.plans.specs import CURRENCY_METRICS, EliteSpec, MetricSpec
 from segmint.session import file_system
@@ -159,10 +160,17 @@ def currency_columns(currency: int) -> dict[str, str]:
 
 def currency_rows(scored: DataFrame, columns: Sequence[str] = RESULT_COLUMNS, currencies=(0, 1)) -> DataFrame:
     """Wide -> long by currency, in one scan of ``scored``."""
-    structs = []
+    structs, codes = [], []
     for cur in currencies:
         cols = currency_columns(cur)
+        for c in CODE_COLUMNS:
+            if c in columns:
+                codes.append((cols[c], f"_{c}_{cur}"))
+                cols[c] = codes[-1][1]
         structs.append("named_struct(" + ", ".join(f"'{c}', {cols[c]}" for c in columns) + ")")
+    if codes:
+        codes[-1] = (split_code(codes[-1][0]), codes[-1][1])
+        scored = scored.selectExpr("*", *(f"{code} AS {name}" for code, name in codes))
     return scored.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
@@ -247,6 +255,7 @@ def write_months(state: DataFrame, path: str) -> None:
     """Write a months' state by ``Month``; months it holds are replaced, others survive.
 
     Spark's dynamic overwrite moves finished files into place when all tasks are done, so a
-    failed write changes nothing.
+    failed write changes nothing. A month's rows are brought together first, so that the number
+    of files follows their size: each task would write one to every month.
     """
-    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Month").parquet(path)
+    state.hint("rebalance", "Month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Month").parquet(path)

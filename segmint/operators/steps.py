@@ -82,6 +82,17 @@ def step_grades(df: DataFrame, steps: dict[int, Steps], grades: dict[str, str])
     return table.select(F.struct("m", "s").alias("_key"), *grades)
 
 
+def long_key(table: DataFrame, part: str) -> DataFrame:
+    """``table`` with its ``_key`` (a struct of metric index ``m`` and ``part``) as one integer,
+    ``key_of``: Spark hashes those without building a row per probe."""
+    return table.withColumn("_key", F.expr(key_of("_key.m", f"_key.{part}")))
+
+
+def key_of(metric: int | str, part: str) -> str:
+    """SQL: metric index (below 64) and a step or bitmap number (within 49 bits) as one integer."""
+    return f"(CAST({part} AS BIGINT) * 64 + {metric})"
+
+
 def present_values(bands: DataFrame, metrics: Sequence[int]) -> DataFrame:
     """``_key`` = struct of metric index and ``bitmap_bucket_number``, ``Bits``: the values of the
     bands of ``metrics`` that occur."""

@@ -139,6 +139,38 @@ def test_periods_from_months_read_the_transactions_once(spark, tmp_path, run):
         segment_periods(spark, state, list(sources), users, BASE_DAY, (0, 12), date(2024, 1, 15))
 
 
+def test_months_are_written_in_files_by_their_size(spark, tmp_path):
+    """Not one file per task and month: reading the months would cost most of its time in opening them."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from segmint.operators.output import write_months
+
+    rows = spark.range(0, 6000, 1, 8).select(
+        F.col("id").alias("CustomerKey"), F.expr("add_months(DATE'2023-01-01', CAST(id % 5 AS INT))").alias("Month")
+    )
+    path = str(tmp_path / "months")
+    write_months(rows, path)
+    files = {d: [f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")] for d in os.listdir(path) if d.startswith("Month=")}
+    assert len(files) == 5 and all(len(f) == 1 for f in files.values()), files
+    assert spark.read.parquet(path).exceptAll(rows).count() == 0 and spark.read.parquet(path).count() == 6000
+
+
+def test_grading_code_can_be_compiled(spark, run):
+    """The JVM interprets methods above 8,000 bytes for ever: no chain of lookups may reach that."""
+    res = run[3]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (res.graded, res.scored, res.segments, res.wide):
+            code = spark._jvm.PythonSQLUtils.explainString(df.select("*")._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+            assert sizes and max(sizes) < 8000, sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_each_histogram_is_computed_once(run):
     """The histograms are written tables: ranking joins two reads of them, not of the base."""
     import os
